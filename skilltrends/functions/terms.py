@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import py_strip
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -96,5 +98,5 @@ def parse_bracket_list(c) -> Column:
     """
     c = _col(c)
     inner = F.regexp_replace(c, r"^[\[\]]+|[\[\]]+$", "")
-    items = F.transform(F.split(inner, ",", -1), lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", ""))
+    items = F.transform(F.split(inner, ",", -1), py_strip)
     return F.when(c.startswith("["), items).otherwise(F.array().cast("array<string>"))

@@ -10,8 +10,10 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Whitespace strip like Python's str.strip(): Spark's trim removes spaces only.
-STRIP_RX = r"(?U)^\s+|\s+$"
+# Python's whitespace set (str.isspace), spelled out so Java and RE2 agree on it.
+# Spark's trim removes spaces only.
+PY_WS = r"[\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
+STRIP_RX = rf"^{PY_WS}+|{PY_WS}+$"
 
 # A run of markup that produces no text: comments, script/style/template bodies,
 # doctype/declarations and tags. Script bodies may hold tag-like strings, so they
@@ -27,7 +29,7 @@ ENTITIES: list[tuple[str, str]] = [
     ("&nbsp;", "\u00a0"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
 ]
 
-NEWLINE_RUN_RX = r"\s*\n+\s*"
+NEWLINE_RUN_RX = rf"{PY_WS}*\n+{PY_WS}*"
 
 
 def py_strip(c) -> Column:

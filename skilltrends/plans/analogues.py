@@ -54,3 +54,23 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("job_key"),
                     F.array("o_orderpriority", "o_orderstatus").alias("keyword"))
+
+
+# Pre-fitted relevance model over frequent description words (token, coefficient).
+RELEVANCE_COEF = [
+    ("the", 1.5), ("of", 1.0), ("and", 0.8), ("is", 0.6), ("that", 0.9),
+    ("de", -0.5), ("der", -1.2), ("la", -0.7), ("und", -1.0), ("que", -0.4),
+]
+RELEVANCE_INTERCEPT = -0.3
+RELEVANCE_THRESHOLD = 0.4
+
+# Endpoint patterns tried in order against page URLs (secure first, then plain).
+URL_PATTERNS = [r"^https://[^/]+/[a-z]{2}/(.+)$", r"^http://[^/]+/[a-z]{2}/(.+?)(\?|$)"]
+
+# Embedded blob in a page: the argument of the tracking call.
+BLOB_PATTERN = r"track\((.+?)\);"
+TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
+
+
+def coef_frame(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RELEVANCE_COEF, "token STRING, coef DOUBLE")

@@ -135,3 +135,117 @@ SELECT kw, tech, n_postings, rank FROM ranked WHERE rank <= 3"""
 ORACLE["fanout_audit"] = f"""{WITH_VIEW}
 SELECT job_key, tech, kw, job_date, count(*) AS n_rows
 FROM jobs_view GROUP BY job_key, tech, kw, job_date HAVING count(*) > 1"""
+
+
+# --- pages and descriptions ---------------------------------------------------
+
+from ..functions import text as X  # noqa: E402
+from ..operators import select_text as ST  # noqa: E402
+
+
+def sql_decode(x: str) -> str:
+    for ent, ch in X.ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return x
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, {q(X.STRIP_RX)}, '', 'g')"
+
+
+def sql_html_text(x: str) -> str:
+    return sql_strip(sql_decode(f"regexp_replace({x}, {q(X.MARKUP_RUN_RX)}, ' ', 'g')"))
+
+
+def sql_squeeze(x: str) -> str:
+    return f"regexp_replace({x}, {q(X.NEWLINE_RUN_RX)}, ' ', 'g')"
+
+
+def sql_first_group(x: str, patterns: list[str]) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract({x}, {q(p)}, 1), '')" for p in patterns) + ")"
+
+
+NEWLINES = "(length(text) - length(replace(text, chr(10), '')))"
+
+PASSAGES = f"""
+docs AS (
+  SELECT doc_id, text, {NEWLINES} AS n_newlines, {NEWLINES} // 5 AS k FROM documents
+),
+blocks AS (
+  SELECT doc_id, n_newlines, k,
+         regexp_extract_all(text, '[^\\n]+' || repeat('\\n[^\\n]+', k - 1)) AS arr
+  FROM docs WHERE k > 0
+),
+passages AS (
+  SELECT doc_id, n_newlines, k, g.i - 1 AS pos, arr[g.i] AS passage
+  FROM blocks CROSS JOIN generate_series(1, len(arr)) AS g(i)
+)"""
+
+TFIDF = f"""{PASSAGES},
+tokens AS (
+  SELECT doc_id, pos, unnest(regexp_extract_all(lower(passage), {q(ST.TOKEN_RX)})) AS token
+  FROM passages
+),
+tf AS (SELECT doc_id, pos, token, count(*) AS tf FROM tokens GROUP BY doc_id, pos, token),
+dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+npass AS (SELECT count(*) AS n FROM passages),
+w AS (
+  SELECT tf.doc_id, tf.pos, tf.token, tf.tf, d.df,
+         tf.tf * (ln((1.0 + npass.n) / (1.0 + d.df)) + 1.0) AS w
+  FROM tf JOIN dfreq d ON tf.token = d.token CROSS JOIN npass
+)"""
+
+_coef_rows = ", ".join(f"({q(t)}, {c!r})" for t, c in A.RELEVANCE_COEF)
+SCORES = f"""{TFIDF},
+coef AS (SELECT * FROM (VALUES {_coef_rows}) AS c(token, coef)),
+agg AS (
+  SELECT w.doc_id, w.pos, sum(w.w * w.w) AS ss, sum(w.w * coalesce(c.coef, 0.0)) AS dot
+  FROM w LEFT JOIN coef c ON w.token = c.token GROUP BY w.doc_id, w.pos
+),
+scores AS (
+  SELECT p.doc_id, p.pos, p.passage,
+         coalesce({A.RELEVANCE_INTERCEPT!r} + a.dot / sqrt(a.ss), {A.RELEVANCE_INTERCEPT!r}) AS score
+  FROM passages p LEFT JOIN agg a ON p.doc_id = a.doc_id AND p.pos = a.pos
+)"""
+
+RELEVANT = f"1.0 / (1.0 + exp(-score)) >= {A.RELEVANCE_THRESHOLD!r}"
+
+ORACLE["html_to_text"] = f"SELECT page_id, {sql_html_text('html')} AS text FROM pages"
+
+ORACLE["embedded_blob"] = f"""
+SELECT page_id,
+       try_cast(nullif(regexp_extract(html, {q(A.BLOB_PATTERN)}, 1), '') AS INTEGER) AS track_id,
+       {sql_html_text(f"regexp_extract(html, {q(A.TITLE_PATTERN)}, 1)")} AS title,
+       nullif(regexp_extract(html, {q(A.BLOB_PATTERN)}, 1), '') IS NOT NULL AS has_blob
+FROM pages"""
+
+ORACLE["url_extract"] = f"""
+SELECT page_id, {sql_first_group('url', A.URL_PATTERNS)} AS endpoint,
+       string_split(url, '/')[-1] AS last_segment
+FROM pages"""
+
+ORACLE["newline_squeeze"] = f"SELECT doc_id, {sql_squeeze('text')} AS text FROM documents"
+
+ORACLE["block_segment"] = f"""WITH {PASSAGES}
+SELECT doc_id, n_newlines, k, pos, passage FROM passages"""
+
+ORACLE["passage_terms"] = f"""WITH {PASSAGES},
+t AS (SELECT doc_id, pos, regexp_extract_all(lower(passage), {q(ST.TOKEN_RX)}) AS toks FROM passages)
+SELECT doc_id, pos, len(toks) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM t"""
+
+ORACLE["tfidf"] = f"""WITH {TFIDF}
+SELECT doc_id, pos, token, tf, df,
+       round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id, pos)), 6) AS weight
+FROM w"""
+
+ORACLE["relevance_score"] = f"""WITH {SCORES}
+SELECT doc_id, pos, round(score, 6) AS score, CASE WHEN {RELEVANT} THEN 1 ELSE 0 END AS relevant
+FROM scores"""
+
+ORACLE["relevant_text"] = f"""WITH {SCORES},
+kept AS (SELECT doc_id, pos, passage FROM scores WHERE {RELEVANT}),
+joined AS (
+  SELECT doc_id, {sql_squeeze("string_agg(passage, ' ' ORDER BY pos)")} AS split_jd
+  FROM kept GROUP BY doc_id
+)
+SELECT doc_id, split_jd FROM joined WHERE length(split_jd) > 1"""

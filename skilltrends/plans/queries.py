@@ -108,3 +108,109 @@ def top_terms(spark, sf_dir):
 @register
 def fanout_audit(spark, sf_dir):
     return V.fanout_audit(skills_view_df(spark, sf_dir))
+
+
+# --- pages and descriptions ---------------------------------------------------
+
+from ..functions import text as X  # noqa: E402
+from ..operators import pages as PG  # noqa: E402
+from ..operators import select_text as ST  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+
+@register
+def html_to_text(spark, sf_dir):
+    return PG.page_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
+@register
+def embedded_blob(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    blob = PG.embedded_blob("html", A.BLOB_PATTERN)
+    title = X.html_to_text(F.regexp_extract("html", A.TITLE_PATTERN, 1))
+    return p.select("page_id", F.try_variant_get(blob, "$", "int").alias("track_id"),
+                    title.alias("title"), blob.isNotNull().alias("has_blob"))
+
+
+@register
+def url_extract(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    return p.select("page_id", PG.endpoint_from_url("url", A.URL_PATTERNS).alias("endpoint"),
+                    X.last_path_segment("url").alias("last_segment"))
+
+
+@register
+def newline_squeeze(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", X.squeeze_newlines("text").alias("text"))
+
+
+def doc_passages(spark, sf_dir):
+    return ST.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def block_segment(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = d.select("doc_id", "text", X.count_newlines("text").alias("n_newlines"),
+                 ST.split_count("text").alias("k"))
+    return ST.passages(d, "doc_id", "text", keep=("n_newlines", "k"))
+
+
+@register
+def passage_terms(spark, sf_dir):
+    p = doc_passages(spark, sf_dir)
+    toks = F.regexp_extract_all(F.lower("passage"), F.lit(ST.TOKEN_RX), 0)
+    return p.select("doc_id", "pos", F.size(toks).alias("n_tokens"),
+                    F.array_join(toks, " ").alias("tokens"))
+
+
+def passage_tf_idf(spark, sf_dir):
+    p = doc_passages(spark, sf_dir)
+    tf = ST.term_frequencies(ST.passage_tokens(p))
+    idf = ST.fit_idf(tf, p.select(F.count(F.lit(1))).scalar())
+    return p, tf, idf
+
+
+@register
+def tfidf(spark, sf_dir):
+    _, tf, idf = passage_tf_idf(spark, sf_dir)
+    w = ST.tfidf(tf, idf)
+    return w.select("doc_id", "pos", "token", "tf", "df", F.round("weight", 6).alias("weight"))
+
+
+def passage_scores(spark, sf_dir):
+    p, tf, idf = passage_tf_idf(spark, sf_dir)
+    s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT)
+    scored = p.join(s, ["doc_id", "pos"], "left").withColumn(
+        "score", F.coalesce("score", F.lit(A.RELEVANCE_INTERCEPT)))
+    prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
+    return scored.withColumn("relevant", (prob >= F.lit(A.RELEVANCE_THRESHOLD)).cast("int"))
+
+
+@register
+def relevance_score(spark, sf_dir):
+    s = passage_scores(spark, sf_dir)
+    return s.select("doc_id", "pos", F.round("score", 6).alias("score"), "relevant")
+
+
+@register
+def relevant_text(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ST.select_relevant(d, None, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT,
+                              A.RELEVANCE_THRESHOLD)
+
+
+@register
+def relevance_train(spark, sf_dir):
+    """MLlib classifier trained on labelled documents; saved to and reloaded from
+    shared storage, then applied to every labelled document."""
+    from ..operators import relevance as RV
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    train = d.join(lab, "doc_id")
+    model = RV.train(train, vocab_size=1 << 16)
+    path = RV.save(model, S.scratch_path(spark, "relevance-model"))
+    pred = RV.predict(RV.load(path), train, ["doc_id", "label"])
+    return pred.select("doc_id", F.col("label").cast("int").alias("quality"), "prediction",
+                       F.round("p_relevant", 4).alias("p_relevant"))
