@@ -74,3 +74,40 @@ TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
 
 def coef_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RELEVANCE_COEF, "token STRING, coef DOUBLE")
+
+
+# Pay analogue: order priority stands for the pay type, total price for the amount.
+PAY_TYPE_SQL = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'HOURLY' WHEN '3-MEDIUM' THEN 'MONTHLY' "
+                "WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'YEARLY' END")
+
+# Search grid: keywords are nation names, hits are the customers of the nation.
+SEARCH_BASE = "https://jobs.example.com/jobs"
+SEARCH_LOCATIONS = ["remote", "onsite"]
+
+# Search result list inside a page: the navigation links.
+RESULT_LINK_PATTERN = r'<li><a href="/([^"]*)"'
+PAGE_PARAM_PATTERN = r"[?&]page=(\d+)"
+
+# Chat request analogue.
+PROMPT_SYSTEM = "You list the technologies a job description asks for, as [a, b, c]."
+PROMPT_EXAMPLES = [("Experience with cloud storage and spreadsheets.", "[aws, excel]"),
+                   ("Build dashboards for reporting.", "[powerbi]")]
+PROMPT_QUESTION = "List the technologies in:"
+PROMPT_MODEL = "term-extractor"
+PROMPT_TEMPERATURE = 0.0
+
+# Model answers built from part rows (bracketed list, malformed, empty, missing).
+ANSWER_SQL = ("CASE WHEN p_size < 5 THEN ' [' || p_name || ']' WHEN p_size > 47 THEN 'none' "
+              "WHEN p_size = 10 THEN '[]' "
+              "ELSE '[' || replace(p_name, ' ', ', ') || ', ' || lower(p_type) || ']' END")
+
+# Dictionary over frequent description words (canonical -> aliases; 1- and 2-grams).
+TERM_DICTIONARY = {
+    "of-the": ["of the"],
+    "in-the": ["in the"],
+    "conjunction": ["and", "und", "et", "y"],
+    "article": ["der", "die", "la", "le", "el", "les"],
+    "that": ["that"],
+}
+
+RECENT_DAYS = 7

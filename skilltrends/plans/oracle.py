@@ -249,3 +249,202 @@ joined AS (
   FROM kept GROUP BY doc_id
 )
 SELECT doc_id, split_jd FROM joined WHERE length(split_jd) > 1"""
+
+
+# --- postings, keywords, search paging -----------------------------------------
+
+from .. import rules as R  # noqa: E402
+from ..functions.text import TOKEN_RX  # noqa: E402
+from ..operators.extract import WORD_RX  # noqa: E402
+
+ORACLE["text_normalize"] = f"""
+SELECT c_custkey, coalesce({sql_strip('lower(c_name)')}, '') AS company,
+       coalesce({sql_strip('lower(c_mktsegment)')}, '') AS job_title
+FROM customer"""
+
+CHOSEN = f"""
+chosen AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 1000.0
+         WHEN o_orderstatus = 'O' THEN o_totalprice / 1200.0 END AS salary_min,
+    CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 800.0
+         WHEN o_orderstatus = 'O' THEN o_totalprice / 900.0 END AS salary_max,
+    CASE WHEN o_orderstatus IN ('F', 'O') THEN {A.PAY_TYPE_SQL} END AS salary_type,
+    CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS salary_estimated_flag
+  FROM orders
+)"""
+
+ORACLE["salary_choose"] = f"""WITH {CHOSEN}
+SELECT o_orderkey, salary_min, salary_max, salary_type, salary_estimated_flag FROM chosen"""
+
+_CONV = "salary_type IS NOT NULL AND salary_type <> 'YEARLY'"
+ORACLE["salary_annualize"] = f"""WITH {CHOSEN}
+SELECT o_orderkey,
+       CASE WHEN {_CONV} THEN salary_min * {R.HOURS_PER_YEAR!r} ELSE salary_min END AS salary_min,
+       CASE WHEN {_CONV} THEN salary_max * {R.HOURS_PER_YEAR!r} ELSE salary_max END AS salary_max,
+       CASE WHEN {_CONV} THEN 'YEARLY' ELSE salary_type END AS salary_type,
+       salary_estimated_flag
+FROM chosen"""
+
+ORACLE["nested_sum"] = """
+SELECT l_orderkey, l_linenumber,
+       CAST(trunc(l_quantity) AS BIGINT) + l_linenumber AS num_results
+FROM lineitem"""
+
+ORACLE["keyword_union"] = """
+WITH u AS (
+  SELECT l_partkey, array_to_string(list_sort(list(DISTINCT l_returnflag)), '|') AS keywords
+  FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_partkey
+)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS job_key,
+       coalesce(u.keywords, l.l_returnflag) AS keywords
+FROM lineitem l LEFT JOIN u ON l.l_partkey = u.l_partkey"""
+
+ORACLE["first_seen"] = """
+SELECT DISTINCT ON (user_id) user_id, event_id, ts, event_type, value, props
+FROM events ORDER BY user_id, ts, event_id"""
+
+ORACLE["search_grid"] = f"""
+WITH hits AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey),
+kw AS (
+  SELECT lower(n_name) AS keyword, coalesce(h.n, 0) AS n
+  FROM nation LEFT JOIN hits h ON nation.n_nationkey = h.c_nationkey
+),
+grid AS (
+  SELECT keyword, loc.location, o.page_offset
+  FROM kw
+  CROSS JOIN (SELECT unnest([{", ".join(q(x) for x in A.SEARCH_LOCATIONS)}]) AS location) loc
+  CROSS JOIN LATERAL (
+    SELECT unnest(range(0, CASE WHEN n > {R.HIT_THRESHOLD} THEN {R.CAPPED_HITS} ELSE n END + 10, 10)) AS page_offset
+  ) o
+)
+SELECT keyword, location, page_offset,
+       {q(A.SEARCH_BASE)} || '?q=' || replace(keyword, ' ', '+') || '&l=' || location
+       || '&filter=0&start=' || CAST(page_offset AS VARCHAR) || '&fromage=1' AS url
+FROM grid"""
+
+ORACLE["result_positions"] = f"""
+WITH p AS (
+  SELECT page_id,
+         (coalesce(try_cast(regexp_extract(url, {q(A.PAGE_PARAM_PATTERN)}, 1) AS INTEGER), 1) - 1) * 10 AS page_offset,
+         regexp_extract_all(html, {q(A.RESULT_LINK_PATTERN)}, 1) AS results
+  FROM pages
+),
+x AS (
+  SELECT page_id, page_offset, g.i - 1 AS position, results[g.i] AS job_key
+  FROM p CROSS JOIN generate_series(1, len(results)) AS g(i)
+)
+SELECT page_id, page_offset // 10 + 1 AS page, position, job_key
+FROM x WHERE job_key IS NOT NULL AND job_key <> ''"""
+
+
+# --- request planning ----------------------------------------------------------
+
+def sql_tokens(x: str) -> str:
+    return f"coalesce(len(regexp_extract_all({x}, {q(TOKEN_RX)})), 0)"
+
+
+def _msg_cost(role: str, content: str) -> str:
+    return f"({R.TOKENS_PER_MESSAGE} + {sql_tokens(q(role))} + {sql_tokens(content)})"
+
+
+_fixed_msgs = [("system", q(A.PROMPT_SYSTEM))]
+for _ask, _ans in A.PROMPT_EXAMPLES:
+    _fixed_msgs += [("user", q(_ask)), ("assistant", q(_ans))]
+_last = f"{q(A.PROMPT_QUESTION + ' ')} || text"
+_all_msgs = _fixed_msgs + [("user", _last)]
+_msgs_sql = ", ".join(f"{{'role': {q(r)}, 'content': {c}}}" for r, c in _all_msgs)
+_cost_sql = " + ".join(_msg_cost(r, c) for r, c in _all_msgs)
+
+ORACLE["build_messages"] = f"""
+SELECT doc_id, {len(_all_msgs)} AS n_messages,
+       to_json({{'model': {q(A.PROMPT_MODEL)}, 'messages': [{_msgs_sql}],
+                'temperature': CAST({A.PROMPT_TEMPERATURE!r} AS DOUBLE)}}) AS payload,
+       CAST({_cost_sql} + {R.TOKENS_REPLY_PRIMER} + {R.COMPLETION_TOKENS} AS BIGINT) AS cost
+FROM documents"""
+
+COSTS = f"""
+costs AS (
+  SELECT conv_id, count(*) AS n_messages,
+         sum({R.TOKENS_PER_MESSAGE} + {sql_tokens('role')} + {sql_tokens('text')}) AS prompt_tokens
+  FROM conversations GROUP BY conv_id
+)"""
+
+ORACLE["token_cost"] = f"""WITH {COSTS}
+SELECT conv_id, n_messages, prompt_tokens,
+       prompt_tokens + {R.TOKENS_REPLY_PRIMER} + {R.COMPLETION_TOKENS} AS cost
+FROM costs"""
+
+ORACLE["budget_batches"] = f"""WITH {COSTS},
+c AS (SELECT conv_id, prompt_tokens + {R.TOKENS_REPLY_PRIMER} + {R.COMPLETION_TOKENS} AS cost FROM costs),
+r AS (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS request_id, cost,
+         sum(cost) OVER (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_cost
+  FROM c
+)
+SELECT conv_id, request_id, cost, CAST(cum_cost AS BIGINT) AS cum_cost,
+       greatest(floor((cum_cost - 1) / {R.MAX_TOKENS_PER_MINUTE}),
+                floor(request_id / {R.MAX_REQUESTS_PER_MINUTE}))::BIGINT AS minute
+FROM r"""
+
+
+# --- extraction and responses -------------------------------------------------
+
+def sql_parse_list(x: str) -> str:
+    inner = f"regexp_replace({x}, '^[\\[\\]]+|[\\[\\]]+$', '', 'g')"
+    items = f"list_transform(string_split({inner}, ','), lambda s: {sql_strip('s')})"
+    return f"CASE WHEN starts_with({x}, '[') THEN {items} ELSE CAST([] AS VARCHAR[]) END"
+
+
+ORACLE["parse_list"] = f"""
+WITH a AS (SELECT p_partkey, {sql_parse_list(f'({A.ANSWER_SQL})')} AS t FROM part)
+SELECT p_partkey, len(t) AS n_terms, array_to_string(t, '|') AS terms FROM a"""
+
+ORACLE["backfill_terms"] = f"""
+WITH a AS (SELECT p_partkey, {sql_parse_list(f'({A.ANSWER_SQL})')} AS cleaned_techs FROM part)
+SELECT p_partkey,
+       array_to_string({sql_map(sql_remove('cleaned_techs', A.REMOVE_PATTERNS), A.MAP_RULES)}, '|') AS techs
+FROM a"""
+
+_dict_rows = ", ".join(f"({q(a)}, {q(t)})" for a, t in R.alias_pairs(A.TERM_DICTIONARY))
+ORACLE["term_extract"] = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), {q(WORD_RX)}) AS w FROM documents),
+g AS (
+  SELECT doc_id,
+         unnest(list_concat(w, CASE WHEN len(w) > 1
+                THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                ELSE CAST([] AS VARCHAR[]) END)) AS alias
+  FROM w
+),
+d AS (SELECT * FROM (VALUES {_dict_rows}) AS d(alias, term))
+SELECT g.doc_id, d.term, count(*) AS n_mentions FROM g JOIN d ON g.alias = d.alias
+GROUP BY g.doc_id, d.term"""
+
+ORACLE["merge_response"] = """
+SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, 'labeler' AS source
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+# --- run bookkeeping ------------------------------------------------------------
+
+ORACLE["reconcile"] = """
+WITH a AS (SELECT source, count(*) AS n_in FROM documents GROUP BY source),
+b AS (SELECT source, count(*) AS n_out FROM documents
+      WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY source)
+SELECT coalesce(a.source, b.source) AS source, coalesce(n_in, 0) AS n_in, coalesce(n_out, 0) AS n_out,
+       coalesce(n_in, 0) = coalesce(n_out, 0) AS consistent
+FROM a FULL OUTER JOIN b ON a.source = b.source"""
+
+ORACLE["run_status"] = """
+SELECT CAST(ts AS DATE) AS day, count(*) AS started,
+       count(*) FILTER (WHERE NOT (event_type = 'error')) AS succeeded,
+       count(*) FILTER (WHERE event_type = 'error') AS failed
+FROM events GROUP BY CAST(ts AS DATE)"""
+
+ORACLE["quarantine"] = """
+SELECT event_id, user_id, 'failed ' || event_type || ': ' || props AS result
+FROM events WHERE coalesce(event_type = 'error' OR try(json(props)) IS NULL, true)"""
+
+ORACLE["recent_only"] = f"""
+SELECT event_id, ts, user_id, event_type FROM events
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {A.RECENT_DAYS} DAY"""

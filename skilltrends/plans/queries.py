@@ -214,3 +214,203 @@ def relevance_train(spark, sf_dir):
     pred = RV.predict(RV.load(path), train, ["doc_id", "label"])
     return pred.select("doc_id", F.col("label").cast("int").alias("quality"), "prediction",
                        F.round("p_relevant", 4).alias("p_relevant"))
+
+
+# --- postings, keywords, search paging -----------------------------------------
+
+from ..operators import normalize as NZ  # noqa: E402
+
+
+@register
+def text_normalize(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return c.select("c_custkey",
+                    F.coalesce(X.lower_strip("c_name"), F.lit("")).alias("company"),
+                    F.coalesce(X.lower_strip("c_mktsegment"), F.lit("")).alias("job_title"))
+
+
+def chosen_salary(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    pay_type = F.expr(A.PAY_TYPE_SQL)
+    info = F.when(F.col("o_orderstatus") == "F", NZ.salary_struct(
+        F.col("o_totalprice") / F.lit(1000.0), F.col("o_totalprice") / F.lit(800.0), pay_type))
+    est = F.when(F.col("o_orderstatus") == "O", NZ.salary_struct(
+        F.col("o_totalprice") / F.lit(1200.0), F.col("o_totalprice") / F.lit(900.0), pay_type))
+    return o.select("o_orderkey", NZ.choose_salary(info, est).alias("s")).select("o_orderkey", "s.*")
+
+
+@register
+def salary_choose(spark, sf_dir):
+    return chosen_salary(spark, sf_dir)
+
+
+@register
+def salary_annualize(spark, sf_dir):
+    return NZ.annualize(chosen_salary(spark, sf_dir))
+
+
+@register
+def nested_sum(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    tiers = F.array(
+        F.struct(F.lit("quantity").alias("tier"), F.col("l_quantity").cast("int").alias("jobCount")),
+        F.struct(F.lit("line").alias("tier"), F.col("l_linenumber").alias("jobCount")))
+    return li.select("l_orderkey", "l_linenumber", NZ.nested_sum(tiers, "jobCount").alias("num_results"))
+
+
+@register
+def keyword_union(spark, sf_dir):
+    """Items found by several searches (part found under several return flags) all
+    carry the sorted union of those searches' keywords."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("job_key"), F.col("l_returnflag").alias("keyword"))
+    out = NZ.fill_keywords(li, "job_key", "keyword")
+    return out.select("l_orderkey", "l_linenumber", "job_key", F.array_join("keyword", "|").alias("keywords"))
+
+
+@register
+def first_seen(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return NZ.first_seen(e, "user_id", ["ts", "event_id"])
+
+
+@register
+def search_grid(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    hits = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("num_results"))
+    kw = n.join(hits, n.n_nationkey == hits.c_nationkey, "left").select(
+        F.lower("n_name").alias("keyword"), F.coalesce("num_results", F.lit(0)).alias("num_results"))
+    return NZ.search_grid(kw, A.SEARCH_LOCATIONS, A.SEARCH_BASE)
+
+
+@register
+def result_positions(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    page_no = F.coalesce(F.regexp_extract("url", A.PAGE_PARAM_PATTERN, 1).try_cast("int"), F.lit(1))
+    p = p.select("page_id", ((page_no - F.lit(1)) * F.lit(10)).alias("page_offset"),
+                 F.regexp_extract_all("html", F.lit(A.RESULT_LINK_PATTERN), 1).alias("results"))
+    return NZ.result_positions(p, "results", "page_offset", keep=("page_id",)).select(
+        "page_id", "page", "position", "job_key")
+
+
+# --- request planning ----------------------------------------------------------
+
+from ..operators import planning as PL  # noqa: E402
+
+
+@register
+def build_messages(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    msgs = PL.build_messages(A.PROMPT_SYSTEM, A.PROMPT_EXAMPLES, A.PROMPT_QUESTION, "text")
+    d = d.select("doc_id", msgs.alias("messages"))
+    return d.select("doc_id", F.size("messages").alias("n_messages"),
+                    PL.payload_json(A.PROMPT_MODEL, "messages", A.PROMPT_TEMPERATURE).alias("payload"),
+                    PL.messages_cost("messages").alias("cost"))
+
+
+def conversation_costs(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "role", "text")
+    per = c.select("conv_id", PL.message_tokens("role", "text").alias("t"))
+    agg = per.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("t").alias("prompt_tokens"))
+    return agg.withColumn("cost", PL.request_cost("prompt_tokens"))
+
+
+@register
+def token_cost(spark, sf_dir):
+    return conversation_costs(spark, sf_dir)
+
+
+@register
+def budget_batches(spark, sf_dir):
+    costs = conversation_costs(spark, sf_dir).select("conv_id", "cost")
+    r = PL.running_totals(costs, "conv_id", "cost", sum_col="cum_cost", index_col="request_id")
+    return r.select("conv_id", "request_id", "cost", F.col("cum_cost").cast("long").alias("cum_cost"),
+                    PL.budget_minutes("cum_cost", "request_id").alias("minute"))
+
+
+# --- extraction and responses -------------------------------------------------
+
+from ..operators import extract as EX  # noqa: E402
+
+
+@register
+def parse_list(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    a = EX.terms_from_answer(p.select("p_partkey", F.expr(A.ANSWER_SQL).alias("content")))
+    return a.select("p_partkey", F.size("cleaned_techs").alias("n_terms"),
+                    F.array_join("cleaned_techs", "|").alias("terms"))
+
+
+@register
+def backfill_terms(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    choices = F.array(F.struct(F.struct(F.expr(A.ANSWER_SQL).alias("content")).alias("message")))
+    b = C.terms_from_choices(p.select("p_partkey", choices.alias("choices")))
+    cl = C.clean_terms(b, patterns=A.REMOVE_PATTERNS, rules=A.MAP_RULES)
+    return cl.select("p_partkey", F.array_join("cleaned_techs", "|").alias("techs"))
+
+
+@register
+def term_extract(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return EX.extract_by_dictionary(d, EX.dictionary_frame(spark, A.TERM_DICTIONARY))
+
+
+def sample_extractor(text: str) -> list[str]:
+    """Deterministic stand-in for a remote extractor: dictionary words found in the text;
+    an empty text is an error (exercises retry and the error column)."""
+    import re
+    if not text:
+        raise ValueError("empty text")
+    words = set(re.findall(r"\w+", text.lower()))
+    return sorted(w for w in ("the", "and", "de", "der", "la", "que") if w in words)
+
+
+@register
+def extract_hook(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("split_jd"))
+    out = EX.extract_with(d, sample_extractor, "split_jd")
+    return out.select("doc_id", F.array_join("cleaned_techs", "|").alias("techs"),
+                      F.coalesce(F.size("result"), F.lit(0)).alias("n_errors"))
+
+
+@register
+def merge_response(spark, sf_dir):
+    base = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    resp = table(spark, sf_dir, "labels").select(
+        "doc_id", "quality", "toxic", F.lit("labeler").alias("source"),
+        F.lit(None).cast("string").alias("metadata"))
+    return EX.merge_response(base, resp, "doc_id")
+
+
+# --- run bookkeeping ------------------------------------------------------------
+
+from ..operators import quality as QA  # noqa: E402
+
+
+@register
+def reconcile(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    lab = table(spark, sf_dir, "labels").select("doc_id")
+    return QA.reconcile(d, d.join(lab, "doc_id", "left_semi"), "source")
+
+
+@register
+def run_status(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type")
+    return QA.run_status(e, "day", F.col("event_type") == "error")
+
+
+@register
+def quarantine(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    bad = (F.col("event_type") == "error") | F.try_parse_json("props").isNull()
+    reason = F.concat(F.lit("failed "), F.col("event_type"), F.lit(": "), F.col("props"))
+    _, q = QA.split_quarantine(e, bad, reason)
+    return q.select("event_id", "user_id", F.array_join("result", "|").alias("result"))
+
+
+@register
+def recent_only(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return QA.recent_only(e, "ts", A.RECENT_DAYS)
