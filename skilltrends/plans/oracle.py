@@ -448,3 +448,48 @@ FROM events WHERE coalesce(event_type = 'error' OR try(json(props)) IS NULL, tru
 ORACLE["recent_only"] = f"""
 SELECT event_id, ts, user_id, event_type FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {A.RECENT_DAYS} DAY"""
+
+
+# --- sources, sinks, streaming ---------------------------------------------------
+
+ORACLE["scan_jsonl"] = """
+SELECT CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+       CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props,
+       event_type = 'error' AS is_corrupt,
+       day(ts) AS day, month(ts) AS month, year(ts) AS year
+FROM events"""
+
+ORACLE["date_from_filename"] = """
+SELECT event_id, day(ts) AS day, month(ts) AS month, year(ts) AS year FROM events"""
+
+ORACLE["date_from_parts"] = """
+SELECT event_id, make_date(year(ts), month(ts), day(ts)) AS job_date FROM events"""
+
+ORACLE["write_roundtrip"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+ORACLE["daily_overwrite"] = """
+SELECT event_id, ts,
+       CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) THEN value + 1.0 ELSE value END AS value,
+       year(ts) AS year, month(ts) AS month, day(ts) AS day
+FROM events"""
+
+ORACLE["union_drift"] = """
+SELECT event_id, ts, event_type,
+       CASE WHEN day(ts) <= 15 THEN NULL ELSE props END AS props,
+       CASE WHEN day(ts) <= 15 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
+FROM events"""
+
+ORACLE["incremental_ingest"] = """
+SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       year(ts) AS year, month(ts) AS month, day(ts) AS day
+FROM events"""
+
+ORACLE["json_projection"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+
+ORACLE["schema_drift"] = """
+SELECT field, count(*) AS n_rows
+FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field"""

@@ -414,3 +414,124 @@ def quarantine(spark, sf_dir):
 def recent_only(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     return QA.recent_only(e, "ts", A.RECENT_DAYS)
+
+
+# --- sources, sinks, streaming ---------------------------------------------------
+
+from ..schemas import CORRUPT_COL, EVENT  # noqa: E402
+from ..sources import jsonl as J  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..streaming import ingest as IN  # noqa: E402
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def land_events(spark, sf_dir, broken_errors: bool = False) -> str:
+    """Land the events table as daily JSON-lines files on shared storage.
+
+    With ``broken_errors`` the lines of failed events lose their closing brace
+    (a truncated delivery), to exercise corrupt-record handling."""
+    root = S.scratch_path(spark, "landing")
+    e = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct(*EVENT_COLS), {"timestampNTZFormat": J.TS_NTZ_FORMAT})
+    if broken_errors:
+        line = F.when(F.col("event_type") == "error", F.expr("substring(_l, 1, length(_l) - 1)")).otherwise(F.col("_l"))
+        e = e.withColumn("_l", F.to_json(F.struct(*EVENT_COLS), {"timestampNTZFormat": J.TS_NTZ_FORMAT}))
+    (e.select(J.daily_file_name("events", "ts").alias("file"), line.alias("value"))
+      .write.mode("overwrite").partitionBy("file").text(root))
+    return root
+
+
+@register
+def scan_jsonl(spark, sf_dir):
+    root = land_events(spark, sf_dir, broken_errors=True)
+    df = J.with_file_date(J.scan_jsonl(spark, root, EVENT))
+    return df.select("event_id", "user_id", "event_type", "value", "props",
+                     F.col(CORRUPT_COL).isNotNull().alias("is_corrupt"), "day", "month", "year")
+
+
+@register
+def date_from_filename(spark, sf_dir):
+    df = J.with_file_date(J.scan_jsonl(spark, land_events(spark, sf_dir), EVENT))
+    return df.select("event_id", "day", "month", "year")
+
+
+@register
+def date_from_parts(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "ts")
+    parts = e.select("event_id", F.year("ts").alias("year"), F.month("ts").alias("month"),
+                     F.dayofmonth("ts").alias("day"))
+    return parts.select("event_id", V.date_from_parts("year", "month", "day").alias("job_date"))
+
+
+@register
+def write_roundtrip(spark, sf_dir):
+    path = SK.write_jsonl(table(spark, sf_dir, "events"), S.scratch_path(spark, "roundtrip"))
+    return J.scan_jsonl(spark, path, EVENT, corrupt=False, with_path=False)
+
+
+def with_day_parts(df, ts_col="ts"):
+    return (df.withColumn("year", F.year(ts_col)).withColumn("month", F.month(ts_col))
+              .withColumn("day", F.dayofmonth(ts_col)))
+
+
+@register
+def daily_overwrite(spark, sf_dir):
+    """All days written, then the newest day re-delivered with corrected values: only
+    that day's partition is replaced."""
+    e = with_day_parts(table(spark, sf_dir, "events").select("event_id", "ts", "value"))
+    path = SK.write_daily(e, S.scratch_path(spark, "daily"))
+    last_day = e.select(F.max(F.to_date("ts"))).scalar()
+    redelivery = e.where(F.to_date("ts") == last_day).withColumn("value", F.col("value") + F.lit(1.0))
+    SK.write_daily(redelivery, path)
+    return spark.read.parquet(path).select("event_id", "ts", "value", "year", "month", "day")
+
+
+@register
+def union_drift(spark, sf_dir):
+    """Early days were landed without ``props``; later days with ``props`` and a parsed
+    ``k``. Both parts are read with their own schema and unioned by name."""
+    e = table(spark, sf_dir, "events")
+    early = F.dayofmonth("ts") <= 15
+    old_root, new_root = S.scratch_path(spark, "drift-old"), S.scratch_path(spark, "drift-new")
+    J.write_daily_jsonl(e.where(early).select("event_id", "ts", "event_type"), old_root, "events", "ts")
+    J.write_daily_jsonl(e.where(~early).select("event_id", "ts", "event_type", "props",
+                                               F.get_json_object("props", "$.k").cast("long").alias("k")),
+                        new_root, "events", "ts")
+    old_schema = "event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING"
+    new_schema = old_schema + ", props STRING, k BIGINT"
+    from pyspark.sql.types import _parse_datatype_string
+    parts = [J.scan_jsonl(spark, old_root, _parse_datatype_string(old_schema), corrupt=False, with_path=False),
+             J.scan_jsonl(spark, new_root, _parse_datatype_string(new_schema), corrupt=False, with_path=False)]
+    return J.union_by_name(parts)
+
+
+@register
+def incremental_ingest(spark, sf_dir):
+    """Streaming file source over the landing folder -> clean layer by day; a second
+    run on the same checkpoint finds no new files and changes nothing."""
+    landing = land_events(spark, sf_dir)
+    sink, ckpt = S.scratch_path(spark, "clean"), S.scratch_path(spark, "ingest-ckpt")
+
+    def transform(batch):
+        out = J.with_file_date(batch)
+        return out.select("event_id", "event_type",
+                          F.get_json_object("props", "$.k").cast("long").alias("k"), "year", "month", "day")
+
+    for _ in range(2):
+        IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
+    return spark.read.parquet(sink).select("event_id", "event_type", "k", "year", "month", "day")
+
+
+@register
+def json_projection(spark, sf_dir):
+    """Narrow read of the landed JSON (two keys), then one nested key of ``props``."""
+    from pyspark.sql.types import _parse_datatype_string
+    narrow = _parse_datatype_string("event_id BIGINT, props STRING")
+    df = J.scan_jsonl(spark, land_events(spark, sf_dir), narrow, corrupt=False, with_path=False)
+    return df.select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
+
+
+@register
+def schema_drift(spark, sf_dir):
+    return J.json_field_counts(table(spark, sf_dir, "events").select("props"), "props")
