@@ -24,10 +24,35 @@ def split_count(text_col: str = "text", n: int = 5):
 
 
 def passage_pattern(k):
-    """``k`` consecutive non-empty lines."""
+    """``k`` consecutive non-empty lines (the regex form of :func:`passage_blocks`)."""
     return F.concat(F.lit("[^\n]+"), F.repeat(F.lit("\n[^\n]+"), k - F.lit(1)))
 
 
+def passage_blocks(text, k):
+    """All non-overlapping runs of ``k`` consecutive non-empty lines, left to right.
+
+    Equal to ``regexp_extract_all(text, passage_pattern(k))`` but linear in the text:
+    the text is cut into blocks at blank lines, each block into lines, and each block
+    yields floor(lines / k) passages (its remainder is dropped). The regex form re-scans
+    the remainder from every character, which is quadratic on long documents.
+
+    ``text`` and ``k`` must be plain column references: a lambda re-evaluates any outer
+    expression for every element.
+    """
+    text, k = X._col(text), X._col(k)
+    blocks = F.filter(
+        F.transform(F.split(text, "\n\n+", -1), lambda b: F.regexp_replace(b, "^\n+|\n+$", "")),
+        lambda b: b != F.lit(""))
+    block_lines = F.transform(blocks, lambda b: F.split(b, "\n", -1))
+
+    def cut(lines):
+        m = F.floor(F.size(lines) / k).cast("int")
+        idx = F.when(m > 0, F.sequence(F.lit(0), m - F.lit(1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(idx, lambda i: F.array_join(F.slice(lines, i * k + F.lit(1), k), "\n"))
+
+    return F.flatten(F.transform(block_lines, cut))
+
+
 def passages(df: DataFrame, key: str = "doc_id", text_col: str = "text", n: int = 5,
              short_docs: str = "drop", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, pos, passage): non-overlapping runs of k = newlines // n non-empty lines,
@@ -36,13 +61,13 @@ def passages(df: DataFrame, key: str = "doc_id", text_col: str = "text", n: int
     Documents with k = 0 are dropped (``short_docs='drop'``) or kept as one passage
     (``short_docs='whole'``).
     """
-    k = split_count(text_col, n)
-    blocks = F.when(k > 0, F.regexp_extract_all(F.col(text_col), passage_pattern(k), 0))
+    staged = df.select(key, *keep, text_col, split_count(text_col, n).alias("_k"))
+    blocks = F.when(F.col("_k") > 0, passage_blocks(text_col, "_k"))
     if short_docs == "whole":
         blocks = F.coalesce(blocks, F.array(F.col(text_col)))
     elif short_docs != "drop":
         raise ValueError(short_docs)
-    return df.select(key, *keep, F.posexplode(blocks).alias("pos", "passage"))
+    return staged.select(key, *keep, F.posexplode(blocks).alias("pos", "passage"))
 
 
 def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
@@ -51,15 +76,35 @@ def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passag
     return p.select(*keys, F.explode(toks).alias("token"))
 
 
-def term_frequencies(tokens: DataFrame, keys=("doc_id", "pos")) -> DataFrame:
-    return tokens.groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
+    """(keys..., token, tf): one row per distinct token of each unit.
+
+    The aggregation is keyed by the unit first: input already hash-partitioned on the
+    document key (see ``sources.tables.spread``) needs no exchange for it."""
+    return passage_tokens(p, keys, text_col).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
+# The empty string is never a token; its document frequency counts the units.
+_UNITS = ""
+
 
+def fit_idf(p: DataFrame, text_col: str = "passage", max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Fit the idf model: (token, df, idf), smooth idf = ln((1+n)/(1+df)) + 1.
 
-def fit_idf(tf: DataFrame, n_units) -> DataFrame:
-    """(token, df, idf) with smooth idf = ln((1+n)/(1+df)) + 1 over ``n_units`` units."""
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    n = F.lit(n_units) if isinstance(n_units, int) else n_units
-    return dfreq.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
+    One aggregation pass counts, per token, the units containing it (and, under the
+    empty token, all units). The model is materialised with a reliable checkpoint;
+    its row count decides whether scoring joins may broadcast it."""
+    toks = F.array_union(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RX), 0)),
+                         F.array(F.lit(_UNITS)))
+    dfreq = p.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfreq = dfreq.checkpoint(eager=True)
+    n_units = dfreq.where(F.col("token") == F.lit(_UNITS)).select("df").first()
+    n = int(n_units[0]) if n_units else 0
+    model = (dfreq.where(F.col("token") != F.lit(_UNITS))
+             .withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
+    model = model.checkpoint(eager=True)
+    rows = model.count()
+    return F.broadcast(model) if rows <= max_broadcast_rows else model
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, keys=("doc_id", "pos")) -> DataFrame:
@@ -105,9 +150,9 @@ def select_relevant(df: DataFrame, idf: DataFrame | None, coef: DataFrame, inter
     With ``idf=None`` the idf is fitted on the passages being scored.
     """
     p = passages(df, key, text_col, n, short_docs)
-    tf = term_frequencies(passage_tokens(p, (key, "pos")), (key, "pos"))
+    tf = term_frequencies(p, (key, "pos"))
     if idf is None:
-        idf = fit_idf(tf, p.select(F.count(F.lit(1))).scalar())
+        idf = fit_idf(p)
     s = linear_scores(tf, idf, coef, intercept, (key, "pos"))
     # a passage without any known token scores the intercept alone
     scored = p.join(s, [key, "pos"], "left")

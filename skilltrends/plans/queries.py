@@ -167,9 +167,7 @@ def passage_terms(spark, sf_dir):
 
 def passage_tf_idf(spark, sf_dir):
     p = doc_passages(spark, sf_dir)
-    tf = ST.term_frequencies(ST.passage_tokens(p))
-    idf = ST.fit_idf(tf, p.select(F.count(F.lit(1))).scalar())
-    return p, tf, idf
+    return p, ST.term_frequencies(p), ST.fit_idf(p)
 
 
 @register
