@@ -48,7 +48,8 @@ POSTINGS = """
 postings AS (
   SELECT l.l_orderkey AS job_key, l.l_linenumber AS line_no,
          [p.p_name, lower(p.p_type)] AS cleaned_techs,
-         year(l.l_shipdate) AS year, month(l.l_shipdate) AS month, day(l.l_shipdate) AS day
+         CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS INTEGER) AS month,
+         CAST(day(l.l_shipdate) AS INTEGER) AS day
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
@@ -89,7 +90,7 @@ FROM postings"""
 
 ORACLE["clean_terms"] = f"""WITH {POSTINGS},{CLEAN}
 SELECT job_key, line_no, array_to_string(cleaned_techs, '|') AS techs,
-       len(cleaned_techs) AS n_techs, year, month, day
+       CAST(len(cleaned_techs) AS INTEGER) AS n_techs, year, month, day
 FROM clean"""
 
 ORACLE["term_stoplist"] = f"""WITH {POSTINGS}
@@ -103,7 +104,7 @@ FROM postings"""
 
 ORACLE["rules_load"] = f"""WITH {POSTINGS},
 terms AS (
-  SELECT job_key, line_no, pos - 1 AS pos, cleaned_techs[pos] AS term
+  SELECT job_key, line_no, CAST(pos - 1 AS INTEGER) AS pos, cleaned_techs[pos] AS term
   FROM postings CROSS JOIN generate_series(1, len(cleaned_techs)) AS g(pos)
 )
 SELECT job_key, line_no, pos, term, {sql_first_match('term', A.MAP_RULES)} AS mapped FROM terms"""
@@ -127,7 +128,7 @@ ORACLE["top_terms"] = f"""{WITH_VIEW},
 counts AS (SELECT kw, tech, count(DISTINCT job_key) AS n_postings FROM jobs_view GROUP BY kw, tech),
 ranked AS (
   SELECT kw, tech, n_postings,
-         row_number() OVER (PARTITION BY kw ORDER BY n_postings DESC, tech ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY kw ORDER BY n_postings DESC, tech ASC) AS INTEGER) AS rank
   FROM counts
 )
 SELECT kw, tech, n_postings, rank FROM ranked WHERE rank <= 3"""
@@ -169,7 +170,8 @@ NEWLINES = "(length(text) - length(replace(text, chr(10), '')))"
 
 PASSAGES = f"""
 docs AS (
-  SELECT doc_id, text, {NEWLINES} AS n_newlines, {NEWLINES} // 5 AS k FROM documents
+  SELECT doc_id, text, CAST({NEWLINES} AS INTEGER) AS n_newlines,
+         CAST({NEWLINES} // 5 AS INTEGER) AS k FROM documents
 ),
 blocks AS (
   SELECT doc_id, n_newlines, k,
@@ -177,7 +179,7 @@ blocks AS (
   FROM docs WHERE k > 0
 ),
 passages AS (
-  SELECT doc_id, n_newlines, k, g.i - 1 AS pos, arr[g.i] AS passage
+  SELECT doc_id, n_newlines, k, CAST(g.i - 1 AS INTEGER) AS pos, arr[g.i] AS passage
   FROM blocks CROSS JOIN generate_series(1, len(arr)) AS g(i)
 )"""
 
@@ -231,7 +233,7 @@ SELECT doc_id, n_newlines, k, pos, passage FROM passages"""
 
 ORACLE["passage_terms"] = f"""WITH {PASSAGES},
 t AS (SELECT doc_id, pos, regexp_extract_all(lower(passage), {q(ST.TOKEN_RX)}) AS toks FROM passages)
-SELECT doc_id, pos, len(toks) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM t"""
+SELECT doc_id, pos, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM t"""
 
 ORACLE["tfidf"] = f"""WITH {TFIDF}
 SELECT doc_id, pos, token, tf, df,
@@ -331,7 +333,7 @@ WITH p AS (
   FROM pages
 ),
 x AS (
-  SELECT page_id, page_offset, g.i - 1 AS position, results[g.i] AS job_key
+  SELECT page_id, page_offset, CAST(g.i - 1 AS INTEGER) AS position, results[g.i] AS job_key
   FROM p CROSS JOIN generate_series(1, len(results)) AS g(i)
 )
 SELECT page_id, page_offset // 10 + 1 AS page, position, job_key
@@ -358,15 +360,15 @@ _cost_sql = " + ".join(_msg_cost(r, c) for r, c in _all_msgs)
 
 ORACLE["build_messages"] = f"""
 SELECT doc_id, {len(_all_msgs)} AS n_messages,
-       to_json({{'model': {q(A.PROMPT_MODEL)}, 'messages': [{_msgs_sql}],
-                'temperature': CAST({A.PROMPT_TEMPERATURE!r} AS DOUBLE)}}) AS payload,
+       CAST(to_json({{'model': {q(A.PROMPT_MODEL)}, 'messages': [{_msgs_sql}],
+                'temperature': CAST({A.PROMPT_TEMPERATURE!r} AS DOUBLE)}}) AS VARCHAR) AS payload,
        CAST({_cost_sql} + {R.TOKENS_REPLY_PRIMER} + {R.COMPLETION_TOKENS} AS BIGINT) AS cost
 FROM documents"""
 
 COSTS = f"""
 costs AS (
   SELECT conv_id, count(*) AS n_messages,
-         sum({R.TOKENS_PER_MESSAGE} + {sql_tokens('role')} + {sql_tokens('text')}) AS prompt_tokens
+         CAST(sum({R.TOKENS_PER_MESSAGE} + {sql_tokens('role')} + {sql_tokens('text')}) AS BIGINT) AS prompt_tokens
   FROM conversations GROUP BY conv_id
 )"""
 
@@ -398,7 +400,7 @@ def sql_parse_list(x: str) -> str:
 
 ORACLE["parse_list"] = f"""
 WITH a AS (SELECT p_partkey, {sql_parse_list(f'({A.ANSWER_SQL})')} AS t FROM part)
-SELECT p_partkey, len(t) AS n_terms, array_to_string(t, '|') AS terms FROM a"""
+SELECT p_partkey, CAST(len(t) AS INTEGER) AS n_terms, array_to_string(t, '|') AS terms FROM a"""
 
 ORACLE["backfill_terms"] = f"""
 WITH a AS (SELECT p_partkey, {sql_parse_list(f'({A.ANSWER_SQL})')} AS cleaned_techs FROM part)
@@ -459,11 +461,11 @@ SELECT CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS event_id,
        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
        CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props,
        event_type = 'error' AS is_corrupt,
-       day(ts) AS day, month(ts) AS month, year(ts) AS year
+       CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year
 FROM events"""
 
 ORACLE["date_from_filename"] = """
-SELECT event_id, day(ts) AS day, month(ts) AS month, year(ts) AS year FROM events"""
+SELECT event_id, CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year FROM events"""
 
 ORACLE["date_from_parts"] = """
 SELECT event_id, make_date(year(ts), month(ts), day(ts)) AS job_date FROM events"""
@@ -473,7 +475,7 @@ ORACLE["write_roundtrip"] = "SELECT event_id, ts, user_id, event_type, value, pr
 ORACLE["daily_overwrite"] = """
 SELECT event_id, ts,
        CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) THEN value + 1.0 ELSE value END AS value,
-       year(ts) AS year, month(ts) AS month, day(ts) AS day
+       CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
 FROM events"""
 
 ORACLE["union_drift"] = """
@@ -484,7 +486,7 @@ FROM events"""
 
 ORACLE["incremental_ingest"] = """
 SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-       year(ts) AS year, month(ts) AS month, day(ts) AS day
+       CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
 FROM events"""
 
 ORACLE["json_projection"] = """
