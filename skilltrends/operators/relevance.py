@@ -20,7 +20,7 @@ from .select_text import TOKEN_RX
 
 def relevance_pipeline(text_col: str = "text", label_col: str = "label",
                        vocab_size: int = 1 << 18, threshold: float = 0.35,
-                       max_iter: int = 50, reg: float = 0.01) -> Pipeline:
+                       max_iter: int = 25, reg: float = 0.01) -> Pipeline:
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_RX,
                          gaps=False, toLowercase=True)
     cv = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size, minDF=1.0)

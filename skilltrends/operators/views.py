@@ -22,11 +22,13 @@ def date_from_parts(year="year", month="month", day="day"):
     return F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
 
 
-def keyword_pairs(keywords: DataFrame, key: str = "job_key", kw_col: str = "keyword") -> DataFrame:
-    """Distinct (key, kw) pairs. Partial aggregation dedups before the shuffle."""
-    return (keywords.select(key, F.explode(kw_col).alias("kw"))
-            .where(F.col("kw").isNotNull())
-            .distinct())
+def keyword_sets(keywords: DataFrame, key: str = "job_key", kw_col: str = "keyword") -> DataFrame:
+    """(key, _kws): the distinct keywords of each key, one row per key.
+
+    ``collect_set`` is a partial aggregate: per-key state is bounded by the keyword
+    vocabulary, and the result is already hash-partitioned on the key for the join."""
+    pairs = keywords.select(key, F.explode(kw_col).alias("_kw")).where(F.col("_kw").isNotNull())
+    return pairs.groupBy(key).agg(F.collect_set("_kw").alias("_kws"))
 
 
 def jobs_view(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
@@ -40,10 +42,10 @@ def jobs_view(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
          .where(F.size(terms_col) > 0)
          .select(key, F.col(terms_col).alias("_terms"),
                  date_from_parts("year", "month", "day").alias("job_date")))
-    k = keyword_pairs(keywords, key, kw_col)
-    joined = p.join(k, key, "inner")
+    joined = p.join(keyword_sets(keywords, key, kw_col), key, "inner")
     return (joined
-            .select(key, F.explode("_terms").alias("tech"), "job_date", "kw"))
+            .select(key, F.explode("_terms").alias("tech"), "job_date", "_kws")
+            .select(key, "tech", "job_date", F.explode("_kws").alias("kw")))
 
 
 def demand_by_keyword(view: DataFrame) -> DataFrame:
