@@ -18,7 +18,7 @@ _CONF_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, app: str = "skilltrends",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """A session with AQE on, UTC clock, UI off. Reuses an active session if any."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -33,6 +33,7 @@ def build_session(master: str | None = None, app: str = "skilltrends",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
