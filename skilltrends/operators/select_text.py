@@ -100,10 +100,9 @@ def fit_idf(p: DataFrame, text_col: str = "passage", max_broadcast_rows: int = 2
     dfreq = dfreq.checkpoint(eager=True)
     n_units = dfreq.where(F.col("token") == F.lit(_UNITS)).select("df").first()
     n = int(n_units[0]) if n_units else 0
+    rows = dfreq.count() - (1 if n_units else 0)
     model = (dfreq.where(F.col("token") != F.lit(_UNITS))
              .withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
-    model = model.checkpoint(eager=True)
-    rows = model.count()
     return F.broadcast(model) if rows <= max_broadcast_rows else model
 
 
@@ -134,7 +133,9 @@ def linear_scores(tf: DataFrame, idf: DataFrame, coef: DataFrame, intercept: flo
 
 
 def assemble(kept: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, split_jd): kept passages in order joined by one space, newline runs squeezed."""
+    """(key, split_jd): kept passages in order joined by one space, newline runs squeezed.
+
+    Collects per document only that document's own passages (bounded by its text)."""
     parts = kept.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "passage"))).alias("_p"))
     text = F.array_join(F.transform("_p", lambda s: s["passage"]), " ")
@@ -142,6 +143,27 @@ def assemble(kept: DataFrame, key: str = "doc_id") -> DataFrame:
             .where(F.length("split_jd") > 1))
 
 
+def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Hash-partition the corpus on the document key once. Every later aggregation keyed
+    by (document, ...) — term counts, passage scores, re-assembly — and the norm window
+    are then satisfied without another exchange (the idf model is broadcast)."""
+    return df.repartition(key)
+
+
+def scored_passages(p: DataFrame, scores: DataFrame, intercept: float, key: str = "doc_id") -> DataFrame:
+    """(key, pos, passage, score): every passage with its score (the intercept when it has
+    no token). A union + per-(key, pos) aggregate instead of a join: both inputs are
+    partitioned on ``key``, so no exchange is needed (a join would require both keys)."""
+    u = (p.select(key, "pos", "passage", F.lit(None).cast("double").alias("score"))
+         .unionByName(scores.select(key, "pos", F.lit(None).cast("string").alias("passage"), "score")))
+    per = u.groupBy(key, "pos").agg(F.max("passage").alias("passage"), F.max("score").alias("score"))
+    return per.withColumn("score", F.coalesce(F.col("score"), F.lit(float(intercept))))
+
+
+def relevant(score, threshold: float):
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-score)) >= F.lit(float(threshold))
+
+
 def select_relevant(df: DataFrame, idf: DataFrame | None, coef: DataFrame, intercept: float,
                     threshold: float = 0.5, key: str = "doc_id", text_col: str = "text",
                     n: int = 5, short_docs: str = "drop") -> DataFrame:
@@ -149,14 +171,11 @@ def select_relevant(df: DataFrame, idf: DataFrame | None, coef: DataFrame, inter
 
     With ``idf=None`` the idf is fitted on the passages being scored.
     """
-    p = passages(df, key, text_col, n, short_docs)
+    p = passages(by_document(df.select(key, text_col), key), key, text_col, n, short_docs)
     tf = term_frequencies(p, (key, "pos"))
     if idf is None:
         idf = fit_idf(p)
     s = linear_scores(tf, idf, coef, intercept, (key, "pos"))
-    # a passage without any known token scores the intercept alone
-    scored = p.join(s, [key, "pos"], "left")
-    score = F.coalesce(F.col("score"), F.lit(float(intercept)))
-    prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
-    kept = scored.where(prob >= F.lit(threshold)).select(key, "pos", "passage")
+    sp = scored_passages(p, s, intercept, key)
+    kept = sp.where(relevant(F.col("score"), threshold)).select(key, "pos", "passage")
     return assemble(kept, key)

@@ -146,7 +146,7 @@ def newline_squeeze(spark, sf_dir):
 
 
 def doc_passages(spark, sf_dir):
-    return ST.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ST.passages(ST.by_document(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 @register
@@ -180,10 +180,8 @@ def tfidf(spark, sf_dir):
 def passage_scores(spark, sf_dir):
     p, tf, idf = passage_tf_idf(spark, sf_dir)
     s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT)
-    scored = p.join(s, ["doc_id", "pos"], "left").withColumn(
-        "score", F.coalesce("score", F.lit(A.RELEVANCE_INTERCEPT)))
-    prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
-    return scored.withColumn("relevant", (prob >= F.lit(A.RELEVANCE_THRESHOLD)).cast("int"))
+    scored = ST.scored_passages(p, s, A.RELEVANCE_INTERCEPT)
+    return scored.withColumn("relevant", ST.relevant(F.col("score"), A.RELEVANCE_THRESHOLD).cast("int"))
 
 
 @register
