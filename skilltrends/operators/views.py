@@ -80,3 +80,33 @@ def fanout_audit(view: DataFrame) -> DataFrame:
     return (view.groupBy("job_key", "tech", "kw", "job_date")
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
+
+
+# The view as Spark SQL, for users who query it with SQL. Same plan shape as
+# jobs_view(): one keyword set per posting joined before both un-nests.
+JOBS_VIEW_SQL = """
+CREATE OR REPLACE TEMPORARY VIEW jobs_view AS
+WITH t2 AS (
+  SELECT job_key, collect_set(kw) AS kws
+  FROM keywords_raw LATERAL VIEW explode(keyword) k AS kw
+  WHERE kw IS NOT NULL
+  GROUP BY job_key
+),
+t1 AS (
+  SELECT job_key, cleaned_techs AS terms,
+         CAST(try_make_timestamp_ntz(year, month, day, 0, 0, 0) AS DATE) AS job_date
+  FROM data
+  WHERE size(cleaned_techs) > 0
+)
+SELECT t1.job_key, tech, t1.job_date, kw
+FROM t1 JOIN t2 ON t1.job_key = t2.job_key
+LATERAL VIEW explode(t1.terms) a AS tech
+LATERAL VIEW explode(t2.kws) b AS kw
+"""
+
+
+def register_sql_views(spark, clean: DataFrame, keywords: DataFrame) -> None:
+    """Register ``data`` (clean layer), ``keywords_raw`` and ``jobs_view`` as temp views."""
+    clean.createOrReplaceTempView("data")
+    keywords.select("job_key", "keyword").createOrReplaceTempView("keywords_raw")
+    spark.sql(JOBS_VIEW_SQL)

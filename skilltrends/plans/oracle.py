@@ -112,6 +112,8 @@ SELECT job_key, line_no, pos, term, {sql_first_match('term', A.MAP_RULES)} AS ma
 ORACLE["skills_view"] = f"""{WITH_VIEW}
 SELECT job_key, tech, job_date, kw FROM jobs_view"""
 
+ORACLE["skills_view_sql"] = ORACLE["skills_view"]
+
 ORACLE["demand_by_keyword"] = f"""{WITH_VIEW}
 SELECT kw, tech, count(DISTINCT job_key) AS n_postings FROM jobs_view GROUP BY kw, tech"""
 

@@ -12,9 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session as S
+from ..functions import text as X
 from ..operators import clean as C
+from ..operators import extract as EX
+from ..operators import normalize as NZ
+from ..operators import pages as PG
+from ..operators import planning as PL
+from ..operators import quality as QA
+from ..operators import select_text as ST
 from ..operators import views as V
+from ..schemas import CORRUPT_COL, EVENT
+from ..sources import jsonl as J
 from ..sources import rulefiles as RF
+from ..sources import sinks as SK
+from ..sources.tables import table
+from ..streaming import ingest as IN
 from . import analogues as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +102,13 @@ def skills_view(spark, sf_dir):
     return skills_view_df(spark, sf_dir)
 
 
+@register
+def skills_view_sql(spark, sf_dir):
+    """The same view defined and queried through Spark SQL."""
+    V.register_sql_views(spark, clean_layer(spark, sf_dir), A.keywords(spark, sf_dir))
+    return spark.sql("SELECT job_key, tech, job_date, kw FROM jobs_view")
+
+
 @register
 def demand_by_keyword(spark, sf_dir):
     return V.demand_by_keyword(skills_view_df(spark, sf_dir))
@@ -112,11 +131,6 @@ def fanout_audit(spark, sf_dir):
 
 # --- pages and descriptions ---------------------------------------------------
 
-from ..functions import text as X  # noqa: E402
-from ..operators import pages as PG  # noqa: E402
-from ..operators import select_text as ST  # noqa: E402
-from ..sources.tables import table  # noqa: E402
-
 
 @register
 def html_to_text(spark, sf_dir):
@@ -214,8 +228,6 @@ def relevance_train(spark, sf_dir):
 
 # --- postings, keywords, search paging -----------------------------------------
 
-from ..operators import normalize as NZ  # noqa: E402
-
 
 @register
 def text_normalize(spark, sf_dir):
@@ -291,8 +303,6 @@ def result_positions(spark, sf_dir):
 
 # --- request planning ----------------------------------------------------------
 
-from ..operators import planning as PL  # noqa: E402
-
 
 @register
 def build_messages(spark, sf_dir):
@@ -326,8 +336,6 @@ def budget_batches(spark, sf_dir):
 
 # --- extraction and responses -------------------------------------------------
 
-from ..operators import extract as EX  # noqa: E402
-
 
 @register
 def parse_list(spark, sf_dir):
@@ -381,8 +389,6 @@ def merge_response(spark, sf_dir):
 
 # --- run bookkeeping ------------------------------------------------------------
 
-from ..operators import quality as QA  # noqa: E402
-
 
 @register
 def reconcile(spark, sf_dir):
@@ -414,10 +420,6 @@ def recent_only(spark, sf_dir):
 
 # --- sources, sinks, streaming ---------------------------------------------------
 
-from ..schemas import CORRUPT_COL, EVENT  # noqa: E402
-from ..sources import jsonl as J  # noqa: E402
-from ..sources import sinks as SK  # noqa: E402
-from ..streaming import ingest as IN  # noqa: E402
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -531,3 +533,10 @@ def json_projection(spark, sf_dir):
 @register
 def schema_drift(spark, sf_dir):
     return J.json_field_counts(table(spark, sf_dir, "events").select("props"), "props")
+
+
+@register
+def schema_infer(spark, sf_dir):
+    """Merged schema of every landed JSON line (a distributed aggregate, one row)."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(land_events(spark, sf_dir))
+    return J.merged_schema(lines, "value")
