@@ -41,6 +41,29 @@ def build_session(master: str | None = None, app: str = "skilltrends",
     return spark
 
 
+def scale_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on a cluster with
+    ``executor_cores_total`` cores (e.g. 100 TB on 1000 executors x 8 cores).
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each (they fit
+    executor memory with room for spill); at least two tasks per core keep the cluster
+    busy; AQE coalesces small partitions and splits skewed ones at runtime."""
+    shuffle_parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # runtime broadcast only for sides AQE has measured small
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
