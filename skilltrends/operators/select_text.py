@@ -76,6 +76,19 @@ def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passag
     return p.select(*keys, F.explode(toks).alias("token"))
 
 
+def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token",
+              max_broadcast_rows: int = 5_000_000) -> DataFrame:
+    """Replace each token by its lemma from a (token, lemma) table; unknown tokens stay.
+
+    A lemma table is a language resource of bounded size: it is broadcast after its row
+    count is checked, otherwise joined by shuffle (AQE splits a hot token)."""
+    table = lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma"))
+    n = table.count()
+    side = F.broadcast(table) if n <= max_broadcast_rows else table
+    out = tokens.join(side, tokens[token_col] == F.col("_lt"), "left")
+    return out.withColumn(token_col, F.coalesce(F.col("_lemma"), F.col(token_col))).drop("_lt", "_lemma")
+
+
 def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
     """(keys..., token, tf): one row per distinct token of each unit.
 

@@ -70,3 +70,11 @@ def test_union_by_name_fills_missing(spark):
     b = spark.createDataFrame([(2, "x")], "id INT, extra STRING")
     rows = sorted(map(tuple, J.union_by_name([a, b]).collect()))
     assert rows == [(1, None), (2, "x")]
+
+
+def test_lemmatize_keeps_unknown_tokens(spark):
+    from skilltrends.operators import select_text as ST
+    toks = spark.createDataFrame([(1, "running"), (1, "sql"), (2, "ran")], "doc_id INT, token STRING")
+    lem = spark.createDataFrame([("running", "run"), ("ran", "run")], "token STRING, lemma STRING")
+    got = sorted(map(tuple, ST.lemmatize(toks, lem).collect()))
+    assert got == [(1, "run"), (1, "sql"), (2, "run")]
