@@ -19,10 +19,14 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_daily(df: DataFrame, path: str, fmt: str = "parquet",
-                partitions: tuple[str, ...] = DAY_PARTITIONS) -> str:
-    """Write (or re-deliver) days: only the day partitions present in ``df`` are replaced."""
+                partitions: tuple[str, ...] = DAY_PARTITIONS, max_records_per_file: int = 5_000_000) -> str:
+    """Write (or re-deliver) days: only the day partitions present in ``df`` are replaced.
+
+    Rows are not shuffled by day (a day can be far larger than a task); each task writes
+    its rows of each day, in files of at most ``max_records_per_file`` rows."""
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", str(max_records_per_file))
        .partitionBy(*partitions)
        .format(fmt)
        .save(path))
