@@ -90,7 +90,7 @@ def test_page_offsets(spark):
 
 
 def test_date_from_file_name(spark):
-    df = spark.createDataFrame([("s3a://b/data/indeed_19_02_2024.json",), ("x/no_date.json",)], "p STRING")
+    df = spark.createDataFrame([("/shared/landing/postings_19_02_2024.json",), ("x/no_date.json",)], "p STRING")
     d, m, y = J.date_from_path("p")
     assert [tuple(r) for r in df.select(d, m, y).collect()] == [(19, 2, 2024), (None, None, None)]
 
