@@ -32,7 +32,18 @@ def relevance_pipeline(text_col: str = "text", label_col: str = "label",
 
 
 def train(df: DataFrame, **kw) -> PipelineModel:
-    return relevance_pipeline(**kw).fit(df)
+    """Fit the pipeline. The tokenised input is persisted (memory and disk, recomputable
+    from lineage) while the vocabulary, idf and classifier passes run over it, so the
+    regex tokenisation of the texts runs once instead of once per fitted stage."""
+    from pyspark import StorageLevel
+    stages = relevance_pipeline(**kw).getStages()
+    tok, rest = stages[0], stages[1:]
+    tokens = tok.transform(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = Pipeline(stages=rest).fit(tokens)
+    finally:
+        tokens.unpersist()
+    return PipelineModel(stages=[tok] + list(fitted.stages))
 
 
 def save(model: PipelineModel, path: str) -> str:
