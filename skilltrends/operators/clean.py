@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import terms as T
 
-# A rule table above this many rows is not broadcast.
+# A rule table above this many rows is matched in chunks of this size.
 MAX_BROADCAST_RULES = 100_000
 
 
@@ -58,10 +58,18 @@ def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``small`` only after counting it; raise when it is too large."""
     n = small.count()
     if n > max_rows:
-        raise ValueError(f"rule table has {n} rows, above the broadcast bound {max_rows}")
+        raise ValueError(f"table has {n} rows, above the broadcast bound {max_rows}")
     return F.broadcast(small)
 
 
+def _best_rule(distinct_terms: DataFrame, rules: DataFrame) -> DataFrame:
+    """(_t, _rank, _rep): the lowest-rank rule matching each term (rules broadcast)."""
+    return (distinct_terms.join(F.broadcast(rules), F.expr("_t rlike concat('(?i)', pattern)"), "inner")
+            .groupBy("_t")
+            .agg(F.min_by(F.struct("rank", "replacement"), "rank").alias("_b"))
+            .select("_t", F.col("_b.rank").alias("_rank"), F.col("_b.replacement").alias("_rep")))
+
+
 def map_terms_by_table(terms: DataFrame, rules: DataFrame, term_col: str = "term",
                        max_rules: int = MAX_BROADCAST_RULES) -> DataFrame:
     """Add ``mapped``: replacement of the lowest-rank rule matching ``term``, else ``term``.
@@ -69,14 +77,27 @@ def map_terms_by_table(terms: DataFrame, rules: DataFrame, term_col: str = "term
     ``terms`` is one row per term occurrence. Only the distinct terms meet the rules
     (a nested-loop join against the broadcast rule table); the result joins back on
     the term, where AQE handles a hot term by splitting its partition.
+
+    A rule table above ``max_rules`` rows is split by a hash of the rank into chunks of
+    about ``max_rules / 2`` rules, each broadcast on its own; the lowest-rank hit over all
+    chunks wins, so the result is the same as with one table (any split of the rules is).
     """
     distinct_terms = terms.select(F.col(term_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
-    small = checked_broadcast(rules.select("rank", "pattern", "replacement"), max_rules)
-    hits = (distinct_terms.join(small, F.expr("_t rlike concat('(?i)', pattern)"), "inner")
-            .groupBy("_t")
-            .agg(F.min_by("replacement", "rank").alias("_rep")))
+    r = rules.select("rank", "pattern", "replacement")
+    n = r.count()
+    if n <= max_rules:
+        hits = _best_rule(distinct_terms, r)
+    else:
+        n_chunks = -(-2 * n // max_rules)
+        chunked = r.withColumn("_chunk", F.pmod(F.hash("rank"), F.lit(n_chunks)))
+        parts = [_best_rule(distinct_terms, chunked.where(F.col("_chunk") == c).drop("_chunk"))
+                 for c in range(n_chunks)]
+        from functools import reduce
+        allhits = reduce(lambda a, b: a.unionByName(b), parts)
+        hits = (allhits.groupBy("_t").agg(F.min_by(F.struct("_rank", "_rep"), "_rank").alias("_b"))
+                .select("_t", F.col("_b._rank").alias("_rank"), F.col("_b._rep").alias("_rep")))
     out = terms.join(hits, terms[term_col] == hits["_t"], "left")
-    return out.withColumn("mapped", F.coalesce(F.col("_rep"), F.col(term_col))).drop("_t", "_rep")
+    return out.withColumn("mapped", F.coalesce(F.col("_rep"), F.col(term_col))).drop("_t", "_rank", "_rep")
 
 
 def terms_from_choices(df: DataFrame, choices_col: str = "choices",

@@ -77,7 +77,7 @@ def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passag
 
 
 def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token",
-              max_broadcast_rows: int = 5_000_000) -> DataFrame:
+              max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Replace each token by its lemma from a (token, lemma) table; unknown tokens stay.
 
     A lemma table is a language resource of bounded size: it is broadcast after its row
@@ -101,7 +101,7 @@ def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "pass
 _UNITS = ""
 
 
-def fit_idf(p: DataFrame, text_col: str = "passage", max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def fit_idf(p: DataFrame, text_col: str = "passage", max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Fit the idf model: (token, df, idf), smooth idf = ln((1+n)/(1+df)) + 1.
 
     One aggregation pass counts, per token, the units containing it (and, under the

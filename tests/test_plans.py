@@ -44,11 +44,10 @@ def test_view_with_one_hot_key_is_whole(spark):
     assert counts["hot"] == 300 * 2 * 2 and len(counts) == 601
 
 
-def test_rule_table_broadcast_is_size_checked(spark):
-    import pytest
+def test_rule_table_above_bound_is_matched_in_chunks(spark):
     rules = C.rules_frame(spark, A.MAP_RULES)
-    terms = spark.createDataFrame([("hot bolt",), ("red widget",), ("new plate",)], "term STRING")
-    got = {r.term: r.mapped for r in C.map_terms_by_table(terms, rules).collect()}
-    assert got == {"hot bolt": "fastener", "red widget": "mechanism", "new plate": "new plate"}
-    with pytest.raises(ValueError):
-        C.map_terms_by_table(terms, rules, max_rules=2)
+    terms = spark.createDataFrame([("hot bolt",), ("red widget",), ("new plate",), ("cold gear",)], "term STRING")
+    expected = {"hot bolt": "fastener", "red widget": "mechanism", "new plate": "new plate", "cold gear": "thermal"}
+    for bound in (100, 3, 1):  # one broadcast table, two chunks, one rule per chunk
+        got = {r.term: r.mapped for r in C.map_terms_by_table(terms, rules, max_rules=bound).collect()}
+        assert got == expected
