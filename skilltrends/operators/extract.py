@@ -37,10 +37,14 @@ def dictionary_frame(spark, aliases: dict[str, list[str]]) -> DataFrame:
 
 
 def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_id",
-                          text_col: str = "text") -> DataFrame:
-    """(key, term, n_mentions). The dictionary is a configuration table: broadcast."""
+                          text_col: str = "text", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(key, term, n_mentions). The (alias, term) dictionary is broadcast when its counted
+    size is under the bound (the n-gram side is never shuffled then); a larger one is
+    joined by shuffle, where AQE splits hot n-grams."""
     grams = df.select(key, F.explode(ngrams(text_col)).alias("alias"))
-    hits = grams.join(F.broadcast(dictionary), "alias", "inner")
+    d = dictionary.select("alias", "term")
+    side = F.broadcast(d) if d.count() <= max_broadcast_rows else d
+    hits = grams.join(side, "alias", "inner")
     return hits.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n_mentions"))
 
 
