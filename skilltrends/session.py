@@ -30,6 +30,8 @@ def build_session(master: str | None = None, app: str = "skilltrends",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # remove checkpoint files of datasets that are no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
