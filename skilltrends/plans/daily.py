@@ -69,17 +69,28 @@ def clean_stage(extracted: DataFrame, patterns: list[str] = R.REMOVE_PATTERNS,
 def daily_run(spark: SparkSession, landing: str, sink: str, coef: DataFrame, intercept: float,
               threshold: float, dictionary: DataFrame | None = None,
               extractor: Callable[[str], list[str]] | None = None,
-              patterns: list[str] = R.REMOVE_PATTERNS, rules: list[tuple[str, str]] = R.MAP_RULES) -> DataFrame:
+              patterns: list[str] = R.REMOVE_PATTERNS, rules: list[tuple[str, str]] = R.MAP_RULES,
+              metrics: dict | None = None) -> DataFrame:
     """Run every stage over the landed files and write the clean layer by day.
 
-    Returns the clean layer as read back from ``sink``."""
-    postings = with_row_id(J.scan_jsonl(spark, landing, POSTING))
-    good = postings.where(F.col(J.CORRUPT_COL).isNull()).drop(J.CORRUPT_COL) \
-        if J.CORRUPT_COL in postings.columns else postings
+    Returns the clean layer as read back from ``sink``. With ``metrics`` (a dict), the
+    run's reconciliation is filled in from observations taken by the jobs themselves
+    (no extra pass): lines read, corrupt lines, rows written, rows with an empty list."""
+    from pyspark.sql import Observation
+    seen, wrote = Observation("lines_read"), Observation("rows_written")
+    postings = with_row_id(J.scan_jsonl(spark, landing, POSTING)).observe(
+        seen, F.count(F.lit(1)).alias("lines_read"),
+        F.count_if(F.col(J.CORRUPT_COL).isNotNull()).alias("corrupt_lines"))
+    good = postings.where(F.col(J.CORRUPT_COL).isNull()).drop(J.CORRUPT_COL)
     selected = select_stage(good, coef, intercept, threshold)
     extracted = extract_stage(selected, dictionary, extractor)
-    clean = clean_stage(extracted, patterns, rules).drop(RID)
+    clean = clean_stage(extracted, patterns, rules).drop(RID).observe(
+        wrote, F.count(F.lit(1)).alias("rows_written"),
+        F.count_if(F.size("cleaned_techs") == 0).alias("empty_term_lists"))
     SK.write_daily(clean, sink)
+    if metrics is not None:
+        metrics.update(seen.get)
+        metrics.update(wrote.get)
     return spark.read.parquet(sink)
 
 

@@ -21,7 +21,10 @@ def test_daily_run_to_sql_view(spark):
     land(spark, landing, "postings_20_02_2024.json", [("a", ["data scientist"], DESC_A)])
     coef = spark.createDataFrame([("python", 6.0)], "token STRING, coef DOUBLE")
     dictionary = EX.dictionary_frame(spark, {"python": ["python"], "sql": ["sql"], "aws": ["amazon", "aws"]})
-    clean = D.daily_run(spark, landing, S.scratch_path(spark, "t-clean"), coef, -1.0, 0.5, dictionary)
+    metrics: dict = {}
+    clean = D.daily_run(spark, landing, S.scratch_path(spark, "t-clean"), coef, -1.0, 0.5, dictionary,
+                        metrics=metrics)
+    assert metrics["lines_read"] == 3 and metrics["corrupt_lines"] == 0 and metrics["rows_written"] == 2
 
     rows = sorted((r.job_key, r.day, r.split_jd, tuple(r.cleaned_techs)) for r in clean.collect())
     split = "We use python and sql daily Python and amazon cloud"
