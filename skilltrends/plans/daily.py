@@ -24,18 +24,55 @@ from ..operators import clean as C
 from ..operators import extract as EX
 from ..operators import select_text as ST
 from ..operators import views as V
-from ..schemas import POSTING
+from ..functions import text as X
+from ..operators import normalize as NZ
+from ..schemas import JOB_PAGE_BLOB, POSTING
 from ..sources import jsonl as J
 from ..sources import sinks as SK
 
 RID = "_rid"
 
+# The data blob of a job page: the object assigned to the page's initial-data variable.
+JOB_PAGE_BLOB_RX = r"_initialData=(\{.+?\});"
+
 
 def with_row_id(postings: DataFrame) -> DataFrame:
     cols = [F.col(c).cast("string") for c in postings.columns if c != RID]
     return postings.withColumn(RID, F.xxhash64(*[F.coalesce(c, F.lit("\u0000")) for c in cols]))
 
 
+def collect_stage(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """Landed job pages -> (postings, quarantined pages).
+
+    ``pages`` carries the request fields (job_key, keyword, location, page, position,
+    from_age, url) and the page ``html``. The embedded blob is parsed with an explicit
+    schema; pay is the employer figure (flag 0), else the site estimate (flag 1), else
+    NULL (flag 0), annualised; title and company lower-cased and stripped ('' when the
+    header is missing); the description HTML becomes text. Every posting then carries
+    the sorted union of the keywords it was found under. A page without a parsable blob
+    is quarantined with its error instead of failing the run."""
+    raw = F.nullif(F.regexp_extract(F.col(html_col), JOB_PAGE_BLOB_RX, 1), F.lit(""))
+    parsed = pages.withColumn("_blob", F.from_json(raw, JOB_PAGE_BLOB))
+    bad = parsed.where(F.col("_blob").isNull()).drop("_blob").withColumn(
+        "result", F.array(F.lit("no data blob in page")))
+    ok = parsed.where(F.col("_blob").isNotNull())
+    job = F.col("_blob.jobInfoWrapperModel.jobInfoModel")
+    header = job["jobInfoHeaderModel"]
+    info, est = F.col("_blob.salaryInfoModel"), F.col("_blob.salaryGuideModel.estimatedSalaryModel")
+    pay = NZ.choose_salary(
+        F.when(info.isNotNull(), NZ.salary_struct(info["salaryMin"], info["salaryMax"], info["salaryType"])),
+        F.when(est.isNotNull(), NZ.salary_struct(est["min"], est["max"], est["type"])))
+    items = ok.select(
+        "job_key", F.array("keyword").alias("keyword") if dict(ok.dtypes)["keyword"] == "string" else "keyword",
+        "from_age", "location", "page", "position", "url",
+        F.when(header.isNull(), F.lit("")).otherwise(header["jobTitle"]).alias("job_title"),
+        F.when(header.isNull(), F.lit("")).otherwise(header["companyName"]).alias("company"),
+        F.coalesce(job["sanitizedJobDescription"], F.lit("")).alias("job_description"),
+        pay.alias("_pay")).select("*", "_pay.*").drop("_pay")
+    items = NZ.normalize_posting(items)
+    return NZ.fill_keywords(items, "job_key", "keyword"), bad
+
+
 def select_stage(postings: DataFrame, coef: DataFrame, intercept: float, threshold: float,
                  idf: DataFrame | None = None, n: int = 5) -> DataFrame:
     """Postings with ``split_jd``; those without a relevant passage are dropped."""

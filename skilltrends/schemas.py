@@ -40,3 +40,19 @@ CORRUPT_COL = "_corrupt_record"
 
 def with_corrupt(schema: T.StructType, col: str = CORRUPT_COL) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(col, S)])
+
+
+# The data blob embedded in a landed job page (only the fields the postings use).
+_SAL = T.StructType([T.StructField("salaryMin", D), T.StructField("salaryMax", D), T.StructField("salaryType", S)])
+_EST = T.StructType([T.StructField("min", D), T.StructField("max", D), T.StructField("type", S)])
+JOB_PAGE_BLOB = T.StructType([
+    T.StructField("jobInfoWrapperModel", T.StructType([
+        T.StructField("jobInfoModel", T.StructType([
+            T.StructField("sanitizedJobDescription", S),
+            T.StructField("jobInfoHeaderModel", T.StructType([
+                T.StructField("companyName", S), T.StructField("jobTitle", S)])),
+        ])),
+    ])),
+    T.StructField("salaryInfoModel", _SAL),
+    T.StructField("salaryGuideModel", T.StructType([T.StructField("estimatedSalaryModel", _EST)])),
+])

@@ -36,3 +36,40 @@ def test_daily_run_to_sql_view(spark):
     assert ("python", "2024-02-19", "data scientist") in got and ("sql", "2024-02-20", "data engineer") in got
     n = spark.sql("SELECT count(DISTINCT job_key) AS n FROM jobs_view WHERE tech = 'aws'").first().n
     assert n == 1
+
+
+def job_page(desc, company="  ACME Corp ", title="Data Engineer ", info=None, est=None, header=True):
+    import json
+    blob = {"jobInfoWrapperModel": {"jobInfoModel": {
+                "sanitizedJobDescription": desc,
+                "jobInfoHeaderModel": {"companyName": company, "jobTitle": title} if header else None}},
+            "salaryInfoModel": info,
+            "salaryGuideModel": {"estimatedSalaryModel": est}}
+    return f"<html><script>window._initialData={json.dumps(blob)};</script><body>x</body></html>"
+
+
+def test_collect_stage_from_pages(spark):
+    pages = spark.createDataFrame([
+        ("k1", "data engineer", job_page("<p>Use <b>python</b></p>\n<p>and sql</p>",
+                                        info={"salaryMin": 10, "salaryMax": 20, "salaryType": "HOURLY"},
+                                        est={"min": 1, "max": 2, "type": "YEARLY"})),
+        ("k1", "data analyst", job_page("<p>Use python</p>", est={"min": 90000, "max": None, "type": "YEARLY"})),
+        ("k2", "data engineer", job_page("", header=False)),
+        ("k3", "data engineer", "<html>no blob here</html>"),
+    ], "job_key STRING, keyword STRING, html STRING")
+    pages = pages.selectExpr("*", "1 AS from_age", "'remote' AS location", "1 AS page", "0 AS position",
+                             "concat('u/', job_key) AS url")
+    from skilltrends.plans import daily as D
+    postings, bad = D.collect_stage(pages)
+    rows = sorted(postings.collect(), key=lambda r: (r.job_key, r.job_description))
+    assert [r.job_key for r in bad.collect()] == ["k3"]
+    k1a, k1b, k2 = rows
+    assert (k1a.salary_min, k1a.salary_max, k1a.salary_type, k1a.salary_estimated_flag) in {
+        (20800.0, 41600.0, "YEARLY", 0), (90000.0, None, "YEARLY", 1)}
+    assert {(r.salary_min, r.salary_estimated_flag) for r in (k1a, k1b)} == {(20800.0, 0), (90000.0, 1)}
+    assert k1a.keyword == ["data analyst", "data engineer"] and k1b.keyword == k1a.keyword
+    assert k1a.company == "acme corp" and k1a.job_title == "data engineer"
+    # text nodes joined by one space: "Use ", "python", "\n", "and sql"
+    assert {k1a.job_description, k1b.job_description} == {"Use python", "Use  python \n and sql"}
+    assert (k2.company, k2.job_title, k2.job_description, k2.salary_min, k2.salary_estimated_flag) == \
+        ("", "", "", None, 0)
