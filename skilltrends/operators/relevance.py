@@ -62,12 +62,17 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
                       p1.alias("p_relevant"))
 
 
-def coefficient_table(spark: SparkSession, model: PipelineModel) -> tuple[DataFrame, float]:
-    """(token, coef) of the fitted classifier and its intercept, for relational scoring.
-
-    The table has at most ``vocab_size`` rows (a model parameter)."""
-    cv = model.stages[1]
-    lr = model.stages[-1]
+def model_tables(spark: SparkSession, model: PipelineModel) -> tuple[DataFrame, DataFrame, float]:
+    """The fitted pipeline as tables for relational scoring: (token, idf), (token, coef)
+    and the intercept. Both tables have at most ``vocab_size`` rows (a model parameter).
+
+    ``select_text.linear_scores`` over these tables gives the classifier's margin: the
+    vocabulary drops unknown tokens, the L2 norm runs over known tokens, like the
+    pipeline's Normalizer."""
+    cv, idf_model, lr = model.stages[1], model.stages[2], model.stages[-1]
+    vocab = list(cv.vocabulary)
+    idf = idf_model.idf.toArray().tolist()
     coefs = lr.coefficients.toArray().tolist()
-    rows = list(zip(cv.vocabulary, coefs))
-    return spark.createDataFrame(rows, "token STRING, coef DOUBLE"), float(lr.intercept)
+    idf_t = spark.createDataFrame(list(zip(vocab, idf)), "token STRING, idf DOUBLE")
+    coef_t = spark.createDataFrame(list(zip(vocab, coefs)), "token STRING, coef DOUBLE")
+    return idf_t, coef_t, float(lr.intercept)

@@ -78,3 +78,25 @@ def test_lemmatize_keeps_unknown_tokens(spark):
     lem = spark.createDataFrame([("running", "run"), ("ran", "run")], "token STRING, lemma STRING")
     got = sorted(map(tuple, ST.lemmatize(toks, lem).collect()))
     assert got == [(1, "run"), (1, "sql"), (2, "run")]
+
+
+def test_relational_scoring_equals_mllib_margin(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from skilltrends.operators import relevance as RV
+    from skilltrends.operators import select_text as ST
+
+    from .conftest import SMOKE
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text")
+    lab = spark.read.parquet(f"{SMOKE}/labels.parquet").select("doc_id", F.col("quality").cast("double").alias("label"))
+    train = docs.join(lab, "doc_id")
+    model = RV.train(train, vocab_size=4096, max_iter=10)
+    margin = {r.doc_id: r.m for r in model.transform(train).select(
+        "doc_id", F.get(vector_to_array("rawPrediction"), 1).alias("m")).collect()}
+
+    idf, coef, intercept = RV.model_tables(spark, model)
+    units = train.select("doc_id", F.lit(0).alias("pos"), F.col("text").alias("passage"))
+    scores = ST.linear_scores(ST.term_frequencies(units), F.broadcast(idf), F.broadcast(coef), intercept)
+    got = {r.doc_id: r.score for r in scores.collect()}
+    assert got.keys() == margin.keys()
+    assert max(abs(got[k] - margin[k]) for k in got) < 1e-9
