@@ -1,10 +1,14 @@
 """Select the passages of each description that matter.
 
 passages -> tokens -> TF-IDF -> linear relevance score -> keep relevant -> ordered
-concat -> newline squeeze -> drop near-empty. All steps are DataFrame operators; the
-shuffles are: term counts per (passage, token), document frequency per token, the
-per-passage score, and re-assembly per document (whose passages are bounded by
-the document itself).
+concat -> newline squeeze -> drop near-empty. All steps are DataFrame operators.
+
+Shuffles: the corpus is hash-partitioned on the document key once (``by_document``);
+term counts, passage scores, the norm window and the per-document re-assembly (a
+document's own passages, bounded by its text) are keyed by the document first and need
+no further exchange. Fitting the idf model is one aggregation by token, partially
+aggregated before its shuffle; the fitted model is broadcast when its counted size is
+under a bound.
 """
 
 from __future__ import annotations
@@ -92,8 +96,8 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token",
 def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
     """(keys..., token, tf): one row per distinct token of each unit.
 
-    The aggregation is keyed by the unit first: input already hash-partitioned on the
-    document key (see ``sources.tables.spread``) needs no exchange for it."""
+    The aggregation is keyed by the unit first: input hash-partitioned on the document
+    key (``by_document``) needs no exchange for it."""
     return passage_tokens(p, keys, text_col).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
