@@ -65,3 +65,26 @@ def test_tfidf_rows_are_unit_norm(spark):
     w = ST.tfidf(ST.term_frequencies(p), ST.fit_idf(p))
     norms = w.groupBy("doc_id", "pos").agg(F.sum(F.col("weight") * F.col("weight")).alias("n2")).collect()
     assert norms and all(abs(r.n2 - 1.0) < 1e-9 for r in norms)
+
+
+def py_parse_list(s):
+    if s is None or not s.startswith("["):
+        return []
+    return [item.strip() for item in s.strip("[]").split(",")]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet='[], a"\t', max_size=12), min_size=1, max_size=20))
+def test_parse_list_matches_python(spark, answers):
+    df = spark.createDataFrame([(a,) for a in answers], "c STRING")
+    got = [r[0] for r in df.select(T.parse_bracket_list("c")).collect()]
+    assert got == [py_parse_list(a) for a in answers]
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=3000), min_size=1, max_size=20))
+def test_page_offsets_match_python(spark, hits):
+    from skilltrends.operators import normalize as NZ
+    df = spark.createDataFrame([(h,) for h in hits], "n INT")
+    got = [r[0] for r in df.select(NZ.page_offsets("n")).collect()]
+    assert got == [list(range(0, (50 if h > 1000 else h) + 10, 10)) for h in hits]
