@@ -34,8 +34,17 @@ def split_quarantine(df: DataFrame, bad: Column, reason: Column) -> tuple[DataFr
     return good, quarantined
 
 
-def recent_only(df: DataFrame, ts_col: str, days: int, now: Column | None = None) -> DataFrame:
-    """Rows no older than ``days`` before ``now`` (default: the newest row's time)."""
+def recent_only(df: DataFrame, ts_col: str, days: int, now=None) -> DataFrame:
+    """Rows no older than ``days`` before ``now`` (a datetime; default: the newest row's
+    time, found by one aggregate over the time column).
+
+    The cut-off is a typed literal, so the predicate reaches the Parquet scan and row
+    groups older than the window are skipped (a subquery bound would not be pushed)."""
+    import datetime as dt
     if now is None:
-        now = df.select(F.max(ts_col)).scalar()
-    return df.where(F.col(ts_col) >= now - F.make_dt_interval(F.lit(days)))
+        now = df.agg(F.max(ts_col)).first()[0]
+    if now is None:  # empty input
+        return df.where(F.lit(False))
+    cutoff = now - dt.timedelta(days=days)
+    bound = F.lit(cutoff.isoformat(sep=" ")).cast(df.schema[ts_col].dataType)
+    return df.where(F.col(ts_col) >= bound)
