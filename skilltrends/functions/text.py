@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,13 +48,25 @@ def decode_entities(c) -> Column:
     return out
 
 
-def html_to_text(c) -> Column:
+def _unescape_udf():
+    @F.pandas_udf("string")
+    def unescape(s: pd.Series) -> pd.Series:
+        import html
+        return s.map(lambda x: None if x is None else html.unescape(x))
+
+    return unescape
+
+
+def html_to_text(c, full_entities: bool = False) -> Column:
     """Visible text of an HTML fragment: text nodes joined by one space, then stripped.
 
-    Newlines inside text nodes are kept (passage splitting depends on them).
+    Newlines inside text nodes are kept (passage splitting depends on them). Entities:
+    by default the common named ones (JVM-side); ``full_entities=True`` decodes every
+    named and numeric character reference with the standard library, in Arrow batches.
     """
     no_markup = F.regexp_replace(_col(c), MARKUP_RUN_RX, " ")
-    return py_strip(decode_entities(no_markup))
+    decoded = _unescape_udf()(no_markup) if full_entities else decode_entities(no_markup)
+    return py_strip(decoded)
 
 
 def squeeze_newlines(c) -> Column:

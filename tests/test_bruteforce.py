@@ -100,3 +100,11 @@ def test_production_rules_on_every_part_name(spark):
         F.array("p_name", "p_type").alias("cleaned_techs"), F.array("p_name", "p_type").alias("src"))
     for r in C.clean_terms(parts).collect():
         assert list(r.cleaned_techs) == py_clean(list(r.src), R.REMOVE_PATTERNS, R.MAP_RULES)
+
+
+def test_full_entity_decoding_matches_parser(spark):
+    pages = ["<p>It&rsquo;s &#39;remote&#39; &amp;&#x2019; caf&eacute;</p><p>&lt;b&gt; &nbsp;x</p>",
+             "<div>no entities</div>", "&amp;lt;kept&amp;gt;"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i INT, html STRING")
+    got = [r.t for r in df.orderBy("i").select(X.html_to_text("html", full_entities=True).alias("t")).collect()]
+    assert got == [visible_text(h) for h in pages]
