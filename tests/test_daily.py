@@ -1,5 +1,7 @@
 """End to end over landed posting files: select -> extract -> clean -> day layer -> SQL view."""
 
+from pyspark.sql import functions as F
+
 from skilltrends import session as S
 from skilltrends.operators import extract as EX
 from skilltrends.plans import daily as D
@@ -73,3 +75,26 @@ def test_collect_stage_from_pages(spark):
     assert {k1a.job_description, k1b.job_description} == {"Use python", "Use  python \n and sql"}
     assert (k2.company, k2.job_title, k2.job_description, k2.salary_min, k2.salary_estimated_flag) == \
         ("", "", "", None, 0)
+
+
+def test_stream_run_equals_batch_run(spark):
+    from skilltrends.operators import select_text as ST
+    from skilltrends.schemas import POSTING
+    from skilltrends.sources import jsonl as J
+    landing = S.scratch_path(spark, "t-stream-postings")
+    land(spark, landing, "postings_19_02_2024.json",
+         [("a", ["data engineer"], DESC_A), ("b", ["data analyst"], DESC_B)])
+    land(spark, landing, "postings_20_02_2024.json", [("a", ["data scientist"], DESC_A)])
+    coef = spark.createDataFrame([("python", 6.0)], "token STRING, coef DOUBLE")
+    dictionary = EX.dictionary_frame(spark, {"python": ["python"], "sql": ["sql"], "aws": ["amazon", "aws"]})
+    texts = J.scan_jsonl(spark, landing, POSTING).select(F.col("job_description").alias("text"),
+                                                          F.lit(0).alias("doc_id"))
+    idf = ST.fit_idf(ST.passages(texts))  # the fitted model both runs score with
+
+    batch = D.daily_run(spark, landing, S.scratch_path(spark, "t-b"), coef, -1.0, 0.5, dictionary, idf=idf)
+    sink, ckpt = S.scratch_path(spark, "t-s"), S.scratch_path(spark, "t-s-ckpt")
+    D.stream_run(spark, landing, sink, ckpt, coef, -1.0, 0.5, idf, dictionary)
+    D.stream_run(spark, landing, sink, ckpt, coef, -1.0, 0.5, idf, dictionary)  # rerun: no new files
+    cols = ["job_key", "day", "split_jd", "cleaned_techs"]
+    as_set = lambda df: sorted((r.job_key, r.day, r.split_jd, tuple(r.cleaned_techs)) for r in df.select(cols).collect())
+    assert as_set(spark.read.parquet(sink)) == as_set(batch) and len(as_set(batch)) == 2
