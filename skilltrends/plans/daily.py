@@ -138,7 +138,12 @@ def daily_run(spark: SparkSession, landing: str, sink: str, coef: DataFrame, int
 
     Returns the clean layer as read back from ``sink``. With ``metrics`` (a dict), the
     run's reconciliation is filled in from observations taken by the jobs themselves
-    (no extra pass): lines read, corrupt lines, rows written, rows with an empty list."""
+    (no extra pass): lines read, corrupt lines, rows written, rows with an empty list.
+
+    Note (Spark 4.1): once a session has used an ``Observation``, a freshly fitted
+    logistic-regression model (which keeps a training summary referring to the session)
+    fails to serialise its prediction closure; models loaded from storage carry no
+    summary and are unaffected, which is how ``operators.relevance`` models are used."""
     from pyspark.sql import Observation
     seen, wrote = Observation("lines_read"), Observation("rows_written")
     postings = with_row_id(J.scan_jsonl(spark, landing, POSTING)).observe(
