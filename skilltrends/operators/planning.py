@@ -73,10 +73,11 @@ def running_totals(df: DataFrame, order_col: str, value_col: str, num_partitions
     spark = df.sparkSession
     from ..session import checkpoint_dir
     checkpoint_dir(spark)  # makes sure a reliable checkpoint folder is configured
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, order_col)
-              .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+    # Without an explicit count AQE may coalesce the range partitions to fit the data;
+    # it merges only adjacent ranges, so the order is kept. The checkpoint pins the ids.
+    ranged = df.repartitionByRange(num_partitions, order_col) if num_partitions \
+        else df.repartitionByRange(order_col)
+    ranged = ranged.withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
     totals = ranged.groupBy("_part").agg(F.sum(value_col).alias("_tot"), F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -47,10 +47,10 @@ def test_passage_blocks_equal_findall(spark, lines, k):
 
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=5000), min_size=1, max_size=60),
-       st.integers(min_value=1, max_value=6))
+       st.integers(min_value=0, max_value=6))
 def test_running_totals_match_cumsum(spark, values, parts):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id LONG, v LONG")
-    out = PL.running_totals(df, "id", "v", num_partitions=parts, sum_col="cum", index_col="rn")
+    out = PL.running_totals(df, "id", "v", num_partitions=parts or None, sum_col="cum", index_col="rn")
     rows = sorted(out.collect(), key=lambda r: r.id)
     run = 0
     for i, r in enumerate(rows):
