@@ -82,9 +82,15 @@ def compare(spark, con, name: str, sf_dir: str):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    from skilltrends.session import build_session
     from __spark_entry__ import queries
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):  # the driver's view: default settings, any time zone
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[4]")
+                 .config("spark.sql.session.timeZone", "America/Los_Angeles").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from skilltrends.session import build_session
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     for n in names or list(queries()):
         try:
