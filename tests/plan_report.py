@@ -55,6 +55,14 @@ def main() -> None:
         sh = ", ".join(f"{k} x{v}" for k, v in sorted(s["shuffles"].items())) or "none"
         cols = "; ".join(x.replace("struct<", "").replace(">", "") for x in s["scans"])
         print(f"| {name} | {sh} | {s['reused']} | {s['broadcasts']} | {s['python']} | {cols} |", flush=True)
+    # the flagship query's executed plan, in full
+    df = queries()["skills_view"](spark, sf_dir)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = re.sub(r"#\d+L?", "", plan)
+    print("\n## Flagship: skills_view (executed plan)\n\n```")
+    print("\n".join(line[:200] for line in plan.splitlines()))
+    print("```")
     spark.stop()
 
 
