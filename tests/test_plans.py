@@ -51,3 +51,14 @@ def test_rule_table_above_bound_is_matched_in_chunks(spark):
     for bound in (100, 3, 1):  # one broadcast table, two chunks, one rule per chunk
         got = {r.term: r.mapped for r in C.map_terms_by_table(terms, rules, max_rules=bound).collect()}
         assert got == expected
+
+
+def test_no_query_caps_or_samples_rows(spark):
+    """Every registered query runs over whole tables: no LIMIT, no sampling in any plan
+    (the per-group top-k of ``top_terms`` is its feature, not a row cap)."""
+    import re
+
+    from __spark_entry__ import queries
+    for name, fn in queries().items():
+        plan = fn(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search(r"\b(GlobalLimit|LocalLimit|Sample)\b", plan), name
