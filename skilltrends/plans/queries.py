@@ -360,7 +360,7 @@ def term_extract(spark, sf_dir):
     return EX.extract_by_dictionary(d, EX.dictionary_frame(spark, A.TERM_DICTIONARY))
 
 
-def sample_extractor(text: str) -> list[str]:
+def word_list_extractor(text: str) -> list[str]:
     """Deterministic stand-in for a remote extractor: dictionary words found in the text;
     an empty text is an error (exercises retry and the error column)."""
     import re
@@ -373,7 +373,7 @@ def sample_extractor(text: str) -> list[str]:
 @register
 def extract_hook(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("split_jd"))
-    out = EX.extract_with(d, sample_extractor, "split_jd")
+    out = EX.extract_with(d, word_list_extractor, "split_jd")
     return out.select("doc_id", F.array_join("cleaned_techs", "|").alias("techs"),
                       F.coalesce(F.size("result"), F.lit(0)).alias("n_errors"))
 
