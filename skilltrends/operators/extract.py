@@ -23,9 +23,14 @@ from ..functions.terms import parse_bracket_list
 WORD_RX = r"[\p{L}\p{N}_]+"
 
 
-def ngrams(text_col: str = "text") -> F.Column:
-    """Lower-cased words and adjacent word pairs of a text."""
-    w = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RX), 0)
+def words(text_col: str = "text") -> F.Column:
+    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RX), 0)
+
+
+def ngrams(words_col: str = "_words") -> F.Column:
+    """Words and adjacent word pairs, from a column holding the word array (staged as a
+    column so the extraction runs once per row, not once per use)."""
+    w = F.col(words_col)
     n = F.size(w)
     pairs = F.when(n > 1, F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1),
                                      lambda a, b: F.concat(a, F.lit(" "), b)))
@@ -41,7 +46,8 @@ def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_
     """(key, term, n_mentions). The (alias, term) dictionary is broadcast when its counted
     size is under the bound (the n-gram side is never shuffled then); a larger one is
     joined by shuffle, where AQE splits hot n-grams."""
-    grams = df.select(key, F.explode(ngrams(text_col)).alias("alias"))
+    staged = df.select(key, words(text_col).alias("_words"))
+    grams = staged.select(key, F.explode(ngrams("_words")).alias("alias"))
     d = dictionary.select("alias", "term")
     side = F.broadcast(d) if d.count() <= max_broadcast_rows else d
     hits = grams.join(side, "alias", "inner")
