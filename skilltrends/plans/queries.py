@@ -219,7 +219,7 @@ def relevance_train(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     train = d.join(lab, "doc_id")
-    model = RV.train(train, vocab_size=1 << 16)
+    model = RV.train(train, vocab_size=1 << 14)
     path = RV.save(model, S.scratch_path(spark, "relevance-model"))
     pred = RV.predict(RV.load(path), train, ["doc_id", "label"])
     return pred.select("doc_id", F.col("label").cast("int").alias("quality"), "prediction",
