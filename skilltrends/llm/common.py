@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value whose size the caller bounds; the result, called in a task, gives it back."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

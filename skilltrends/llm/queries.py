@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mix, quality_rules, shard, simhash
+from . import decontaminate, mix, quality_model, quality_rules, shard, simhash, token_count
 from .common import read
 
 
@@ -23,10 +24,25 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_sources(docs).drop("source", "text")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.score_quality(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark")).drop("text", "spans")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_feistel_shards, op3_source_mix,
-                                  op9_simhash_dedup)}
+                                  op6_quality_classifier, op7_decontamination, op9_simhash_dedup, op10_token_counts)}
