@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mix, quality_model, quality_rules, shard, simhash, token_count
+from . import decontaminate, langid, mix, quality_model, quality_rules, shard, simhash, token_count, toxicity
 from .common import read
 
 
@@ -24,6 +24,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_sources(docs).drop("source", "text")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text", "lang")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_model.score_quality(docs, read(spark, sf_dir, "labels")).drop("text")
@@ -34,6 +39,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark")).drop("text", "spans")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, read(spark, sf_dir, "labels")).drop("text", "spans")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
@@ -45,4 +55,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_feistel_shards, op3_source_mix,
-                                  op6_quality_classifier, op7_decontamination, op9_simhash_dedup, op10_token_counts)}
+                                  op4_language_id, op6_quality_classifier, op7_decontamination, op8_toxicity, op9_simhash_dedup, op10_token_counts)}

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import col, packed, row_blocks, shared, text_blocks, unpacked, with_columns
+from .words import Table
 
 LIMIT, BLOCK_BYTES, MARK, SYMBOLS = 4096, 8 << 20, "▁", 1 << 20
 NO_RANK = np.iinfo(np.int32).max
@@ -60,10 +61,10 @@ class Merges:
             for cut in range(1, len(p)):
                 a, b = self.known(p[:cut], pieces), self.known(p[cut:], pieces)
                 if a is not None and b is not None:
-                    pairs[a * (1 << 22) + b] = (rank_of[i], i)
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.ranks = np.array([pairs[k][0] for k in sorted(pairs)], np.int32)
-        self.made = np.array([pairs[k][1] for k in sorted(pairs)], np.int64)
+                    pairs[a << 22 | b] = (rank_of[i], i)
+        self.table = Table(np.array(list(pairs), np.int64))
+        self.ranks = np.array([*(r for r, _ in pairs.values()), NO_RANK], np.int32)  # the last one: no pair
+        self.made = np.array([*(i for _, i in pairs.values()), 0], np.int64)
         # characters: number of the piece, or size + code point when it is none
         self.char_points = np.array(sorted(map(ord, chars)), np.int64)
         self.char_ids = np.array([chars[chr(c)] for c in self.char_points.tolist()], np.int64)
@@ -83,10 +84,8 @@ class Merges:
 
     def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of the pairs (a, b)."""
-        key = a * (1 << 22) + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        found = self.keys[at] == key
-        return np.where(found, self.ranks[at], NO_RANK), self.made[at]
+        at = self.table.find(a << 22 | b)
+        return self.ranks[at], self.made[at]
 
     def count(self, tokens: pa.Array) -> np.ndarray:
         """Tokens of each pre-token (large strings)."""

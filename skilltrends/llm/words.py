@@ -22,14 +22,19 @@ ALNUM = byte_table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B),
 NON_SPACE = byte_table([b for b in range(256) if b not in (9, 10, 11, 12, 13, 32)], lower=False)
 
 
-def words_of(texts: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """All words of all texts in a row (a binary array), where each text's words start (one more
-    entry than texts), and each word's first byte and the byte after it, within its text."""
+def raw_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row (null: none), and where each text starts."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
-    at = at - at[0]
+    return raw, at - at[0]
+
+
+def words_of(texts: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of all texts in a row (a binary array), where each text's words start (one more
+    entry than texts), and each word's first byte and the byte after it, within its text."""
+    raw, at = raw_of(texts)
     if not len(raw):
         none = np.zeros(0, np.int64)
         return pa.array([], pa.large_binary()), np.zeros(len(texts) + 1, np.int64), none, none
@@ -54,23 +59,34 @@ CLASS[ord("_")] = 1
 POWERS = np.cumprod(np.concatenate(([1], np.full(4095, 0x9E3779B97F4A7C15, np.uint64))).astype(np.uint64))
 
 
+def run_hashes(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs that start at ``heads`` (none of them empty)."""
+    if not len(heads):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(values)) - np.repeat(heads, np.diff(np.concatenate((heads, [len(values)]))))
+    return np.add.reduceat((values.astype(np.uint64) + np.uint64(1)) * POWERS[place & 4095], heads)
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of non-empty words (large binary)."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    return run_hashes(np.frombuffer(data, np.uint8)[at[0]:at[-1]], at[:-1] - at[0])
+
+
 def token_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all tokens (runs of one class) of all texts in a row, and where each text's
-    tokens start. A hash is the sum of byte * power of the place in the token, which wraps."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    _, offsets, data = texts.buffers()
-    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
-    at = at - at[0]
+    tokens start."""
+    raw, at = raw_of(texts)
     kind = CLASS[raw]
     first = np.concatenate(([True], kind[1:] != kind[:-1]))[:len(kind)]
     first[at[(at > 0) & (at < len(raw))]] = True
     heads = np.flatnonzero(first)
     if not len(heads):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    place = np.arange(len(raw)) - np.repeat(heads, np.diff(np.concatenate((heads, [len(raw)]))))
-    value = (ALNUM[1] if lower else NON_SPACE[1])[raw].astype(np.uint64) + np.uint64(1)
-    hashes = np.add.reduceat(value * POWERS[place & 4095], heads)
+    hashes = run_hashes((ALNUM[1] if lower else NON_SPACE[1])[raw], heads)
     token = kind[heads] > 0
     return hashes[token], np.searchsorted(heads[token], at)
 
@@ -81,6 +97,36 @@ def spread_bits(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+class Table:
+    """Numbers of distinct 64-bit keys, by open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys) * 4 - 1).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.numbers = np.full(1 << self.bits, -1, np.int64)
+        left, slot = np.arange(len(keys)), spread_bits(keys.astype(np.uint64), self.bits)
+        while len(left):
+            won = np.zeros(len(left), bool)
+            won[np.unique(slot, return_index=True)[1]] = True
+            won &= self.numbers[slot] < 0
+            self.keys[slot[won]], self.numbers[slot[won]] = keys[left[won]], left[won]
+            left, slot = left[~won], (slot[~won] + 1) & ((1 << self.bits) - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        slot = spread_bits(keys.astype(np.uint64), self.bits)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.numbers[slot], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.numbers[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+
 def distinct(keys: np.ndarray) -> np.ndarray:
     """Sorted distinct values."""
     keys = np.sort(keys)
