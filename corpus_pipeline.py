@@ -7,16 +7,29 @@ the last return the columns of documents."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skilltrends.llm import mix, shard, simhash
+from skilltrends.llm import decontaminate, mix, quality_model, shard, simhash
 from skilltrends.llm.common import read, stored
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    scored = quality_model.score_quality(docs, read(spark, sf_dir, "labels"))
+    return scored.filter("predicted = 1").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-equal fingerprints."""
     return simhash.one_of_each(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated with benchmark items."""
+    judged = decontaminate.find_contamination(docs, read(spark, sf_dir, "benchmark"))
+    return judged.filter(~F.col("contaminated")).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources at their target weights, a row per copy."""
     return mix.mixed_documents(docs)
@@ -27,7 +40,8 @@ def shard_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard.shard_documents(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("mix", mix_sources), ("shard", shard_rows)]
+STAGES = [("classify", classify), ("near_dedup", near_dedup), ("decontaminate", drop_contaminated),
+          ("mix", mix_sources), ("shard", shard_rows)]
 
 #: The trained classifier of the first stage has no SQL form.
 ORACLE_SQL = None

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -40,18 +41,24 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def packed(docs: DataFrame, **extra: Column) -> DataFrame:
-    """The whole input row as one struct ``row`` beside the operator's own columns, so that
-    no column name of the input can meet one of the operator's."""
-    return docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"),
-                       *[v.alias(k) for k, v in extra.items()])
+def carried(docs: DataFrame, carry: list[str] | None) -> list[str]:
+    """The input columns that a result keeps: all, or those named."""
+    return [c for c in docs.columns if carry is None or c in carry]
 
 
-def unpacked(df: DataFrame, columns: list[str], results: dict[str, Column]) -> DataFrame:
-    """Input columns back, then the results. An input column named like a result (in any
-    letter case) gives way to the result."""
+def packed(docs: DataFrame, columns: list[str], text: str | None = None, **extra: Column) -> DataFrame:
+    """The input ``columns`` as one struct ``row`` beside the operator's own columns, so that no column
+    name of the input can meet one of the operator's. The column ``text`` stands apart as ``t``."""
+    inner = [col(c).alias(c) for c in columns if c != text] or [F.lit(True).alias("_")]
+    apart = [] if text is None else [col(text).alias("t")]
+    return docs.select(F.struct(*inner).alias("row"), *apart, *[v.alias(k) for k, v in extra.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], results: dict[str, Column], text: str | None = None) -> DataFrame:
+    """Input columns back, in their order, then the results. An input column named like a result (in
+    any letter case) gives way to the result."""
     taken = {k.lower() for k in results}
-    return df.select(*[F.col("row").getField(c).alias(c) for c in columns if c.lower() not in taken],
+    return df.select(*[F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns if c.lower() not in taken],
                      *[v.alias(k) for k, v in results.items()])
 
 
@@ -77,6 +84,21 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> It
             yield batch.slice(a, b - a)
 
 
-def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()],
-                                      names=[*batch.schema.names, *columns])
+def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array], keep: list[str]) -> pa.RecordBatch:
+    """The columns ``keep`` of a batch and new ones."""
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *columns.values()], names=[*keep, *columns])
+
+
+def map_texts(rows: DataFrame, keep_text: bool, results: dict[str, T.DataType], block_bytes: int | Callable[[Any], int],
+              score: Callable[[pa.Array, Any], dict[str, pa.Array]], state: Callable[[], Any] = lambda: None) -> DataFrame:
+    """Map whole texts (column ``t``) in blocks of bounded size, in Arrow batches: ``score`` gets the texts
+    of a block and the task's state and gives the columns ``results``."""
+    keep = [c for c in rows.columns if keep_text or c != "t"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = state()
+        most = block_bytes(held) if callable(block_bytes) else block_bytes
+        for batch in text_blocks(batches, "t", most):
+            yield with_columns(batch, score(batch.column("t"), held), keep)
+
+    return rows.mapInArrow(run, T.StructType([*[rows.schema[c] for c in keep], *[T.StructField(k, v) for k, v in results.items()]]))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, shared, text_blocks, unpacked, with_columns
+from .common import carried, col, map_texts, packed, shared, unpacked
 from .words import ALNUM, coded, ranges, words_of
 
 WINDOW, SHARD_BYTES, SHARD_WORDS, SAMPLE, BLOCK_BYTES = 13, 3 << 20, 1 << 20, 16, 4 << 20
@@ -245,38 +245,34 @@ def search_batch(texts: pa.Array, phrases: Phrases) -> dict[str, pa.Array]:
     return {"n": pa.array(np.diff(at)), "s": spans, "i": items}
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of about ``block_bytes`` of text."""
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """Items in blocks of about ``block_bytes`` of text, and how many blocks."""
     items = benchmark.select(F.coalesce(col(id_col).cast("string"), F.lit("null")).alias("k"),
                              F.coalesce(col(text_col), F.lit("")).alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    for i in range(n):
-        block = items if n == 1 else items.filter(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i)
-        yield [(r["k"], r["t"]) for r in block.collect()]
+    blocks = (items if n == 1 else items.filter(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i) for i in range(n))
+    return n, ([(r["k"], r["t"]) for r in block.collect()] for block in blocks)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-                       id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "item_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with n_words, n_hit, n_items, items_sha256, contaminated, and spans: the
-    merged word ranges to remove (start, stop; array of structs)."""
+    merged word ranges to remove (start, stop; array of structs). ``carry``: the input columns to
+    keep (default: all)."""
     spark = docs.sparkSession
-    rows = packed(docs, t=col(text_col))
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
-    k = 0
-    for k, items in enumerate(blocks_of(benchmark, id_col, text_col, block_bytes)):
-        phrases = shared(spark, Phrases(items, window))
-
-        def run(batches: Iterator[pa.RecordBatch], phrases=phrases, k=k) -> Iterator[pa.RecordBatch]:
-            block = phrases()
-            for batch in text_blocks(batches, "t", SHARD_BYTES):
-                found = search_batch(batch.column("t"), block)
-                yield with_columns(batch, {f"{name}{k}": v for name, v in found.items()})
-
-        rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField(f"n{k}", T.LongType()), T.StructField(f"s{k}", span),
-                                                  T.StructField(f"i{k}", T.ArrayType(T.StringType()))]))
-    spans, items = [F.col(f"s{i}") for i in range(k + 1)], [F.col(f"i{i}") for i in range(k + 1)]
-    if k:
+    n, blocks = blocks_of(benchmark, id_col, text_col, block_bytes)
+    for k, items in enumerate(blocks):
+        def score(texts: pa.Array, phrases: Phrases, k: int = k) -> dict[str, pa.Array]:
+            return {f"{name}{k}": v for name, v in search_batch(texts, phrases).items()}
+
+        rows = map_texts(rows, k < n - 1 or text_col in columns, {f"n{k}": T.LongType(), f"s{k}": span, f"i{k}": T.ArrayType(T.StringType())},
+                         SHARD_BYTES, score, shared(spark, Phrases(items, window)))
+    spans, items = [F.col(f"s{i}") for i in range(n)], [F.col(f"i{i}") for i in range(n)]
+    if n > 1:
         merged = F.aggregate(F.array_sort(F.concat(*spans)), F.slice(spans[0], 1, 0), lambda done, x: F.when(
             (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= x["start"]),
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
@@ -284,15 +280,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             .otherwise(F.concat(done, F.array(x))))
     else:
         merged = spans[0]
-    rows = rows.select("row", F.col("n0").alias("n_words"), merged.alias("spans"),
+    rows = rows.select("row", *["t"][:text_col in columns], F.col("n0").alias("n_words"), merged.alias("spans"),
                        F.array_sort(F.array_distinct(F.concat(*items))).alias("items"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
     rows = rows.withColumn("n_hit", hit)
-    return unpacked(rows, docs.columns, {
+    return unpacked(rows, columns, {
         "n_words": F.col("n_words"), "n_hit": F.col("n_hit"), "n_items": F.size("items").cast("long"),
         "items_sha256": F.sha2(F.array_join("items", ","), 256),
         "contaminated": (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")),
-        "spans": F.col("spans")})
+        "spans": F.col("spans")}, text_col)
 
 
 def without_spans(text: Column, spans: Column) -> Column:

@@ -33,29 +33,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     return texts.join(F.broadcast(known), F.col("d") == F.col("id")).select("id", "y", "t")
 
 
-def fit_sigmoid(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """(a, b) of P(y = 1) = 1 / (1 + exp(-(a x + b))), by damped Newton steps, with softened labels."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100, decay: float = 1e-3) -> np.ndarray:
+    """Weights (the constant last) of P(y = 1) = 1 / (1 + exp(-(x w + b))), by damped Newton steps, with
+    softened labels. ``x``: a row per case."""
     pos, neg = float((y == 1).sum()), float((y == 0).sum())
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 1.0, 0.0
+    x = np.column_stack((x, np.ones(len(y))))
+    w, ridge = np.zeros(x.shape[1]), decay * np.diag([1.0] * (x.shape[1] - 1) + [1e-6])
 
-    def loss(a: float, b: float) -> float:
-        z = a * x + b
-        return float(np.sum(np.logaddexp(0, z) - t * z)) + 1e-4 * a * a
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - t * z) + 0.5 * w @ ridge @ w)
 
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -35, 35)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([np.sum((p - t) * x) + 2e-4 * a, np.sum(p - t)])
-        h = np.array([[np.sum(w * x * x) + 2e-4, np.sum(w * x)], [np.sum(w * x), np.sum(w)]])
-        step = np.linalg.solve(h + 1e-9 * np.eye(2), g)
-        scale, now = 1.0, loss(a, b)
-        while scale > 1e-4 and loss(a - scale * step[0], b - scale * step[1]) > now:
+        p = sigmoid(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge + 1e-9 * np.eye(len(w)), x.T @ (p - t) + ridge @ w)
+        scale, now = 1.0, loss(w)
+        while scale > 1e-4 and loss(w - scale * step) > now:
             scale /= 2
-        a, b = a - scale * step[0], b - scale * step[1]
+        w = w - scale * step
         if np.abs(scale * step).max() < 1e-7:
             break
-    return float(a), float(b)
+    return w
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

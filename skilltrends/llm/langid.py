@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, shared, text_blocks, unpacked, with_columns
+from .common import carried, col, map_texts, packed, shared, text_blocks, unpacked
 from .labelled import fold, sampled_by
 from .words import NON_SPACE, Table, coded, words_of
 
@@ -212,23 +212,22 @@ def train(docs: DataFrame, model_file: str, folds: int, held_out: int, per_langu
 
 
 def identify(docs: DataFrame, model_file: str, folds: int = FOLDS, held_out: int = HELD_OUT, per_language: int = PER_LANGUAGE,
-             id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Every row of ``docs`` with held_out, lang_pred, score."""
+             id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` with held_out, lang_pred, score. ``carry``: the input columns to keep
+    (default: all)."""
     model = shared(docs.sparkSession, train(docs, model_file, folds, held_out, per_language, id_col, text_col, lang_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model()
-        wide = 4 * BLOCK_BYTES // max(4, len(m.languages) if m else 0)  # a row per word and language is held
-        for batch in text_blocks(batches, "t", wide):
-            if m is None:
-                names, scores = ["und"] * len(batch), np.zeros(len(batch))
-            else:
-                names, scores = m.score(batch.column("t"))
-            yield with_columns(batch, {"l": pa.array(names, pa.string()), "s": pa.array(scores)})
-
-    rows = packed(docs, id=col(id_col), t=col(text_col))
-    rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("l", T.StringType()), T.StructField("s", T.DoubleType())]))
-    letter = F.coalesce(F.col("t").rlike(r"\p{L}"), F.lit(False)) & (F.col("l") != "und")
-    return unpacked(rows, docs.columns, {
+    def score(texts: pa.Array, m: Model | None) -> dict[str, pa.Array]:
+        names, scores = (["und"] * len(texts), np.zeros(len(texts))) if m is None else m.score(texts)
+        return {"l": pa.array(names, pa.string()), "s": pa.array(scores)}
+
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col, id=col(id_col), letter=F.coalesce(col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    # a row per word and language is held, so more languages mean smaller blocks
+    rows = map_texts(rows, text_col in columns, {"l": T.StringType(), "s": T.DoubleType()},
+                     lambda m: 4 * BLOCK_BYTES // max(4, len(m.languages) if m else 0), score, model)
+    letter = F.col("letter") & (F.col("l") != "und")
+    return unpacked(rows, columns, {
         "held_out": fold(F.col("id"), folds) == held_out,
-        "lang_pred": F.when(letter, F.col("l")).otherwise("und"), "score": F.when(letter, F.col("s")).otherwise(0.0)})
+        "lang_pred": F.when(letter, F.col("l")).otherwise("und"), "score": F.when(letter, F.col("s")).otherwise(0.0)}, text_col)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_RX, WORD_RX, col, packed, stored, unpacked
+from .common import SPACE_RX, WORD_RX, carried, col, packed, stored, unpacked
 
 WEIGHTS, BLOCK_TOKENS, STREAMS, SEED = (5, 2, 1), 32, 8, 7
 KEY = ["no_src", "src"]
@@ -117,11 +117,12 @@ def edge(block: Column) -> Column:
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), repeats: int = 2,
           block_tokens: int = BLOCK_TOKENS, streams: int = STREAMS, seed: int = SEED, id_col: str = "doc_id",
-          text_col: str = "text", source_col: str = "source") -> DataFrame:
+          text_col: str = "text", source_col: str = "source",
+          carry: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` packed in ``row`` with size, source_size, target, ``full`` (whole copies)
     and ``parts`` (array of word ranges taken once more), taken."""
     size = F.coalesce(F.regexp_count(col(text_col), F.lit(WORD_RX)), F.lit(0)).cast("long")
-    rows = packed(docs, id=col(id_col), no_src=F.isnull(col(source_col)),
+    rows = packed(docs, carried(docs, carry), id=col(id_col), no_src=F.isnull(col(source_col)),
                   src=F.coalesce(col(source_col).cast("string"), F.lit("")), size=size)
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("-")), F.col("size").cast("string")))
     rows = rows.withColumn("h", digest).withColumn("bucket", F.conv(F.substring(F.col("h"), 1, 3), 16, 10).cast("int"))
@@ -143,9 +144,10 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int,
     return rows.withColumn("taken", F.col("full") * F.col("size") + extra)
 
 
-def mix_sources(docs: DataFrame, **kw) -> DataFrame:
-    """Every row of ``docs`` with size, source_size, target (its source's) and taken (words)."""
-    return unpacked(mixed(docs, **kw), docs.columns,
+def mix_sources(docs: DataFrame, carry: list[str] | None = None, **kw) -> DataFrame:
+    """Every row of ``docs`` with size, source_size, target (its source's) and taken (words). ``carry``:
+    the input columns to keep (default: all)."""
+    return unpacked(mixed(docs, carry=carry, **kw), carried(docs, carry),
                     {k: F.col(k) for k in ("size", "source_size", "target", "taken")})
 
 

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, shared, text_blocks, unpacked, with_columns
-from .labelled import fit_sigmoid, fold, labelled_sample, sigmoid
+from .common import carried, col, map_texts, packed, shared, text_blocks, unpacked
+from .labelled import fit_logistic, fold, labelled_sample, sigmoid
 from .words import distinct, spread_bits, token_hashes
 
 HASH_BITS, PER_CLASS, FOLDS, HELD_OUT, THRESHOLD, BLOCK_BYTES = 18, 1500, 4, 2, 0.7, 2 << 20
@@ -110,7 +110,7 @@ def fit(sample: list[tuple[str, int, np.ndarray]]) -> Model | None:
     w, bias = descend(train, np.where(y[~held] == 1, 1.0, -1.0), size)
     judge = held if held.any() else ~held
     margin = np.array([float(w[c] @ v) + bias for (c, v), j in zip(rows, judge) if j])
-    a, b = fit_sigmoid(margin, y[judge])
+    a, b = fit_logistic(margin[:, None], y[judge])
     return Model(ratio, w, bias, a, b)
 
 
@@ -130,18 +130,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT,
-                  per_class: int = PER_CLASS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with held_out, score, predicted."""
+                  per_class: int = PER_CLASS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` with held_out, score, predicted. ``carry``: the input columns to keep
+    (default: all)."""
     model = shared(docs.sparkSession, train(docs, labels, label, folds, held_out, per_class, id_col, text_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model()
-        for batch in text_blocks(batches, "t", BLOCK_BYTES):
-            scores = np.ones(len(batch)) if m is None else m.scores(batch.column("t"))
-            yield with_columns(batch, {"s": pa.array(scores)})
+    def score(texts: pa.Array, m: Model | None) -> dict[str, pa.Array]:
+        return {"s": pa.array(np.ones(len(texts)) if m is None else m.scores(texts))}
 
-    rows = packed(docs, id=col(id_col), t=col(text_col))
-    rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("s", T.DoubleType())]))
-    return unpacked(rows, docs.columns, {
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col, id=col(id_col))
+    rows = map_texts(rows, text_col in columns, {"s": T.DoubleType()}, BLOCK_BYTES, score, model)
+    return unpacked(rows, columns, {
         "held_out": fold(F.col("id"), folds) == held_out, "score": F.col("s"),
-        "predicted": (F.col("s") >= threshold).cast("int")})
+        "predicted": (F.col("s") >= threshold).cast("int")}, text_col)

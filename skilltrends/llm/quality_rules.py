@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RX, WORD_RX, col, packed, unpacked
+from .common import SPACE_RX, carried, col, packed, unpacked
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS, SAMPLE_ROWS, POSITION_BITS = 50, 500, 20
@@ -129,10 +129,12 @@ def order_rules(names: list[str], cost: dict[str, float], hits: dict[tuple, int]
 
 
 def score_documents(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows: int = SAMPLE_ROWS,
-                    costs: dict[str, float] | None = None, text_col: str = "text") -> DataFrame:
+                    costs: dict[str, float] | None = None, text_col: str = "text",
+                    carry: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, failed_rule. ``sample_rows``: expected rows of the sample that orders the
-    rules (chosen by a hash of the text); ``costs`` replaces the measured ones."""
+    rules (chosen by a hash of the text); ``costs`` replaces the measured ones;
+    ``carry``: the input columns to keep (default: all)."""
     text = F.coalesce(col(text_col), F.lit(""))
     total = docs.count()
     share = min(1.0, sample_rows / max(total, 1))
@@ -144,8 +146,9 @@ def score_documents(docs: DataFrame, rules: dict[str, str] = RULES, sample_rows:
         sample.unpersist()
     order = order_rules(list(rules), costs or cost, hits)
     case = " ".join([f"WHEN {BASE_FAILED} THEN 'base'", *[f"WHEN {rules[r]} THEN '{r}'" for r in order]])
-    rows = base_metrics(packed(docs, t=text), F.col("t"))
+    columns = carried(docs, carry)
+    rows = base_metrics(packed(docs, columns, text_col), F.col("t"))
     rows = rows.withColumn("failed_rule", F.expr(f"CASE {case} END"))
-    return unpacked(rows, docs.columns, {
+    return unpacked(rows, columns, {
         **{k: F.col(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")},
-        "base_failed": F.expr(BASE_FAILED), "kept": F.col("failed_rule").isNull(), "failed_rule": F.col("failed_rule")})
+        "base_failed": F.expr(BASE_FAILED), "kept": F.col("failed_rule").isNull(), "failed_rule": F.col("failed_rule")}, text_col)

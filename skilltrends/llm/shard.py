@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import feistel
-from .common import col, packed, unpacked
+from .common import carried, col, packed, unpacked
 
 SHARDS, SEED, HEX_DIGITS = 24, 20240607, 3
 
@@ -43,15 +43,17 @@ def numbered(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
 
 
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with size, text_crc32, law, shard, slot, grown_shard."""
+                    id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` with size, text_crc32, law, shard, slot, grown_shard. ``carry``: the input
+    columns to keep (default: all)."""
     text = F.coalesce(col(text_col), F.lit(""))
-    rows = packed(docs, id=col(id_col), size=(F.octet_length(text) + 8).cast("long"),
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, id=col(id_col), size=(F.octet_length(text) + 8).cast("long"),
                   crc=F.crc32(F.encode(text, "UTF-8")))
     rows, total = numbered(rows, ["id", "size", "crc"])
     passes = feistel.longest_walk(docs.sparkSession, total, seed)
     rows = rows.withColumn("to", feistel.permute(F.col("number"), total, seed, passes))
-    return unpacked(rows, docs.columns, {
+    return unpacked(rows, columns, {
         "size": F.col("size"), "text_crc32": F.col("crc"), "law": F.lit("rows"),
         "shard": (F.col("to") % n_shards).cast("int"),
         "slot": F.floor(F.col("to") / n_shards).cast("long"),

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, stored, text_blocks, unpacked
+from .common import carried, col, map_texts, packed, stored, unpacked
 
 SHINGLE, BITS, SEED, CELL_ROWS, BLOCK_BYTES, LEAF = 3, 3, 42, 50_000, 1 << 20, 8
 
@@ -58,18 +58,12 @@ def fingerprint(text: str | None, n: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * total > k, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(rows: DataFrame, text: str, n: int = SHINGLE) -> DataFrame:
-    """``rows`` with a column fp (the fingerprint's bits as a signed long) in place of ``text``."""
-    rest = [c for c in rows.columns if c != text]
+def with_fingerprints(rows: DataFrame, keep_text: bool, n: int = SHINGLE) -> DataFrame:
+    """``rows`` with a column fp: the fingerprint of ``t``, its bits as a signed long."""
+    def score(texts: pa.Array, _: None) -> dict[str, pa.Array]:
+        return {"fp": pa.array(np.array([fingerprint(t, n) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_blocks(batches, text, BLOCK_BYTES):
-            fps = np.array([fingerprint(t, n) for t in batch.column(text).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(fps.view(np.int64))],
-                                             names=[*rest, "fp"])
-
-    schema = T.StructType([*[rows.schema[c] for c in rest], T.StructField("fp", T.LongType())])
-    return rows.mapInArrow(run, schema)
+    return map_texts(rows, keep_text, {"fp": T.LongType()}, BLOCK_BYTES, score)
 
 
 # --- the index, inside a task -------------------------------------------------------------------
@@ -310,29 +304,28 @@ def component_table(fps: DataFrame, most: int = BITS, cell_rows: int = CELL_ROWS
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, cell_rows: int = CELL_ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs``, without its text, with fingerprint (16 hex digits) and component_id."""
-    rest = [c for c in docs.columns if c != text_col]
-    rows = docs.select(F.struct(*[col(c) for c in rest]).alias("row"), col(id_col).alias("id"), col(text_col).alias("t"))
-    rows = stored(with_fingerprints(rows, "t", shingle), "simhash")
+                    id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` with fingerprint (16 hex digits) and component_id. ``carry``: the input
+    columns to keep (default: all)."""
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col, id=col(id_col))
+    rows = stored(with_fingerprints(rows, text_col in columns, shingle), "simhash")
     roots = component_table(rows, most, cell_rows)
-    by_fp = rows.groupBy("fp").agg(F.min("id").alias("least")).join(roots, "fp", "left")
-    by_fp = by_fp.withColumn("root", F.coalesce("root", "fp"))
-    ids = stored(by_fp.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    by_fp = rows.groupBy("fp").agg(F.min("id").alias("least")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = by_fp.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(by_fp.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp-components")
-    out = rows.join(named, "fp")
-    return unpacked(out, rest, {"fingerprint": F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id": F.col("component_id")})
+    return unpacked(rows.join(named, "fp"), columns, {
+        "fingerprint": F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id": F.col("component_id")}, text_col)
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, cell_rows: int = CELL_ROWS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs``, one row of each component: the smallest id (nulls last)."""
-    rows = packed(docs, id=col(id_col), t=col(text_col))
-    rows = stored(with_fingerprints(rows, "t", shingle).withColumn("uid", F.monotonically_increasing_id()), "simhash")
+    rows = packed(docs, docs.columns, text_col, id=col(id_col))
+    rows = stored(with_fingerprints(rows, True, shingle).withColumn("uid", F.monotonically_increasing_id()), "simhash")
     keys = rows.select("fp", "id", "uid")
     best = F.min(F.struct(F.isnull("id").alias("no"), "id", "uid"))
     roots = component_table(keys, most, cell_rows)
     by_fp = keys.groupBy("fp").agg(best.alias("best")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    kept = by_fp.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best")["uid"].alias("uid"))
-    kept = stored(kept, "kept")
-    return rows.join(kept, "uid", "left_semi").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    kept = stored(by_fp.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best")["uid"].alias("uid")), "kept")
+    return unpacked(rows.join(kept, "uid", "left_semi"), docs.columns, {}, text_col)

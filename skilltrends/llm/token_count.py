@@ -19,8 +19,6 @@ gives an empty result; input columns named like a result are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, row_blocks, shared, text_blocks, unpacked, with_columns
+from .common import carried, col, map_texts, packed, row_blocks, shared, unpacked
 from .words import Table
 
 LIMIT, BLOCK_BYTES, MARK, SYMBOLS = 4096, 8 << 20, "▁", 1 << 20
@@ -161,17 +159,14 @@ def count_batch(texts: pa.Array, merges: Merges) -> np.ndarray:
     return total
 
 
-def count_tokens(docs: DataFrame, model_file: str, limit: int = LIMIT, text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with n_bytes, n_tokens, over_limit."""
-    merges = shared(docs.sparkSession, Merges(model_file))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = merges()
-        for batch in text_blocks(batches, "t", BLOCK_BYTES):
-            yield with_columns(batch, {"n": pa.array(count_batch(batch.column("t"), table))})
+def count_tokens(docs: DataFrame, model_file: str, limit: int = LIMIT, text_col: str = "text",
+                 carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` with n_bytes, n_tokens, over_limit. ``carry``: the input columns to keep
+    (default: all)."""
+    def score(texts: pa.Array, merges: Merges) -> dict[str, pa.Array]:
+        return {"n": pa.array(count_batch(texts, merges))}
 
-    rows = packed(docs, t=col(text_col))
-    rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("n", T.LongType())]))
-    return unpacked(rows, docs.columns, {
-        "n_bytes": F.coalesce(F.octet_length("t"), F.lit(0)).cast("long"), "n_tokens": F.col("n"),
-        "over_limit": F.col("n") > limit})
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col, b=F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("long"))
+    rows = map_texts(rows, text_col in columns, {"n": T.LongType()}, BLOCK_BYTES, score, shared(docs.sparkSession, Merges(model_file)))
+    return unpacked(rows, columns, {"n_bytes": F.col("b"), "n_tokens": F.col("n"), "over_limit": F.col("n") > limit}, text_col)

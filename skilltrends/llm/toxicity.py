@@ -1,19 +1,20 @@
 """Operator 8. Toxicity: a linear-chain conditional random field over words.
 
-Two states (clean, toxic); features are the word, the word before and the word after, hashed. The
-labelled tokens come from the document labels: in the sample, a word that is far more frequent in
-toxic documents than in clean ones (document frequencies, ratio and z-score) is labelled toxic
-where it stands in a toxic document; all other tokens are clean. The field is fitted to those
-labels by Adam on the exact gradient (forward-backward). Marginals of the toxic state give
-the spans (runs of 0.5 or more, with byte offsets) and, through the largest marginal of a text and a
-sigmoid fitted on rows kept out of the field's fit, the score.
+Two states (clean, toxic); features are the word, its prefixes of 3 to 7 characters, the word before
+and the word after, hashed. The labelled tokens come from the document labels: in the sample, a word or
+prefix that is far more frequent in toxic documents than in clean ones (document frequencies,
+ratio and z-score) labels its tokens toxic where they stand in a toxic document; all other tokens are
+clean. The field is fitted to those labels by Adam on the exact gradient (forward-backward).
+Marginals of the toxic state give the spans (runs of 0.5 or more, with byte offsets). A text's largest
+marginal, their sum and their mean go through a logistic model, fitted on rows kept out of the
+field's fit, that gives the score.
 
 A chain ends with a sentence (. ! ? or a line break between words), with the text, and after 200
 words. The fit uses a bounded sample (``per_class`` labelled rows of each class, by hash order, and
 ``max_tokens`` tokens of sentences without a toxic word). Scoring maps over whole texts in Arrow
 batches, all chains of a block step by step together, without a shuffle.
 
-Defined results: a null or wordless text gets the sigmoid's lowest value and no spans; labels that are
+Defined results: a null or wordless text gets the score of a text with no toxic word and no spans; labels that are
 null or not 0 or 1 are left out; with no row of one of the classes every score is 0; null ids and
 repeated rows are scored row by row; an empty table gives an empty result; input columns named
 like a result are replaced.
@@ -30,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, shared, text_blocks, unpacked, with_columns
-from .labelled import fit_sigmoid, fold, labelled_sample, sigmoid
-from .words import ALNUM, coded, hash_words, raw_of, spread_bits, words_of
+from .common import carried, col, map_texts, packed, shared, text_blocks, unpacked
+from .labelled import fit_logistic, fold, labelled_sample, sigmoid
+from .words import ALNUM, coded, hash_words, prefix_hashes, raw_of, spread_bits, words_of
 
-HASH_BITS, PER_CLASS, MAX_TOKENS, FOLDS, HELD_OUT, THRESHOLD = 17, 1000, 300_000, 3, 1, 0.7
+HASH_BITS, PER_CLASS, MAX_TOKENS, FOLDS, HELD_OUT, THRESHOLD = 19, 1200, 300_000, 3, 1, 0.7
+PREFIXES = [3, 4, 5, 6, 7]
+NONE = 1 << HASH_BITS  # the column of a feature that isn't there
 CHAIN, BLOCK_BYTES, FAR = 200, 2 << 20, 12.0
 
 #: Bytes that end a sentence.
@@ -43,11 +46,15 @@ ENDS[[ord(c) for c in ".!?\n"]] = True
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Columns (hashed words) of all texts, where each text's words start, which words start a
-    chain, and each word's byte range within its text."""
+    """Columns of the features of all words (word, then prefixes), where each text's words start,
+    which words start a chain, and each word's byte range within its text."""
     words, at, first, last = words_of(texts, ALNUM)
     ids, distinct = coded(words)
-    column = spread_bits(hash_words(distinct), HASH_BITS)[ids] if len(ids) else ids
+    prefixes = prefix_hashes(distinct, PREFIXES)
+    salted = prefixes + np.arange(1, len(PREFIXES) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    each = np.concatenate((spread_bits(hash_words(distinct), HASH_BITS)[:, None],
+                           np.where(prefixes == 0, NONE, spread_bits(salted, HASH_BITS))), axis=1).astype(np.int32)
+    column = each[ids]
     raw, base = raw_of(texts)
     ended = np.concatenate(([0], np.cumsum(ENDS[raw])))
     text = np.repeat(base[:-1], np.diff(at))
@@ -101,34 +108,41 @@ class Chains:
 
 
 def context(column: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of the words before and after, within the chain (else the column past the last)."""
-    none = 1 << HASH_BITS
-    before, after = np.concatenate(([none], column[:-1]))[:len(column)], np.concatenate((column[1:], [none]))[:len(column)]
-    before[head] = none
-    after[np.concatenate((head[1:], [True]))[:len(column)]] = none
+    """Columns of the words before and after, within the chain."""
+    word = column[:, 0]
+    before = np.concatenate(([NONE], word[:-1]))[:len(word)]
+    after = np.concatenate((word[1:], [NONE]))[:len(word)]
+    before[head] = NONE
+    after[np.concatenate((head[1:], [True]))[:len(word)]] = NONE
     return before, after
 
 
+def unary(weights: np.ndarray, bias: float, column: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return weights[0][column].sum(1) + weights[1][before] + weights[2][after] + bias
+
+
 @dataclass
 class Model:
-    weights: np.ndarray      # (3, columns + 1): word, word before, word after
+    weights: np.ndarray      # (3, columns + 1): word and prefixes, word before, word after
     bias: float
     transitions: np.ndarray
-    a: float = 1.0
-    b: float = 0.0
+    judge: np.ndarray | None = None  # logistic weights of the summary and, last, the constant
 
     def toxic(self, column: np.ndarray, head: np.ndarray) -> np.ndarray:
         before, after = context(column, head)
-        u = self.weights[0][column] + self.weights[1][before] + self.weights[2][after] + self.bias
+        u = unary(self.weights, self.bias, column, before, after)
         return Chains(head).marginals(u, self.transitions)[0]
 
-    def strongest(self, p: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Log odds of the largest marginal of each text."""
-        out = np.full(len(at) - 1, -FAR)
+    def summary(self, p: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of each text: log odds of the largest marginal, log of their sum, log of their mean."""
+        out = np.tile([-FAR, 0.0, 0.0], (len(at) - 1, 1))
         full = np.flatnonzero(np.diff(at))
         if len(full):
             top = np.clip(np.maximum.reduceat(p, at[full]), 1e-9, 1 - 1e-9)
-            out[full] = np.clip(np.log(top / (1 - top)), -FAR, FAR)
+            total = np.add.reduceat(np.where(p > 0.05, p, 0), at[full])
+            out[full, 0] = np.clip(np.log(top / (1 - top)), -FAR, FAR)
+            out[full, 1] = np.log1p(total)
+            out[full, 2] = np.log1p(100 * total / np.diff(at)[full])
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -143,36 +157,36 @@ class Model:
         cut = np.searchsorted(text[opens], np.arange(len(texts) + 1))
         spans = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(first[opens]), pa.array(last[closes]), pa.array(peak)], names=["start", "stop", "p"]))
-        return sigmoid(self.a * self.strongest(p, at) + self.b), spans
+        return sigmoid(self.summary(p, at) @ self.judge[:-1] + self.judge[-1]), spans
 
 
-def toxic_words(columns: list[np.ndarray], y: np.ndarray, least: int = 3, ratio: float = 4.0, z: float = 3.5) -> np.ndarray:
+def toxic_features(columns: list[np.ndarray], y: np.ndarray, least: int = 4, ratio: float = 8.0, z: float = 4.0) -> np.ndarray:
     """Which columns are far more frequent in toxic documents (document frequencies)."""
-    size = (1 << HASH_BITS) + 1
-    count = [sum((np.bincount(np.unique(c), minlength=size) for c, k in zip(columns, y) if k == v), np.zeros(size)) for v in (0, 1)]
+    count = [sum((np.bincount(np.unique(c), minlength=NONE + 1) for c, k in zip(columns, y) if k == v), np.zeros(NONE + 1)) for v in (0, 1)]
     n = [max(1, int((y == v).sum())) for v in (0, 1)]
     p0, p1, p = (count[0] + 0.5) / (n[0] + 1), (count[1] + 0.5) / (n[1] + 1), (count[0] + count[1]) / (n[0] + n[1])
     deviation = (p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
-    return (count[1] >= least) & (p1 > ratio * p0) & (deviation > z)
+    out = (count[1] >= least) & (p1 > ratio * p0) & (deviation > z)
+    out[NONE] = False
+    return out
 
 
 def fit_field(column: np.ndarray, head: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 1e-4) -> Model:
     """Adam on the mean log-likelihood of the token labels."""
-    size = (1 << HASH_BITS) + 1
     before, after = context(column, head)
     chains = Chains(head)
     inner = ~head[1:]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[:-1][inner], y[1:][inner]), 1)
-    model = Model(np.zeros((3, size)), -3.0, np.zeros((2, 2)))
+    model = Model(np.zeros((3, NONE + 1)), -3.0, np.zeros((2, 2)))
     flat = [model.weights, np.array([model.bias]), model.transitions]
     moment = [(np.zeros_like(x), np.zeros_like(x)) for x in flat]
     for k in range(1, rounds + 1):
-        u = flat[0][0][column] + flat[0][1][before] + flat[0][2][after] + flat[1][0]
-        p, pairs = chains.marginals(u, flat[2])
+        p, pairs = chains.marginals(unary(flat[0], flat[1][0], column, before, after), flat[2])
         d = y - p
-        grads = [np.stack([np.bincount(c, d, size) for c in (column, before, after)]), np.array([d.sum()]), seen - pairs]
-        grads[0][1:, -1] = 0  # no neighbour: no feature
+        grads = [np.stack([np.bincount(column.ravel(), np.repeat(d, column.shape[1]), NONE + 1),
+                           np.bincount(before, d, NONE + 1), np.bincount(after, d, NONE + 1)]), np.array([d.sum()]), seen - pairs]
+        grads[0][:, NONE] = 0
         for x, g, (m, v) in zip(flat, grads, moment):
             g = g / max(1, int(y.sum())) - decay * x
             m += 0.1 * (g - m)
@@ -193,9 +207,9 @@ def fit(sample: list[tuple[str, int, np.ndarray, np.ndarray]], max_tokens: int =
     if any(len(set(y[x].tolist())) < 2 for x in (held, ~held)):
         held[:] = False
     rows = [r for r, h in zip(sample, held) if not h]
-    words = toxic_words([r[2] for r in rows], y[~held])
+    marked = toxic_features([r[2] for r in rows], y[~held])
     column, head = (np.concatenate([r[i] for r in rows]) for i in (2, 3))
-    label = np.concatenate([words[r[2]] & (r[1] == 1) for r in rows]).astype(np.int64)
+    label = np.concatenate([marked[r[2]].any(1) & (r[1] == 1) for r in rows]).astype(np.int64)
     if len(column):
         chain = np.cumsum(head) - 1
         has = np.bincount(chain, label) > 0
@@ -204,8 +218,9 @@ def fit(sample: list[tuple[str, int, np.ndarray, np.ndarray]], max_tokens: int =
         column, head, label = column[keep], head[keep], label[keep]
     model = fit_field(column, head, label)
     judged = [(r, k) for r, k, h in zip(sample, y, held) if h or not held.any()]
-    x = np.concatenate([model.strongest(model.toxic(r[2], r[3]), np.array([0, len(r[2])])) for r, _ in judged])
-    model.a, model.b = fit_sigmoid(x, np.array([k for _, k in judged]))
+    x = np.concatenate([model.summary(model.toxic(r[2], r[3]), np.array([0, len(r[2])])) for r, _ in judged])
+    model.judge = fit_logistic(x, np.array([k for _, k in judged]))
+    model.weights = model.weights.astype(np.float32)
     return model
 
 
@@ -213,35 +228,36 @@ def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "t", BLOCK_BYTES):
             column, at, head, _, _ = tokens(batch.column("t"))
-            lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x)) for x in (column.astype(np.int32), head)]
+            wide = column.shape[1]
+            lists = [pa.ListArray.from_arrays(pa.array(at * wide, pa.int32()), pa.array(column.ravel())),
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(head))]
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), *lists], names=["id", "y", "c", "h"])
 
     sample = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
     rows = sample.mapInArrow(run, "id string, y int, c array<int>, h array<boolean>").toArrow()
-    columns = [c.values.to_numpy().astype(np.int64) for chunk in rows["c"].chunks for c in chunk]
+    columns = [c.values.to_numpy().reshape(-1, 1 + len(PREFIXES)) for chunk in rows["c"].chunks for c in chunk]
     heads = [c.values.to_numpy(zero_copy_only=False).astype(bool) for chunk in rows["h"].chunks for c in chunk]
     return fit(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), columns, heads)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
-                   per_class: int = PER_CLASS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   per_class: int = PER_CLASS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with held_out, score, predicted, and spans: byte ranges of toxic words
-    with their largest marginal (start, stop, p; array of structs)."""
+    with their largest marginal (start, stop, p; array of structs). ``carry``: the input columns to keep
+    (default: all)."""
     model = shared(docs.sparkSession, train(docs, labels, label, folds, held_out, per_class, id_col, text_col))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()), T.StructField("p", T.DoubleType())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model()
-        for batch in text_blocks(batches, "t", BLOCK_BYTES):
-            if m is None:
-                none = pa.array([[]] * len(batch), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())])))
-                scores, spans = np.zeros(len(batch)), none
-            else:
-                scores, spans = m.score(batch.column("t"))
-            yield with_columns(batch, {"s": pa.array(scores), "x": spans})
-
-    rows = packed(docs, id=col(id_col), t=col(text_col))
-    rows = rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("s", T.DoubleType()), T.StructField("x", span)]))
-    return unpacked(rows, docs.columns, {
+    def score(texts: pa.Array, m: Model | None) -> dict[str, pa.Array]:
+        if m is None:
+            none = pa.array([[]] * len(texts), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())])))
+            return {"s": pa.array(np.zeros(len(texts))), "x": none}
+        scores, spans = m.score(texts)
+        return {"s": pa.array(scores), "x": spans}
+
+    columns = carried(docs, carry)
+    rows = packed(docs, columns, text_col, id=col(id_col))
+    rows = map_texts(rows, text_col in columns, {"s": T.DoubleType(), "x": span}, BLOCK_BYTES, score, model)
+    return unpacked(rows, columns, {
         "held_out": fold(F.col("id"), folds) == held_out, "score": F.col("s"),
-        "predicted": (F.col("s") >= threshold).cast("int"), "spans": F.col("x")})
+        "predicted": (F.col("s") >= threshold).cast("int"), "spans": F.col("x")}, text_col)

@@ -76,6 +76,27 @@ def hash_words(words: pa.Array) -> np.ndarray:
     return run_hashes(np.frombuffer(data, np.uint8)[at[0]:at[-1]], at[:-1] - at[0])
 
 
+def prefix_hashes(words: pa.Array, lengths: list[int]) -> np.ndarray:
+    """64-bit hashes of the prefixes of so many characters of each word, or 0 where the word isn't
+    longer. One row per word, one column per length."""
+    out = np.zeros((len(words), len(lengths)), np.uint64)
+    if not len(words):
+        return out
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    place = np.arange(len(raw)) - np.repeat(at[:-1], np.diff(at))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * POWERS[place & 4095])))
+    chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    first = np.searchsorted(chars, at)
+    for k, n in enumerate(lengths):
+        longer = first[:-1] + n < first[1:]
+        end = chars[first[:-1][longer] + n]
+        out[longer, k] = total[end] - total[at[:-1][longer]]
+    return out
+
+
 def token_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all tokens (runs of one class) of all texts in a row, and where each text's
     tokens start."""
