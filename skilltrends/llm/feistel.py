@@ -48,6 +48,8 @@ def permute_once(v: Column, n: int, seed: int, inverse: bool = False) -> Column:
 def longest_walk(spark: SparkSession, n: int, seed: int, inverse: bool = False) -> int:
     """The most passes any value can need. A walk leaves 0..n-1 only through the left-over
     cells, of which there are fewer than a (about the root of n); follow those alone."""
+    if n < 2:
+        return 1
     a, b = rectangle(n)
     left = spark.range(n, max(n, a * b)).select(F.col("id").alias("v"))
     passes = 1
