@@ -328,4 +328,5 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, cell_
     roots = component_table(keys, most, cell_rows)
     by_fp = keys.groupBy("fp").agg(best.alias("best")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     kept = stored(by_fp.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best")["uid"].alias("uid")), "kept")
-    return unpacked(rows.join(kept, "uid", "left_semi"), docs.columns, {}, text_col)
+    # as many rows as documents: never a broadcast, at no size
+    return unpacked(rows.join(kept.hint("shuffle_merge"), "uid", "left_semi"), docs.columns, {}, text_col)
