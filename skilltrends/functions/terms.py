@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 from .text import py_strip
 
 
+# Case folding, classes and \\b in Unicode, whatever the JDK's default.
+FLAGS = "(?iU)"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def any_pattern(patterns: list[str]) -> str:
     """One case-insensitive alternation equivalent to trying each pattern in turn."""
-    return "(?i)(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+    return FLAGS + "(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
 
 
 def has_null_item(arr) -> Column:
@@ -39,13 +43,14 @@ def remove_matching(arr, patterns: list[str]) -> Column:
     return F.when(has_null_item(arr), arr).otherwise(kept)
 
 
-def first_match_case(x: Column, rules: list[tuple[str, str]]) -> Column:
-    """The replacement of the first rule whose pattern is found in ``x``, else ``x``."""
+def first_match_case(x: Column, rules: list[tuple[str, str]], default: Column | None = ...) -> Column:
+    """The replacement of the first rule whose pattern is found in ``x``, else ``default`` (``x``)."""
     expr = None
     for pattern, replacement in rules:
-        cond = x.rlike("(?i)" + pattern)
+        cond = x.rlike(FLAGS + pattern)
         expr = F.when(cond, F.lit(replacement)) if expr is None else expr.when(cond, F.lit(replacement))
-    return x if expr is None else expr.otherwise(x)
+    other = x if default is ... else F.lit(default)
+    return other if expr is None else expr.otherwise(other)
 
 
 def map_first_match(arr, rules: list[tuple[str, str]]) -> Column:

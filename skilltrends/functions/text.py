@@ -16,19 +16,14 @@ def _col(c) -> Column:
 PY_WS = r"[\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
 STRIP_RX = rf"^{PY_WS}+|{PY_WS}+$"
 
-# A run of markup that produces no text: comments, script/style/template bodies,
-# doctype/declarations and tags. Script bodies may hold tag-like strings, so they
-# are consumed whole before plain tags are.
-MARKUP_RUN_RX = (
-    r"(?is)(?:<!--.*?-->|<(?:script|style|template)\b.*?</(?:script|style|template)\s*>"
-    r"|<![^>]*>|</?[a-z][^>]*>)+"
+# One construct of markup that produces no text: a comment, a script/style/template with its body, a
+# declaration or a tag. Script bodies may hold tag-like strings, so they are consumed whole before
+# plain tags are. No group is repeated: Java's matcher recurses once per turn of such a loop.
+MARKUP_RX = (
+    r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>|<![^>]*>|</?[a-z][^>]*>"
 )
-
-# Named entities decoded after markup removal (``&amp;`` last so ``&amp;lt;`` stays ``&lt;``).
-ENTITIES: list[tuple[str, str]] = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
-]
+# Stands for one construct until runs of them become one space; a noncharacter, never in a text.
+MARK = "\ufdd0"
 
 NEWLINE_RUN_RX = rf"{PY_WS}*\n+{PY_WS}*"
 
@@ -41,32 +36,28 @@ def lower_strip(c) -> Column:
     return py_strip(F.lower(_col(c)))
 
 
-def decode_entities(c) -> Column:
-    out = _col(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
-def _unescape_udf():
+def _unescape(c: Column) -> Column:
     @F.pandas_udf("string")
     def unescape(s: pd.Series) -> pd.Series:
         import html
         return s.map(lambda x: None if x is None else html.unescape(x))
 
-    return unescape
+    return unescape(c)
 
 
-def html_to_text(c, full_entities: bool = False) -> Column:
-    """Visible text of an HTML fragment: text nodes joined by one space, then stripped.
+def decode_entities(c) -> Column:
+    """Every named and numeric character reference decoded by the standard library, in Arrow batches;
+    only texts that hold an ``&`` are sent there."""
+    c = _col(c)
+    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+
 
-    Newlines inside text nodes are kept (passage splitting depends on them). Entities:
-    by default the common named ones (JVM-side); ``full_entities=True`` decodes every
-    named and numeric character reference with the standard library, in Arrow batches.
-    """
-    no_markup = F.regexp_replace(_col(c), MARKUP_RUN_RX, " ")
-    decoded = _unescape_udf()(no_markup) if full_entities else decode_entities(no_markup)
-    return py_strip(decoded)
+def html_to_text(c) -> Column:
+    """Visible text of an HTML fragment: text nodes joined by one space, entities decoded, then stripped.
+
+    Newlines inside text nodes are kept (passage splitting depends on them)."""
+    marked = F.regexp_replace(_col(c), MARKUP_RX, MARK)
+    return py_strip(decode_entities(F.regexp_replace(marked, f"{MARK}++", " ")))
 
 
 def squeeze_newlines(c) -> Column:
@@ -98,7 +89,3 @@ def token_count(c, pattern: str = TOKEN_RX) -> Column:
     c = _col(c)
     return F.coalesce(F.size(F.regexp_extract_all(c, F.lit(pattern), 0)), F.lit(0))
 
-
-def word_tokens(c) -> Column:
-    """Lower-case letter runs of length >= 2 (the passage vocabulary)."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"\p{L}{2,}"), 0)

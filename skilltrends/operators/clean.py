@@ -1,8 +1,7 @@
 """Term cleaning: removal, rule mapping, stop-lists, aliases, date stamping.
 
-Small rule sets become literal per-row expressions (no join, no shuffle). Rule
-*tables* of unknown length go through :func:`map_terms_by_table`, which maps the
-distinct terms only, against a broadcast rule table whose row count is checked.
+Rule sets, in code or in files, become literal per-row expressions (no join, no shuffle). A rule
+*table* goes through :func:`map_terms_by_table`, which checks its row count first.
 """
 
 from __future__ import annotations
@@ -13,8 +12,8 @@ from pyspark.sql import functions as F
 from .. import rules as R
 from ..functions import terms as T
 
-# A rule table above this many rows is matched in chunks of this size.
-MAX_BROADCAST_RULES = 100_000
+# The most rules that a rule table may hold.
+MAX_RULES = 10_000
 
 
 def remove_terms(df: DataFrame, col: str = "cleaned_techs",
@@ -54,50 +53,25 @@ def rules_frame(spark, rules: list[tuple[str, str]]) -> DataFrame:
                                  "rank INT, pattern STRING, replacement STRING")
 
 
-def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``small`` only after counting it; raise when it is too large."""
-    n = small.count()
-    if n > max_rows:
-        raise ValueError(f"table has {n} rows, above the broadcast bound {max_rows}")
-    return F.broadcast(small)
-
-
-def _best_rule(distinct_terms: DataFrame, rules: DataFrame) -> DataFrame:
-    """(_t, _rank, _rep): the lowest-rank rule matching each term (rules broadcast)."""
-    return (distinct_terms.join(F.broadcast(rules), F.expr("_t rlike concat('(?i)', pattern)"), "inner")
-            .groupBy("_t")
-            .agg(F.min_by(F.struct("rank", "replacement"), "rank").alias("_b"))
-            .select("_t", F.col("_b.rank").alias("_rank"), F.col("_b.replacement").alias("_rep")))
+def read_rules(rules: DataFrame, max_rules: int = MAX_RULES) -> list[tuple[str, str]]:
+    """(pattern, replacement) pairs in rank order. Rules are configuration: more than ``max_rules`` of
+    them is an error, so what reaches the driver is bounded."""
+    rows = rules.select("rank", "pattern", "replacement").limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        raise ValueError(f"more than {max_rules} rules")
+    return [(r["pattern"], r["replacement"]) for r in sorted(rows, key=lambda r: r["rank"])]
 
 
 def map_terms_by_table(terms: DataFrame, rules: DataFrame, term_col: str = "term",
-                       max_rules: int = MAX_BROADCAST_RULES) -> DataFrame:
+                       max_rules: int = MAX_RULES, per_case: int = 200) -> DataFrame:
     """Add ``mapped``: replacement of the lowest-rank rule matching ``term``, else ``term``.
 
-    ``terms`` is one row per term occurrence. Only the distinct terms meet the rules
-    (a nested-loop join against the broadcast rule table); the result joins back on
-    the term, where AQE handles a hot term by splitting its partition.
-
-    A rule table above ``max_rules`` rows is split by a hash of the rank into chunks of
-    about ``max_rules / 2`` rules, each broadcast on its own; the lowest-rank hit over all
-    chunks wins, so the result is the same as with one table (any split of the rules is).
-    """
-    distinct_terms = terms.select(F.col(term_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
-    r = rules.select("rank", "pattern", "replacement")
-    n = r.count()
-    if n <= max_rules:
-        hits = _best_rule(distinct_terms, r)
-    else:
-        n_chunks = -(-2 * n // max_rules)
-        chunked = r.withColumn("_chunk", F.pmod(F.hash("rank"), F.lit(n_chunks)))
-        parts = [_best_rule(distinct_terms, chunked.where(F.col("_chunk") == c).drop("_chunk"))
-                 for c in range(n_chunks)]
-        from functools import reduce
-        allhits = reduce(lambda a, b: a.unionByName(b), parts)
-        hits = (allhits.groupBy("_t").agg(F.min_by(F.struct("_rank", "_rep"), "_rank").alias("_b"))
-                .select("_t", F.col("_b._rank").alias("_rank"), F.col("_b._rep").alias("_rep")))
-    out = terms.join(hits, terms[term_col] == hits["_t"], "left")
-    return out.withColumn("mapped", F.coalesce(F.col("_rep"), F.col(term_col))).drop("_t", "_rank", "_rep")
+    ``terms`` is one row per term occurrence. The rules become literal expressions of ``per_case`` rules
+    each, tried in rank order per row: no join, no shuffle, and a frequent term is no hot key."""
+    pairs = read_rules(rules, max_rules)
+    term = F.col(term_col)
+    cases = [T.first_match_case(term, pairs[i:i + per_case], None) for i in range(0, len(pairs), per_case)]
+    return terms.withColumn("mapped", F.coalesce(*cases, term))
 
 
 def terms_from_choices(df: DataFrame, choices_col: str = "choices",

@@ -1,40 +1,46 @@
 """Term extraction and merging of extractor responses.
 
-* Dictionary extraction: 1- and 2-word n-grams of each text meet a broadcast alias
-  dictionary (a bounded configuration table); counts per (text, canonical term).
-* Pluggable extractor: any Python callable ``str -> list[str]`` run with
-  ``mapInPandas``, retried per row up to ``max_attempts``; rows that keep failing
-  carry their error texts in ``result`` instead of failing the job.
-* Merge: response fields win over posting fields of the same name; ``metadata`` dropped.
+* Dictionary extraction: aliases are tokenised like the texts; the n-grams of each text, as long as the
+  longest alias, meet the alias table; counts per (text, canonical term).
+* Pluggable extractor: a Python callable for one text or for a batch of texts, run in Arrow batches over
+  (id, text) only, retried up to ``max_attempts``; rows that keep failing carry their error texts in
+  ``result`` instead of failing the job.
+* Merge: response fields win over posting fields of the same name; ``metadata`` dropped; a posting
+  without a response stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules as R
 from ..functions.terms import parse_bracket_list
+from .joins import split_join
 
-WORD_RX = r"[\p{L}\p{N}_]+"
+# A word with the marks that technology names carry inside or at the end: node.js, c++, c#.
+WORD_RX = r"[\p{L}\p{N}_]+(?:[.][\p{L}\p{N}_]+)*(?:[+]+|#)?"
 
 
 def words(text_col: str = "text") -> F.Column:
     return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RX), 0)
 
 
-def ngrams(words_col: str = "_words") -> F.Column:
-    """Words and adjacent word pairs, from a column holding the word array (staged as a
-    column so the extraction runs once per row, not once per use)."""
+def ngrams(words_col: str, longest: int) -> F.Column:
+    """Runs of 1 to ``longest`` adjacent words joined by one space, from a column holding the word array
+    (staged as a column so the extraction runs once per row, not once per use)."""
     w = F.col(words_col)
-    n = F.size(w)
-    pairs = F.when(n > 1, F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1),
-                                     lambda a, b: F.concat(a, F.lit(" "), b)))
-    return F.concat(w, F.coalesce(pairs, F.array().cast("array<string>")))
+
+    def runs(n: int) -> F.Column:
+        at = F.sequence(F.lit(1), F.size(w) - (n - 1))
+        some = F.when(F.size(w) >= n, F.transform(at, lambda i: F.array_join(F.slice(w, i, n), " ")))
+        return F.coalesce(some, F.array().cast("array<string>"))
+
+    return F.concat(w, *[runs(n) for n in range(2, longest + 1)])
 
 
 def dictionary_frame(spark, aliases: dict[str, list[str]]) -> DataFrame:
@@ -42,53 +48,74 @@ def dictionary_frame(spark, aliases: dict[str, list[str]]) -> DataFrame:
 
 
 def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_id",
-                          text_col: str = "text", max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(key, term, n_mentions). The (alias, term) dictionary is broadcast when its counted
-    size is under the bound (the n-gram side is never shuffled then); a larger one is
-    joined by shuffle, where AQE splits hot n-grams."""
+                          text_col: str = "text") -> DataFrame:
+    """(key, term, n_mentions). ``dictionary`` is (alias, term); an alias of any number of words matches
+    where its words follow one another. The join is left to the table's measured size: a
+    dictionary is small and is broadcast; a large one is joined by shuffle, where a hot n-gram is split."""
+    d = dictionary.select(words("alias").alias("_w"), "term").where(F.size("_w") > 0)
+    longest = d.agg(F.max(F.size("_w"))).first()[0] or 1
+    d = d.select(F.array_join("_w", " ").alias("alias"), "term")
     staged = df.select(key, words(text_col).alias("_words"))
-    grams = staged.select(key, F.explode(ngrams("_words")).alias("alias"))
-    d = dictionary.select("alias", "term")
-    side = F.broadcast(d) if d.count() <= max_broadcast_rows else d
-    hits = grams.join(side, "alias", "inner")
+    grams = staged.select(key, F.explode(ngrams("_words", longest)).alias("alias"))
+    hits = grams.join(d, "alias", "inner")
     return hits.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n_mentions"))
 
 
-def extract_with(df: DataFrame, fn: Callable[[str], list[str]], text_col: str = "split_jd",
+def each(fn: Callable[[str], list[str]]) -> Callable[[list[str]], list]:
+    """A batch extractor from one for single texts; a text that raises gives the exception itself."""
+    def batch(texts: list[str]) -> list:
+        out = []
+        for t in texts:
+            try:
+                out.append([str(x) for x in fn(t)])
+            except Exception as e:  # kept as data, the row is not lost
+                out.append(e)
+        return out
+    return batch
+
+
+def extract_with(df: DataFrame, fn: Callable[[list[str]], list], key: str = "doc_id", text_col: str = "split_jd",
                  max_attempts: int = R.MAX_ATTEMPTS) -> DataFrame:
-    """Add ``cleaned_techs`` (fn's answer) or, after ``max_attempts`` failures, ``result``
-    (the error texts). ``fn`` runs once per row inside Arrow batches."""
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("cleaned_techs", T.ArrayType(T.StringType())),
-        T.StructField("result", T.ArrayType(T.StringType()))])
+    """(key, cleaned_techs, result): the extractor's answer or, after ``max_attempts`` failures, the error
+    texts. ``fn`` takes the texts of a batch that have no answer yet and gives for each a list of
+    terms or an exception (:func:`each` makes one from a function of one text)."""
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField(key, kind), T.StructField("cleaned_techs", T.ArrayType(T.StringType())),
+                           T.StructField("result", T.ArrayType(T.StringType()))])
 
     def run(batches):
-        for pdf in batches:
-            terms, errors = [], []
-            for text in pdf[text_col]:
-                errs: list[str] = []
-                got = None
-                for _ in range(max_attempts):
-                    try:
-                        got = [str(t) for t in fn(text)]
-                        break
-                    except Exception as e:  # kept as data, the row is not lost
-                        errs.append(f"{type(e).__name__}: {e}")
-                terms.append(got)
-                errors.append(None if got is not None else errs)
-            out = pdf.copy()
-            out["cleaned_techs"] = pd.Series(terms, index=pdf.index, dtype=object)
-            out["result"] = pd.Series(errors, index=pdf.index, dtype=object)
-            yield out
-
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            terms, errors, left = [None] * len(texts), [[] for _ in texts], list(range(len(texts)))
+            for _ in range(max_attempts):
+                for i, got in zip(left, fn([texts[i] for i in left])):
+                    if isinstance(got, Exception):
+                        errors[i].append(f"{type(got).__name__}: {got}")
+                    else:
+                        terms[i] = got
+                left = [i for i in left if terms[i] is None]
+                if not left:
+                    break
+            strings = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(terms, strings),
+                 pa.array([None if t is not None else e for t, e in zip(terms, errors)], strings)],
+                names=[key, "cleaned_techs", "result"])
+
+    return df.select(key, text_col).mapInArrow(run, schema)
 
 
 def merge_response(base: DataFrame, response: DataFrame, key: str) -> DataFrame:
-    """Posting fields plus response fields; on a name clash the response wins."""
-    resp_cols = [c for c in response.columns if c != key]
-    base_cols = [c for c in base.columns if c not in resp_cols]
-    merged = base.select(*base_cols).join(response, key, "inner")
+    """Posting fields plus response fields; on a name clash the response wins. A posting without a
+    response keeps its own fields; of several responses to one key one is taken (the first in the
+    order of their fields), so no posting is repeated."""
+    rest = [c for c in response.columns if c != key]
+    fields = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_"))
+    one = response.groupBy(key).agg(F.min(fields).alias("_r"))
+    merged = split_join(base, one, key, "left")
+    kept = [F.coalesce(F.col("_r")[c], F.col(c)).alias(c) if c in rest else F.col(c) for c in base.columns]
+    added = [F.col("_r")[c].alias(c) for c in rest if c not in base.columns]
+    merged = merged.select(*kept, *added)
     return merged.drop("metadata") if "metadata" in merged.columns else merged
 
 

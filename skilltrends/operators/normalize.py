@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..functions import text as X
+from .joins import split_join
 
 
 def _col(c) -> Column:
@@ -86,7 +87,7 @@ def fill_keywords(items: DataFrame, key: str = "job_key", kw_col: str = "keyword
     """Replace each item's keyword list by the union over all items with its key."""
     union = keyword_union(items, key, kw_col)
     own = F.col(kw_col) if dict(items.dtypes)[kw_col].startswith("array") else F.array(kw_col)
-    return (items.join(union, key, "left")
+    return (split_join(items, union, key, "left")
             .withColumn(kw_col, F.coalesce(F.col("keywords"), own)).drop("keywords"))
 
 
@@ -101,11 +102,13 @@ def first_seen(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
 
 # --- search paging ------------------------------------------------------------
 
-def page_offsets(num_results, page_size: int = R.PAGE_SIZE, threshold: int = R.HIT_THRESHOLD,
+def page_offsets(num_results, page_size: int = R.PAGE_SIZE, threshold: int | None = None,
                  capped: int = R.CAPPED_HITS) -> Column:
-    """Offsets 0, 10, ... < n + 10 (n above ``threshold`` counts as ``capped``)."""
+    """Offsets 0, 10, ... < n + 10. With ``threshold`` (the reference passes ``R.HIT_THRESHOLD``) a number
+    of hits above it counts as ``capped``; without it every page is planned."""
     n = _col(num_results)
-    n = F.when(n > F.lit(threshold), F.lit(capped)).otherwise(n)
+    if threshold is not None:
+        n = F.when(n > F.lit(threshold), F.lit(capped)).otherwise(n)
     return F.sequence(F.lit(0), n + F.lit(page_size - 1), F.lit(page_size))
 
 

@@ -21,10 +21,6 @@ def embedded_blob(html, pattern: str) -> Column:
     return F.try_parse_json(raw)
 
 
-def with_blob(df: DataFrame, pattern: str, html_col: str = "html", out_col: str = "blob") -> DataFrame:
-    return df.withColumn(out_col, embedded_blob(html_col, pattern))
-
-
 def endpoint_from_url(url, patterns: list[str]) -> Column:
     """Group 1 of the first of ``patterns`` matching the URL, else NULL."""
     return X.first_group(url, patterns, 1)

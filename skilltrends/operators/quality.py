@@ -16,14 +16,17 @@ def reconcile(inputs: DataFrame, outputs: DataFrame, by: str) -> DataFrame:
             .withColumn("consistent", F.col("n_in") == F.col("n_out"))
 
 
-def run_status(df: DataFrame, by: str, failed: Column, rate_limited: Column | None = None) -> DataFrame:
-    """started / succeeded / failed (/ rate_limited) counters per group."""
-    aggs = [F.count(F.lit(1)).alias("started"),
-            F.count_if(~failed).alias("succeeded"),
-            F.count_if(failed).alias("failed")]
-    if rate_limited is not None:
-        aggs.append(F.count_if(rate_limited).alias("rate_limited"))
-    return df.groupBy(by).agg(*aggs)
+def run_status(df: DataFrame, by: str, failed: Column, rate_limited: Column | None = None,
+               api_error: Column | None = None) -> DataFrame:
+    """Per group: started, succeeded, failed, and of the failed ones rate_limited, api_errors (other
+    errors of the service) and other_errors. A NULL condition counts as false."""
+    bad, none = F.coalesce(failed, F.lit(False)), F.lit(False)
+    limited = bad & F.coalesce(rate_limited if rate_limited is not None else none, none)
+    api = bad & ~limited & F.coalesce(api_error if api_error is not None else none, none)
+    return df.groupBy(by).agg(
+        F.count(F.lit(1)).alias("started"), F.count_if(~bad).alias("succeeded"), F.count_if(bad).alias("failed"),
+        F.count_if(limited).alias("rate_limited"), F.count_if(api).alias("api_errors"),
+        F.count_if(bad & ~limited & ~api).alias("other_errors"))
 
 
 def split_quarantine(df: DataFrame, bad: Column, reason: Column) -> tuple[DataFrame, DataFrame]:

@@ -1,7 +1,7 @@
 """Passage relevance classifier with MLlib.
 
-Training data: documents with a 0/1 label. Pipeline: regex tokens -> CountVectorizer
-(vocabulary bounded by ``vocab_size``) -> IDF -> L2 Normalizer -> LogisticRegression.
+Training data: documents with a 0/1 label. Pipeline: regex tokens -> HashingTF (2**18 columns, a
+documented width; every token counts, none is cut off) -> IDF -> L2 Normalizer -> LogisticRegression.
 A decision threshold below 0.5 favours recall (few relevant passages missed).
 The fitted pipeline is saved to / loaded from shared storage with ``PipelineModel``.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,21 +19,21 @@ from .select_text import TOKEN_RX
 
 
 def relevance_pipeline(text_col: str = "text", label_col: str = "label",
-                       vocab_size: int = 1 << 18, threshold: float = 0.35,
+                       width: int = 1 << 18, threshold: float = 0.35,
                        max_iter: int = 25, reg: float = 0.01) -> Pipeline:
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_RX,
                          gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=vocab_size, minDF=1.0)
+    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=width)
     idf = IDF(inputCol="_tf", outputCol="_tfidf")
     norm = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)
     lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
                             regParam=reg, threshold=threshold)
-    return Pipeline(stages=[tok, cv, idf, norm, lr])
+    return Pipeline(stages=[tok, tf, idf, norm, lr])
 
 
 def train(df: DataFrame, **kw) -> PipelineModel:
     """Fit the pipeline. The tokenised input is persisted (memory and disk, recomputable
-    from lineage) while the vocabulary, idf and classifier passes run over it, so the
+    from lineage) while the idf and classifier passes run over it, so the
     regex tokenisation of the texts runs once instead of once per fitted stage."""
     from pyspark import StorageLevel
     stages = relevance_pipeline(**kw).getStages()
@@ -62,17 +62,21 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
                       p1.alias("p_relevant"))
 
 
+def columns_of(tokens: DataFrame, width: int = 1 << 18) -> DataFrame:
+    """(token, column): the hashed column of each token of a (token) table of distinct tokens."""
+    tf = HashingTF(inputCol="_t", outputCol="_v", numFeatures=width)
+    hashed = tf.transform(tokens.select("token", F.array("token").alias("_t")))
+    place = F.array_position(vector_to_array("_v"), F.lit(1.0)) - F.lit(1)
+    return hashed.select("token", place.cast("int").alias("column"))
+
+
 def model_tables(spark: SparkSession, model: PipelineModel) -> tuple[DataFrame, DataFrame, float]:
-    """The fitted pipeline as tables for relational scoring: (token, idf), (token, coef)
-    and the intercept. Both tables have at most ``vocab_size`` rows (a model parameter).
-
-    ``select_text.linear_scores`` over these tables gives the classifier's margin: the
-    vocabulary drops unknown tokens, the L2 norm runs over known tokens, like the
-    pipeline's Normalizer."""
-    cv, idf_model, lr = model.stages[1], model.stages[2], model.stages[-1]
-    vocab = list(cv.vocabulary)
-    idf = idf_model.idf.toArray().tolist()
-    coefs = lr.coefficients.toArray().tolist()
-    idf_t = spark.createDataFrame(list(zip(vocab, idf)), "token STRING, idf DOUBLE")
-    coef_t = spark.createDataFrame(list(zip(vocab, coefs)), "token STRING, coef DOUBLE")
+    """The fitted pipeline as tables for relational scoring: (column, idf), (column, coef) and the
+    intercept. Both tables have ``width`` rows (a model parameter).
+
+    ``select_text.linear_scores`` over them, with term counts per hashed column
+    (:func:`columns_of`), gives the classifier's margin."""
+    idf_model, lr = model.stages[2], model.stages[-1]
+    idf_t = spark.createDataFrame(enumerate(idf_model.idf.toArray().tolist()), "column INT, idf DOUBLE")
+    coef_t = spark.createDataFrame(enumerate(lr.coefficients.toArray().tolist()), "column INT, coef DOUBLE")
     return idf_t, coef_t, float(lr.intercept)

@@ -3,12 +3,10 @@
 passages -> tokens -> TF-IDF -> linear relevance score -> keep relevant -> ordered
 concat -> newline squeeze -> drop near-empty. All steps are DataFrame operators.
 
-Shuffles: the corpus is hash-partitioned on the document key once (``by_document``);
-term counts, passage scores, the norm window and the per-document re-assembly (a
-document's own passages, bounded by its text) are keyed by the document first and need
-no further exchange. Fitting the idf model is one aggregation by token, partially
-aggregated before its shuffle; the fitted model is broadcast when its counted size is
-under a bound.
+Shuffles: passages, tokens and their counts are made inside the row that holds the text. Fitting the
+idf model shuffles tokens, partially counted; scoring joins (unit, token, count) rows with the model's
+tables and sums to one number per passage. Text moves only where it is the result: the passages
+meet their scores, and the kept ones of a document are put together.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import scratch_path
 
 # Token pattern of the passage vocabulary: runs of 2+ letters/digits/underscore.
 TOKEN_RX = r"[\p{L}\p{N}_]{2,}"
@@ -27,18 +26,12 @@ def split_count(text_col: str = "text", n: int = 5):
     return F.floor(X.count_newlines(text_col) / F.lit(n)).cast("int")
 
 
-def passage_pattern(k):
-    """``k`` consecutive non-empty lines (the regex form of :func:`passage_blocks`)."""
-    return F.concat(F.lit("[^\n]+"), F.repeat(F.lit("\n[^\n]+"), k - F.lit(1)))
-
-
-def passage_blocks(text, k):
+def passage_blocks(text, k, remainder: str = "keep"):
     """All non-overlapping runs of ``k`` consecutive non-empty lines, left to right.
 
-    Equal to ``regexp_extract_all(text, passage_pattern(k))`` but linear in the text:
-    the text is cut into blocks at blank lines, each block into lines, and each block
-    yields floor(lines / k) passages (its remainder is dropped). The regex form re-scans
-    the remainder from every character, which is quadratic on long documents.
+    The text is cut into blocks at blank lines, each block into lines, and each block into runs of
+    ``k`` lines: linear in the text. The lines left at a block's end are a last, shorter passage
+    (``remainder='keep'``) or are left out (``'drop'``, the reference's rule).
 
     ``text`` and ``k`` must be plain column references: a lambda re-evaluates any outer
     expression for every element.
@@ -50,77 +43,80 @@ def passage_blocks(text, k):
     block_lines = F.transform(blocks, lambda b: F.split(b, "\n", -1))
 
     def cut(lines):
-        m = F.floor(F.size(lines) / k).cast("int")
-        idx = F.when(m > 0, F.sequence(F.lit(0), m - F.lit(1))).otherwise(F.array().cast("array<int>"))
+        n = F.ceil(F.size(lines) / k) if remainder == "keep" else F.floor(F.size(lines) / k)
+        idx = F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - F.lit(1))).otherwise(F.array().cast("array<int>"))
         return F.transform(idx, lambda i: F.array_join(F.slice(lines, i * k + F.lit(1), k), "\n"))
 
     return F.flatten(F.transform(block_lines, cut))
 
 
 def passages(df: DataFrame, key: str = "doc_id", text_col: str = "text", n: int = 5,
-             short_docs: str = "drop", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(key, pos, passage): non-overlapping runs of k = newlines // n non-empty lines,
-    left to right; the remainder of a run (< k lines) is dropped.
+             short_docs: str = "whole", remainder: str = "keep", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, pos, passage): non-overlapping runs of k = newlines // n non-empty lines, left to right.
 
-    Documents with k = 0 are dropped (``short_docs='drop'``) or kept as one passage
-    (``short_docs='whole'``).
+    Documents with k = 0 are one passage (``short_docs='whole'``); lines left at the end of a block are a
+    last passage (``remainder='keep'``), so no line is lost. ``short_docs='drop'`` and
+    ``remainder='drop'`` give the reference's rule, which leaves both out. A NULL text has no passage.
     """
+    if short_docs not in ("whole", "drop") or remainder not in ("keep", "drop"):
+        raise ValueError((short_docs, remainder))
     staged = df.select(key, *keep, text_col, split_count(text_col, n).alias("_k"))
-    blocks = F.when(F.col("_k") > 0, passage_blocks(text_col, "_k"))
+    blocks = F.when(F.col("_k") > 0, passage_blocks(text_col, "_k", remainder))
     if short_docs == "whole":
-        blocks = F.coalesce(blocks, F.array(F.col(text_col)))
-    elif short_docs != "drop":
-        raise ValueError(short_docs)
+        blocks = F.coalesce(blocks, F.when(F.col(text_col).isNotNull(), F.array(F.col(text_col))))
     return staged.select(key, *keep, F.posexplode(blocks).alias("pos", "passage"))
 
 
+def token_array(text_col: str = "passage"):
+    """Lower-case tokens of a text, in order."""
+    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RX), 0)
+
+
 def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
     """(keys..., token): one row per token occurrence (lower-cased)."""
-    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RX), 0)
-    return p.select(*keys, F.explode(toks).alias("token"))
+    return p.select(*keys, F.explode(token_array(text_col)).alias("token"))
 
 
-def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token",
-              max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Replace each token by its lemma from a (token, lemma) table; unknown tokens stay.
-
-    A lemma table is a language resource of bounded size: it is broadcast after its row
-    count is checked, otherwise joined by shuffle (AQE splits a hot token)."""
+def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token") -> DataFrame:
+    """Replace each token by its lemma from a (token, lemma) table; unknown tokens stay. Whether the
+    table is broadcast is left to its measured size; in a shuffled join a hot token is split."""
     table = lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma"))
-    n = table.count()
-    side = F.broadcast(table) if n <= max_broadcast_rows else table
-    out = tokens.join(side, tokens[token_col] == F.col("_lt"), "left")
+    out = tokens.join(table, tokens[token_col] == F.col("_lt"), "left")
     return out.withColumn(token_col, F.coalesce(F.col("_lemma"), F.col(token_col))).drop("_lt", "_lemma")
 
 
 def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
-    """(keys..., token, tf): one row per distinct token of each unit.
+    """(keys..., token, tf): one row per distinct token of each unit, counted inside its row: the tokens
+    are sorted and each run's end less the end before it is the count. No shuffle."""
+    def runs(s):
+        ends = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == F.size(s)) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.transform(F.array(ends), lambda e: F.zip_with(
+            e, F.concat(F.array(F.lit(0)), F.slice(e, 1, F.greatest(F.size(e) - 1, F.lit(0)))),
+            lambda end, before: F.struct(F.get(s, end - 1).alias("token"), (end - before).cast("long").alias("tf"))))[0]
 
-    The aggregation is keyed by the unit first: input hash-partitioned on the document
-    key (``by_document``) needs no exchange for it."""
-    return passage_tokens(p, keys, text_col).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
+    counted = F.transform(F.array(F.array_sort(token_array(text_col))), lambda s: F.when(F.size(s) > 0, runs(s)))[0]
+    return p.select(*keys, F.explode(counted).alias("_t")).select(*keys, "_t.token", "_t.tf")
 
 
 # The empty string is never a token; its document frequency counts the units.
 _UNITS = ""
 
 
-def fit_idf(p: DataFrame, text_col: str = "passage", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def fit_idf(p: DataFrame, text_col: str = "passage") -> DataFrame:
     """Fit the idf model: (token, df, idf), smooth idf = ln((1+n)/(1+df)) + 1.
 
-    One aggregation pass counts, per token, the units containing it (and, under the
-    empty token, all units). The model is materialised with a reliable checkpoint;
-    its row count decides whether scoring joins may broadcast it."""
-    toks = F.array_union(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RX), 0)),
-                         F.array(F.lit(_UNITS)))
+    One aggregation pass counts, per token, the units containing it (and, under the empty token, all
+    units); only tokens are shuffled, partially counted. The model is written below the shared
+    checkpoint folder, so later joins see its measured size."""
+    toks = F.array_union(F.array_distinct(token_array(text_col)), F.array(F.lit(_UNITS)))
     dfreq = p.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    dfreq = dfreq.checkpoint(eager=True)
-    n_units = dfreq.where(F.col("token") == F.lit(_UNITS)).select("df").first()
-    n = int(n_units[0]) if n_units else 0
-    rows = dfreq.count() - (1 if n_units else 0)
-    model = (dfreq.where(F.col("token") != F.lit(_UNITS))
-             .withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
-    return F.broadcast(model) if rows <= max_broadcast_rows else model
+    path = scratch_path(p.sparkSession, "idf")
+    dfreq.write.parquet(path)
+    dfreq = p.sparkSession.read.parquet(path)
+    units = dfreq.where(F.col("token") == F.lit(_UNITS)).select("df").first()
+    n = int(units[0]) if units else 0
+    return (dfreq.where(F.col("token") != F.lit(_UNITS))
+            .withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, keys=("doc_id", "pos")) -> DataFrame:
@@ -160,21 +156,11 @@ def assemble(kept: DataFrame, key: str = "doc_id") -> DataFrame:
             .where(F.length("split_jd") > 1))
 
 
-def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Hash-partition the corpus on the document key once. Every later aggregation keyed
-    by (document, ...) — term counts, passage scores, re-assembly — and the norm window
-    are then satisfied without another exchange (the idf model is broadcast)."""
-    return df.repartition(key)
-
-
 def scored_passages(p: DataFrame, scores: DataFrame, intercept: float, key: str = "doc_id") -> DataFrame:
-    """(key, pos, passage, score): every passage with its score (the intercept when it has
-    no token). A union + per-(key, pos) aggregate instead of a join: both inputs are
-    partitioned on ``key``, so no exchange is needed (a join would require both keys)."""
-    u = (p.select(key, "pos", "passage", F.lit(None).cast("double").alias("score"))
-         .unionByName(scores.select(key, "pos", F.lit(None).cast("string").alias("passage"), "score")))
-    per = u.groupBy(key, "pos").agg(F.max("passage").alias("passage"), F.max("score").alias("score"))
-    return per.withColumn("score", F.coalesce(F.col("score"), F.lit(float(intercept))))
+    """(key, pos, passage, score): every passage with its score (the intercept when it has no token)."""
+    s = scores.select(F.col(key).alias("_key"), F.col("pos").alias("_pos"), "score")
+    out = p.join(s, p[key].eqNullSafe(F.col("_key")) & (p["pos"] == F.col("_pos")), "left")
+    return out.select(key, "pos", "passage", F.coalesce("score", F.lit(float(intercept))).alias("score"))
 
 
 def relevant(score, threshold: float):
@@ -183,12 +169,12 @@ def relevant(score, threshold: float):
 
 def select_relevant(df: DataFrame, idf: DataFrame | None, coef: DataFrame, intercept: float,
                     threshold: float = 0.5, key: str = "doc_id", text_col: str = "text",
-                    n: int = 5, short_docs: str = "drop") -> DataFrame:
+                    n: int = 5, short_docs: str = "whole", remainder: str = "keep") -> DataFrame:
     """The whole stage: (key, split_jd) for documents with relevant passages.
 
     With ``idf=None`` the idf is fitted on the passages being scored.
     """
-    p = passages(by_document(df.select(key, text_col), key), key, text_col, n, short_docs)
+    p = passages(df.select(key, text_col), key, text_col, n, short_docs, remainder)
     tf = term_frequencies(p, (key, "pos"))
     if idf is None:
         idf = fit_idf(p)

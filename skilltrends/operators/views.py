@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import split_join
+
 
 def date_from_parts(year="year", month="month", day="day"):
     """Calendar date from integer parts (NULL for impossible dates)."""
@@ -42,23 +44,43 @@ def jobs_view(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
          .where(F.size(terms_col) > 0)
          .select(key, F.col(terms_col).alias("_terms"),
                  date_from_parts("year", "month", "day").alias("job_date")))
-    joined = p.join(keyword_sets(keywords, key, kw_col), key, "inner")
+    joined = split_join(p, keyword_sets(keywords, key, kw_col), key)
     return (joined
             .select(key, F.explode("_terms").alias("tech"), "job_date", "_kws")
             .select(key, "tech", "job_date", F.explode("_kws").alias("kw")))
 
 
+def jobs_view_weighted(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
+                       terms_col: str = "cleaned_techs", kw_col: str = "keyword") -> DataFrame:
+    """:func:`jobs_view` with ``weight``: how many keyword rows of the posting name the keyword (the days on
+    which it was seen). A plain un-nest join gives each row of this view ``weight`` times, so sums of
+    weights are its counts, without a row for every pair of days."""
+    pairs = keywords.select(key, F.explode(kw_col).alias("kw")).where(F.col("kw").isNotNull())
+    counted = pairs.groupBy(key, "kw").agg(F.count(F.lit(1)).alias("weight"))
+    per_key = counted.groupBy(key).agg(F.collect_list(F.struct("kw", "weight")).alias("_kws"))
+    p = (postings.where(F.size(terms_col) > 0)
+         .select(key, F.col(terms_col).alias("_terms"), date_from_parts("year", "month", "day").alias("job_date")))
+    return (split_join(p, per_key, key)
+            .select(key, F.explode("_terms").alias("tech"), "job_date", "_kws")
+            .select(key, "tech", "job_date", F.inline("_kws")))
+
+
 def demand_by_keyword(view: DataFrame) -> DataFrame:
     """Postings per (kw, tech). The distinct count is planned as a two-level aggregate,
     so a hot (kw, tech) pair is spread over its postings before the final count."""
     return view.groupBy("kw", "tech").agg(F.count_distinct("job_key").alias("n_postings"))
 
 
-def demand_trend(view: DataFrame) -> DataFrame:
-    """Daily postings per tech with the previous day's figure.
+def demand_trend(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
+                 terms_col: str = "cleaned_techs", kw_col: str = "keyword") -> DataFrame:
+    """Daily postings per tech with the previous day's figure, for postings found by any keyword.
 
-    The window runs on the aggregated (tech, day) rows: one row per day per tech."""
-    daily = view.groupBy("tech", "job_date").agg(F.count_distinct("job_key").alias("n_postings"))
+    Which keyword it was doesn't matter, so the keyword side is a semi join. The window runs on the
+    aggregated (tech, day) rows: one row per day per tech."""
+    named = keywords.where(F.exists(kw_col, lambda k: k.isNotNull())).select(key)
+    seen = (postings.where(F.size(terms_col) > 0).join(named, key, "left_semi")
+            .select(key, F.explode(terms_col).alias("tech"), date_from_parts("year", "month", "day").alias("job_date")))
+    daily = seen.groupBy("tech", "job_date").agg(F.count_distinct("job_key").alias("n_postings"))
     w = Window.partitionBy("tech").orderBy("job_date")
     return (daily
             .withColumn("prev_n_postings", F.lag("n_postings").over(w))
@@ -76,14 +98,15 @@ def top_terms(view: DataFrame, k: int = 3) -> DataFrame:
 
 
 def fanout_audit(view: DataFrame) -> DataFrame:
-    """(job_key, tech, kw, job_date) rows that occur more than once in the view."""
+    """(job_key, tech, kw, job_date) that a plain un-nest join would give more than once, with how
+    often: sums of the weights of :func:`jobs_view_weighted`."""
     return (view.groupBy("job_key", "tech", "kw", "job_date")
-            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .agg(F.sum("weight").alias("n_rows"))
             .where(F.col("n_rows") > 1))
 
 
 # The view as Spark SQL, for users who query it with SQL. Same plan shape as
-# jobs_view(): one keyword set per posting joined before both un-nests.
+# jobs_view(): one keyword set per posting joined before both un-nests (see joins.py for the struct).
 JOBS_VIEW_SQL = """
 CREATE OR REPLACE TEMPORARY VIEW jobs_view AS
 WITH t2 AS (
@@ -99,7 +122,7 @@ t1 AS (
   WHERE size(cleaned_techs) > 0
 )
 SELECT t1.job_key, tech, t1.job_date, kw
-FROM t1 JOIN t2 ON t1.job_key = t2.job_key
+FROM t1 JOIN t2 ON struct(t1.job_key) = struct(t2.job_key) AND t1.job_key IS NOT NULL
 LATERAL VIEW explode(t1.terms) a AS tech
 LATERAL VIEW explode(t2.kws) b AS kw
 """

@@ -56,6 +56,21 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array("o_orderpriority", "o_orderstatus").alias("keyword"))
 
 
+def keywords_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job_key, keyword) with a row for each day on which a search found the posting: here each
+    lineitem's ship mode and its order's status, so a posting names a keyword several times."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
+    return li.select(F.col("l_orderkey").alias("job_key"), F.array("l_returnflag", "l_linestatus").alias("keyword"))
+
+
+# Token -> lemma over frequent description words.
+LEMMAS = [("an", "a"), ("are", "be"), ("is", "be"), ("was", "be"), ("der", "die"), ("das", "die"), ("les", "le"), ("la", "le"), ("los", "el")]
+
+
+def lemma_frame(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(LEMMAS, "token STRING, lemma STRING")
+
+
 # Pre-fitted relevance model over frequent description words (token, coefficient).
 RELEVANCE_COEF = [
     ("the", 1.5), ("of", 1.0), ("and", 0.8), ("is", 0.6), ("that", 0.9),
@@ -101,8 +116,9 @@ ANSWER_SQL = ("CASE WHEN p_size < 5 THEN ' [' || p_name || ']' WHEN p_size > 47
               "WHEN p_size = 10 THEN '[]' "
               "ELSE '[' || replace(p_name, ' ', ', ') || ', ' || lower(p_type) || ']' END")
 
-# Dictionary over frequent description words (canonical -> aliases; 1- and 2-grams).
+# Dictionary over frequent description words (canonical -> aliases of one to three words).
 TERM_DICTIONARY = {
+    "three-words": ["of the and", "the and of", "Is and the"],
     "of-the": ["of the"],
     "in-the": ["in the"],
     "conjunction": ["and", "und", "et", "y"],

@@ -7,9 +7,10 @@ landed postings (JSON lines, one file per day)
   -> clean layer, written by day (a re-delivered day replaces that day)
   -> ``jobs_view`` for SQL.
 
-Each posting line gets a deterministic row id (a hash of the line's fields and its
-file), so the per-posting aggregations never merge two different postings that share
-a key, and a recomputed task produces the same ids.
+Each posting line gets a deterministic row id (a 128-bit digest of the line's fields and its file), so
+the per-posting aggregations do not merge two different postings that share a key, and a
+recomputed task produces the same ids. The lines are parsed once, into a table below the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules as R
+from .. import session as S
 from ..operators import clean as C
 from ..operators import extract as EX
 from ..operators import select_text as ST
@@ -33,13 +35,21 @@ from ..streaming import ingest as IN
 
 RID = "_rid"
 
-# The data blob of a job page: the object assigned to the page's initial-data variable.
+# FIXED VALUE (set by the site): the data blob of a job page, the object assigned to the page's
+# initial-data variable.
 JOB_PAGE_BLOB_RX = r"_initialData=(\{.+?\});"
 
 
 def with_row_id(postings: DataFrame) -> DataFrame:
     cols = [F.col(c).cast("string") for c in postings.columns if c != RID]
-    return postings.withColumn(RID, F.xxhash64(*[F.coalesce(c, F.lit("\u0000")) for c in cols]))
+    return postings.withColumn(RID, F.md5(F.to_json(F.array(*cols))))
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` as a table below the shared checkpoint folder."""
+    path = S.scratch_path(df.sparkSession, "postings")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def collect_stage(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame, DataFrame]:
@@ -53,10 +63,12 @@ def collect_stage(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame,
     the sorted union of the keywords it was found under. A page without a parsable blob
     is quarantined with its error instead of failing the run."""
     raw = F.nullif(F.regexp_extract(F.col(html_col), JOB_PAGE_BLOB_RX, 1), F.lit(""))
-    parsed = pages.withColumn("_blob", F.from_json(raw, JOB_PAGE_BLOB))
-    bad = parsed.where(F.col("_blob").isNull()).drop("_blob").withColumn(
-        "result", F.array(F.lit("no data blob in page")))
-    ok = parsed.where(F.col("_blob").isNotNull())
+    # a permissive from_json gives a struct of NULLs for broken JSON, so validity is tested on its own
+    valid = F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
+    parsed = pages.withColumn("_raw", raw).withColumn("_valid", valid).withColumn("_blob", F.from_json("_raw", JOB_PAGE_BLOB))
+    reason = F.when(F.col("_raw").isNull(), "no data blob in page").otherwise("data blob is not a JSON object")
+    bad = parsed.where(~F.col("_valid")).withColumn("result", F.array(reason)).drop("_blob", "_raw", "_valid")
+    ok = parsed.where("_valid")
     job = F.col("_blob.jobInfoWrapperModel.jobInfoModel")
     header = job["jobInfoHeaderModel"]
     info, est = F.col("_blob.salaryInfoModel"), F.col("_blob.salaryGuideModel.estimatedSalaryModel")
@@ -90,7 +102,8 @@ def extract_stage(selected: DataFrame, dictionary: DataFrame | None = None,
     state bounded by the dictionary), or the answer of ``extractor`` (failed rows carry
     ``result`` instead)."""
     if extractor is not None:
-        return EX.extract_with(selected, extractor, "split_jd", max_attempts)
+        answers = EX.extract_with(selected, EX.each(extractor), RID, "split_jd", max_attempts)
+        return selected.join(answers, RID)
     hits = EX.extract_by_dictionary(selected.select(RID, "split_jd"), dictionary, key=RID, text_col="split_jd")
     terms = hits.groupBy(RID).agg(F.array_sort(F.collect_set("term")).alias("_terms"))
     out = selected.join(terms, RID, "left")
@@ -109,7 +122,7 @@ def enrich(postings: DataFrame, coef: DataFrame, intercept: float, threshold: fl
            patterns: list[str] = R.REMOVE_PATTERNS, rules: list[tuple[str, str]] = R.MAP_RULES,
            idf: DataFrame | None = None) -> DataFrame:
     """Stages 2-4 on scanned postings (with ``source_file``): select, extract, clean."""
-    p = with_row_id(postings)
+    p = staged(with_row_id(postings))
     if J.CORRUPT_COL in p.columns:
         p = p.where(F.col(J.CORRUPT_COL).isNull()).drop(J.CORRUPT_COL)
     selected = select_stage(p, coef, intercept, threshold, idf)
@@ -146,9 +159,9 @@ def daily_run(spark: SparkSession, landing: str, sink: str, coef: DataFrame, int
     summary and are unaffected, which is how ``operators.relevance`` models are used."""
     from pyspark.sql import Observation
     seen, wrote = Observation("lines_read"), Observation("rows_written")
-    postings = with_row_id(J.scan_jsonl(spark, landing, POSTING)).observe(
+    postings = staged(with_row_id(J.scan_jsonl(spark, landing, POSTING)).observe(
         seen, F.count(F.lit(1)).alias("lines_read"),
-        F.count_if(F.col(J.CORRUPT_COL).isNotNull()).alias("corrupt_lines"))
+        F.count_if(F.col(J.CORRUPT_COL).isNotNull()).alias("corrupt_lines")))
     good = postings.where(F.col(J.CORRUPT_COL).isNull()).drop(J.CORRUPT_COL)
     selected = select_stage(good, coef, intercept, threshold, idf)
     extracted = extract_stage(selected, dictionary, extractor)

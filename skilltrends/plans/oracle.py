@@ -1,11 +1,11 @@
 """DuckDB SQL for each registered query (tables are pre-registered views).
 
-Rule fragments are generated from the same rule lists the Spark side uses.
+Rule lists (data) are the ones the Spark side uses; every pattern over text, the token classes and the
+markup rules are stated here on their own.
 """
 
 from __future__ import annotations
 
-from ..functions.terms import any_pattern
 from . import analogues as A
 
 ORACLE: dict[str, str] = {}
@@ -15,6 +15,10 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def any_pattern(patterns: list[str]) -> str:
+    return "(?i)(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+
+
 def sql_remove(arr: str, patterns: list[str]) -> str:
     return f"list_filter({arr}, lambda x: NOT regexp_matches(x, {q(any_pattern(patterns))}))"
 
@@ -71,7 +75,7 @@ t1 AS (
   FROM clean CROSS JOIN UNNEST(cleaned_techs) AS t(tech)
 ),
 t2 AS (
-  SELECT DISTINCT job_key, kw FROM keywords_raw CROSS JOIN UNNEST(keyword) AS t(kw)
+  SELECT job_key, kw FROM keywords_raw CROSS JOIN UNNEST(keyword) AS t(kw)
   WHERE kw IS NOT NULL
 ),
 jobs_view AS (
@@ -135,33 +139,59 @@ ranked AS (
 )
 SELECT kw, tech, n_postings, rank FROM ranked WHERE rank <= 3"""
 
-ORACLE["fanout_audit"] = f"""{WITH_VIEW}
+# keywords with a row for each day: the plain un-nest join, with its duplicates counted
+BY_DAY = WITH_VIEW.replace(KEYWORDS, """
+keywords_raw AS (SELECT l_orderkey AS job_key, [l_returnflag, l_linestatus] AS keyword FROM lineitem)""")
+BY_LINE = BY_DAY.replace("l.l_linenumber AS line_no", "row_number() OVER () AS line_no").replace("SELECT job_key, tech, make_date", "SELECT job_key, line_no, tech, make_date").replace(
+    "SELECT t1.job_key, t1.tech", "SELECT t1.line_no, t1.job_key, t1.tech").replace("UNNEST(cleaned_techs) AS t(tech)", "(SELECT unnest(cleaned_techs) AS tech, generate_subscripts(cleaned_techs, 1) AS pos)").replace(
+    "SELECT job_key, line_no, tech,", "SELECT job_key, line_no, pos, tech,").replace("SELECT t1.line_no,", "SELECT t1.line_no, t1.pos,")
+
+ORACLE["fanout_audit"] = f"""{BY_DAY}
 SELECT job_key, tech, kw, job_date, count(*) AS n_rows
 FROM jobs_view GROUP BY job_key, tech, kw, job_date HAVING count(*) > 1"""
 
+ORACLE["skills_view_weighted"] = f"""{BY_LINE}
+SELECT job_key, tech, job_date, kw, count(*) AS weight
+FROM jobs_view GROUP BY job_key, line_no, pos, tech, job_date, kw"""
+
+ORACLE["rules_words"] = ORACLE["term_remove"]
+
+ORACLE["rules_json"] = f"""WITH {POSTINGS}
+SELECT job_key, line_no, array_to_string({sql_alias(sql_stoplist('cleaned_techs', ['small ring', 'economy', 'new plate'], ['anvil', 'blue']),
+    {"size class": ["small", "medium", "large"], "price class": ["economy", "standard", "promo"], "hot things": ["hot bolt", "hot rod"]})}, '|') AS techs
+FROM postings"""
+
 
 # --- pages and descriptions ---------------------------------------------------
 
-from ..functions import text as X  # noqa: E402
-from ..operators import select_text as ST  # noqa: E402
+# Patterns, as the contracts state them (RE2).
+WS = r"[\t\n\x0b\x0c\r\x1c-\x1f\x{85}\p{Z}]"
+MARKUP = [r"(?is)<!--.*?-->", r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>",
+          r"(?is)<template\b.*?</template\s*>", r"<![^>]*>", r"(?i)</?[a-z][^>]*>"]
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"),
+            ("&copy;", "\u00a9"), ("&mdash;", "\u2014"), ("&#8217;", "\u2019"), ("&eacute;", "\u00e9"), ("&amp;", "&")]
+PASSAGE_TOKEN = r"[\p{L}\p{N}_]{2,}"
+COUNTED_TOKEN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"
 
 
 def sql_decode(x: str) -> str:
-    for ent, ch in X.ENTITIES:
+    for ent, ch in ENTITIES:
         x = f"replace({x}, {q(ent)}, {q(ch)})"
     return x
 
 
 def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(X.STRIP_RX)}, '', 'g')"
+    return f"regexp_replace({x}, {q(f'^{WS}+|{WS}+$')}, '', 'g')"
 
 
 def sql_html_text(x: str) -> str:
-    return sql_strip(sql_decode(f"regexp_replace({x}, {q(X.MARKUP_RUN_RX)}, ' ', 'g')"))
+    for rx in MARKUP:
+        x = f"regexp_replace({x}, {q(rx)}, chr(57344), 'g')"
+    return sql_strip(sql_decode(f"regexp_replace({x}, chr(57344) || '+', ' ', 'g')"))
 
 
 def sql_squeeze(x: str) -> str:
-    return f"regexp_replace({x}, {q(X.NEWLINE_RUN_RX)}, ' ', 'g')"
+    return f"regexp_replace({x}, {q(f'{WS}*\\n+{WS}*')}, ' ', 'g')"
 
 
 def sql_first_group(x: str, patterns: list[str]) -> str:
@@ -177,8 +207,9 @@ docs AS (
 ),
 blocks AS (
   SELECT doc_id, n_newlines, k,
-         regexp_extract_all(text, '[^\\n]+' || repeat('\\n[^\\n]+', k - 1)) AS arr
-  FROM docs WHERE k > 0
+         CASE WHEN k = 0 THEN [text] ELSE
+           regexp_extract_all(text, '[^\\n]+' || repeat('(?:\\n[^\\n]+)?', k - 1)) END AS arr
+  FROM docs
 ),
 passages AS (
   SELECT doc_id, n_newlines, k, CAST(g.i - 1 AS INTEGER) AS pos, arr[g.i] AS passage
@@ -187,7 +218,7 @@ passages AS (
 
 TFIDF = f"""{PASSAGES},
 tokens AS (
-  SELECT doc_id, pos, unnest(regexp_extract_all(lower(passage), {q(ST.TOKEN_RX)})) AS token
+  SELECT doc_id, pos, unnest(regexp_extract_all(lower(passage), {q(PASSAGE_TOKEN)})) AS token
   FROM passages
 ),
 tf AS (SELECT doc_id, pos, token, count(*) AS tf FROM tokens GROUP BY doc_id, pos, token),
@@ -234,7 +265,7 @@ ORACLE["block_segment"] = f"""WITH {PASSAGES}
 SELECT doc_id, n_newlines, k, pos, passage FROM passages"""
 
 ORACLE["passage_terms"] = f"""WITH {PASSAGES},
-t AS (SELECT doc_id, pos, regexp_extract_all(lower(passage), {q(ST.TOKEN_RX)}) AS toks FROM passages)
+t AS (SELECT doc_id, pos, regexp_extract_all(lower(passage), {q(PASSAGE_TOKEN)}) AS toks FROM passages)
 SELECT doc_id, pos, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM t"""
 
 ORACLE["tfidf"] = f"""WITH {TFIDF}
@@ -258,8 +289,6 @@ SELECT doc_id, split_jd FROM joined WHERE length(split_jd) > 1"""
 # --- postings, keywords, search paging -----------------------------------------
 
 from .. import rules as R  # noqa: E402
-from ..functions.text import TOKEN_RX  # noqa: E402
-from ..operators.extract import WORD_RX  # noqa: E402
 
 ORACLE["text_normalize"] = f"""
 SELECT c_custkey, coalesce({sql_strip('lower(c_name)')}, '') AS company,
@@ -319,7 +348,7 @@ grid AS (
   FROM kw
   CROSS JOIN (SELECT unnest([{", ".join(q(x) for x in A.SEARCH_LOCATIONS)}]) AS location) loc
   CROSS JOIN LATERAL (
-    SELECT unnest(range(0, CASE WHEN n > {R.HIT_THRESHOLD} THEN {R.CAPPED_HITS} ELSE n END + 10, 10)) AS page_offset
+    SELECT unnest(range(0, n + 10, 10)) AS page_offset
   ) o
 )
 SELECT keyword, location, page_offset,
@@ -345,7 +374,7 @@ FROM x WHERE job_key IS NOT NULL AND job_key <> ''"""
 # --- request planning ----------------------------------------------------------
 
 def sql_tokens(x: str) -> str:
-    return f"coalesce(len(regexp_extract_all({x}, {q(TOKEN_RX)})), 0)"
+    return f"coalesce(len(regexp_extract_all({x}, {q(COUNTED_TOKEN)})), 0)"
 
 
 def _msg_cost(role: str, content: str) -> str:
@@ -410,23 +439,25 @@ SELECT p_partkey,
        array_to_string({sql_map(sql_remove('cleaned_techs', A.REMOVE_PATTERNS), A.MAP_RULES)}, '|') AS techs
 FROM a"""
 
-_dict_rows = ", ".join(f"({q(a)}, {q(t)})" for a, t in R.alias_pairs(A.TERM_DICTIONARY))
+_dict_rows = ", ".join(f"({q(a.lower())}, {q(t)})" for a, t in R.alias_pairs(A.TERM_DICTIONARY))
+_EXTRACT_WORD = r"[\p{L}\p{N}_]+(?:[.][\p{L}\p{N}_]+)*(?:[+]+|#)?"
 ORACLE["term_extract"] = f"""
-WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), {q(WORD_RX)}) AS w FROM documents),
-g AS (
-  SELECT doc_id,
-         unnest(list_concat(w, CASE WHEN len(w) > 1
-                THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
-                ELSE CAST([] AS VARCHAR[]) END)) AS alias
-  FROM w
-),
-d AS (SELECT * FROM (VALUES {_dict_rows}) AS d(alias, term))
-SELECT g.doc_id, d.term, count(*) AS n_mentions FROM g JOIN d ON g.alias = d.alias
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), {q(_EXTRACT_WORD)}) AS w FROM documents),
+d AS (SELECT *, len(string_split(alias, ' ')) AS n FROM (VALUES {_dict_rows}) AS d(alias, term)),
+g AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(list_slice(w, i, i + n - 1), ' '))) AS alias
+      FROM w CROSS JOIN (SELECT DISTINCT n FROM d) WHERE len(w) >= n)
+SELECT g.doc_id, d.term, count(*) AS n_mentions FROM g JOIN d ON g.alias = d.alias AND g.n = d.n
 GROUP BY g.doc_id, d.term"""
 
+ORACLE["extract_hook"] = """
+WITH t AS (SELECT doc_id, text, list_filter(['and', 'de', 'der', 'la', 'que', 'the'],
+                  lambda x: regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])' || x || '($|[^\\p{L}\\p{N}_])')) AS found FROM documents)
+SELECT doc_id, CASE WHEN text = '' THEN '' ELSE array_to_string(found, '|') END AS techs, CASE WHEN text = '' THEN 5 ELSE 0 END AS n_errors
+FROM t"""
+
 ORACLE["merge_response"] = """
-SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, 'labeler' AS source
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, CASE WHEN l.doc_id IS NULL THEN d.source ELSE 'labeler' END AS source
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
 # --- run bookkeeping ------------------------------------------------------------
@@ -441,8 +472,11 @@ FROM a FULL OUTER JOIN b ON a.source = b.source"""
 
 ORACLE["run_status"] = """
 SELECT CAST(ts AS DATE) AS day, count(*) AS started,
-       count(*) FILTER (WHERE NOT (event_type = 'error')) AS succeeded,
-       count(*) FILTER (WHERE event_type = 'error') AS failed
+       count(*) FILTER (WHERE event_type NOT IN ('error', 'purchase')) AS succeeded,
+       count(*) FILTER (WHERE event_type IN ('error', 'purchase')) AS failed,
+       count(*) FILTER (WHERE event_type = 'purchase') AS rate_limited,
+       count(*) FILTER (WHERE event_type = 'error' AND user_id % 2 = 0) AS api_errors,
+       count(*) FILTER (WHERE event_type = 'error' AND user_id % 2 <> 0) AS other_errors
 FROM events GROUP BY CAST(ts AS DATE)"""
 
 ORACLE["quarantine"] = """
@@ -487,7 +521,7 @@ SELECT event_id, ts, event_type,
 FROM events"""
 
 ORACLE["incremental_ingest"] = """
-SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS k,
        CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
 FROM events"""
 
@@ -497,3 +531,47 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM eve
 ORACLE["schema_drift"] = """
 SELECT field, count(*) AS n_rows
 FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field"""
+
+_lemma_rows = ", ".join(f"({q(t)}, {q(x)})" for t, x in A.LEMMAS)
+ORACLE["passage_lemmas"] = f"""WITH {PASSAGES},
+lemmas AS (SELECT * FROM (VALUES {_lemma_rows}) AS l(token, lemma)),
+tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(passage), {q(PASSAGE_TOKEN)})) AS token FROM passages)
+SELECT doc_id, coalesce(lemma, t.token) AS token, count(*) AS n
+FROM tokens t LEFT JOIN lemmas l ON t.token = l.token GROUP BY ALL"""
+
+ORACLE["schema_diff"] = """
+WITH declared AS (SELECT * FROM (VALUES ('event_id', 'bigint', 'bigint', 'same'), ('ts', 'timestamp_ntz', 'string', 'same'),
+    ('user_id', 'int', 'bigint', 'same'), ('event_type', 'bigint', 'string', 'other type'), ('props', 'string', 'string', 'same'),
+    ('k', 'int', NULL, 'missing'), ('value', NULL, 'decimal', 'new')) d(field, declared_type, found_types, status)),
+n AS (SELECT count(event_id) AS event_id, count(ts) AS ts, count(user_id) AS user_id, count(event_type) AS event_type,
+             count(props) AS props, count(value) AS value FROM events),
+long AS (UNPIVOT n ON event_id, ts, user_id, event_type, props, value INTO NAME field VALUE n_rows)
+SELECT field, declared_type, found_types, coalesce(n_rows, 0) AS n_rows, status FROM declared LEFT JOIN long USING (field)"""
+
+_PAGES = """
+pages_in AS (SELECT *, o_orderkey % 7 = 0 AS gone, o_orderkey % 11 = 0 AS broken FROM orders),
+good AS (SELECT *, (o_orderkey % 1000)::VARCHAR AS job_key FROM pages_in WHERE NOT gone AND NOT broken),
+kws AS (SELECT job_key, array_to_string(list_sort(list(DISTINCT lower(o_orderpriority))), '|') AS keywords FROM good GROUP BY job_key)"""
+ORACLE["page_postings"] = f"""WITH {_PAGES}
+SELECT job_key, o_orderkey::INTEGER AS position, keywords, lower(o_orderpriority) || ' caf\u00e9' AS job_title,
+       'clerk ' || o_custkey AS company, 'Status \u2014 ' || o_orderstatus || ' it\u2019s \u00e9' AS job_description,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 2000 * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2080 END END AS salary_min,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 1000 * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2080 END END AS salary_max,
+       CASE WHEN o_orderkey % 3 <> 0 THEN 'YEARLY' END AS salary_type, 0 AS salary_estimated_flag
+FROM good JOIN kws USING (job_key)"""
+ORACLE["page_quarantine"] = f"""WITH {_PAGES}
+SELECT (o_orderkey % 1000)::VARCHAR AS job_key, o_orderkey::INTEGER AS position,
+       CASE WHEN gone THEN 'no data blob in page' ELSE 'data blob is not a JSON object' END AS result
+FROM pages_in WHERE gone OR broken"""
+
+ORACLE["daily_flow"] = f"""WITH {SCORES},
+kept AS (SELECT doc_id, pos, passage FROM scores WHERE {RELEVANT}),
+documents AS (SELECT doc_id, {sql_squeeze("string_agg(passage, ' ' ORDER BY pos)")} AS text FROM kept GROUP BY doc_id),
+long AS (SELECT * FROM documents WHERE length(text) > 1),
+found AS ({ORACLE["term_extract"].strip().replace("FROM documents)", "FROM long)")}),
+terms AS (SELECT doc_id, array_to_string(list_sort(list(term)), '|') AS techs FROM
+          (SELECT doc_id, term FROM found) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN techs IS NULL THEN '' ELSE
+         array_to_string(list_transform(list_filter(string_split(techs, '|'), lambda x: x <> 'article'), lambda x: CASE WHEN x = 'that' THEN 'which' ELSE x END), '|') END AS techs,
+       2024 AS year, 3 AS month, (doc_id % 28 + 1)::INTEGER AS day
+FROM long LEFT JOIN terms USING (doc_id)"""

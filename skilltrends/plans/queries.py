@@ -78,13 +78,41 @@ def term_alias(spark, sf_dir):
     return df.select("job_key", "line_no", joined().alias("techs"))
 
 
+def resource(spark, name: str) -> str:
+    """A packaged rule file on shared storage."""
+    from importlib import resources
+    text = resources.files("skilltrends.resources").joinpath(name).read_text()
+    return RF.stage_text(spark, text, S.scratch_path(spark, "rules"))
+
+
+@register
+def rules_words(spark, sf_dir):
+    """Removal words read from a word file, applied to every term list."""
+    rows = RF.load_word_patterns(spark, resource(spark, "part_removal_words.txt"))
+    patterns = [r["pattern"] for r in sorted(rows.limit(C.MAX_RULES).collect())]
+    df = C.remove_terms(A.postings(spark, sf_dir), patterns=patterns)
+    return df.select("job_key", "line_no", joined().alias("techs"))
+
+
+@register
+def rules_json(spark, sf_dir):
+    """Aliases and stop-lists read from JSON files, applied to every term list."""
+    def lists(name):
+        out = {}
+        for r in RF.load_json_lists(spark, resource(spark, name)).limit(C.MAX_RULES).collect():
+            out.setdefault(r["name"], []).append(r["item"])
+        return out
+
+    stop = lists("part_stop_lists.json")
+    df = C.drop_stoplisted(A.postings(spark, sf_dir), exact=stop["exact"], partial=stop["partial"])
+    df = C.alias_terms(df, aliases=lists("part_aliases.json"))
+    return df.select("job_key", "line_no", joined().alias("techs"))
+
+
 @register
 def rules_load(spark, sf_dir):
     """Mapping rules read from a rule file on shared storage, applied as a rule table."""
-    from importlib import resources
-    text = resources.files("skilltrends.resources").joinpath("part_mappings.txt").read_text()
-    path = RF.stage_text(spark, text, S.scratch_path(spark, "rules"))
-    rules = RF.load_mapping_rules(spark, path)
+    rules = RF.load_mapping_rules(spark, resource(spark, "part_mappings.txt"))
     terms = A.postings(spark, sf_dir).select(
         "job_key", "line_no", F.posexplode("cleaned_techs").alias("pos", "term"))
     out = C.map_terms_by_table(terms, rules)
@@ -116,7 +144,7 @@ def demand_by_keyword(spark, sf_dir):
 
 @register
 def demand_trend(spark, sf_dir):
-    return V.demand_trend(skills_view_df(spark, sf_dir))
+    return V.demand_trend(clean_layer(spark, sf_dir), A.keywords(spark, sf_dir))
 
 
 @register
@@ -126,7 +154,13 @@ def top_terms(spark, sf_dir):
 
 @register
 def fanout_audit(spark, sf_dir):
-    return V.fanout_audit(skills_view_df(spark, sf_dir))
+    return V.fanout_audit(V.jobs_view_weighted(clean_layer(spark, sf_dir), A.keywords_by_day(spark, sf_dir)))
+
+
+@register
+def skills_view_weighted(spark, sf_dir):
+    """The view with the number of keyword rows behind each of its rows."""
+    return V.jobs_view_weighted(clean_layer(spark, sf_dir), A.keywords_by_day(spark, sf_dir))
 
 
 # --- pages and descriptions ---------------------------------------------------
@@ -160,7 +194,7 @@ def newline_squeeze(spark, sf_dir):
 
 
 def doc_passages(spark, sf_dir):
-    return ST.passages(ST.by_document(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return ST.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register
@@ -174,9 +208,15 @@ def block_segment(spark, sf_dir):
 @register
 def passage_terms(spark, sf_dir):
     p = doc_passages(spark, sf_dir)
-    toks = F.regexp_extract_all(F.lower("passage"), F.lit(ST.TOKEN_RX), 0)
-    return p.select("doc_id", "pos", F.size(toks).alias("n_tokens"),
-                    F.array_join(toks, " ").alias("tokens"))
+    p = p.select("doc_id", "pos", ST.token_array().alias("t"))
+    return p.select("doc_id", "pos", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
+@register
+def passage_lemmas(spark, sf_dir):
+    """Occurrences of each lemma per document, over all passages."""
+    toks = ST.lemmatize(ST.passage_tokens(doc_passages(spark, sf_dir)), A.lemma_frame(spark))
+    return toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def passage_tf_idf(spark, sf_dir):
@@ -213,15 +253,14 @@ def relevant_text(spark, sf_dir):
 
 @register
 def relevance_train(spark, sf_dir):
-    """MLlib classifier trained on labelled documents; saved to and reloaded from
-    shared storage, then applied to every labelled document."""
+    """MLlib classifier trained on labelled documents; saved to and reloaded from shared storage, then
+    applied to every document."""
     from ..operators import relevance as RV
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     train = d.join(lab, "doc_id")
-    model = RV.train(train, vocab_size=1 << 14)
-    path = RV.save(model, S.scratch_path(spark, "relevance-model"))
-    pred = RV.predict(RV.load(path), train, ["doc_id", "label"])
+    path = RV.save(RV.train(train), S.scratch_path(spark, "relevance-model"))
+    pred = RV.predict(RV.load(path), d.join(lab, "doc_id", "left"), ["doc_id", "label"])
     return pred.select("doc_id", F.col("label").cast("int").alias("quality"), "prediction",
                        F.round("p_relevant", 4).alias("p_relevant"))
 
@@ -373,7 +412,7 @@ def word_list_extractor(text: str) -> list[str]:
 @register
 def extract_hook(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("split_jd"))
-    out = EX.extract_with(d, word_list_extractor, "split_jd")
+    out = EX.extract_with(d, EX.each(word_list_extractor), "doc_id", "split_jd")
     return out.select("doc_id", F.array_join("cleaned_techs", "|").alias("techs"),
                       F.coalesce(F.size("result"), F.lit(0)).alias("n_errors"))
 
@@ -399,8 +438,9 @@ def reconcile(spark, sf_dir):
 
 @register
 def run_status(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type")
-    return QA.run_status(e, "day", F.col("event_type") == "error")
+    e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    failed = F.col("event_type").isin("error", "purchase")
+    return QA.run_status(e, "day", failed, rate_limited=F.col("event_type") == "purchase", api_error=F.col("user_id") % 2 == 0)
 
 
 @register
@@ -506,21 +546,84 @@ def union_drift(spark, sf_dir):
 
 @register
 def incremental_ingest(spark, sf_dir):
-    """Streaming file source over the landing folder -> clean layer by day; a second
-    run on the same checkpoint finds no new files and changes nothing."""
-    landing = land_events(spark, sf_dir)
-    sink, ckpt = S.scratch_path(spark, "clean"), S.scratch_path(spark, "ingest-ckpt")
+    """Streaming file source over the landing folder -> clean layer by day and delivery. Each day arrives as
+    two files (``am`` and ``pm``), the second ones only after the first run; then the ``am`` files
+    are delivered again with every ``k`` one higher. A last run finds nothing new."""
+    landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("landing", "clean", "ingest-ckpt"))
+    e = table(spark, sf_dir, "events")
+
+    def deliver(drop: str, half: str, more: int = 0) -> None:
+        part = e.where((F.col("event_id") % 2 == 0) if half == "am" else (F.col("event_id") % 2 != 0))
+        k = F.get_json_object("props", "$.k").cast("long") + F.lit(more)
+        line = F.to_json(F.struct("event_id", "ts", "event_type", k.alias("k")), {"timestampNTZFormat": J.TS_NTZ_FORMAT})
+        (part.select(J.daily_file_name(half, "ts").alias("file"), line.alias("value"))
+             .write.mode("append").partitionBy("file").text(f"{landing}/{drop}"))
 
     def transform(batch):
-        out = J.with_file_date(batch)
-        return out.select("event_id", "event_type",
-                          F.get_json_object("props", "$.k").cast("long").alias("k"), "year", "month", "day")
+        return J.with_file_date(batch).select("event_id", "event_type", "k", "year", "month", "day", "delivery")
 
-    for _ in range(2):
-        IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string("event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, k BIGINT")
+    for drop, half, more in (("1", "am", 0), ("2", "pm", 0), ("3", "am", 1)):
+        deliver(drop, half, more)
+        IN.ingest(spark, landing, schema, transform, sink, ckpt)
+    IN.ingest(spark, landing, schema, transform, sink, ckpt)
     return spark.read.parquet(sink).select("event_id", "event_type", "k", "year", "month", "day")
 
 
+def job_pages(spark, sf_dir):
+    """Job pages built from orders: the data blob in a script; some pages have none, some a broken one."""
+    o = table(spark, sf_dir, "orders")
+    pay = F.struct((F.col("o_totalprice") / 2000).alias("salaryMin"), (F.col("o_totalprice") / 1000).alias("salaryMax"),
+                   F.when(F.col("o_orderstatus") == "F", "YEARLY").otherwise("HOURLY").alias("salaryType"))
+    header = F.struct(F.concat(F.lit(" Clerk "), F.col("o_custkey").cast("string")).alias("companyName"),
+                      F.concat(F.col("o_orderpriority"), F.lit(" Caf\u00e9 ")).alias("jobTitle"))
+    text = F.concat(F.lit("<p>Status &mdash; "), F.col("o_orderstatus"), F.lit("</p><br><br>it&#8217;s &eacute;"))
+    blob = F.to_json(F.struct(
+        F.struct(F.struct(text.alias("sanitizedJobDescription"), header.alias("jobInfoHeaderModel")).alias("jobInfoModel")).alias("jobInfoWrapperModel"),
+        F.when(F.col("o_orderkey") % 3 != 0, pay).alias("salaryInfoModel")))
+    blob = F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit('{"broken": '), F.col("o_custkey").cast("string"), F.lit(", }"))).otherwise(blob)
+    script = F.when(F.col("o_orderkey") % 7 == 0, F.lit("<p>gone</p>")).otherwise(F.concat(F.lit("<script>window._initialData="), blob, F.lit(";</script>")))
+    return o.select((F.col("o_orderkey") % 1000).cast("string").alias("job_key"), F.lower("o_orderpriority").alias("keyword"),
+                    F.lit(1).alias("from_age"), F.lit("remote").alias("location"), F.lit(1).alias("page"),
+                    F.col("o_orderkey").cast("int").alias("position"), F.lit("https://jobs.example.com").alias("url"), script.alias("html"))
+
+
+@register
+def page_postings(spark, sf_dir):
+    """Landed job pages -> postings with the union of their keywords."""
+    from . import daily as D
+    good, _ = D.collect_stage(job_pages(spark, sf_dir))
+    return good.select("job_key", "position", F.array_join("keyword", "|").alias("keywords"), "job_title", "company",
+                       "job_description", "salary_min", "salary_max", "salary_type", "salary_estimated_flag")
+
+
+@register
+def page_quarantine(spark, sf_dir):
+    """Landed job pages without a data blob, or with a broken one."""
+    from . import daily as D
+    _, bad = D.collect_stage(job_pages(spark, sf_dir))
+    return bad.select("job_key", "position", F.array_join("result", "|").alias("result"))
+
+
+@register
+def daily_flow(spark, sf_dir):
+    """The whole daily flow over landed posting files: documents as descriptions, one file per source."""
+    from ..sources.tables import table as read
+    from . import daily as D
+    from ..schemas import POSTING
+    landing, sink = S.scratch_path(spark, "landing"), S.scratch_path(spark, "clean")
+    d = read(spark, sf_dir, "documents")
+    fields = {"job_key": F.col("doc_id").cast("string"), "keyword": F.array("lang"), "job_description": F.col("text")}
+    row = F.struct(*[fields.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in POSTING.fields])
+    day = F.concat(F.lit("jobs_"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("_03_2024.json"))
+    (d.select(day.alias("file"), F.to_json(row).alias("value")).hint("rebalance", F.col("file"))
+      .write.partitionBy("file").text(landing))
+    clean = D.daily_run(spark, landing, sink, A.coef_frame(spark), A.RELEVANCE_INTERCEPT, A.RELEVANCE_THRESHOLD,
+                        dictionary=EX.dictionary_frame(spark, A.TERM_DICTIONARY), patterns=[r"\barticle\b"], rules=[(r"\bthat\b", "which")])
+    return clean.select(F.col("job_key").cast("long").alias("doc_id"), joined().alias("techs"), "year", "month", "day")
+
+
 @register
 def json_projection(spark, sf_dir):
     """Narrow read of the landed JSON (two keys), then one nested key of ``props``."""
@@ -540,3 +643,12 @@ def schema_infer(spark, sf_dir):
     """Merged schema of every landed JSON line (a distributed aggregate, one row)."""
     lines = spark.read.option("recursiveFileLookup", "true").text(land_events(spark, sf_dir))
     return J.merged_schema(lines, "value")
+
+
+@register
+def schema_diff(spark, sf_dir):
+    """Landed lines against a declared schema that lacks ``value``, has ``k`` and another type of ``event_type``."""
+    from pyspark.sql.types import _parse_datatype_string
+    lines = spark.read.option("recursiveFileLookup", "true").text(land_events(spark, sf_dir))
+    declared = _parse_datatype_string("event_id BIGINT, ts TIMESTAMP_NTZ, user_id INT, event_type BIGINT, props STRING, k INT")
+    return J.schema_diff(lines, "value", declared)

@@ -107,7 +107,3 @@ def alias_pairs(aliases: dict[str, list[str]] = ALIASES) -> list[tuple[str, str]
             out.setdefault(name.lower(), canonical)
     return list(out.items())
 
-
-def word_patterns(words: list[str]) -> list[str]:
-    """``\\bword\\b`` patterns from plain lines (blank lines skipped, no escaping)."""
-    return [rf"\b{w.strip()}\b" for w in words if w.strip()]

@@ -1,15 +1,12 @@
 """Session construction and shared-storage helpers.
 
 Lineage is cut with ``DataFrame.checkpoint()`` or by writing a table under the
-folder named by ``spark.checkpoint.dir``. On a cluster that folder must be shared
-storage set by the operator; only a ``local[...]`` session (tests, bench) gets a
-scratch folder created here when the setting is absent.
+folder named by ``spark.checkpoint.dir``, which must be storage that all executors share.
+Tests and the benchmark set a folder of their own where the setting is absent.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -69,9 +66,8 @@ def scale_conf(input_bytes: int, executor_cores_total: int,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). When unset,
-    a local session gets a fresh scratch folder; a cluster session raises, because a
-    machine-local folder would not survive the loss of an executor.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where neither is set this
+    raises: a folder made here would be local to one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,10 +75,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get(_CONF_KEY, None) or sc.getConf().get(_CONF_KEY, None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared storage for this cluster")
-        configured = tempfile.mkdtemp(prefix="skilltrends-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at storage that all executors share")
     sc.setCheckpointDir(configured)
     # the context appends a unique sub-folder; use what it reports
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -92,11 +85,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path below the checkpoint folder (not created here)."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can read a local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -56,6 +56,7 @@ def daily_file_name(prefix: str, ts_col: str) -> Column:
 def write_daily_jsonl(df: DataFrame, root: str, prefix: str, ts_col: str, mode: str = "overwrite") -> str:
     """Land ``df`` as one folder per day named ``<prefix>_DD_MM_YYYY.json`` (one write job)."""
     (df.withColumn("file", daily_file_name(prefix, ts_col))
+       .hint("rebalance", F.col("file"))
        .write.mode(mode)
        .option("timestampNTZFormat", TS_NTZ_FORMAT)
        .partitionBy("file")
@@ -75,6 +76,28 @@ def json_field_counts(df: DataFrame, json_col: str) -> DataFrame:
             .groupBy("field").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def schema_diff(df: DataFrame, json_col: str, declared: T.StructType) -> DataFrame:
+    """(field, declared_type, found_types, n_rows, status): each top-level key of the JSON values or of the
+    declared schema; status is ``same``, ``new`` (not declared), ``missing`` (never found) or ``other type``.
+    A NULL value says nothing about the type; integers count as numbers of any declared width."""
+    v = F.try_parse_json(F.col(json_col))
+    pairs = df.select(F.explode(F.json_object_keys(F.col(json_col))).alias("field"), v.alias("v"))
+    kind = F.lower(F.schema_of_variant(F.try_variant_get("v", F.concat(F.lit("$['"), F.col("field"), F.lit("']")), "variant")))
+    found = (pairs.select("field", F.regexp_replace(kind, r"[(<].*$", "").alias("kind")).groupBy("field")
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.array_sort(F.collect_set(F.when(F.col("kind") != "void", F.col("kind")))).alias("kinds")))
+    names = {"long": "bigint", "integer": "int"}
+    told = df.sparkSession.createDataFrame([(f.name, names.get(f.dataType.typeName(), f.dataType.typeName())) for f in declared.fields],
+                                           "field STRING, declared_type STRING")
+    numbers = F.array(*[F.lit(x) for x in ("tinyint", "smallint", "int", "bigint", "decimal", "float", "double")])
+    fits = F.forall("kinds", lambda k: (k == F.col("declared_type"))
+                    | (F.array_contains(numbers, k) & F.array_contains(numbers, F.col("declared_type")))
+                    | ((k == "string") & F.col("declared_type").startswith("timestamp")))
+    out = told.join(found, "field", "full_outer")
+    return out.select("field", "declared_type", F.array_join("kinds", "|").alias("found_types"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                      F.when(F.col("declared_type").isNull(), "new").when(F.col("n_rows").isNull(), "missing")
+                      .when(fits, "same").otherwise("other type").alias("status"))
+
+
 def merged_schema(df: DataFrame, json_col: str) -> DataFrame:
     """One row: the merged schema of all JSON values (a distributed aggregate)."""
     return df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(json_col))).alias("schema"))

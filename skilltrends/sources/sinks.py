@@ -1,16 +1,19 @@
 """Sinks: JSON lines for interchange, Parquet partitioned by day for the clean layer.
 
-A re-delivered day replaces that day only: dynamic partition overwrite rewrites the
-partitions present in the written frame and leaves the others alone.
+Dynamic partition overwrite rewrites the partitions present in the written frame and leaves the
+others alone. A partition is a day, or a day and the delivered file, so that a re-delivery replaces
+what it delivers again and nothing else.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .jsonl import TS_NTZ_FORMAT
 
 DAY_PARTITIONS = ("year", "month", "day")
+DELIVERY_PARTITIONS = (*DAY_PARTITIONS, "delivery")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -20,11 +23,13 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def write_daily(df: DataFrame, path: str, fmt: str = "parquet",
                 partitions: tuple[str, ...] = DAY_PARTITIONS, max_records_per_file: int = 5_000_000) -> str:
-    """Write (or re-deliver) days: only the day partitions present in ``df`` are replaced.
+    """Write (or re-deliver) partitions: only those present in ``df`` are replaced.
 
-    Rows are not shuffled by day (a day can be far larger than a task); each task writes
-    its rows of each day, in files of at most ``max_records_per_file`` rows."""
-    (df.write.mode("overwrite")
+    Rows are rebalanced on the partition columns first: small partitions meet in one task and become
+    one file each, a large one is split over tasks by its measured size; no file holds
+    more than ``max_records_per_file`` rows."""
+    (df.hint("rebalance", *[F.col(c) for c in partitions])
+       .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", str(max_records_per_file))
        .partitionBy(*partitions)

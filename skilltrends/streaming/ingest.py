@@ -1,13 +1,18 @@
 """Incremental ingestion: new daily JSON-lines files flow to the clean layer.
 
-A Structured Streaming file source watches the landing folder; each micro-batch is
-transformed by the caller's function and written with dynamic partition overwrite,
-so a re-delivered day replaces that day. The checkpoint (on shared storage) records
-which files were processed: a rerun picks up only new files. A retried micro-batch
-rewrites the same partitions with the same content, so the sink is idempotent.
-
-``trigger(availableNow=True)`` processes everything present and stops — the batch
-form of a file-arrival trigger; a long-running query uses ``processingTime`` instead.
+A Structured Streaming file source watches the landing folder; each micro-batch is transformed by the
+caller's function and written by day and *delivery* with dynamic partition overwrite. A delivery is
+the day file's name (``<prefix>_DD_MM_YYYY.json``, a file or a folder of part files), wherever it lies: two files
+of one day never replace one another, in whatever micro-batches they arrive, and a file delivered
+again (in another folder of the landing area) replaces its first delivery. Where both arrive in one
+micro-batch, the folder that sorts last wins. The checkpoint (on shared storage) records which files
+were processed: a rerun picks up only new files. A retried micro-batch rewrites the same partitions with
+the same content.
+
+A delivery must arrive in one micro-batch: with ``max_files_per_trigger`` set, deliver single files.
+
+``trigger(availableNow=True)`` processes everything present and stops - the batch form of a file-arrival
+trigger; a long-running query uses ``processingTime`` instead.
 """
 
 from __future__ import annotations
@@ -18,8 +23,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import split_join
 from ..sources.jsonl import TS_NTZ_FORMAT
-from ..sources.sinks import write_daily
+from ..sources.sinks import DELIVERY_PARTITIONS, write_daily
+
+
+DELIVERY_RX = r"([^/=]+_\d{1,2}_\d{1,2}_\d{4}\.json)"
+
+
+def with_delivery(df: DataFrame, path_col: str = "source_file") -> DataFrame:
+    """Add ``delivery``: the day file's name in the path (the whole path where it has none)."""
+    name = F.nullif(F.regexp_extract(path_col, DELIVERY_RX, 1), F.lit(""))
+    return df.withColumn("delivery", F.coalesce(name, F.md5(path_col)))
+
+
+def latest(df: DataFrame, path_col: str = "source_file") -> DataFrame:
+    """Rows of each delivery's last folder. Only names are aggregated and joined: a row per delivery."""
+    folder = F.regexp_replace(path_col, "[^/]*" + DELIVERY_RX + ".*$", "")
+    df = df.withColumn("_folder", folder)
+    last = df.groupBy("delivery").agg(F.max("_folder").alias("_last"))
+    return split_join(df, last, "delivery").where(F.col("_folder") == F.col("_last")).drop("_folder", "_last")
 
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame],
@@ -27,7 +50,8 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, transform: C
            max_files_per_trigger: int | None = None):
     """Start (and, with ``available_now``, finish) the ingestion query; returns the query.
 
-    Each landed row carries ``source_file`` (its file path) for date stamping."""
+    Each landed row carries ``source_file`` (its file path) for date stamping and ``delivery``; ``transform``
+    must keep ``delivery`` and add year, month, day."""
     reader = (spark.readStream.schema(schema)
               .option("recursiveFileLookup", "true")
               .option("timestampNTZFormat", TS_NTZ_FORMAT)
@@ -37,7 +61,7 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, transform: C
     stream = reader.json(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_daily(transform(batch), sink, fmt)
+        write_daily(transform(latest(with_delivery(batch))), sink, fmt, DELIVERY_PARTITIONS)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -58,13 +58,19 @@ def test_html_text_equals_parser_text(spark):
 def test_passages_and_squeeze_equal_python(spark):
     docs = dict(rows(f"SELECT doc_id, text FROM '{SMOKE}/documents.parquet'"))
     df = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text")
-    got: dict[int, list[str]] = {}
-    for r in ST.passages(df).collect():
-        got.setdefault(r.doc_id, []).append((r.pos, r.passage))
+
+    def cut(**options):
+        got: dict[int, list[tuple]] = {}
+        for r in ST.passages(df, **options).collect():
+            got.setdefault(r.doc_id, []).append((r.pos, r.passage))
+        return {k: [p for _, p in sorted(v)] for k, v in got.items()}
+
+    whole, part = cut(), cut(short_docs="drop", remainder="drop")
     for doc_id, text in docs.items():
         k = text.count("\n") // 5
-        expected = re.findall("\n".join(["[^\n]+"] * k), text) if k > 0 else []
-        assert [p for _, p in sorted(got.get(doc_id, []))] == expected, doc_id
+        assert part.get(doc_id, []) == (re.findall("\n".join(["[^\n]+"] * k), text) if k > 0 else []), doc_id
+        lines = [x for x in text.split("\n") if x]
+        assert [x for p in whole.get(doc_id, []) for x in p.split("\n") if x] == lines, doc_id  # no line is lost
     squeezed = {r.doc_id: r.t for r in df.select("doc_id", X.squeeze_newlines("text").alias("t")).collect()}
     for doc_id, text in docs.items():
         assert squeezed[doc_id] == re.sub(r"\s*\n+\s*", " ", text), doc_id
@@ -106,5 +112,16 @@ def test_full_entity_decoding_matches_parser(spark):
     pages = ["<p>It&rsquo;s &#39;remote&#39; &amp;&#x2019; caf&eacute;</p><p>&lt;b&gt; &nbsp;x</p>",
              "<div>no entities</div>", "&amp;lt;kept&amp;gt;"]
     df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i INT, html STRING")
-    got = [r.t for r in df.orderBy("i").select(X.html_to_text("html", full_entities=True).alias("t")).collect()]
+    got = [r.t for r in df.orderBy("i").select(X.html_to_text("html").alias("t")).collect()]
     assert got == [visible_text(h) for h in pages]
+
+
+def test_every_named_entity_and_long_runs_of_markup(spark):
+    import html.entities
+    names = sorted(n for n in html.entities.html5 if n.endswith(";"))
+    rows = [(i, f"x&{n}y") for i, n in enumerate(names)]
+    rows += [(-1, "<br>" * 100_000 + "end"), (-2, "a" + "<p></p>" * 100_000 + "b" + "<!-- x -->" * 50_000)]
+    df = spark.createDataFrame(rows, "i INT, html STRING")
+    got = {r.i: r.t for r in df.select("i", X.html_to_text("html").alias("t")).collect()}
+    assert all(got[i] == f"x{html.entities.html5[n]}y" for i, n in enumerate(names))
+    assert got[-1] == "end" and got[-2] == "a b"

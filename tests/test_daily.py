@@ -98,3 +98,12 @@ def test_stream_run_equals_batch_run(spark):
     cols = ["job_key", "day", "split_jd", "cleaned_techs"]
     as_set = lambda df: sorted((r.job_key, r.day, r.split_jd, tuple(r.cleaned_techs)) for r in df.select(cols).collect())
     assert as_set(spark.read.parquet(sink)) == as_set(batch) and len(as_set(batch)) == 2
+
+
+def test_broken_blobs_are_quarantined(spark):
+    pages = spark.createDataFrame([("k1", "a", "<script>_initialData={\"x\": };</script>"), ("k2", "a", job_page("<p>caf&eacute; &mdash; it&#8217;s</p>"))],
+                                  "job_key STRING, keyword STRING, html STRING")
+    pages = pages.selectExpr("*", "1 AS from_age", "'r' AS location", "1 AS page", "0 AS position", "'u' AS url")
+    good, bad = D.collect_stage(pages)
+    assert [(r.job_key, r.result) for r in bad.collect()] == [("k1", ["data blob is not a JSON object"])]
+    assert [r.job_description for r in good.collect()] == ["caf\u00e9 \u2014 it\u2019s"]

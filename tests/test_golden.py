@@ -63,13 +63,15 @@ def test_passages_k2_with_blank_line(spark):
     text = "a\nb\n\nd\ne\nf\ng\nh"
     df = spark.createDataFrame([(1, text)], "doc_id INT, text STRING")
     k = 2
-    got = df.select(F.posexplode(ST.passage_blocks("text", F.lit(k)))).orderBy("pos").collect()
-    assert [r["col"] for r in got] == ["a\nb", "d\ne", "f\ng"]
+    for remainder, more in (("drop", []), ("keep", ["h"])):
+        got = df.select(F.posexplode(ST.passage_blocks("text", F.lit(k), remainder))).orderBy("pos").collect()
+        assert [r["col"] for r in got] == ["a\nb", "d\ne", "f\ng", *more]
 
 
-def test_passages_short_doc_dropped(spark):
+def test_passages_short_doc_kept_or_dropped(spark):
     df = spark.createDataFrame([(1, "one\ntwo"), (2, "a\nb\nc\nd\ne\nf")], "doc_id INT, text STRING")
-    rows = ST.passages(df).collect()
+    assert ("one\ntwo",) in {(r.passage,) for r in ST.passages(df).collect()}
+    rows = ST.passages(df, short_docs="drop").collect()
     # doc 1 has k = 0 (dropped); doc 2 has 5 newlines -> k = 1 -> one passage per line
     assert sorted((r.doc_id, r.pos, r.passage) for r in rows) == [(2, i, c) for i, c in enumerate("abcdef")]
 
@@ -86,7 +88,9 @@ def test_salary_choice_and_annualize(spark):
 def test_page_offsets(spark):
     df = spark.createDataFrame([(45,), (0,), (1001,)], "n INT")
     got = [r[0] for r in df.select(NZ.page_offsets("n")).collect()]
-    assert got == [[0, 10, 20, 30, 40, 50], [0], [0, 10, 20, 30, 40, 50]]
+    assert got == [[0, 10, 20, 30, 40, 50], [0], list(range(0, 1011, 10))]
+    capped = [r[0] for r in df.select(NZ.page_offsets("n", threshold=R.HIT_THRESHOLD)).collect()]
+    assert capped == [[0, 10, 20, 30, 40, 50], [0], [0, 10, 20, 30, 40, 50]]
 
 
 def test_date_from_file_name(spark):
@@ -111,3 +115,18 @@ def test_view_fanout_cases(spark):
     assert "e" not in by_key and "n" not in by_key
     # one term on two days, two keywords -> one row per (day, keyword): 4 rows
     assert len(by_key["d"]) == 4
+
+
+def test_a_keyword_seen_on_two_days_counts_twice_in_the_weights(spark):
+    posts = spark.createDataFrame([("d", ["aws", "aws"], 2024, 2, 19), ("d", ["aws"], 2024, 2, 20)],
+                                  "job_key STRING, cleaned_techs ARRAY<STRING>, year INT, month INT, day INT")
+    kws = spark.createDataFrame([("d", ["k1"]), ("d", ["k1", "k2"]), (None, ["k1"])], "job_key STRING, keyword ARRAY<STRING>")
+    view = V.jobs_view_weighted(posts, kws)
+    assert sorted((r.kw, str(r.job_date), r.weight) for r in view.collect()) == [
+        ("k1", "2024-02-19", 2), ("k1", "2024-02-19", 2), ("k1", "2024-02-20", 2),
+        ("k2", "2024-02-19", 1), ("k2", "2024-02-19", 1), ("k2", "2024-02-20", 1)]
+    # a plain un-nest join has 3 terms x 3 keyword rows
+    assert view.agg(F.sum("weight")).first()[0] == 9
+    assert V.jobs_view(posts, kws).count() == 6
+    audit = {(r.kw, r.job_date.day): r.n_rows for r in V.fanout_audit(view).collect()}
+    assert audit == {("k1", 19): 4, ("k1", 20): 2, ("k2", 19): 2}

@@ -16,12 +16,21 @@ def test_extractor_hook_retries_and_keeps_errors(spark):
         return [w for w in text.split() if w.isalpha()]
 
     df = spark.createDataFrame([(1, "aws and sql"), (2, "bad")], "id INT, split_jd STRING")
-    rows = {r.id: r for r in EX.extract_with(df, flaky, max_attempts=3).collect()}
+    rows = {r.id: r for r in EX.extract_with(df, EX.each(flaky), "id", max_attempts=3).collect()}
     assert rows[1].cleaned_techs == ["aws", "and", "sql"] and rows[1].result is None
     assert rows[2].cleaned_techs is None and len(rows[2].result) == 3
     assert "service unavailable" in rows[2].result[0]
 
 
+def test_batch_extractor_is_asked_again_only_for_failed_texts(spark):
+    def batch(texts):
+        return [ValueError(t) if t == "no" else [str(len(texts))] for t in texts]
+
+    df = spark.createDataFrame([(1, "a"), (2, "no"), (3, "b")], "id INT, split_jd STRING").coalesce(1)
+    rows = {r.id: r for r in EX.extract_with(df, batch, "id", max_attempts=2).collect()}
+    assert rows[1].cleaned_techs == rows[3].cleaned_techs == ["3"] and rows[2].result == ["ValueError: no"] * 2
+
+
 def test_merge_response_response_wins_and_metadata_dropped(spark):
     base = spark.createDataFrame([(1, "posting", "t")], "k INT, source STRING, title STRING")
     resp = spark.createDataFrame([(1, "model", "m")], "k INT, source STRING, metadata STRING")
@@ -29,6 +38,13 @@ def test_merge_response_response_wins_and_metadata_dropped(spark):
     assert sorted(out.columns) == ["k", "source", "title"] and out.first().source == "model"
 
 
+def test_merge_response_keeps_postings_without_one_and_repeats_none(spark):
+    base = spark.createDataFrame([(1, "p", ["e"]), (2, "p", ["e2"]), (None, "p", None)], "k INT, source STRING, result ARRAY<STRING>")
+    resp = spark.createDataFrame([(1, "m", "x"), (1, "n", "y"), (None, "z", "z")], "k INT, source STRING, content STRING")
+    out = sorted(map(tuple, EX.merge_response(base, resp, "k").collect()), key=repr)
+    assert out == sorted([(1, "m", ["e"], "x"), (2, "p", ["e2"], None), (None, "p", None, None)], key=repr)
+
+
 def test_dictionary_extraction_counts_unigrams_and_bigrams(spark):
     d = spark.createDataFrame([(1, "Power BI and power bi; Excel")], "doc_id INT, text STRING")
     dic = EX.dictionary_frame(spark, {"powerbi": ["power bi"], "excel": ["excel"]})
@@ -36,6 +52,15 @@ def test_dictionary_extraction_counts_unigrams_and_bigrams(spark):
     assert got == {"powerbi": 2, "excel": 1}
 
 
+def test_production_aliases_of_any_length_and_marks(spark):
+    from skilltrends import rules as R
+    texts = [(1, "Natural language\nprocessing with Microsoft Power BI."), (2, "C++, node.js and c# on AWS"), (3, None)]
+    d = spark.createDataFrame(texts, "doc_id INT, text STRING")
+    dic = EX.dictionary_frame(spark, {**R.ALIASES, "cpp": ["c++"], "node": ["node.js"], "csharp": ["C#"]})
+    got = {(r.doc_id, r.term) for r in EX.extract_by_dictionary(d, dic).collect()}
+    assert got == {(1, "nlp"), (1, "powerbi"), (2, "cpp"), (2, "node"), (2, "csharp"), (2, "aws")}
+
+
 def test_keyword_union_sorted_and_filled(spark):
     items = spark.createDataFrame([("j1", "b"), ("j1", "a"), ("j1", "a"), ("j2", "c")], "job_key STRING, keyword STRING")
     out = {r.job_key: r.keyword for r in NZ.fill_keywords(items).collect()}
@@ -62,7 +87,10 @@ def test_reconcile_and_status(spark):
     assert rec == {"d1": (2, 2, True), "d2": (1, 0, False)}
     ev = spark.createDataFrame([("d1", "ok"), ("d1", "error")], "day STRING, t STRING")
     st = QA.run_status(ev, "day", F.col("t") == "error").first()
-    assert (st.started, st.succeeded, st.failed) == (2, 1, 1)
+    assert (st.started, st.succeeded, st.failed, st.other_errors) == (2, 1, 1, 1)
+    kinds = spark.createDataFrame([("d", x) for x in ("ok", "429", "429", "500", "boom", None)], "day STRING, t STRING")
+    st = QA.run_status(kinds, "day", F.col("t") != "ok", F.col("t") == "429", F.col("t") == "500").first()
+    assert tuple(st)[1:] == (6, 2, 4, 2, 1, 1)
 
 
 def test_union_by_name_fills_missing(spark):
@@ -92,13 +120,17 @@ def test_relational_scoring_equals_mllib_margin(spark):
     train = docs.join(lab, "doc_id")
     from skilltrends import session as S
     # reloaded: a loaded model carries no training summary (see plans.daily.daily_run)
-    model = RV.load(RV.save(RV.train(train, vocab_size=4096, max_iter=10), S.scratch_path(spark, "t-model")))
+    model = RV.load(RV.save(RV.train(train, width=4096, max_iter=10), S.scratch_path(spark, "t-model")))
     margin = {r.doc_id: r.m for r in model.transform(train).select(
         "doc_id", F.get(vector_to_array("rawPrediction"), 1).alias("m")).collect()}
 
     idf, coef, intercept = RV.model_tables(spark, model)
     units = train.select("doc_id", F.lit(0).alias("pos"), F.col("text").alias("passage"))
-    scores = ST.linear_scores(ST.term_frequencies(units), F.broadcast(idf), F.broadcast(coef), intercept)
+    tf = ST.term_frequencies(units)
+    place = RV.columns_of(tf.select("token").distinct(), 4096)
+    tf = tf.join(place, "token").groupBy("doc_id", "pos", "column").agg(F.sum("tf").alias("tf")).withColumnRenamed("column", "token")
+    idf, coef = (x.withColumnRenamed("column", "token") for x in (idf, coef))
+    scores = ST.linear_scores(tf, idf, coef, intercept)
     got = {r.doc_id: r.score for r in scores.collect()}
     assert got.keys() == margin.keys()
     assert max(abs(got[k] - margin[k]) for k in got) < 1e-9

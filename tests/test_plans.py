@@ -44,13 +44,62 @@ def test_view_with_one_hot_key_is_whole(spark):
     assert counts["hot"] == 300 * 2 * 2 and len(counts) == 601
 
 
+def hot_rows(spark, n=40_000):
+    """Half the rows on one key."""
+    return spark.range(n).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("job_key"),
+                                 F.uuid().alias("pad"), F.array(F.lit("t1")).alias("cleaned_techs"), F.lit(2024).alias("year"),
+                                 F.lit(1).alias("month"), F.lit(1).alias("day"), F.lit("k").alias("keyword")).repartition(4)
+
+
+def test_hot_keys_are_split_in_aggregated_joins(spark):
+    from skilltrends.operators import extract as EX
+    from skilltrends.operators import normalize as NZ
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = hot_rows(spark)
+        words = hot.select("job_key", F.array("keyword").alias("keyword"))
+        V.register_sql_views(spark, hot, words)
+        frames = {"view": (V.jobs_view(hot, words), 40_000), "weighted": (V.jobs_view_weighted(hot, words), 40_000),
+                  "sql": (spark.table("jobs_view"), 40_000), "keywords": (NZ.fill_keywords(hot), 40_000),
+                  "merge": (EX.merge_response(hot, hot.select("job_key", F.lit(1).alias("x")), "job_key"), 40_000)}
+        for name, (df, n) in frames.items():
+            rows = df.select(*df.columns[:2]).collect() if name != "keywords" else df.collect()
+            assert len(rows) == n, name
+            df.write.format("noop").mode("overwrite").save()
+        for name, (df, _) in frames.items():
+            df.collect()
+            assert "skew=true" in plan(df), name
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_text_stays_out_of_the_scoring_shuffles(spark):
+    from skilltrends.operators import select_text as ST
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text")
+    p = ST.passages(docs)
+    for df in (p, ST.term_frequencies(p)):
+        assert "Exchange" not in plan(df)
+    idf = ST.fit_idf(p)
+    for line in plan(ST.linear_scores(ST.term_frequencies(p), idf, A.coef_frame(spark), 0.0)).splitlines():
+        assert "Exchange" not in line or "passage" not in line
+
+
 def test_rule_table_above_bound_is_matched_in_chunks(spark):
     rules = C.rules_frame(spark, A.MAP_RULES)
     terms = spark.createDataFrame([("hot bolt",), ("red widget",), ("new plate",), ("cold gear",)], "term STRING")
     expected = {"hot bolt": "fastener", "red widget": "mechanism", "new plate": "new plate", "cold gear": "thermal"}
-    for bound in (100, 3, 1):  # one broadcast table, two chunks, one rule per chunk
-        got = {r.term: r.mapped for r in C.map_terms_by_table(terms, rules, max_rules=bound).collect()}
-        assert got == expected
+    for per_case in (100, 3, 1):  # one expression, two, one per rule
+        out = C.map_terms_by_table(terms, rules, per_case=per_case)
+        assert "Join" not in plan(out) and "Exchange" not in plan(out)
+        assert {r.term: r.mapped for r in out.collect()} == expected
+    import pytest
+    with pytest.raises(ValueError):
+        C.map_terms_by_table(terms, rules, max_rules=3)
 
 
 def test_no_query_caps_or_samples_rows(spark):
@@ -58,7 +107,7 @@ def test_no_query_caps_or_samples_rows(spark):
     (the per-group top-k of ``top_terms`` is its feature, not a row cap)."""
     import re
 
-    from __spark_entry__ import queries
-    for name, fn in queries().items():
+    from skilltrends.plans.queries import QUERIES
+    for name, fn in QUERIES.items():
         plan = fn(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
         assert not re.search(r"\b(GlobalLimit|LocalLimit|Sample)\b", plan), name

@@ -41,8 +41,9 @@ line = st.text(alphabet="ab c", min_size=0, max_size=6)
 def test_passage_blocks_equal_findall(spark, lines, k):
     text = "\n".join(lines)
     df = spark.createDataFrame([(text, k)], "text STRING, k INT")
-    got = df.select(ST.passage_blocks("text", "k")).first()[0]
+    got, whole = df.select(ST.passage_blocks("text", "k", "drop"), ST.passage_blocks("text", "k")).first()
     assert got == re.findall("\n".join(["[^\n]+"] * k), text)
+    assert whole == re.findall("[^\n]+" + "(?:\n[^\n]+)?" * (k - 1), text)
 
 
 @settings(max_examples=10, deadline=None)
@@ -86,5 +87,6 @@ def test_parse_list_matches_python(spark, answers):
 def test_page_offsets_match_python(spark, hits):
     from skilltrends.operators import normalize as NZ
     df = spark.createDataFrame([(h,) for h in hits], "n INT")
-    got = [r[0] for r in df.select(NZ.page_offsets("n")).collect()]
-    assert got == [list(range(0, (50 if h > 1000 else h) + 10, 10)) for h in hits]
+    got = df.select(NZ.page_offsets("n"), NZ.page_offsets("n", threshold=1000)).collect()
+    assert [r[0] for r in got] == [list(range(0, h + 10, 10)) for h in hits]
+    assert [r[1] for r in got] == [list(range(0, (50 if h > 1000 else h) + 10, 10)) for h in hits]

@@ -14,7 +14,42 @@ from .conftest import SMOKE
 
 
 def transform(batch):
-    return J.with_file_date(batch).select("event_id", "event_type", "year", "month", "day")
+    cols = ["event_id", "event_type", "year", "month", "day"]
+    return J.with_file_date(batch).select(*cols, *[c for c in ("delivery",) if c in batch.columns])
+
+
+def land_file(spark, landing, drop, name, ids):
+    spark.createDataFrame([(i, "e") for i in ids], "event_id LONG, event_type STRING").coalesce(1).write.json(f"{landing}/{drop}/{name}")
+
+
+def test_two_files_of_a_day_and_a_second_delivery(spark):
+    landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("t-landing", "t-sink", "t-ckpt"))
+
+    def ids():
+        return sorted(r.event_id for r in spark.read.parquet(sink).collect())
+
+    land_file(spark, landing, "d1", "am_01_02_2024.json", [1, 2])
+    land_file(spark, landing, "d1", "pm_01_02_2024.json", [3])
+    IN.ingest(spark, landing, EVENT, transform, sink, ckpt, max_files_per_trigger=1)  # two micro-batches
+    assert ids() == [1, 2, 3]
+    land_file(spark, landing, "d2", "eve_01_02_2024.json", [4])  # between runs
+    IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
+    assert ids() == [1, 2, 3, 4]
+    land_file(spark, landing, "d3", "am_01_02_2024.json", [10])  # delivered again
+    IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
+    assert ids() == [3, 4, 10]
+    land_file(spark, landing, "d4", "pm_01_02_2024.json", [30])  # twice in one micro-batch: the last folder wins
+    land_file(spark, landing, "d5", "pm_01_02_2024.json", [31])
+    IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
+    assert ids() == [4, 10, 31]
+
+
+def test_files_per_day_are_few(spark):
+    import glob
+    df = spark.range(20_000).selectExpr("id", "2024 AS year", "1 AS month", "CAST(id % 5 + 1 AS INT) AS day").repartition(16)
+    path = SK.write_daily(df, S.scratch_path(spark, "t-files"))
+    for day in range(1, 6):
+        assert len(glob.glob(path.removeprefix("file:") + f"/year=2024/month=1/day={day}/*.parquet")) == 1
 
 
 def test_ingest_equals_batch_and_rerun_is_noop(spark):
