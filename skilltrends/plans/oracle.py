@@ -575,3 +575,9 @@ SELECT doc_id, CASE WHEN techs IS NULL THEN '' ELSE
          array_to_string(list_transform(list_filter(string_split(techs, '|'), lambda x: x <> 'article'), lambda x: CASE WHEN x = 'that' THEN 'which' ELSE x END), '|') END AS techs,
        2024 AS year, 3 AS month, (doc_id % 28 + 1)::INTEGER AS day
 FROM long LEFT JOIN terms USING (doc_id)"""
+
+# the decimal holds the longest whole part and the longest fraction
+ORACLE["schema_infer"] = """
+WITH parts AS (SELECT split_part(abs(value)::VARCHAR, '.', 1) AS whole, rtrim(split_part(abs(value)::VARCHAR, '.', 2), '0') AS fraction FROM events)
+SELECT 'OBJECT<event_id: BIGINT, event_type: STRING, props: STRING, ts: STRING, user_id: BIGINT, value: DECIMAL('
+       || (max(length(whole)) + max(length(fraction))) || ',' || max(length(fraction)) || ')>' AS schema FROM parts"""

@@ -47,7 +47,7 @@ def test_view_with_one_hot_key_is_whole(spark):
 def hot_rows(spark, n=40_000):
     """Half the rows on one key."""
     return spark.range(n).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("job_key"),
-                                 F.uuid().alias("pad"), F.array(F.lit("t1")).alias("cleaned_techs"), F.lit(2024).alias("year"),
+                                 F.uuid().alias("pad"), F.array(F.uuid()).alias("cleaned_techs"), F.lit(2024).alias("year"),
                                  F.lit(1).alias("month"), F.lit(1).alias("day"), F.lit("k").alias("keyword")).repartition(4)
 
 
