@@ -14,23 +14,29 @@ def fold(id_column: Column, n: int) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def sampled_by(rows: DataFrame, label: str, per_value: int, key: str) -> DataFrame:
-    """About ``per_value`` rows of each value of ``label``: those with the lowest hashes of ``key``.
-    The share comes from a count of all rows, so it is the same wherever the rows lie."""
-    counts = rows.groupBy(label).agg(F.count("*").alias("n"))
-    share = F.floor(F.least(F.lit(1.0), per_value / F.col("n")) * (1 << 30))
-    picked = rows.join(F.broadcast(counts.select(F.col(label).alias("_v"), share.alias("_share"))), F.col(label) == F.col("_v"))
-    return picked.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < F.col("_share")).drop("_v", "_share")
+def sampled_by(rows: DataFrame, label: str, per_value: int, key: str, most: int) -> tuple[DataFrame, dict]:
+    """About ``per_value`` rows of each value of ``label`` (those with the lowest hashes of ``key``), and how
+    many rows each value has in all. More than ``most`` values are an error. The share comes from
+    the count of all rows, so it is the same wherever the rows lie."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().limit(most + 1).collect()}
+    if len(counts) > most:
+        raise ValueError(f"more than {most} values of {label}")
+    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30))
+    wanted = F.lit(False)
+    for value, n in sorted(counts.items()):
+        wanted = wanted | ((F.col(label) == F.lit(value)) & (place < F.lit(int(min(1.0, per_value / n) * (1 << 30)))))
+    return rows.filter(wanted), counts
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_value: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, y, t): labelled rows outside the held-out fold, about ``per_value`` of each of the labels 0 and 1."""
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
+    """(id, y, t): labelled rows outside the held-out fold, about ``per_value`` of each of the labels 0 and 1;
+    and how many there are of each in all."""
     known = labels.select(col(id_col).alias("id"), col(label).cast("int").alias("y"))
     known = known.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("id"), folds) != held_out))
-    known = sampled_by(known, "y", per_value, "id")  # at most two labels: a few thousand pairs of numbers
+    known, counts = sampled_by(known, "y", per_value, "id", 2)  # a few thousand pairs of numbers
     texts = docs.select(col(id_col).alias("d"), F.coalesce(col(text_col), F.lit("")).alias("t"))
-    return texts.join(F.broadcast(known), F.col("d") == F.col("id")).select("id", "y", "t")
+    return texts.join(F.broadcast(known), F.col("d") == F.col("id")).select("id", "y", "t"), counts
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100, decay: float = 1e-3) -> np.ndarray:

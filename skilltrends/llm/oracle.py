@@ -24,7 +24,7 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-            OR 10 * n_dup_lines > 3 * n_lines
+            OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
             OR 10 * len(regexp_extract_all(text, '[A-Za-z\x{{80}}-\x{{FFFF}}][^\x20\x09-\x0D]*')) < 7 * n_words
             OR 10 * len(regexp_extract_all(text, '[A-Z]{{2,}}[^\x20\x09-\x0Da-z]*!')) > 3 * n_words
             OR 10 * len(regexp_extract_all(text, '[!?]{{2,}}')) > 3 * n_words) AS kept

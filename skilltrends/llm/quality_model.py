@@ -4,7 +4,7 @@ Features are indicators of the 1- and 2-grams of a text's tokens, hashed to 2**1
 labelled rows outside the held-out fold each column gets the log ratio of its smoothed counts in the
 two classes; the indicators are scaled by it, each row is brought to length 1, and a linear model
 with hinge loss is fitted by dual coordinate descent. A sigmoid fitted on a fifth of the sample,
-which the linear model doesn't see, turns margins into scores.
+which the linear model doesn't see, turns margins into scores, for the classes' shares in all labelled rows.
 
 The fit uses a bounded sample: ``per_class`` labelled rows of each class (hash order). Its features
 go to the driver; the model, 2**18 numbers, goes back as a broadcast. Scoring maps over whole texts in
@@ -123,10 +123,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
             found = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(column, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), found], names=["id", "y", "c"])
 
-    sample = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
+    sample, counts = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
     rows = sample.mapInArrow(run, "id string, y int, c array<int>").toArrow()
     columns = [c.values.to_numpy() for chunk in rows["c"].chunks for c in chunk]
-    return fit(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), columns)))
+    model = fit(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), columns)))
+    if model is not None:  # the sample holds both classes alike; a score is for the classes as they come
+        found = np.bincount(rows["y"].to_numpy(), minlength=2)
+        model.b += float(np.log(counts[1] / counts[0]) - np.log(found[1] / found[0]))
+    return model
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT,

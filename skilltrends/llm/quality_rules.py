@@ -34,7 +34,7 @@ MIN_WORDS, SAMPLE_ROWS, POSITION_BITS = 50, 500, 20
 RULES = {
     "symbol_heavy": "10 * n_symbols > n_words",
     "word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
-    "dup_lines": "10 * n_dup_lines > 3 * n_lines",
+    "dup_lines": "n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines",
     "few_letters": r"10 * regexp_count(text, '[A-Za-z\\u0080-\\uFFFF][^\\x20\\x09-\\x0D]*') < 7 * n_words",
     "shouting": r"10 * regexp_count(text, '[A-Z]{2,}[^\\x20\\x09-\\x0Da-z]*!') > 3 * n_words",
     "exclaiming": r"10 * regexp_count(text, '[!?]{2,}') > 3 * n_words",

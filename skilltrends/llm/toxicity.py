@@ -233,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
                      pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(head))]
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), *lists], names=["id", "y", "c", "h"])
 
-    sample = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
+    sample, _ = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
     rows = sample.mapInArrow(run, "id string, y int, c array<int>, h array<boolean>").toArrow()
     columns = [c.values.to_numpy().reshape(-1, 1 + len(PREFIXES)) for chunk in rows["c"].chunks for c in chunk]
     heads = [c.values.to_numpy(zero_copy_only=False).astype(bool) for chunk in rows["h"].chunks for c in chunk]
