@@ -94,14 +94,17 @@ def canonicalize(arr, pairs: list[tuple[str, str]]) -> Column:
     return F.transform(arr, lambda x: F.coalesce(F.try_element_at(m, F.lower(x)), x))
 
 
-def parse_bracket_list(c) -> Column:
+def parse_bracket_list(c, drop_blank: bool = False) -> Column:
     """Parse a model answer of the form ``[a, b, c]``.
 
     Must start with ``[`` (no leading blank); all leading/trailing ``[``/``]`` are
     stripped, the rest split on ``,`` and each item stripped of whitespace. Anything
-    else (or NULL) gives an empty list. ``[]`` gives one empty string.
+    else (or NULL) gives an empty list. ``[]`` gives one empty string; ``drop_blank`` leaves blank
+    items out.
     """
     c = _col(c)
     inner = F.regexp_replace(c, r"^[\[\]]+|[\[\]]+$", "")
     items = F.transform(F.split(inner, ",", -1), py_strip)
+    if drop_blank:
+        items = F.filter(items, lambda x: x != F.lit(""))
     return F.when(c.startswith("["), items).otherwise(F.array().cast("array<string>"))

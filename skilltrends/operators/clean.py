@@ -53,12 +53,18 @@ def rules_frame(spark, rules: list[tuple[str, str]]) -> DataFrame:
                                  "rank INT, pattern STRING, replacement STRING")
 
 
-def read_rules(rules: DataFrame, max_rules: int = MAX_RULES) -> list[tuple[str, str]]:
-    """(pattern, replacement) pairs in rank order. Rules are configuration: more than ``max_rules`` of
-    them is an error, so what reaches the driver is bounded."""
-    rows = rules.select("rank", "pattern", "replacement").limit(max_rules + 1).collect()
+def rule_rows(rules: DataFrame, max_rules: int = MAX_RULES) -> list:
+    """The rows of a rule table. Rules are configuration: more than ``max_rules`` of them is an error,
+    so what reaches the driver is bounded and nothing is left out."""
+    rows = rules.limit(max_rules + 1).collect()
     if len(rows) > max_rules:
         raise ValueError(f"more than {max_rules} rules")
+    return rows
+
+
+def read_rules(rules: DataFrame, max_rules: int = MAX_RULES) -> list[tuple[str, str]]:
+    """(pattern, replacement) pairs in rank order."""
+    rows = rule_rows(rules.select("rank", "pattern", "replacement"), max_rules)
     return [(r["pattern"], r["replacement"]) for r in sorted(rows, key=lambda r: r["rank"])]
 
 

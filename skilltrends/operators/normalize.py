@@ -42,13 +42,18 @@ def choose_salary(info, estimate) -> Column:
 
 
 def annualize(df: DataFrame, min_col: str = "salary_min", max_col: str = "salary_max",
-              type_col: str = "salary_type", factor: float = R.HOURS_PER_YEAR) -> DataFrame:
+              type_col: str = "salary_type", factor: float = R.HOURS_PER_YEAR,
+              factors: dict[str, float] | None = None) -> DataFrame:
     """Any non-NULL pay type other than YEARLY: amounts x factor, type := YEARLY.
-    A NULL amount stays NULL."""
+    A NULL amount stays NULL. ``factors`` gives pay types factors of their own (say MONTHLY: 12); other
+    types keep ``factor``."""
     t = F.col(type_col)
     convert = t.isNotNull() & (t != F.lit("YEARLY"))
-    return (df.withColumn(min_col, F.when(convert, F.col(min_col) * F.lit(float(factor))).otherwise(F.col(min_col)))
-              .withColumn(max_col, F.when(convert, F.col(max_col) * F.lit(float(factor))).otherwise(F.col(max_col)))
+    times = F.lit(float(factor))
+    for name, x in sorted((factors or {}).items()):
+        times = F.when(t == F.lit(name), F.lit(float(x))).otherwise(times)
+    return (df.withColumn(min_col, F.when(convert, F.col(min_col) * times).otherwise(F.col(min_col)))
+              .withColumn(max_col, F.when(convert, F.col(max_col) * times).otherwise(F.col(max_col)))
               .withColumn(type_col, F.when(convert, F.lit("YEARLY")).otherwise(t)))
 
 

@@ -89,7 +89,7 @@ def resource(spark, name: str) -> str:
 def rules_words(spark, sf_dir):
     """Removal words read from a word file, applied to every term list."""
     rows = RF.load_word_patterns(spark, resource(spark, "part_removal_words.txt"))
-    patterns = [r["pattern"] for r in sorted(rows.limit(C.MAX_RULES).collect())]
+    patterns = [r["pattern"] for r in sorted(C.rule_rows(rows))]
     df = C.remove_terms(A.postings(spark, sf_dir), patterns=patterns)
     return df.select("job_key", "line_no", joined().alias("techs"))
 
@@ -99,7 +99,7 @@ def rules_json(spark, sf_dir):
     """Aliases and stop-lists read from JSON files, applied to every term list."""
     def lists(name):
         out = {}
-        for r in RF.load_json_lists(spark, resource(spark, name)).limit(C.MAX_RULES).collect():
+        for r in C.rule_rows(RF.load_json_lists(spark, resource(spark, name))):
             out.setdefault(r["name"], []).append(r["item"])
         return out
 
@@ -609,11 +609,10 @@ def page_quarantine(spark, sf_dir):
 @register
 def daily_flow(spark, sf_dir):
     """The whole daily flow over landed posting files: documents as descriptions, one file per source."""
-    from ..sources.tables import table as read
-    from . import daily as D
     from ..schemas import POSTING
+    from . import daily as D
     landing, sink = S.scratch_path(spark, "landing"), S.scratch_path(spark, "clean")
-    d = read(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents")
     fields = {"job_key": F.col("doc_id").cast("string"), "keyword": F.array("lang"), "job_description": F.col("text")}
     row = F.struct(*[fields.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in POSTING.fields])
     day = F.concat(F.lit("jobs_"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("_03_2024.json"))

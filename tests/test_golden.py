@@ -28,6 +28,44 @@ def test_map_terms_vector_b(spark):
     assert df.select(T.map_first_match("t", R.MAP_RULES)).first()[0] == expected
 
 
+def test_both_vectors_with_rules_loaded_from_files(spark):
+    from skilltrends import session as S
+    from skilltrends.sources import rulefiles as RF
+    words, maps = S.scratch_path(spark, "t-words"), S.scratch_path(spark, "t-maps")
+    RF.stage_text(spark, "skills\nanalyst\n\ndocumentation\nprototyping tools\n", words)
+    RF.stage_text(spark, "\n".join(f"{p}, {r}" for p, r in R.MAP_RULES), maps)
+    patterns = [r["pattern"] for r in sorted(C.rule_rows(RF.load_word_patterns(spark, words)))]
+    df = one_array(spark, ["excel skills", "powerbi analyst", "documentation guide", "prototype", "test"])
+    assert df.select(T.remove_matching("t", patterns)).first()[0] == ["prototype", "test"]
+    items = ["ai tech", "gcp", "rgoogleey", "laws", "aws lambda", "ms excel", "excellant", '"ai"', '["ai"]']
+    terms = spark.createDataFrame(list(enumerate(items)), "i INT, term STRING")
+    rules = RF.load_mapping_rules(spark, maps)
+    got = [r.mapped for r in sorted(C.map_terms_by_table(terms, rules).collect())]
+    assert got == ["ai", "google", "rgoogleey", "laws", "aws", "excel", "excellant", "ai", "ai"]
+
+
+def test_ranks_are_unique_over_a_folder_of_rule_files(spark):
+    from skilltrends import session as S
+    from skilltrends.sources import rulefiles as RF
+    root = S.scratch_path(spark, "t-folder")
+    for name, text in (("a", "x, 1\ny, 2"), ("b", "x, 3\nz, 4")):
+        RF.stage_text(spark, text, f"{root}/{name}")
+    rules = RF.load_mapping_rules(spark, f"{root}/*")
+    assert [tuple(r) for r in sorted(rules.collect())] == [(0, "x", "1"), (1, "y", "2"), (2, "x", "3"), (3, "z", "4")]
+
+
+def test_unicode_case_and_word_boundaries(spark):
+    df = one_array(spark, ["\u00c9COLE", "caf\u00e9s", "caf\u00e9 x"])
+    assert df.select(T.remove_matching("t", [r"\b\u00e9cole\b", r"\bcaf\b"])).first()[0] == ["caf\u00e9s", "caf\u00e9 x"]
+
+
+def test_options_for_pay_types_and_blank_items(spark):
+    df = spark.createDataFrame([(10.0, None, "MONTHLY"), (1.0, 2.0, "HOURLY")], "salary_min DOUBLE, salary_max DOUBLE, salary_type STRING")
+    assert [tuple(r) for r in NZ.annualize(df, factors={"MONTHLY": 12}).collect()] == [(120.0, None, "YEARLY"), (2080.0, 4160.0, "YEARLY")]
+    df = spark.createDataFrame([("[]",), ("[a,, b]",)], "c STRING")
+    assert [r[0] for r in df.select(T.parse_bracket_list("c", drop_blank=True)).collect()] == [[], ["a", "b"]]
+
+
 def test_remove_then_map_order(spark):
     # removal runs first; a mapped term is not re-tested for removal
     df = spark.createDataFrame([(["amazon analytics", "amazon", "visualization"],)], "cleaned_techs ARRAY<STRING>")
