@@ -55,15 +55,18 @@ def contamination(text, items, window=13):
     def words(t):
         return PLAIN.findall((t or "").translate(UPPER))
 
-    w, hit, names = words(text), set(), set()
+    phrases = {}
     for name, t in items:
         x = words(t)
         k = min(window, len(x))
-        for phrase in {tuple(x[i:i + k]) for i in range(len(x) - k + 1)} if x else ():
-            for i in range(len(w) - k + 1):
-                if tuple(w[i:i + k]) == phrase:
-                    hit |= set(range(i, i + k))
-                    names.add(name)
+        for i in range(len(x) - k + 1 if x else 0):
+            phrases.setdefault(tuple(x[i:i + k]), set()).add(name)
+    w, hit, names = words(text), set(), set()
+    for k in {len(p) for p in phrases}:
+        for i in range(len(w) - k + 1):
+            if found := phrases.get(tuple(w[i:i + k])):
+                hit |= set(range(i, i + k))
+                names |= found
     return len(w), len(hit), sorted(names)
 
 
