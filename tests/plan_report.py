@@ -29,7 +29,7 @@ def summarize(plan: str) -> dict:
         "shuffles": kinds,
         "reused": plan.count("ReusedExchange"),
         "broadcasts": plan.count("BroadcastExchange"),
-        "python": len(re.findall(r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan)),
+        "python": len(re.findall(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan)),
         "scans": scans,
     }
 
@@ -40,6 +40,13 @@ def main() -> None:
     from __spark_entry__ import queries
     spark = build_session("local[8]", shuffle_partitions=16)
     print("# Physical plans (final AQE plans, executed on", os.path.basename(sf_dir), ")\n")
+    print("""`RoundRobinPartitioning` and `hash:REPARTITION_BY_NUM` exchanges are the spread of single-row-group test files
+over the cores (`sources.tables.spread`); with file-split inputs at scale they disappear.
+`hash:ENSURE_REQUIREMENTS` are the shuffles the operators need (aggregations, joins on big sides).
+Broadcasts are fixed configuration tables, samples of a documented size, or the engine's choice for a side
+measured small. `python` counts Arrow stages. Fits, stored tables and component rounds run as separate
+jobs before the plan shown.
+""")
     print("| query | shuffle exchanges | reused | broadcasts | python | parquet columns read |")
     print("|---|---|---|---|---|---|")
     for name, fn in queries().items():
