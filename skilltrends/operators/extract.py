@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from .. import rules as R
 from ..functions.terms import parse_bracket_list
+from ..session import measured
 from .joins import split_join
 
 # A word with the marks that technology names carry inside or at the end: node.js, c++, c#.
@@ -54,7 +55,7 @@ def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_
     dictionary is small and is broadcast; a large one is joined by shuffle, where a hot n-gram is split."""
     d = dictionary.select(words("alias").alias("_w"), "term").where(F.size("_w") > 0)
     longest = d.agg(F.max(F.size("_w"))).first()[0] or 1
-    d = d.select(F.array_join("_w", " ").alias("alias"), "term")
+    d = measured(d.select(F.array_join("_w", " ").alias("alias"), "term"), "dictionary")
     staged = df.select(key, words(text_col).alias("_words"))
     grams = staged.select(key, F.explode(ngrams("_words", longest)).alias("alias"))
     hits = grams.join(d, "alias", "inner")

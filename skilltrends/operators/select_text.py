@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import scratch_path
+from ..session import measured, scratch_path
 
 # Token pattern of the passage vocabulary: runs of 2+ letters/digits/underscore.
 TOKEN_RX = r"[\p{L}\p{N}_]{2,}"
@@ -80,7 +80,7 @@ def passage_tokens(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passag
 def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token") -> DataFrame:
     """Replace each token by its lemma from a (token, lemma) table; unknown tokens stay. Whether the
     table is broadcast is left to its measured size; in a shuffled join a hot token is split."""
-    table = lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma"))
+    table = measured(lemmas.select(F.col("token").alias("_lt"), F.col("lemma").alias("_lemma")), "lemmas")
     out = tokens.join(table, tokens[token_col] == F.col("_lt"), "left")
     return out.withColumn(token_col, F.coalesce(F.col("_lemma"), F.col(token_col))).drop("_lt", "_lemma")
 

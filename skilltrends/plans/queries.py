@@ -618,7 +618,7 @@ def daily_flow(spark, sf_dir):
     day = F.concat(F.lit("jobs_"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit("_03_2024.json"))
     (d.select(day.alias("file"), F.to_json(row).alias("value")).hint("rebalance", F.col("file"))
       .write.partitionBy("file").text(landing))
-    clean = D.daily_run(spark, landing, sink, A.coef_frame(spark), A.RELEVANCE_INTERCEPT, A.RELEVANCE_THRESHOLD,
+    clean = D.daily_run(spark, landing, sink, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT, A.RELEVANCE_THRESHOLD,
                         dictionary=EX.dictionary_frame(spark, A.TERM_DICTIONARY), patterns=[r"\barticle\b"], rules=[(r"\bthat\b", "which")])
     return clean.select(F.col("job_key").cast("long").alias("doc_id"), joined().alias("techs"), "year", "month", "day")
 

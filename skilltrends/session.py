@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
 
@@ -85,3 +85,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path below the checkpoint folder (not created here)."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the checkpoint folder and read back, so that joins plan with its real size. A
+    table made from Python rows has no known size: the planner would broadcast the other side."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
