@@ -134,7 +134,7 @@ def stream_run(spark: SparkSession, landing: str, sink: str, checkpoint: str, co
                extractor: Callable[[str], list[str]] | None = None, available_now: bool = True):
     """Each newly landed posting file flows through stages 2-4 into the clean layer
     (Structured Streaming file source; a rerun on the same checkpoint adds nothing;
-    a re-delivered day replaces that day). Scoring uses the fitted ``idf`` model, so a
+    a file delivered again under a higher number replaces it). Scoring uses the fitted ``idf`` model, so a
     micro-batch gives the same rows as a batch run over the same files."""
     def transform(batch: DataFrame) -> DataFrame:
         return enrich(batch, coef, intercept, threshold, dictionary, extractor, idf=idf)

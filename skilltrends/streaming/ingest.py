@@ -1,15 +1,16 @@
 """Incremental ingestion: new daily JSON-lines files flow to the clean layer.
 
 A Structured Streaming file source watches the landing folder; each micro-batch is transformed by the
-caller's function and written by day and *delivery* with dynamic partition overwrite. A delivery is
-the day file's name (``<prefix>_DD_MM_YYYY.json``, a file or a folder of part files), wherever it lies: two files
-of one day never replace one another, in whatever micro-batches they arrive, and a file delivered
-again (in another folder of the landing area) replaces its first delivery. Where both arrive in one
-micro-batch, the folder that sorts last wins. The checkpoint (on shared storage) records which files
-were processed: a rerun picks up only new files. A retried micro-batch rewrites the same partitions with
-the same content.
+caller's function and written by day and *delivered file* with dynamic partition overwrite. A file never
+spans micro-batches, so a delivery (a day file ``<prefix>_DD_MM_YYYY.json``, or a folder of that name with part
+files) may arrive in any number of them: no part overwrites another, and a retried micro-batch
+rewrites the same partitions with the same content.
 
-A delivery must arrive in one micro-batch: with ``max_files_per_trigger`` set, deliver single files.
+A delivery is named by its path below the landing folder, so equal file names of two source folders are
+two deliveries. Delivered again, it lies in a folder with a *delivery number* (``7`` or ``d7``, right above the
+day file; no such folder is number 0): the highest number stands, lower ones are removed from
+the sink after the rows that replace them are written, and are not taken when they arrive later. The
+checkpoint (on shared storage) records which files were processed: a rerun picks up only new files.
 
 ``trigger(availableNow=True)`` processes everything present and stops - the batch form of a file-arrival
 trigger; a long-running query uses ``processingTime`` instead.
@@ -17,32 +18,60 @@ trigger; a long-running query uses ``processingTime`` instead.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import split_join
 from ..sources.jsonl import TS_NTZ_FORMAT
 from ..sources.sinks import DELIVERY_PARTITIONS, write_daily
 
 
 DELIVERY_RX = r"([^/=]+_\d{1,2}_\d{1,2}_\d{4}\.json)"
-
-
-def with_delivery(df: DataFrame, path_col: str = "source_file") -> DataFrame:
-    """Add ``delivery``: the day file's name in the path (the whole path where it has none)."""
-    name = F.nullif(F.regexp_extract(path_col, DELIVERY_RX, 1), F.lit(""))
-    return df.withColumn("delivery", F.coalesce(name, F.md5(path_col)))
-
-
-def latest(df: DataFrame, path_col: str = "source_file") -> DataFrame:
-    """Rows of each delivery's last folder. Only names are aggregated and joined: a row per delivery."""
-    folder = F.regexp_replace(path_col, "[^/]*" + DELIVERY_RX + ".*$", "")
-    df = df.withColumn("_folder", folder)
-    last = df.groupBy("delivery").agg(F.max("_folder").alias("_last"))
-    return split_join(df, last, "delivery").where(F.col("_folder") == F.col("_last")).drop("_folder", "_last")
+NUMBER_RX, DIGITS = r"(^|/)d?(\d{1,20})/$", 20
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path with its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs, fs.makeQualified(p)
+
+
+def with_delivery(df: DataFrame, landing: str = "", path_col: str = "source_file") -> DataFrame:
+    """Add ``delivery``, ``name~key~number~file``: the day file's name (its end, to be read), digests of the
+    delivery's path without its number and of the file's path, and the delivery number. A file without a day
+    name is a delivery of its own."""
+    path = F.regexp_replace(path_col, "^([^:/]+):/+", "$1:/")
+    if landing:
+        root = re.sub("^([^:/]+):/+", r"\1:/", hadoop_path(df.sparkSession, landing)[1].toUri().toString()).rstrip("/") + "/"
+        path = F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 30)).otherwise(path)
+    folder, name = (F.regexp_extract(path, "^(|.*?/)[^/]*?" + DELIVERY_RX, i) for i in (1, 2))
+    number = F.lpad(F.regexp_extract(folder, NUMBER_RX, 2), DIGITS, "0")
+    key = F.when(name == "", path).otherwise(F.concat(F.regexp_replace(folder, NUMBER_RX, "$1"), name))
+    return df.withColumn("delivery", F.concat_ws("~", F.right(name, F.lit(32)), F.md5(key), number, F.md5(path)))
+
+
+def superseded(deliveries: list[str]) -> list[str]:
+    """Those of which the list has a higher number."""
+    last: dict[str, str] = {}
+    for d in deliveries:
+        _, key, number, _ = d.rsplit("~", 3)
+        last[key] = max(number, last.get(key, ""))
+    return [d for d in deliveries if d.rsplit("~", 3)[2] < last[d.rsplit("~", 3)[1]]]
+
+
+def delivered(spark: SparkSession, sink: str, deliveries: list[str]) -> dict[str, list]:
+    """The sink's partitions of the same deliveries, under any number: folders by their names."""
+    keys, found = {d.rsplit("~", 3)[1] for d in deliveries}, {}
+    fs, root = hadoop_path(spark, sink)
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(f"{c}=*" for c in DELIVERY_PARTITIONS))) or []:
+        parts = status.getPath().getName().removeprefix("delivery=").rsplit("~", 3)
+        if len(parts) == 4 and parts[1] in keys:
+            found.setdefault("~".join(parts), []).append(status.getPath())
+    return found
 
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame],
@@ -61,7 +90,17 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, transform: C
     stream = reader.json(landing).withColumn("source_file", F.col("_metadata.file_path"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_daily(transform(latest(with_delivery(batch))), sink, fmt, DELIVERY_PARTITIONS)
+        batch = with_delivery(batch, landing)
+        come = [r.delivery for r in batch.select("delivery").distinct().collect()]  # a name per landed file
+        there = delivered(spark, sink, come)
+        old = set(superseded([*come, *there]))
+        if late := old.intersection(come):
+            batch = batch.where(~F.col("delivery").isin(*late))
+        write_daily(transform(batch), sink, fmt, DELIVERY_PARTITIONS)
+        fs, _ = hadoop_path(spark, sink)
+        for name in old.intersection(there):
+            for folder in there[name]:
+                fs.delete(folder, True)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

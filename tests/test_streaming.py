@@ -44,6 +44,34 @@ def test_two_files_of_a_day_and_a_second_delivery(spark):
     assert ids() == [4, 10, 31]
 
 
+def test_parts_and_equal_names_over_micro_batches(spark):
+    landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("t-landing", "t-sink", "t-ckpt"))
+
+    def land(folder, name, ids, parts=1):
+        rows = spark.createDataFrame([(i, "e") for i in ids], "event_id LONG, event_type STRING")
+        rows.repartition(parts).write.mode("append").json(f"{landing}/{folder}/{name}")
+
+    def ids():
+        return sorted(r.event_id for r in spark.read.parquet(sink).collect())
+
+    def run():
+        IN.ingest(spark, landing, EVENT, transform, sink, ckpt, max_files_per_trigger=1)
+
+    land("siteA", "jobs_01_02_2024.json", range(9), parts=3)
+    land("siteB", "jobs_01_02_2024.json", range(20, 23))
+    run()
+    assert ids() == [*range(9), 20, 21, 22]
+    land("siteA", "jobs_01_02_2024.json", [9])  # a part that lands after the run
+    run()
+    assert ids() == [*range(10), 20, 21, 22]
+    land("siteA/d10", "jobs_01_02_2024.json", range(30, 36), parts=2)  # delivered again in two parts
+    run()
+    assert ids() == [20, 21, 22, *range(30, 36)]
+    land("siteA/d9", "jobs_01_02_2024.json", [40])  # an earlier delivery comes late
+    run()
+    assert ids() == [20, 21, 22, *range(30, 36)]
+
+
 def test_files_per_day_are_few(spark):
     import glob
     df = spark.range(20_000).selectExpr("id", "2024 AS year", "1 AS month", "CAST(id % 5 + 1 AS INT) AS day").repartition(16)
