@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, stored
 
 
 def fold(id_column: Column, n: int) -> Column:
@@ -28,6 +28,17 @@ def sampled_by(rows: DataFrame, label: str, per_value: int, key: str, most: int)
     return rows.filter(wanted), counts
 
 
+def sampled_each(rows: DataFrame, label: str, per_value: int, key: str) -> DataFrame:
+    """``sampled_by`` for any number of values: the shares come from a joined table, which holds the values
+    with more than ``per_value`` rows; all rows of the others are taken."""
+    counts = rows.groupBy(label).agg(F.count("*").alias("n")).filter(F.col("n") > per_value)
+    share = F.floor(per_value / F.col("n") * (1 << 30))
+    shares = stored(counts.select(F.col(label).alias("_v"), share.alias("_share")), "shares")
+    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30))
+    picked = rows.join(shares, F.col(label) == F.col("_v"), "left")
+    return picked.filter(F.col("_share").isNull() | (place < F.col("_share"))).drop("_v", "_share")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_value: int,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
     """(id, y, t): labelled rows outside the held-out fold, about ``per_value`` of each of the labels 0 and 1;

@@ -7,9 +7,12 @@ posterior of the best language with equal priors.
 
 Piece probabilities are fitted by expectation maximisation: forward-backward over the distinct words
 of a bounded sample (``per_language`` training documents of each language, by hash order), weighted
-with their counts. The counts are summed by Spark; the model (languages x pieces, bounded by the
-vocabulary and ``max_languages``) goes to the tasks as a broadcast. Texts never shuffle; each distinct word of a
-block is scored once.
+with their counts. The counts are summed by Spark, and each language is fitted in a task of its own. The
+model's counts (those above 0) go to the tasks as broadcasts of 64 languages each; a text passes them in turn
+with a running best language and sum of the others, so there may be any number of languages: time grows
+with it, memory by the counts alone. Texts do not shuffle, as long as the
+table of the languages with more documents than that can be broadcast; each distinct word of a block is scored once for
+each broadcast.
 
 A word is a run of non-space characters after a word mark; a word of more than 32 characters is
 segmented in runs of 32. A character outside the vocabulary has the same probability in every language.
@@ -22,21 +25,21 @@ columns named like a result are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carried, col, map_texts, packed, shared, text_blocks, unpacked
-from .labelled import fold, sampled_by
+from .common import carried, col, map_texts, packed, shared, stored, text_blocks, unpacked
+from .labelled import fold, sampled_each
 from .words import NON_SPACE, Table, coded, words_of
 
-FOLDS, HELD_OUT, PER_LANGUAGE, MAX_LANGUAGES, ROUNDS, RUN, STEP, BLOCK_BYTES = 5, 0, 400, 64, 3, 32, 20_000, 8 << 20
+FOLDS, HELD_OUT, PER_LANGUAGE, COLUMNS, ROUNDS, RUN, STEP, BLOCK_BYTES = 5, 0, 400, 64, 3, 32, 20_000, 8 << 20
 MARK, LONGEST, SCALE, PRIOR = 0x2581, 16, 8.0, 0.01
 
 
@@ -144,23 +147,54 @@ class Lattice:
 
 @dataclass
 class Model:
+    """Up to COLUMNS languages."""
     trie: Trie
     languages: list[str]
     probability: np.ndarray  # (pieces + 1) x languages; the last row is for other characters
 
-    def score(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """Best language and its posterior."""
-        words, at, _, _ = words_of(texts, NON_SPACE)
-        ids, distinct = coded(words)
-        parts = [Lattice(self.trie, distinct.slice(a, STEP)).log_words(self.probability) for a in range(0, len(distinct), STEP)]
-        total = np.zeros((len(texts), len(self.languages)))
+
+class Models:
+    """All languages in the order of their names, a block at a time."""
+
+    def __init__(self, base: Callable, blocks: list[Callable], widest: int):
+        self.base, self.blocks, self.widest, self.held = base, blocks, widest, None
+
+    def __iter__(self) -> Iterator[Model]:
+        trie, sizes = self.base = self.base() if callable(self.base) else self.base
+        for block in self.blocks:
+            m = self.held
+            if m is None:
+                names, counts = zip(*block())
+                m = Model(trie, list(names), np.concatenate([scaled(dense(c, len(sizes)), sizes) for c in counts], axis=1))
+            if len(self.blocks) == 1:
+                self.held = m
+            yield m
+
+
+def score_texts(texts: pa.Array, models: Iterator[Model]) -> tuple[list[str], np.ndarray]:
+    """Best language and its posterior."""
+    words, at, _, _ = words_of(texts, NON_SPACE)
+    ids, distinct = coded(words)
+    full = np.flatnonzero(np.diff(at))
+    name, top, rest = np.full(len(texts), "", object), np.full(len(texts), -np.inf), np.zeros(len(texts))
+    for m in models:
+        parts = [Lattice(m.trie, distinct.slice(a, STEP)).log_words(m.probability) for a in range(0, len(distinct), STEP)]
+        total = np.zeros((len(texts), len(m.languages)))
         if parts:
-            each = np.concatenate(parts)[ids]
-            full = np.flatnonzero(np.diff(at))
-            total[full] = np.add.reduceat(each, at[full])
+            total[full] = np.add.reduceat(np.concatenate(parts)[ids], at[full])
         best = total.argmax(1)
-        post = 1 / np.exp(np.minimum(total - total.max(1, keepdims=True), 0)).sum(1)
-        return [self.languages[i] for i in best], post
+        high = total[np.arange(len(texts)), best]
+        now = np.maximum(top, high)
+        rest = rest * np.exp(top - now) + np.exp(total - now[:, None]).sum(1)  # relative to the best so far
+        name = np.where(high > top, np.array(m.languages, object)[best], name)
+        top = now
+    return name.tolist(), 1 / rest
+
+
+def dense(counts: tuple[np.ndarray, np.ndarray], pieces: int) -> np.ndarray:
+    out = np.zeros(pieces)
+    out[counts[0]] = counts[1]
+    return out
 
 
 def scaled(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -169,31 +203,28 @@ def scaled(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.append(p * SCALE ** sizes, 1.0)[:, None]
 
 
-def fit(pieces: list[str], counts: dict[str, list[tuple[str, int]]], rounds: int = ROUNDS) -> Model | None:
-    """From (word, count) lists of each language. The start takes a piece's count from the
-    words that hold it; each round redistributes by forward-backward."""
-    if not counts:
-        return None
-    trie, sizes = Trie(pieces), np.array([len(p) for p in pieces], float)
-    columns = []
-    for language in sorted(counts):
-        words = sorted(counts[language])
-        weight = np.array([n for _, n in words], float)
-        lattices = [(Lattice(trie, pa.array([w for w, _ in words[a:a + STEP]], pa.large_string())), weight[a:a + STEP])
-                    for a in range(0, len(words), STEP)]
-        p = scaled(sum(np.bincount(x.piece, w[x.owner][np.repeat(np.arange(len(x.owner)), x.chars + 1)][x.a], len(pieces) + 1)[:-1]
-                       for x, w in lattices), sizes)
-        for _ in range(rounds):
-            p = scaled(sum(x.expected(p, w)[:-1] for x, w in lattices), sizes)
-        columns.append(p)
-    return Model(trie, sorted(counts), np.concatenate(columns, axis=1))
-
-
-def train(docs: DataFrame, model_file: str, folds: int, held_out: int, per_language: int, id_col: str, text_col: str, lang_col: str) -> Model | None:
+def fit(trie: Trie, sizes: np.ndarray, counts: list[tuple[str, int]], rounds: int = ROUNDS) -> np.ndarray:
+    """Expected uses of each piece, from a language's (word, count) list. The start takes a piece's
+    count from the words that hold it; each round redistributes by forward-backward."""
+    words = sorted(counts)
+    weight = np.array([n for _, n in words], float)
+    lattices = [(Lattice(trie, pa.array([w for w, _ in words[a:a + STEP]], pa.large_string())), weight[a:a + STEP])
+                for a in range(0, len(words), STEP)]
+    uses = sum(np.bincount(x.piece, w[x.owner][np.repeat(np.arange(len(x.owner)), x.chars + 1)][x.a], len(sizes) + 1)[:-1]
+               for x, w in lattices)
+    for _ in range(rounds):
+        p = scaled(uses, sizes)
+        uses = sum(x.expected(p, w)[:-1] for x, w in lattices)
+    return uses
+
+
+def train(docs: DataFrame, model_file: str, folds: int, held_out: int, per_language: int, id_col: str, text_col: str, lang_col: str,
+          block: int = COLUMNS) -> Callable[[], Models | None]:
+    spark: SparkSession = docs.sparkSession
     known = docs.select(col(id_col).alias("id"), col(lang_col).cast("string").alias("lang"), col(text_col).alias("t"))
     known = known.filter(F.col("lang").isNotNull() & F.col("t").isNotNull() & (fold(F.col("id"), folds) != held_out))
     # the labels alone are counted; texts are read for the sample only
-    known, _ = sampled_by(known, "lang", per_language, "id", MAX_LANGUAGES)
+    known = sampled_each(known, "lang", per_language, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "t", BLOCK_BYTES):
@@ -203,11 +234,29 @@ def train(docs: DataFrame, model_file: str, folds: int, held_out: int, per_langu
             yield from t.select(["lang", "word", "count_all"]).cast(
                 pa.schema([("lang", pa.string()), ("word", pa.string()), ("count_all", pa.int64())])).rename_columns(["lang", "word", "n"]).to_batches()
 
-    rows = known.select("lang", "t").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
-    counts: dict[str, list[tuple[str, int]]] = {}
-    for language, w, n in zip(*(rows[c].to_pylist() for c in ("lang", "word", "n"))):
-        counts.setdefault(language, []).append((w, n))
-    return fit(vocabulary(model_file), counts)
+    rows = known.select("lang", "t").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    pieces = vocabulary(model_file)
+    base = shared(spark, (Trie(pieces), np.array([len(p) for p in pieces], float)))
+    held: list = []
+
+    def fitted(words: pa.Table) -> pa.Table:
+        if not held:
+            held.append(base())
+        uses = fit(*held[0], list(zip(words["word"].to_pylist(), words["n"].to_pylist())))
+        piece = np.flatnonzero(uses)
+        return pa.table({"lang": words["lang"].slice(0, 1), "piece": pa.array([piece.astype(np.int32)], pa.list_(pa.int32())),
+                         "uses": pa.array([uses[piece]], pa.list_(pa.float64()))})
+
+    model = stored(rows.groupBy("lang").applyInArrow(fitted, "lang string, piece array<int>, uses array<double>"), "langid-model")
+    names = sorted(r["lang"] for r in model.select("lang").collect())
+
+    def counts(first: str, last: str) -> list[tuple[str, tuple[np.ndarray, np.ndarray]]]:
+        t = model.filter(F.col("lang").between(first, last)).toArrow()
+        return sorted(((n, (np.array(p, np.int32), np.array(u))) for n, p, u in zip(*(t[c].to_pylist() for c in ("lang", "piece", "uses")))),
+                      key=lambda x: x[0])
+
+    blocks = [shared(spark, counts(names[a], names[a:a + block][-1])) for a in range(0, len(names), block)]
+    return lambda: Models(base, blocks, min(len(names), block)) if blocks else None
 
 
 def identify(docs: DataFrame, model_file: str, folds: int = FOLDS, held_out: int = HELD_OUT, per_language: int = PER_LANGUAGE,
@@ -215,17 +264,17 @@ def identify(docs: DataFrame, model_file: str, folds: int = FOLDS, held_out: int
              carry: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with held_out, lang_pred, score. ``carry``: the input columns to keep
     (default: all)."""
-    model = shared(docs.sparkSession, train(docs, model_file, folds, held_out, per_language, id_col, text_col, lang_col))
+    model = train(docs, model_file, folds, held_out, per_language, id_col, text_col, lang_col)
 
-    def score(texts: pa.Array, m: Model | None) -> dict[str, pa.Array]:
-        names, scores = (["und"] * len(texts), np.zeros(len(texts))) if m is None else m.score(texts)
+    def score(texts: pa.Array, m: Models | None) -> dict[str, pa.Array]:
+        names, scores = (["und"] * len(texts), np.zeros(len(texts))) if m is None else score_texts(texts, m)
         return {"l": pa.array(names, pa.string()), "s": pa.array(scores)}
 
     columns = carried(docs, carry)
     rows = packed(docs, columns, text_col, id=col(id_col), letter=F.coalesce(col(text_col).rlike(r"\p{L}"), F.lit(False)))
     # a row per word and language is held, so more languages mean smaller blocks
     rows = map_texts(rows, text_col in columns, {"l": T.StringType(), "s": T.DoubleType()},
-                     lambda m: 4 * BLOCK_BYTES // max(4, len(m.languages) if m else 0), score, model)
+                     lambda m: 4 * BLOCK_BYTES // max(4, m.widest if m else 0), score, model)
     letter = F.col("letter") & (F.col("l") != "und")
     return unpacked(rows, columns, {
         "held_out": fold(F.col("id"), folds) == held_out,

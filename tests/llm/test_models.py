@@ -46,6 +46,24 @@ def test_expected_counts_add_up_to_the_characters():
     assert used @ sizes == pytest.approx(5 + 2 * 2 + 3 * 4 + 81)
 
 
+def test_any_number_of_languages(spark):
+    rows = [(n * 8 + i, f"{chr(97 + n % 26)}{chr(97 + n // 26)}q " * 20, f"l{n:03d}") for n in range(150) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs, MODEL).collect()
+    assert len(out) == len(rows) and sum(r["lang_pred"] == r["lang"] for r in out) > 0.95 * len(rows)
+
+
+def test_blocks_of_languages_score_as_one():
+    pieces = ["▁", "a", "b", "ab", "ba", "aba"]
+    trie, rng = langid.Trie(pieces), np.random.default_rng(2)
+    p, names = rng.random((len(pieces) + 1, 7)), [f"l{i}" for i in range(7)]
+    p[:, 4] = p[:, 1]  # a tie goes to the first name
+    texts = pa.array(["ab ba", "aba b", "", None, "bbb aab"])
+    blocks = lambda n: [langid.Model(trie, names[a:a + n], p[:, a:a + n]) for a in range(0, 7, n)]
+    one, got = langid.score_texts(texts, blocks(7)), langid.score_texts(texts, blocks(2))
+    assert got[0] == one[0] and got[1] == pytest.approx(one[1])
+
+
 def test_language_of_held_out_documents(spark):
     langs = {r["doc_id"]: r["lang"] for r in read(spark, SF, "documents").select("doc_id", "lang").collect()}
     rows = QUERIES["op4_language_id"](spark, SF).collect()
