@@ -14,8 +14,8 @@ with it, memory by the counts alone. Texts do not shuffle, as long as the
 table of the languages with more documents than that can be broadcast; each distinct word of a block is scored once for
 each broadcast.
 
-A word is a run of non-space characters after a word mark; a word of more than 32 characters is
-segmented in runs of 32. A character outside the vocabulary has the same probability in every language.
+A word is a run of non-space characters after a word mark. Words of more than 32 characters are summed
+in logarithms, whole, as the products of longer ones would leave the range of a double. A character outside the vocabulary has the same probability in every language.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; a null lang teaches
 nothing; with no training rows every text is ``und`` with score 0; ties go to the language that sorts
@@ -79,16 +79,12 @@ class Lattice:
     def __init__(self, trie: Trie, words: pa.Array):
         mark, none = pa.scalar(chr(MARK), pa.large_string()), pa.scalar("", pa.large_string())
         words = pc.binary_join_element_wise(mark, words.cast(pa.large_string()), none)
-        whole = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        parts = -(-whole // RUN)
-        self.owner, self.words = np.repeat(np.arange(len(words)), parts), len(words)
-        length = np.full(len(self.owner), RUN)
-        if len(words):
-            length[np.cumsum(parts) - 1] = whole - (parts - 1) * RUN
+        length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.long = bool(len(length)) and int(length.max()) > RUN
         _, offsets, data = words.buffers()
         text = bytes(data[:int(np.frombuffer(offsets, np.int64)[len(words)])]).decode() if len(words) else ""
         chars = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
-        base = np.cumsum(length + 1) - (length + 1)  # a run of n characters has n + 1 positions
+        base = np.cumsum(length + 1) - (length + 1)  # a word of n characters has n + 1 positions
         run = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(chars)) - np.repeat(np.cumsum(length) - length, length)
         start, left = base[run] + place, length[run] - place
@@ -108,7 +104,7 @@ class Lattice:
         lone = np.flatnonzero(~single)  # a character that is no piece stands for itself
         found.append((start[lone], start[lone] + 1, np.full(len(lone), trie.size), place[lone] + 1))
         a, b, piece, end = (np.concatenate([f[i] for f in found]) for i in range(4))
-        order = np.argsort(end << 40 | b)
+        order = np.lexsort((b, end)) if self.long else np.argsort(end << 40 | b)
         self.a, self.b, self.piece, end = a[order], b[order], piece[order], end[order]
         self.cut = np.searchsorted(end, np.arange(1, (int(end.max()) if len(end) else 0) + 2))
         self.first, self.last, self.size = base, base + length, int(base[-1] + length[-1] + 1) if len(length) else 0
@@ -116,33 +112,56 @@ class Lattice:
 
     def forward(self, probability: np.ndarray) -> np.ndarray:
         """Sum of the products of all segmentations up to each position, for each column of
-        ``probability`` (pieces x languages, scaled by SCALE per character)."""
-        alpha = np.zeros((self.size, probability.shape[1]))
-        alpha[self.first] = 1
+        ``probability`` (pieces x languages, scaled by SCALE per character); its logarithm where a word is long."""
+        alpha = np.full((self.size, probability.shape[1]), -np.inf if self.long else 0.0)
+        alpha[self.first] = 0 if self.long else 1
+        p = np.log(np.maximum(probability, 1e-300)) if self.long else probability
         for lo, hi in zip(self.cut[:-1], self.cut[1:]):
             if hi > lo:
                 b = self.b[lo:hi]
                 heads = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
-                alpha[b[heads]] = np.add.reduceat(alpha[self.a[lo:hi]] * probability[self.piece[lo:hi]], heads)
+                if self.long:
+                    each = alpha[self.a[lo:hi]] + p[self.piece[lo:hi]]
+                    top = np.maximum.reduceat(each, heads)
+                    each -= np.repeat(top, np.diff(np.append(heads, hi - lo)), axis=0)
+                    alpha[b[heads]] = top + np.log(np.add.reduceat(np.exp(each), heads))
+                else:
+                    alpha[b[heads]] = np.add.reduceat(alpha[self.a[lo:hi]] * p[self.piece[lo:hi]], heads)
         return alpha
 
     def log_words(self, probability: np.ndarray) -> np.ndarray:
         """log P of each word, for each language."""
-        ends = np.log(np.maximum(self.forward(probability)[self.last], 1e-300)) - self.chars[:, None] * np.log(SCALE)
-        heads = np.flatnonzero(np.concatenate(([True], self.owner[1:] != self.owner[:-1])))
-        return np.add.reduceat(ends, heads) if len(ends) else ends
+        ends = self.forward(probability)[self.last]
+        return (ends if self.long else np.log(np.maximum(ends, 1e-300))) - self.chars[:, None] * np.log(SCALE)
 
     def expected(self, probability: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in one language, words weighted."""
         alpha = self.forward(probability)[:, 0]
-        beta = np.zeros(self.size)
-        beta[self.last] = 1
+        beta = np.full(self.size, -np.inf if self.long else 0.0)
+        beta[self.last] = 0 if self.long else 1
         p = probability[self.piece, 0]
+        p = np.log(np.maximum(p, 1e-300)) if self.long else p
         for lo, hi in zip(self.cut[:-1][::-1], self.cut[1:][::-1]):  # later ends first
-            if hi > lo:
+            if hi > lo and self.long:
+                np.logaddexp.at(beta, self.a[lo:hi], beta[self.b[lo:hi]] + p[lo:hi])
+            elif hi > lo:
                 np.add.at(beta, self.a[lo:hi], beta[self.b[lo:hi]] * p[lo:hi])
-        per_run = np.repeat(weight[self.owner] / np.maximum(alpha[self.last], 1e-300), self.chars + 1)
-        return np.bincount(self.piece, alpha[self.a] * p * beta[self.b] * per_run[self.a], len(probability))
+        if self.long:
+            total = np.repeat(alpha[self.last], self.chars + 1)[self.a]
+            used = np.exp(alpha[self.a] + p + beta[self.b] - total) * np.repeat(weight, self.chars + 1)[self.a]
+        else:
+            per_word = np.repeat(weight / np.maximum(alpha[self.last], 1e-300), self.chars + 1)
+            used = alpha[self.a] * p * beta[self.b] * per_word[self.a]
+        return np.bincount(self.piece, used, len(probability))
+
+
+def lattices(trie: Trie, words: pa.Array) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Lattices of STEP words, the long words apart, and which words each has."""
+    words = words.cast(pa.large_string())
+    long = pc.utf8_length(words).to_numpy(zero_copy_only=False) >= RUN  # without the mark
+    for at in (np.flatnonzero(~long), np.flatnonzero(long)):
+        for a in range(0, len(at), STEP):
+            yield at[a:a + STEP], Lattice(trie, words.take(pa.array(at[a:a + STEP])))
 
 
 @dataclass
@@ -178,10 +197,12 @@ def score_texts(texts: pa.Array, models: Iterator[Model]) -> tuple[list[str], np
     full = np.flatnonzero(np.diff(at))
     name, top, rest = np.full(len(texts), "", object), np.full(len(texts), -np.inf), np.zeros(len(texts))
     for m in models:
-        parts = [Lattice(m.trie, distinct.slice(a, STEP)).log_words(m.probability) for a in range(0, len(distinct), STEP)]
+        each = np.empty((len(distinct), len(m.languages)))
+        for k, x in lattices(m.trie, distinct):
+            each[k] = x.log_words(m.probability)
         total = np.zeros((len(texts), len(m.languages)))
-        if parts:
-            total[full] = np.add.reduceat(np.concatenate(parts)[ids], at[full])
+        if len(full):
+            total[full] = np.add.reduceat(each[ids], at[full])
         best = total.argmax(1)
         high = total[np.arange(len(texts)), best]
         now = np.maximum(top, high)
@@ -208,13 +229,11 @@ def fit(trie: Trie, sizes: np.ndarray, counts: list[tuple[str, int]], rounds: in
     count from the words that hold it; each round redistributes by forward-backward."""
     words = sorted(counts)
     weight = np.array([n for _, n in words], float)
-    lattices = [(Lattice(trie, pa.array([w for w, _ in words[a:a + STEP]], pa.large_string())), weight[a:a + STEP])
-                for a in range(0, len(words), STEP)]
-    uses = sum(np.bincount(x.piece, w[x.owner][np.repeat(np.arange(len(x.owner)), x.chars + 1)][x.a], len(sizes) + 1)[:-1]
-               for x, w in lattices)
+    parts = [(x, weight[k]) for k, x in lattices(trie, pa.array([w for w, _ in words], pa.large_string()))]
+    uses = sum(np.bincount(x.piece, np.repeat(w, x.chars + 1)[x.a], len(sizes) + 1)[:-1] for x, w in parts)
     for _ in range(rounds):
         p = scaled(uses, sizes)
-        uses = sum(x.expected(p, w)[:-1] for x, w in lattices)
+        uses = sum(x.expected(p, w)[:-1] for x, w in parts)
     return uses
 
 

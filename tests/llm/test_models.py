@@ -46,6 +46,27 @@ def test_expected_counts_add_up_to_the_characters():
     assert used @ sizes == pytest.approx(5 + 2 * 2 + 3 * 4 + 81)
 
 
+def test_long_words_are_summed_whole():
+    pieces = ["▁", "a", "b", "ab", "ba", "aba", "bb"]
+    p = np.random.default_rng(3).random(len(pieces)) / 50
+    sizes = np.array([len(x) for x in pieces], float)
+    scaled = np.append(p * langid.SCALE ** sizes, 1.0)[:, None]
+    words = ["ab" * 16 + "ba", "abba" * 900, "ab"]
+    log, of = [], dict(zip(pieces, np.log(p)))
+    for word in words:
+        w = "▁" + word
+        alpha = [0.0]
+        for i in range(1, len(w) + 1):
+            alpha.append(np.logaddexp.reduce([alpha[j] + of[w[j:i]] for j in range(max(0, i - 3), i) if w[j:i] in of]))
+        log.append(alpha[-1])
+    trie, got, used = langid.Trie(pieces), np.zeros(len(words)), 0.0
+    for k, x in langid.lattices(trie, pa.array(words)):
+        got[k] = x.log_words(scaled)[:, 0]
+        used += x.expected(scaled, np.ones(len(k)))[:-1] @ sizes
+    assert got == pytest.approx(np.array(log))
+    assert used == pytest.approx(sum(len(w) + 1 for w in words))
+
+
 def test_any_number_of_languages(spark):
     rows = [(n * 8 + i, f"{chr(97 + n % 26)}{chr(97 + n // 26)}q " * 20, f"l{n:03d}") for n in range(150) for i in range(8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
