@@ -111,8 +111,9 @@ def mix_plan(rows: DataFrame, weights, share, repeats, block_tokens, streams, se
 
 
 def edge(block: Column) -> Column:
-    """First word of a block: block * words / n, rounded down."""
-    return F.floor(block * F.col("words") / F.col("n")).cast("long")
+    """First word of a block: block * words / n, rounded down, in whole numbers of any size."""
+    rest = block.cast("decimal(19,0)") * F.expr("CAST(words % n AS DECIMAL(19,0))")
+    return block * F.expr("words div n") + F.call_function("div", rest, F.col("n").cast("decimal(19,0)"))
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), repeats: int = 2,

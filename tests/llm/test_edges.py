@@ -107,6 +107,12 @@ def test_shards_and_slots(results):
     assert {r["law"] for r in rows} == {"rows"} and all(r["grown_shard"] is None for r in rows)
 
 
+def test_block_edges_of_large_streams(spark):
+    rows = [(b, w, n) for w, n in ((10**13 + 7, 10**10 - 1), (10**18 + 11, 10**15 + 3), (17, 5)) for b in (0, 1, n // 3, n - 1, n)]
+    df = spark.createDataFrame(rows, "block long, words long, n long")
+    assert [r[0] for r in df.select(mix.edge(F.col("block"))).collect()] == [b * w // n for b, w, n in rows]
+
+
 def test_only_a_text_column(spark):
     only = spark.createDataFrame([("a b",), (None,)], "text string").withColumn("doc_id", F.lit(1).cast("long"))
     assert token_count.count_tokens(only, MODEL, carry=["text"]).columns == ["text", "n_bytes", "n_tokens", "over_limit"]
