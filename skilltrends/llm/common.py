@@ -90,15 +90,16 @@ def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array], keep: list
 
 
 def map_texts(rows: DataFrame, keep_text: bool, results: dict[str, T.DataType], block_bytes: int | Callable[[Any], int],
-              score: Callable[[pa.Array, Any], dict[str, pa.Array]], state: Callable[[], Any] = lambda: None) -> DataFrame:
+              score: Callable[..., dict[str, pa.Array]], state: Callable[[], Any] = lambda: None, beside: str | None = None) -> DataFrame:
     """Map whole texts (column ``t``) in blocks of bounded size, in Arrow batches: ``score`` gets the texts
-    of a block and the task's state and gives the columns ``results``."""
+    of a block, the task's state and, if named, the column ``beside``, and gives the columns ``results``."""
     keep = [c for c in rows.columns if keep_text or c != "t"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = state()
         most = block_bytes(held) if callable(block_bytes) else block_bytes
         for batch in text_blocks(batches, "t", most):
-            yield with_columns(batch, score(batch.column("t"), held), keep)
+            more = [] if beside is None else [batch.column(beside)]
+            yield with_columns(batch, score(batch.column("t"), held, *more), keep)
 
     return rows.mapInArrow(run, T.StructType([*[rows.schema[c] for c in keep], *[T.StructField(k, v) for k, v in results.items()]]))

@@ -1,7 +1,7 @@
 """DuckDB SQL of the operators that SQL can express, written from their contracts.
 
 Not here: op4, op6 and op8 (trained models: held-out accuracy), op9 (XXH64) and op10 (tokenizer
-library), which tests/llm holds against brute force."""
+library), which tests/llm holds against brute force. op11, op12 and op13 are in both."""
 
 from __future__ import annotations
 
@@ -46,11 +46,13 @@ def _rounds() -> str:
     return f"SELECT * EXCLUDE (l, r, v), l + a * r AS v FROM ({sql})"
 
 
-OP2 = f"""
-WITH RECURSIVE crc_table AS (
+CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
     SELECT i, list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) AS c
-    FROM range(256) x(i))),
+    FROM range(256) x(i)))"""
+
+OP2 = f"""
+WITH RECURSIVE {CRC_TABLE},
 bytes AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size,
                  list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
 crc AS (SELECT doc_id, size, xor(list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295) AS crc
@@ -138,5 +140,57 @@ SELECT id::BIGINT AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGI
 FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r) WHERE kind = 'd'
 """
 
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Equal words q apart make islands; an island of k of them is a stretch of k + q words.
+OP11 = rf"""
+WITH {CRC_TABLE},
+docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w,
+                list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+h AS (SELECT r, doc_id, w, len(w) AS n, coalesce(xor(list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295), 1) AS h
+      FROM docs, crc_table),
+p AS (SELECT r, n, h % 10 = 0 AND n > 0 AS planted, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+words AS (SELECT r, n, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS x
+          FROM (SELECT r, w, unnest(range(len(w))) AS i FROM h) JOIN p USING (r)),
+same AS (SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.x = y.x AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM same),
+stretch AS (SELECT r, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, s, l, min(q) AS q FROM stretch GROUP BY r, s, l),
+best AS (SELECT r, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY l DESC, s, q) = 1),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS text FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
+       (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+OP12 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT row_number() OVER () AS k, item_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+total AS (SELECT count(*) FILTER (len(w) > 0) AS nn, sum(len(w)) AS ll FROM docs),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+df AS (SELECT t, floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT AS weight FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+part AS (SELECT r, t, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * nn) // ll))) AS s
+         FROM tf JOIN docs USING (r) JOIN df USING (t), total),
+score AS (SELECT k, r, sum(s)::BIGINT AS score FROM (SELECT DISTINCT k, unnest(w) AS t FROM items) JOIN part USING (t) GROUP BY k, r HAVING sum(s) > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM score JOIN items USING (k) JOIN docs USING (r) QUALIFY rank <= 10
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+windows AS (SELECT r, doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS s
+            FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+earliest AS (SELECT s, min(doc_id) AS low FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM windows JOIN earliest USING (s) WHERE low < doc_id),
+words AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 ORACLE: dict[str, str] = {
-    "op1_quality_rules": OP1, "op2_feistel_shards": OP2, "op3_source_mix": OP3, "op5_url_filter": OP5, "op7_decontamination": OP7}
+    "op1_quality_rules": OP1, "op2_feistel_shards": OP2, "op3_source_mix": OP3, "op5_url_filter": OP5, "op7_decontamination": OP7,
+    "op11_periodic_runs": OP11, "op12_lexical_search": OP12, "op13_substring_dedup": OP13}

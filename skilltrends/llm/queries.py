@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mix, quality_model, quality_rules, shard, simhash, token_count, toxicity, url_filter
+from . import (decontaminate, langid, lexical_search, mix, periodic_runs, quality_model, quality_rules, shard, simhash,
+               substring_dedup, token_count, toxicity, url_filter)
 from .common import read
 
 
@@ -58,6 +59,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(docs, plant_by="doc_id", carry=["doc_id"]).drop("runs")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, read(spark, sf_dir, "benchmark"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, carry=["doc_id"]).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_feistel_shards, op3_source_mix, op4_language_id, op5_url_filter, op6_quality_classifier,
-    op7_decontamination, op8_toxicity, op9_simhash_dedup, op10_token_counts)}
+    op7_decontamination, op8_toxicity, op9_simhash_dedup, op10_token_counts, op11_periodic_runs, op12_lexical_search,
+    op13_substring_dedup)}

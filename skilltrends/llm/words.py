@@ -160,6 +160,20 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
 
 
+def joined(words: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all words (large binary, text r has at[r]..at[r+1]), each followed by one space,
+    and where each text's bytes start."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(len(at), np.int64)
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    out = np.full(int(ends[-1] - ends[0]) + len(words), 32, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[ends[1:] - ends[0] + np.arange(len(words))] = False
+    out[inside] = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]]
+    return out, ends[at] - ends[0] + at
+
+
 def ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges low..high-1, and the range that each belongs to."""
     count = high - low
