@@ -79,10 +79,11 @@ def drop_stoplisted(arr, exact: list[str], partial: list[str]) -> Column:
 
 
 def alias_map_expr(pairs: list[tuple[str, str]]) -> Column:
-    kv = []
+    """Lower-case alias -> canonical term; of several canonical terms for one alias the first stands."""
+    first: dict[str, str] = {}
     for alias, canonical in pairs:
-        kv += [F.lit(alias.lower()), F.lit(canonical)]
-    return F.create_map(*kv)
+        first.setdefault(alias.lower(), canonical)
+    return F.create_map(*[F.lit(x) for kv in first.items() for x in kv])
 
 
 def canonicalize(arr, pairs: list[tuple[str, str]]) -> Column:
@@ -103,7 +104,7 @@ def parse_bracket_list(c, drop_blank: bool = False) -> Column:
     items out.
     """
     c = _col(c)
-    inner = F.regexp_replace(c, r"^[\[\]]+|[\[\]]+$", "")
+    inner = F.regexp_replace(c, r"^[\[\]]++|(?<![\[\]])[\[\]]++\z", "")
     items = F.transform(F.split(inner, ",", -1), py_strip)
     if drop_blank:
         items = F.filter(items, lambda x: x != F.lit(""))

@@ -14,19 +14,28 @@ def _col(c) -> Column:
 # Python's whitespace set (str.isspace), spelled out so Java and RE2 agree on it.
 # Spark's trim removes spaces only.
 PY_WS = r"[\t\n\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
-STRIP_RX = rf"^{PY_WS}+|{PY_WS}+$"
-
-# One construct of markup that produces no text: a comment, a script/style/template with its body, a
-# declaration or a tag. Script bodies may hold tag-like strings, so they are consumed whole before
-# plain tags are. No group is repeated: Java's matcher recurses once per turn of such a loop.
-MARKUP_RX = (
-    r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>|<![^>]*>|</?[a-z][^>]*>"
-)
+# The look-behind lets a run of blanks be tried from its first character only, and possessive loops never
+# give anything back: linear in the text, whatever it holds.
+STRIP_RX = rf"^{PY_WS}++|(?<!{PY_WS}){PY_WS}++\z"
+
+# Blanks without the newline, then the newline and all blanks after it: a whole run, once.
+NEWLINE_RUN_RX = rf"(?<!{PY_WS})[\t\x0b\x0c\r\x1c-\x1f\x85\p{{Z}}]*+\n{PY_WS}*+"
+
+# One construct of markup that produces no text, by the states of an HTML tokenizer. Every construct runs to
+# its end or to the end of the text, so a scan reads each character once. Loops are possessive: Java's
+# matcher runs those without recursion.
+#   the rest of a tag: a quoted value after ``=`` may hold ``>``
+TAG_REST = r"""(?:[^>=]|=[\t\n\f\r ]*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?)*+(?:>|\z)"""
+MARKUP_RX = "(?is)" + "|".join([
+    r"<!--(?:-?>|.*?(?:--!?>|\z))",  # a comment
+    # script, style and template with their bodies, which may hold tag-like strings
+    rf"<(script|style|template)(?=[\t\n\f\r />]|\z){TAG_REST}.*?(?:</\1(?=[\t\n\f\r />]|\z){TAG_REST}|\z)",
+    rf"</?[a-z]{TAG_REST}",
+    r"<(?:[!?]|/(?=[^a-z]))[^>]*+(?:>|\z)",  # a declaration or a bogus comment
+])
 # Stands for one construct until runs of them become one space; a noncharacter, never in a text.
 MARK = "\ufdd0"
 
-NEWLINE_RUN_RX = rf"{PY_WS}*\n+{PY_WS}*"
-
 
 def py_strip(c) -> Column:
     return F.regexp_replace(_col(c), STRIP_RX, "")

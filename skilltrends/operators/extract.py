@@ -24,7 +24,7 @@ from ..session import measured
 from .joins import split_join
 
 # A word with the marks that technology names carry inside or at the end: node.js, c++, c#.
-WORD_RX = r"[\p{L}\p{N}_]+(?:[.][\p{L}\p{N}_]+)*(?:[+]+|#)?"
+WORD_RX = r"[\p{L}\p{N}_]++(?:[.][\p{L}\p{N}_]++)*+(?:[+]++|#)?"
 
 
 def words(text_col: str = "text") -> F.Column:
