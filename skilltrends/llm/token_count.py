@@ -8,6 +8,11 @@ numbers in one ragged numpy array. In every round each sequence merges its pair
 leftmost of equals, all sequences at the same time, until none has a pair left. A surviving symbol
 counts one; a character outside the vocabulary counts its UTF-8 bytes.
 
+A round reads every living symbol, which a long sequence can't afford once a merge. So a pre-token of more
+than ``LONG`` characters is cut where no piece holds the two characters side by side (no merge crosses
+such a place), and a part that is still longer takes its pairs from a heap by (rank, place): the same
+merges in the same order, in time near its length.
+
 The model is read through its path, a parameter, on the driver; its table (bounded by the
 vocabulary) goes to the tasks as a broadcast. Texts never shuffle.
 
@@ -18,7 +23,9 @@ gives an empty result; input columns named like a result are replaced.
 
 from __future__ import annotations
 
+import heapq
 import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,7 +36,7 @@ from pyspark.sql import types as T
 from .common import carried, col, map_texts, packed, row_blocks, shared, unpacked
 from .words import Table
 
-LIMIT, BLOCK_BYTES, MARK, SYMBOLS = 4096, 8 << 20, "▁", 1 << 20
+LIMIT, BLOCK_BYTES, MARK, SYMBOLS, LONG = 4096, 8 << 20, "▁", 1 << 20, 256
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -63,6 +70,9 @@ class Merges:
         self.table = Table(np.array(list(pairs), np.int64))
         self.ranks = np.array([*(r for r, _ in pairs.values()), NO_RANK], np.int32)  # the last one: no pair
         self.made = np.array([*(i for _, i in pairs.values()), 0], np.int64)
+        self.pair_of = pairs  # the same as a dictionary, for one pair at a time
+        side_by_side = {(ord(a), ord(b)) for p in pieces for a, b in zip(p, p[1:])}
+        self.neighbours = np.array(sorted(a << 21 | b for a, b in side_by_side), np.int64)
         # characters: number of the piece, or size + code point when it is none
         self.char_points = np.array(sorted(map(ord, chars)), np.int64)
         self.char_ids = np.array([chars[chr(c)] for c in self.char_points.tolist()], np.int64)
@@ -85,6 +95,38 @@ class Merges:
         at = self.table.find(a << 22 | b)
         return self.ranks[at], self.made[at]
 
+    def count_long(self, sym: list[int]) -> int:
+        """Tokens of one long sequence of symbols."""
+        n, pair_of = len(sym), self.pair_of
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        rank = [NO_RANK] * n  # of the pair that starts here
+
+        def look(i: int) -> None:
+            j = after[i]
+            found = pair_of.get(sym[i] << 22 | sym[j]) if j >= 0 else None
+            rank[i] = found[0] if found else NO_RANK
+            if found:
+                heapq.heappush(heap, found[0] << 40 | i)
+
+        heap: list[int] = []
+        for i in range(n - 1):
+            look(i)
+        while heap:
+            entry = heapq.heappop(heap)
+            i = entry & (1 << 40) - 1
+            if rank[i] != entry >> 40:
+                continue  # the pair is gone
+            j = after[i]
+            sym[i] = pair_of[sym[i] << 22 | sym[j]][1]
+            sym[j], rank[j] = -1, NO_RANK
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            look(i)
+            if before[i] >= 0:
+                look(before[i])
+        return int(self.weigh(np.array([s for s in sym if s >= 0], np.int64)).sum())
+
     def count(self, tokens: pa.Array) -> np.ndarray:
         """Tokens of each pre-token (large strings)."""
         lengths = pc.utf8_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -92,7 +134,29 @@ class Merges:
         at = np.frombuffer(offsets, np.int64)[tokens.offset:tokens.offset + len(tokens) + 1]
         points = np.frombuffer(bytes(data[int(at[0]):int(at[-1])]).decode().encode("utf-32-le"), "<u4").astype(np.int64)
         sym, seq = self.symbols(points), np.repeat(np.arange(len(lengths)), lengths)
-        total = np.zeros(len(lengths), np.int64)
+        if (lengths > LONG).any():
+            return self.count_cut(points, sym, seq, lengths)
+        return self.count_rounds(sym, seq, len(lengths))
+
+    def count_cut(self, points: np.ndarray, sym: np.ndarray, seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """As ``count_rounds``; sequences of more than LONG symbols in parts that no merge leaves."""
+        edge = np.concatenate(([True], seq[1:] != seq[:-1]))
+        both = points[:-1] << 21 | points[1:]
+        at = np.minimum(np.searchsorted(self.neighbours, both), len(self.neighbours) - 1)
+        edge[1:] |= (self.neighbours[at] != both) & (lengths[seq[1:]] > LONG)
+        heads = np.flatnonzero(edge)
+        sizes = np.diff(np.concatenate((heads, [len(sym)])))
+        counts = np.zeros(len(heads), np.int64)
+        for k in np.flatnonzero(sizes > LONG).tolist():
+            counts[k] = self.count_long(sym[heads[k]:heads[k] + sizes[k]].tolist())
+        short = sizes <= LONG
+        inside = np.repeat(short, sizes)
+        counts[short] = self.count_rounds(sym[inside], np.repeat(np.arange(int(short.sum())), sizes[short]), int(short.sum()))
+        return np.bincount(seq[heads], counts, len(lengths)).astype(np.int64)
+
+    def count_rounds(self, sym: np.ndarray, seq: np.ndarray, n: int) -> np.ndarray:
+        """Tokens of ``n`` sequences: the symbols of all, and the sequence of each symbol."""
+        total = np.zeros(n, np.int64)
         rank, made = self.pairs(sym, seq)
         while len(sym):
             heads = np.flatnonzero(np.concatenate(([True], seq[1:] != seq[:-1])))
@@ -101,7 +165,7 @@ class Merges:
             live = best < NO_RANK
             if not live.all():  # finished sequences leave the arrays
                 over = np.repeat(~live, sizes)
-                total += np.bincount(seq[over], self.weigh(sym[over]), len(lengths)).astype(np.int64)
+                total += np.bincount(seq[over], self.weigh(sym[over]), n).astype(np.int64)
                 sym, seq, rank, made = sym[~over], seq[~over], rank[~over], made[~over]
                 if not len(sym):
                     break
