@@ -129,13 +129,13 @@ def enrich(postings: DataFrame, coef: DataFrame, intercept: float, threshold: fl
     return clean_stage(extract_stage(selected, dictionary, extractor), patterns, rules).drop(RID)
 
 
-def stream_run(spark: SparkSession, landing: str, sink: str, checkpoint: str, coef: DataFrame,
+def stream_run(spark: SparkSession, landing: str, sink: str, checkpoint: str | None, coef: DataFrame,
                intercept: float, threshold: float, idf: DataFrame, dictionary: DataFrame | None = None,
                extractor: Callable[[str], list[str]] | None = None, available_now: bool = True):
-    """Each newly landed posting file flows through stages 2-4 into the clean layer
-    (Structured Streaming file source; a rerun on the same checkpoint adds nothing;
-    a file delivered again under a higher number replaces it). Scoring uses the fitted ``idf`` model, so a
-    micro-batch gives the same rows as a batch run over the same files."""
+    """Each newly landed or changed posting file flows through stages 2-4 into the clean layer (a versioned
+    sink, read with ``sources.versioned.read_live``); a rerun adds nothing, a file delivered again under its own
+    path or a higher number replaces its rows. Scoring uses the fitted ``idf`` model, so a pass gives the same
+    rows as a batch run over the same files."""
     def transform(batch: DataFrame) -> DataFrame:
         return enrich(batch, coef, intercept, threshold, dictionary, extractor, idf=idf)
     return IN.ingest(spark, landing, with_corrupt(POSTING), transform, sink, checkpoint,

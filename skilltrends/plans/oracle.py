@@ -521,7 +521,7 @@ SELECT event_id, ts, event_type,
 FROM events"""
 
 ORACLE["incremental_ingest"] = """
-SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS k,
+SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS k,
        CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
 FROM events"""
 

@@ -546,10 +546,12 @@ def union_drift(spark, sf_dir):
 
 @register
 def incremental_ingest(spark, sf_dir):
-    """Streaming file source over the landing folder -> clean layer by day and delivery. Each day arrives as
-    two files (``am`` and ``pm``), the second ones only after the first run; then the ``am`` files
-    are delivered again with every ``k`` one higher. A last run finds nothing new."""
-    landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("landing", "clean", "ingest-ckpt"))
+    """Landing folder -> clean layer by day and delivery, for each version of a file once. Each day arrives as
+    two files (``am`` and ``pm``), the second ones only after the first run; then the ``am`` files are delivered
+    again with every ``k`` one higher, in a folder with a higher number; then the ``pm`` files under
+    their own paths with every ``k`` two higher. A last run finds nothing new."""
+    from ..sources import versioned as VS
+    landing, sink = (S.scratch_path(spark, x) for x in ("landing", "clean"))
     e = table(spark, sf_dir, "events")
 
     def deliver(drop: str, half: str, more: int = 0) -> None:
@@ -557,18 +559,18 @@ def incremental_ingest(spark, sf_dir):
         k = F.get_json_object("props", "$.k").cast("long") + F.lit(more)
         line = F.to_json(F.struct("event_id", "ts", "event_type", k.alias("k")), {"timestampNTZFormat": J.TS_NTZ_FORMAT})
         (part.select(J.daily_file_name(half, "ts").alias("file"), line.alias("value"))
-             .write.mode("append").partitionBy("file").text(f"{landing}/{drop}"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").text(f"{landing}/{drop}"))
 
     def transform(batch):
         return J.with_file_date(batch).select("event_id", "event_type", "k", "year", "month", "day", "delivery")
 
     from pyspark.sql.types import _parse_datatype_string
     schema = _parse_datatype_string("event_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, k BIGINT")
-    for drop, half, more in (("1", "am", 0), ("2", "pm", 0), ("3", "am", 1)):
+    for drop, half, more in (("1", "am", 0), ("2", "pm", 0), ("3", "am", 1), ("2", "pm", 2)):
         deliver(drop, half, more)
-        IN.ingest(spark, landing, schema, transform, sink, ckpt)
-    IN.ingest(spark, landing, schema, transform, sink, ckpt)
-    return spark.read.parquet(sink).select("event_id", "event_type", "k", "year", "month", "day")
+        IN.ingest(spark, landing, schema, transform, sink)
+    IN.ingest(spark, landing, schema, transform, sink)
+    return VS.read_live(spark, sink).select("event_id", "event_type", "k", "year", "month", "day")
 
 
 def job_pages(spark, sf_dir):

@@ -81,6 +81,7 @@ def test_stream_run_equals_batch_run(spark):
     from skilltrends.operators import select_text as ST
     from skilltrends.schemas import POSTING
     from skilltrends.sources import jsonl as J
+    from skilltrends.sources import versioned as VS
     landing = S.scratch_path(spark, "t-stream-postings")
     land(spark, landing, "postings_19_02_2024.json",
          [("a", ["data engineer"], DESC_A), ("b", ["data analyst"], DESC_B)])
@@ -97,7 +98,7 @@ def test_stream_run_equals_batch_run(spark):
     D.stream_run(spark, landing, sink, ckpt, coef, -1.0, 0.5, idf, dictionary)  # rerun: no new files
     cols = ["job_key", "day", "split_jd", "cleaned_techs"]
     as_set = lambda df: sorted((r.job_key, r.day, r.split_jd, tuple(r.cleaned_techs)) for r in df.select(cols).collect())
-    assert as_set(spark.read.parquet(sink)) == as_set(batch) and len(as_set(batch)) == 2
+    assert as_set(VS.read_live(spark, sink)) == as_set(batch) and len(as_set(batch)) == 2
 
 
 def test_broken_blobs_are_quarantined(spark):

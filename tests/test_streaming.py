@@ -1,5 +1,7 @@
-"""Streaming ingestion = batch result; a rerun on the same checkpoint changes nothing;
-a re-delivered day replaces only that day."""
+"""Incremental ingestion = batch result; a rerun changes nothing; a delivery that comes again, under its own
+path or a higher number, replaces its rows in one commit."""
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from skilltrends.plans.queries import land_events
 from skilltrends.schemas import EVENT
 from skilltrends.sources import jsonl as J
 from skilltrends.sources import sinks as SK
+from skilltrends.sources import versioned as VS
 from skilltrends.streaming import ingest as IN
 
 from .conftest import SMOKE
@@ -26,7 +29,7 @@ def test_two_files_of_a_day_and_a_second_delivery(spark):
     landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("t-landing", "t-sink", "t-ckpt"))
 
     def ids():
-        return sorted(r.event_id for r in spark.read.parquet(sink).collect())
+        return sorted(r.event_id for r in VS.read_live(spark, sink).collect())
 
     land_file(spark, landing, "d1", "am_01_02_2024.json", [1, 2])
     land_file(spark, landing, "d1", "pm_01_02_2024.json", [3])
@@ -52,7 +55,7 @@ def test_parts_and_equal_names_over_micro_batches(spark):
         rows.repartition(parts).write.mode("append").json(f"{landing}/{folder}/{name}")
 
     def ids():
-        return sorted(r.event_id for r in spark.read.parquet(sink).collect())
+        return sorted(r.event_id for r in VS.read_live(spark, sink).collect())
 
     def run():
         IN.ingest(spark, landing, EVENT, transform, sink, ckpt, max_files_per_trigger=1)
@@ -84,12 +87,11 @@ def test_ingest_equals_batch_and_rerun_is_noop(spark):
     landing = land_events(spark, SMOKE)
     sink, ckpt = S.scratch_path(spark, "t-sink"), S.scratch_path(spark, "t-ckpt")
     IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
-    first = sorted(map(tuple, spark.read.parquet(sink).select("event_id", "day").collect()))
+    first = sorted(map(tuple, VS.read_live(spark, sink).select("event_id", "day").collect()))
     batch = transform(J.scan_jsonl(spark, landing, EVENT)).select("event_id", "day")
     assert first == sorted(map(tuple, batch.collect()))
-    q = IN.ingest(spark, landing, EVENT, transform, sink, ckpt)
-    assert q.lastProgress is None or q.lastProgress["numInputRows"] == 0
-    again = sorted(map(tuple, spark.read.parquet(sink).select("event_id", "day").collect()))
+    assert IN.ingest(spark, landing, EVENT, transform, sink, ckpt) == []
+    again = sorted(map(tuple, VS.read_live(spark, sink).select("event_id", "day").collect()))
     assert again == first
 
 
@@ -108,3 +110,114 @@ def test_corrupt_lines_are_flagged_not_fatal(spark):
     n_bad = sum(r["_corrupt_record"] is not None for r in rows)
     n_err = spark.read.parquet(f"{SMOKE}/events.parquet").where(F.col("event_type") == "error").count()
     assert n_bad == n_err and len(rows) > n_bad
+
+
+def put(spark, path, ids, end=""):
+    """One JSON-lines file, over what is there."""
+    fs, p = VS.hadoop_path(spark, path)
+    out = fs.create(p, True)
+    out.write("".join(f'{{"event_id": {i}, "event_type": "e"}}\n' for i in ids).encode() + end.encode())
+    out.close()
+    tick = spark._jvm.java.lang.System.currentTimeMillis()
+    put.clock = max(tick, getattr(put, "clock", 0) + 1)
+    fs.setTimes(p, put.clock, -1)
+
+
+def live(spark, sink, version=None):
+    return sorted(r.event_id for r in VS.read_live(spark, sink, version=version, schema=None).collect())
+
+
+def test_a_file_delivered_again_under_its_own_path(spark):
+    landing, sink = S.scratch_path(spark, "t-landing"), S.scratch_path(spark, "t-sink")
+    put(spark, f"{landing}/a b/jobs_01_02_2024.json", [1])
+    put(spark, f"{landing}/jobs_02_02_2024.json", [5])
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == [1]
+    put(spark, f"{landing}/a b/jobs_01_02_2024.json", [2, 3])
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == [2]
+    assert live(spark, sink) == [2, 3, 5] and live(spark, sink, version=1) == [1, 5]
+    put(spark, f"{landing}/jobs_02_02_2024.json", [])  # an empty file is no delivery
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == []
+    put(spark, f"{landing}/jobs_02_02_2024.json", [], end="\n")  # a delivery without rows
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == [3]
+    assert live(spark, sink) == [2, 3]
+    assert VS.vacuum(spark, sink, keep=1) == 2 and live(spark, sink) == [2, 3]
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == []
+
+
+def test_readers_between_the_steps_of_a_commit(spark, monkeypatch):
+    landing, sink = S.scratch_path(spark, "t-landing"), S.scratch_path(spark, "t-sink")
+    put(spark, f"{landing}/1/jobs_01_02_2024.json", [1])
+    IN.ingest(spark, landing, EVENT, transform, sink)
+    put(spark, f"{landing}/2/jobs_01_02_2024.json", [2])  # a higher number
+    seen, commit = [], VS.write_commit
+
+    def stopped(*a):
+        seen.append(live(spark, sink))
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(VS, "write_commit", stopped)
+    with pytest.raises(KeyboardInterrupt):  # rows are written, the commit never comes
+        IN.ingest(spark, landing, EVENT, transform, sink)
+    assert seen == [[1]] and live(spark, sink) == [1]
+    monkeypatch.setattr(VS, "write_commit", lambda *a: seen.append(live(spark, sink)) or commit(*a))
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == [2]
+    assert seen[1] == [1] and live(spark, sink) == [2]
+
+
+def test_two_writers_and_snapshots(spark, monkeypatch):
+    landing, sink = S.scratch_path(spark, "t-landing"), S.scratch_path(spark, "t-sink")
+    monkeypatch.setattr(VS, "SNAPSHOT_EVERY", 3)
+    for i in range(1, 5):
+        put(spark, f"{landing}/jobs_0{i}_02_2024.json", [i])
+    versions = VS.last_version
+
+    def late(spark, sink, other=[True]):
+        version = versions(spark, sink)
+        if other and other.pop():  # another writer commits right after this one has looked
+            VS.write_commit(spark, sink, version + 1, [])
+        return version
+
+    monkeypatch.setattr(VS, "last_version", late)
+    assert IN.ingest(spark, landing, EVENT, transform, sink, max_files_per_trigger=1) == [2, 3, 4, 5]
+    assert live(spark, sink) == [1, 2, 3, 4] and VS.log_files(spark, sink) == ([1, 2, 3, 4, 5], [3])
+    put(spark, f"{landing}/jobs_01_02_2024.json", [10])
+    IN.ingest(spark, landing, EVENT, transform, sink)
+    assert live(spark, sink) == [2, 3, 4, 10] and live(spark, sink, version=4) == [1, 2, 3]
+    with pytest.raises(VS.CommitConflict):
+        VS.write_commit(spark, sink, 5, [])
+
+
+def test_parts_that_are_gone_go_with_the_next_delivery(spark):
+    landing, sink = S.scratch_path(spark, "t-landing"), S.scratch_path(spark, "t-sink")
+    folder = f"{landing}/jobs_01_02_2024.json"
+    put(spark, f"{folder}/part-0.json", [1])
+    put(spark, f"{folder}/part-1.json", [2])
+    IN.ingest(spark, landing, EVENT, transform, sink)
+    fs, p = VS.hadoop_path(spark, f"{folder}/part-1.json")
+    fs.delete(p, False)
+    assert IN.ingest(spark, landing, EVENT, transform, sink) == [] and live(spark, sink) == [1, 2]  # an emptied landing folder takes nothing back
+    put(spark, f"{folder}/part-2.json", [3])
+    IN.ingest(spark, landing, EVENT, transform, sink)
+    assert live(spark, sink) == [1, 3]
+
+
+def test_the_stream_form_makes_passes(spark):
+    import time
+    landing, sink, ckpt = (S.scratch_path(spark, x) for x in ("t-landing", "t-sink", "t-ckpt"))
+    put(spark, f"{landing}/jobs_01_02_2024.json", [1])
+    q = IN.ingest(spark, landing, EVENT, transform, sink, ckpt, available_now=False, every="1 second")
+
+    def wait(want):
+        for _ in range(120):
+            if VS.last_version(spark, sink) and live(spark, sink) == want:
+                return
+            assert q.exception() is None
+            time.sleep(0.5)
+        raise AssertionError(want)
+
+    try:
+        wait([1])
+        put(spark, f"{landing}/jobs_01_02_2024.json", [2])
+        wait([2])
+    finally:
+        q.stop()
