@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import col, stored
 
+SAMPLE_BYTES = 48 << 20
+
 
 def fold(id_column: Column, n: int) -> Column:
     """crc32(id as text) mod n; a null id hashes as the empty text."""
@@ -40,14 +42,23 @@ def sampled_each(rows: DataFrame, label: str, per_value: int, key: str) -> DataF
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_value: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
+                    id_col: str = "doc_id", text_col: str = "text", most_bytes: int = SAMPLE_BYTES) -> tuple[DataFrame, dict[int, int]]:
     """(id, y, t): labelled rows outside the held-out fold, about ``per_value`` of each of the labels 0 and 1;
-    and how many there are of each in all."""
+    and how many there are of each in all.
+
+    A label takes one text: of several rows of its id the one with the lowest hash. The sample holds at most
+    ``most_bytes`` of text: its rows in order of a hash, as many as fit, without texts of more than a
+    64th of that."""
     known = labels.select(col(id_col).alias("id"), col(label).cast("int").alias("y"))
-    known = known.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("id"), folds) != held_out))
+    known = known.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("id"), folds) != held_out)).distinct()
     known, counts = sampled_by(known, "y", per_value, "id", 2)  # a few thousand pairs of numbers
-    texts = docs.select(col(id_col).alias("d"), F.coalesce(col(text_col), F.lit("")).alias("t"))
-    return texts.join(F.broadcast(known), F.col("d") == F.col("id")).select("id", "y", "t"), counts
+    texts = docs.select(col(id_col).alias("d"), F.coalesce(col(text_col), F.lit("")).alias("t")).filter(F.octet_length("t") <= most_bytes // 64)
+    one = texts.join(F.broadcast(known), F.col("d") == F.col("id")).groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    one = stored(one, "labelled-sample")
+    # at most 2 * per_value narrow rows, so one window over all of them
+    order = Window.orderBy(F.xxhash64("id", F.lit("order")), "id", "y")
+    fits = one.select("id", "y", F.sum(F.octet_length("t")).over(order).alias("bytes")).filter(F.col("bytes") <= most_bytes).drop("bytes")
+    return one.join(F.broadcast(fits), ["id", "y"]), counts
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100, decay: float = 1e-3) -> np.ndarray:

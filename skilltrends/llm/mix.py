@@ -9,8 +9,8 @@
 4. Sainte-Lague hands the blocks of the whole mix to the sources by highest quotients
    target / (2k - 1), then each source's blocks to its streams in the same way.
 5. A stream with quota q takes every block q div n times and, from a seeded block on, q mod n
-   blocks in a row, cyclically. The order is already random, so the run is a random choice, and
-   no more than two documents of a stream are cut.
+   blocks in a row, cyclically. The order is already random, so the run is a random choice. It ends inside
+   at most two documents of a stream; ``mixed_documents`` moves those ends to the nearer border.
 
 Defined results: a null text has no words and is never taken; a null source is the last source;
 a null id is a value like any other; repeated rows each count; with no words at all every target
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_RX, WORD_RX, carried, col, packed, stored, unpacked
+from .common import WORD_RX, carried, col, packed, stored, unpacked
 
 WEIGHTS, BLOCK_TOKENS, STREAMS, SEED = (5, 2, 1), 32, 8, 7
 KEY = ["no_src", "src"]
@@ -153,15 +153,11 @@ def mix_sources(docs: DataFrame, carry: list[str] | None = None, **kw) -> DataFr
 
 
 def mixed_documents(docs: DataFrame, text_col: str = "text", **kw) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row per copy. A document at the end of a
-    run is cut at that word; all others come whole, byte for byte."""
+    """The mix itself, with the columns of ``docs``: a row per copy, every document whole, byte for byte.
+    A run of blocks that ends inside a document ends at its nearer border: the document comes once more
+    where the run holds half of its words or more."""
     rows = mixed(docs, text_col=text_col, **kw)
-    every = F.struct(F.lit(0).cast("long").alias("f"), F.col("size").alias("t"))
-    copies = F.concat(F.array_repeat(every, F.col("full")), F.col("parts"))
-    rows = rows.filter(F.col("size") > 0).withColumn("copy", F.explode(copies))
-    text = F.col("row").getField(text_col)
-    pieces = F.regexp_extract_all(text, F.lit(f"{SPACE_RX}*{WORD_RX}"), F.lit(0))
-    cut = F.array_join(F.slice(pieces, (F.col("copy")["f"] + 1).cast("int"), (F.col("copy")["t"] - F.col("copy")["f"]).cast("int")), "")
-    whole = (F.col("copy")["f"] == 0) & (F.col("copy")["t"] == F.col("size"))
-    return rows.select(*[F.when(whole, text).otherwise(cut).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
-                         for c in docs.columns])
+    extra = F.col("taken") - F.col("full") * F.col("size")
+    copies = F.col("full") + F.when((extra > 0) & (2 * extra >= F.col("size")), 1).otherwise(0)
+    rows = rows.filter(F.col("size") > 0).withColumn("copy", F.explode(F.array_repeat(F.lit(True), copies)))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -9,10 +9,14 @@ Marginals of the toxic state give the spans (runs of 0.5 or more, with byte offs
 marginal, their sum and their mean go through a logistic model, fitted on rows kept out of the
 field's fit, that gives the score.
 
-A chain ends with a sentence (. ! ? or a line break between words), with the text, and after 200
-words. The fit uses a bounded sample (``per_class`` labelled rows of each class, by hash order, and
-``max_tokens`` tokens of sentences without a toxic word). Scoring maps over whole texts in Arrow
-batches, all chains of a block step by step together, without a shuffle.
+A chain ends with a sentence (. ! ? or a line break between words) or with the text. All chains of a block
+are passed step by step together; a long chain in pieces of ``PIECE`` words, whose products of
+transition matrices hand the messages on from piece to piece, so that the marginals are those of the whole chain.
+
+The fit uses a bounded sample (``per_class`` labelled rows of each class and ``SAMPLE_BYTES`` of text, by hash
+order). Spark counts the sample's document frequencies and sends the driver the toxic columns,
+the sentences that hold one in a toxic document, about ``max_tokens`` tokens of the others, and three numbers a
+row for the logistic model. Scoring maps over whole texts in Arrow batches, without a shuffle.
 
 Defined results: a null or wordless text gets the score of a text with no toxic word and no spans; labels that are
 null or not 0 or 1 are left out; with no row of one of the classes every score is 0; null ids and
@@ -22,7 +26,8 @@ like a result are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,14 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carried, col, map_texts, packed, shared, text_blocks, unpacked
+from .common import carried, col, map_texts, packed, shared, stored, text_blocks, unpacked
 from .labelled import fit_logistic, fold, labelled_sample, sigmoid
 from .words import ALNUM, coded, hash_words, prefix_hashes, raw_of, spread_bits, words_of
 
 HASH_BITS, PER_CLASS, MAX_TOKENS, FOLDS, HELD_OUT, THRESHOLD = 19, 1200, 300_000, 3, 1, 0.7
 PREFIXES = [3, 4, 5, 6, 7]
 NONE = 1 << HASH_BITS  # the column of a feature that isn't there
-CHAIN, BLOCK_BYTES, FAR = 200, 2 << 20, 12.0
+PIECE, BLOCK_BYTES, FAR = 200, 2 << 20, 12.0
 
 #: Bytes that end a sentence.
 ENDS = np.zeros(256, bool)
@@ -62,48 +67,83 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     if len(ids):
         head[1:] = ended[(first + text)[1:]] > ended[(last + text)[:-1]]
         head[at[:-1][np.diff(at) > 0]] = True
-        starts = np.flatnonzero(head)
-        place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(ids)]))))
-        head |= place % CHAIN == 0
     return column, at, head, first, last
 
 
 class Chains:
-    """Chains as runs of a flat token array, the longest first."""
+    """Chains of a flat token array, in pieces of bounded length, the longest first."""
 
     def __init__(self, head: np.ndarray):
-        start = np.flatnonzero(head)
+        chain = np.flatnonzero(head)
+        place = np.arange(len(head)) - np.repeat(chain, np.diff(np.concatenate((chain, [len(head)]))))
+        start = np.flatnonzero(place % PIECE == 0)
         length = np.diff(np.concatenate((start, [len(head)])))
+        number = place[start] // PIECE  # of a piece within its chain
+        self.n, self.start, self.length = len(head), start, length
         order = np.argsort(-length, kind="stable")
-        self.start, self.length, self.n = start[order], length[order], len(head)
-        self.live = np.searchsorted(-self.length, -np.arange(int(self.length[0]) if len(start) else 0), "left")
+        self.every, self.first, self.later = order, order[number[order] == 0], order[number[order] > 0]
+        by_number = np.argsort(number, kind="stable")
+        cuts = np.searchsorted(number[by_number], np.arange(1, int(number.max(initial=0)) + 2))
+        self.rounds = [by_number[i:j] for i, j in zip(cuts[:-1], cuts[1:])]  # pieces 1, 2, ... of all chains
+
+    def steps(self, pieces: np.ndarray):
+        """(step, positions) of pieces that are sorted by length."""
+        length = self.length[pieces]
+        for step in range(int(length[0]) if len(pieces) else 0):
+            yield step, self.start[pieces[:np.searchsorted(-length, -step, "left")]] + step
+
+    def products(self, psi: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """For each later piece the product of its transition matrices, from the word before it to its last."""
+        out = np.tile(np.eye(2), (len(self.start), 1, 1))
+        for _, at in self.steps(self.later):
+            pieces = self.later[:len(at)]
+            x = out[pieces] @ m
+            x[:, :, 1] *= psi[at, None]
+            out[pieces] = x / x.sum((1, 2), keepdims=True)
+        return out
 
     def marginals(self, u: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(toxic) of each token, and the expected number of each transition. ``u``: score of the
         toxic state less that of the clean one; ``t``: 2 x 2 scores of transitions."""
         psi, m = np.exp(np.clip(u, -30, 30)), np.exp(np.clip(t, -30, 30))
-        f = np.empty((self.n, 2))
-        b = np.ones((self.n, 2))
-        pairs = np.zeros((2, 2))
-        for step, k in enumerate(self.live):
-            at = self.start[:k] + step
-            if step == 0:
-                x0, x1 = np.ones(k), psi[at]
-            else:
-                g0, g1 = f[at - 1, 0], f[at - 1, 1]
-                x0, x1 = g0 * m[0, 0] + g1 * m[1, 0], (g0 * m[0, 1] + g1 * m[1, 1]) * psi[at]
-            z = x0 + x1
-            f[at, 0], f[at, 1] = x0 / z, x1 / z
-        for step in range(len(self.live) - 1, 0, -1):
-            at = self.start[:self.live[step]] + step
-            y0, y1 = b[at, 0], b[at, 1] * psi[at]
-            x0, x1 = m[0, 0] * y0 + m[0, 1] * y1, m[1, 0] * y0 + m[1, 1] * y1
-            g0, g1 = f[at - 1, 0], f[at - 1, 1]
-            z = g0 * x0 + g1 * x1
-            b[at - 1, 0], b[at - 1, 1] = x0 / z, x1 / z
-            for i, g in ((0, g0), (1, g1)):
-                for j, y in ((0, y0), (1, y1)):
-                    pairs[i, j] += np.sum(g * m[i, j] * y / z)
+        f, b, pairs = np.empty((self.n, 2)), np.ones((self.n, 2)), np.zeros((2, 2))
+        before = np.empty((len(self.start), 2))  # message from the word before a later piece
+        last = self.start + self.length - 1
+
+        def forward(pieces: np.ndarray, later: bool) -> None:
+            for step, at in self.steps(pieces):
+                if step or later:
+                    g = f[at - 1] if step else before[pieces[:len(at)]]
+                    x = g @ m
+                    x[:, 1] *= psi[at]
+                else:
+                    x = np.stack([np.ones(len(at)), psi[at]], 1)
+                f[at] = x / x.sum(1, keepdims=True)
+
+        forward(self.first, False)
+        if len(self.later):
+            product = self.products(psi, m)
+            for k, pieces in enumerate(self.rounds):
+                came = f[last[pieces - 1]] if k == 0 else (before[pieces - 1, None] @ product[pieces - 1])[:, 0]
+                before[pieces] = came / came.sum(1, keepdims=True)
+            for pieces in reversed(self.rounds):
+                y = (product[pieces] @ b[last[pieces], :, None])[:, :, 0]
+                b[last[pieces - 1]] = y / (before[pieces] * y).sum(1, keepdims=True)
+            forward(self.later, True)
+
+        def transitions(at: np.ndarray) -> np.ndarray:
+            """Count the transitions into ``at`` and give the messages to the words before."""
+            g, y = f[at - 1], b[at].copy()
+            y[:, 1] *= psi[at]
+            x = y @ m.T
+            z = (g * x).sum(1)
+            pairs[:] += m * ((g / z[:, None]).T @ y)
+            return x / z[:, None]
+
+        for step, at in reversed(list(self.steps(self.every))):
+            if step:
+                b[at - 1] = transitions(at)
+        transitions(self.start[self.later])
         return f[:, 1] * b[:, 1] / (f[:, 0] * b[:, 0] + f[:, 1] * b[:, 1]), pairs
 
 
@@ -160,15 +200,17 @@ class Model:
         return sigmoid(self.summary(p, at) @ self.judge[:-1] + self.judge[-1]), spans
 
 
-def toxic_features(columns: list[np.ndarray], y: np.ndarray, least: int = 4, ratio: float = 8.0, z: float = 4.0) -> np.ndarray:
-    """Which columns are far more frequent in toxic documents (document frequencies)."""
-    count = [sum((np.bincount(np.unique(c), minlength=NONE + 1) for c, k in zip(columns, y) if k == v), np.zeros(NONE + 1)) for v in (0, 1)]
-    n = [max(1, int((y == v).sum())) for v in (0, 1)]
-    p0, p1, p = (count[0] + 0.5) / (n[0] + 1), (count[1] + 0.5) / (n[1] + 1), (count[0] + count[1]) / (n[0] + n[1])
-    deviation = (p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n[0] + 1 / n[1]))
-    out = (count[1] >= least) & (p1 > ratio * p0) & (deviation > z)
-    out[NONE] = False
-    return out
+def toxic_columns(documents: DataFrame, least: int = 4, ratio: float = 8.0, z: float = 4.0) -> np.ndarray:
+    """The columns far more frequent in toxic documents, from (y, columns) rows: document frequencies,
+    counted by Spark."""
+    totals = documents.groupBy("y").count()
+    n = {r["y"]: r["count"] for r in totals.collect()}
+    n0, n1 = max(1, n.get(0, 0)), max(1, n.get(1, 0))
+    c = documents.select("y", F.explode("columns").alias("c")).groupBy("c").agg(
+        F.count_if(F.col("y") == 0).alias("c0"), F.count_if(F.col("y") == 1).alias("c1")).filter(F.col("c1") >= least)
+    p0, p1, p = (F.col("c0") + 0.5) / (n0 + 1), (F.col("c1") + 0.5) / (n1 + 1), (F.col("c0") + F.col("c1")) / (n0 + n1)
+    deviation = (p1 - p0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
+    return np.array(sorted(r["c"] for r in c.filter((p1 > ratio * p0) & (deviation > z)).select("c").collect()), np.int64)
 
 
 def fit_field(column: np.ndarray, head: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 1e-4) -> Model:
@@ -196,48 +238,62 @@ def fit_field(column: np.ndarray, head: np.ndarray, y: np.ndarray, rounds: int =
     return model
 
 
-def fit(sample: list[tuple[str, int, np.ndarray, np.ndarray]], max_tokens: int = MAX_TOKENS) -> Model | None:
-    """From (id, label, columns, heads) rows, in any order."""
-    sample = sorted(sample, key=lambda r: (r[0], r[1], len(r[2])))
-    y = np.array([r[1] for r in sample])
-    if len(set(y.tolist())) < 2:
-        return None
-    rng = np.random.default_rng(2)
-    held = rng.random(len(y)) < 0.25
-    if any(len(set(y[x].tolist())) < 2 for x in (held, ~held)):
-        held[:] = False
-    rows = [r for r, h in zip(sample, held) if not h]
-    marked = toxic_features([r[2] for r in rows], y[~held])
-    column, head = (np.concatenate([r[i] for r in rows]) for i in (2, 3))
-    label = np.concatenate([marked[r[2]].any(1) & (r[1] == 1) for r in rows]).astype(np.int64)
-    if len(column):
-        chain = np.cumsum(head) - 1
-        has = np.bincount(chain, label) > 0
-        pick = has | (rng.random(len(has)) < max_tokens / len(column))
-        keep = pick[chain]
-        column, head, label = column[keep], head[keep], label[keep]
-    model = fit_field(column, head, label)
-    judged = [(r, k) for r, k, h in zip(sample, y, held) if h or not held.any()]
-    x = np.concatenate([model.summary(model.toxic(r[2], r[3]), np.array([0, len(r[2])])) for r, _ in judged])
-    model.judge = fit_logistic(x, np.array([k for _, k in judged]))
-    model.weights = model.weights.astype(np.float32)
-    return model
-
+def per_text(sample: DataFrame, schema: str, make: Callable[[str, int, np.ndarray, np.ndarray], tuple | None]) -> DataFrame:
+    """Rows made of (id, label, columns, heads) of each sampled text."""
+    fields = T._parse_datatype_string(schema)
 
-def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, id_col: str, text_col: str) -> Model | None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "t", BLOCK_BYTES):
             column, at, head, _, _ = tokens(batch.column("t"))
-            wide = column.shape[1]
-            lists = [pa.ListArray.from_arrays(pa.array(at * wide, pa.int32()), pa.array(column.ravel())),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(head))]
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("y"), *lists], names=["id", "y", "c", "h"])
+            rows = [make(i, y, column[a:b], head[a:b]) for i, y, a, b in
+                    zip(batch.column("id").cast(pa.string()).to_pylist(), batch.column("y").to_pylist(), at[:-1], at[1:])]
+            rows = [r for r in rows if r is not None]
+            kinds = {"int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()),
+                     "array<boolean>": pa.list_(pa.bool_()), "array<double>": pa.list_(pa.float64())}
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[f.dataType.simpleString()]) for k, f in enumerate(fields)], names=fields.names)
 
+    return sample.select("id", "y", "t").mapInArrow(run, fields)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, id_col: str, text_col: str,
+          max_tokens: int = MAX_TOKENS) -> Model | None:
+    """Fit the field and the logistic model on the sample: a quarter of its rows (by a hash of the id) is kept
+    out of the field's fit and judges it."""
     sample, _ = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
-    rows = sample.mapInArrow(run, "id string, y int, c array<int>, h array<boolean>").toArrow()
-    columns = [c.values.to_numpy().reshape(-1, 1 + len(PREFIXES)) for chunk in rows["c"].chunks for c in chunk]
-    heads = [c.values.to_numpy(zero_copy_only=False).astype(bool) for chunk in rows["h"].chunks for c in chunk]
-    return fit(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), columns, heads)))
+    sample = sample.withColumn("held", F.pmod(F.xxhash64("id", F.lit("judge")), F.lit(4)) == 0)
+    classes = {(r["y"], r["held"]) for r in sample.groupBy("y", "held").count().collect()}
+    if len({y for y, _ in classes}) < 2:
+        return None
+    apart = len(classes) == 4  # else too few rows to set some aside
+    to_fit, to_judge = (sample.filter("NOT held"), sample.filter("held")) if apart else (sample, sample)
+    documents = stored(per_text(to_fit, "y int, n bigint, columns array<int>", lambda i, y, c, h: (y, len(c), np.setdiff1d(c, NONE).tolist())), "toxic-documents")
+    toxic = toxic_columns(documents)
+    share = max_tokens / max(1, documents.agg(F.sum("n")).first()[0] or 0)
+
+    def chains(i: str, y: int, c: np.ndarray, h: np.ndarray) -> tuple | None:
+        hot = np.isin(c, toxic).any(1) & (y == 1)
+        chain = np.cumsum(h) - 1
+        pick = np.bincount(chain, hot) > 0
+        pick |= np.random.default_rng(zlib.crc32(f"{i}:{y}".encode())).random(len(pick)) < share
+        keep = pick[chain]
+        return (c[keep].ravel().tolist(), h[keep].tolist(), hot[keep].tolist()) if keep.any() else None
+
+    rows = per_text(to_fit, "c array<int>, h array<boolean>, l array<boolean>", chains).toArrow()
+    parts = sorted(zip(*[[np.asarray(x) for chunk in rows[k].chunks for x in chunk.to_pylist()] for k in ("c", "h", "l")]),
+                   key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2].tobytes()))  # the same model wherever the rows lay
+    column = np.concatenate([np.zeros(0, np.int64), *[r[0] for r in parts]]).astype(np.int64).reshape(-1, 1 + len(PREFIXES))
+    head, marked = (np.concatenate([np.zeros(0, bool), *[r[k].astype(bool) for r in parts]]) for k in (1, 2))
+    model = fit_field(column, head, marked.astype(np.int64))
+    held = shared(docs.sparkSession, model)
+
+    def judged(i: str, y: int, c: np.ndarray, h: np.ndarray) -> tuple:
+        m = held()
+        return y, m.summary(m.toxic(c, h), np.array([0, len(c)]))[0].tolist()
+
+    cases = sorted(map(tuple, per_text(to_judge, "y int, x array<double>", judged).collect()))
+    model.judge = fit_logistic(np.array([x for _, x in cases]), np.array([y for y, _ in cases]))
+    model.weights = model.weights.astype(np.float32)
+    return model
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,

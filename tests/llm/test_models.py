@@ -141,3 +141,55 @@ def test_toxic_spans_are_offsets_of_the_words(spark):
     assert rows
     words = [r["text"].encode()[s["start"]:s["stop"]].decode().lower() for r in rows for s in r["spans"]]
     assert any(w.startswith(("idiot", "moron", "stupid", "pathetic", "trash")) for w in words)
+
+
+def test_long_chains_in_pieces_give_the_marginals_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(8)
+    head = rng.random(400) < 0.02
+    head[0] = True
+    u, t = rng.normal(0, 2, 400), rng.normal(0, 1.5, (2, 2))
+    want = toxicity.Chains(head).marginals(u, t)  # pieces of 200
+    for piece in (1, 2, 3, 7, 10_000):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        got = toxicity.Chains(head).marginals(u, t)
+        assert np.allclose(got[0], want[0]) and np.allclose(got[1], want[1])
+
+
+def test_a_long_text_without_sentences_is_one_chain():
+    _, _, head, _, _ = toxicity.tokens(pa.array(["word " * 50_000]))
+    assert head.sum() == 1
+    p, pairs = toxicity.Chains(head).marginals(np.zeros(50_000), np.zeros((2, 2)))
+    assert np.allclose(p, 0.5) and np.isclose(pairs.sum(), 49_999)
+
+
+def test_a_label_takes_one_text(spark):
+    from pyspark.sql import functions as F
+
+    from skilltrends.llm import labelled
+    copies = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id").cast("string")).alias("text"))
+    docs = copies.unionAll(spark.createDataFrame([(2, "x" * 2_000_000), (3, "short"), (4, "other"), (5, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (3, 0), (4, 0), (5, 1), (None, 1)], "doc_id long, quality int")
+    rows, counts = labelled.labelled_sample(docs, labels, "quality", 10, 11, 100)
+    assert sorted(r.id for r in rows.collect()) == [1, 3, 4, 5] and counts == {0: 2, 1: 3}  # a text beyond the bound isn't learned from
+    few, _ = labelled.labelled_sample(docs, labels, "quality", 10, 11, 100, most_bytes=64 * 9)
+    assert sum(len(r.t) for r in few.collect()) <= 64 * 9
+
+
+def test_quality_margins_are_plain_sums():
+    """The margin of a text is the dot product of its scaled 1- and 2-gram indicators with the weights."""
+    import re
+    rng = np.random.default_rng(4)
+    size = 1 << quality_model.HASH_BITS
+    model = quality_model.Model(rng.normal(0, 1, size), rng.normal(0, 1, size), 0.25, 1.0, 0.0)
+    texts = ["the river and the river", "", None, "a", "A b! a-b \u00e9t\u00e9 12", " \n ", "x y " * 50]
+
+    def column(h):
+        return int(quality_model.spread_bits(np.array([h], np.uint64), quality_model.HASH_BITS)[0])
+
+    for text, got in zip(texts, model.margins(pa.array(texts)).tolist()):
+        words = re.findall(r"[0-9A-Za-z_\u0080-\U0010FFFF]+|[^\x09-\x0D\x200-9A-Za-z_\u0080-\U0010FFFF]+", text or "")
+        h = [int(quality_model.token_hashes(pa.array([w]))[0][0]) for w in words]
+        grams = {column(x) for x in h} | {column((a * 0x5BD1E9955BD1E995 + b) % 2 ** 64) for a, b in zip(h, h[1:])}
+        norm = sum(model.ratio[c] ** 2 for c in grams) ** 0.5
+        want = sum(model.ratio[c] * model.weight[c] for c in grams) / norm + 0.25 if grams else 0.25
+        assert abs(got - want) < 1e-9

@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -56,12 +57,15 @@ def test_contaminated_documents_go(spark, steps):
     assert rows(steps[3]).keys() == clean
 
 
-def test_the_mix_holds_the_words_taken(steps):
-    taken = {r["doc_id"]: r["taken"] for r in mix.mix_sources(steps[3]).collect()}
+def test_the_mix_holds_whole_documents(steps):
+    texts = {r["doc_id"]: r["text"] for r in steps[3].collect()}
+    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in mix.mix_sources(steps[3]).collect()}
     found = dict.fromkeys(taken, 0)
     for r in steps[4].collect():
-        found[r["doc_id"]] += len(brute.SPACED.findall(r["text"]))
-    assert found == taken
+        assert r["text"] == texts[r["doc_id"]]
+        found[r["doc_id"]] += 1
+    # the nearer number of whole copies
+    assert found == {k: 0 if not n else t // n + (t % n > 0 and 2 * (t % n) >= n) for k, (t, n) in taken.items()}
 
 
 def test_shards_hold_all_rows(spark, steps):
@@ -73,3 +77,32 @@ def test_shards_hold_all_rows(spark, steps):
 def test_run_is_all_stages(spark, steps):
     again = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, steps[5].collect()), key=repr)
+
+
+CLASH = ["score", "predicted", "held_out", "n_words", "n_hit", "spans", "contaminated", "rest", "row", "t", "c0", "size", "copy", "fp", "uid", "a.b"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """Nulls, empty and long texts, repeated rows and columns with the operators' names."""
+    docs = read(spark, SF, "documents")
+    more = spark.createDataFrame([(9001, None, "en", None, 0), (None, "", None, "web", 0), (None, None, None, None, None), (9002, "word " * 200_000, "en", "web", 1)],
+                                 docs.schema)
+    return docs.unionAll(docs.filter("doc_id < 20")).unionAll(more).select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASH])
+
+
+def test_every_column_comes_through_unchanged(spark, odd):
+    docs = odd
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        docs = stored(f(spark, docs, SF), f"odd-{name}")
+        assert docs.columns == odd.columns
+        assert docs.distinct().exceptAll(odd.distinct()).count() == 0, name  # every row is one of the input's
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert out.count() == docs.count() > 0
+
+
+def test_empty_tables(spark, odd):
+    docs = odd.limit(0)
+    for _, f in corpus_pipeline.STAGES:
+        docs = stored(f(spark, docs, SF), "empty")
+        assert docs.count() == 0
