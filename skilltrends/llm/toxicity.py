@@ -6,8 +6,8 @@ prefix that is far more frequent in toxic documents than in clean ones (document
 ratio and z-score) labels its tokens toxic where they stand in a toxic document; all other tokens are
 clean. The field is fitted to those labels by Adam on the exact gradient (forward-backward).
 Marginals of the toxic state give the spans (runs of 0.5 or more, with byte offsets). A text's largest
-marginal, their sum and their mean go through a logistic model, fitted on rows kept out of the
-field's fit, that gives the score.
+marginal, their sum and their mean go through a logistic model, fitted on rows kept out of a first
+fit of the field, that gives the score; the field then goes on, fitted on all sampled rows.
 
 A chain ends with a sentence (. ! ? or a line break between words) or with the text. All chains of a block
 are passed step by step together; a long chain in pieces of ``PIECE`` words, whose products of
@@ -213,14 +213,16 @@ def toxic_columns(documents: DataFrame, least: int = 4, ratio: float = 8.0, z: f
     return np.array(sorted(r["c"] for r in c.filter((p1 > ratio * p0) & (deviation > z)).select("c").collect()), np.int64)
 
 
-def fit_field(column: np.ndarray, head: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.3, decay: float = 1e-4) -> Model:
-    """Adam on the mean log-likelihood of the token labels."""
+def fit_field(column: np.ndarray, head: np.ndarray, y: np.ndarray, start: Model | None = None, rounds: int = 45, rate: float = 0.3,
+              decay: float = 1e-4) -> Model:
+    """Adam on the mean log-likelihood of the token labels, from the weights of ``start`` on."""
     before, after = context(column, head)
     chains = Chains(head)
     inner = ~head[1:]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[:-1][inner], y[1:][inner]), 1)
-    model = Model(np.zeros((3, NONE + 1)), -3.0, np.zeros((2, 2)))
+    model = Model(np.zeros((3, NONE + 1)), -3.0, np.zeros((2, 2))) if start is None else \
+        Model(start.weights.astype(np.float64), start.bias, start.transitions.copy())
     flat = [model.weights, np.array([model.bias]), model.transitions]
     moment = [(np.zeros_like(x), np.zeros_like(x)) for x in flat]
     for k in range(1, rounds + 1):
@@ -255,18 +257,9 @@ def per_text(sample: DataFrame, schema: str, make: Callable[[str, int, np.ndarra
     return sample.select("id", "y", "t").mapInArrow(run, fields)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, id_col: str, text_col: str,
-          max_tokens: int = MAX_TOKENS) -> Model | None:
-    """Fit the field and the logistic model on the sample: a quarter of its rows (by a hash of the id) is kept
-    out of the field's fit and judges it."""
-    sample, _ = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
-    sample = sample.withColumn("held", F.pmod(F.xxhash64("id", F.lit("judge")), F.lit(4)) == 0)
-    classes = {(r["y"], r["held"]) for r in sample.groupBy("y", "held").count().collect()}
-    if len({y for y, _ in classes}) < 2:
-        return None
-    apart = len(classes) == 4  # else too few rows to set some aside
-    to_fit, to_judge = (sample.filter("NOT held"), sample.filter("held")) if apart else (sample, sample)
-    documents = stored(per_text(to_fit, "y int, n bigint, columns array<int>", lambda i, y, c, h: (y, len(c), np.setdiff1d(c, NONE).tolist())), "toxic-documents")
+def train_field(sample: DataFrame, max_tokens: int, start: Model | None = None, rounds: int = 45) -> Model:
+    """Fit the field on all rows of a sample."""
+    documents = stored(per_text(sample, "y int, n bigint, columns array<int>", lambda i, y, c, h: (y, len(c), np.setdiff1d(c, NONE).tolist())), "toxic-documents")
     toxic = toxic_columns(documents)
     share = max_tokens / max(1, documents.agg(F.sum("n")).first()[0] or 0)
 
@@ -278,21 +271,37 @@ def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
         keep = pick[chain]
         return (c[keep].ravel().tolist(), h[keep].tolist(), hot[keep].tolist()) if keep.any() else None
 
-    rows = per_text(to_fit, "c array<int>, h array<boolean>, l array<boolean>", chains).toArrow()
+    rows = per_text(sample, "c array<int>, h array<boolean>, l array<boolean>", chains).toArrow()
     parts = sorted(zip(*[[np.asarray(x) for chunk in rows[k].chunks for x in chunk.to_pylist()] for k in ("c", "h", "l")]),
                    key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2].tobytes()))  # the same model wherever the rows lay
     column = np.concatenate([np.zeros(0, np.int64), *[r[0] for r in parts]]).astype(np.int64).reshape(-1, 1 + len(PREFIXES))
     head, marked = (np.concatenate([np.zeros(0, bool), *[r[k].astype(bool) for r in parts]]) for k in (1, 2))
-    model = fit_field(column, head, marked.astype(np.int64))
+    model = fit_field(column, head, marked.astype(np.int64), start, rounds)
+    model.weights = model.weights.astype(np.float32)
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, id_col: str, text_col: str,
+          max_tokens: int = MAX_TOKENS) -> Model | None:
+    """A field fitted without a quarter of the sample (by a hash of the id) has its logistic model from
+    that quarter; then the field is fitted on the whole sample."""
+    sample, _ = labelled_sample(docs, labels, label, folds, held_out, per_class, id_col, text_col)
+    sample = sample.withColumn("held", F.pmod(F.xxhash64("id", F.lit("judge")), F.lit(4)) == 0)
+    classes = {(r["y"], r["held"]) for r in sample.groupBy("y", "held").count().collect()}
+    if len({y for y, _ in classes}) < 2:
+        return None
+    apart = len(classes) == 4  # else too few rows to set some aside
+    model = train_field(sample.filter("NOT held") if apart else sample, max_tokens)
     held = shared(docs.sparkSession, model)
 
     def judged(i: str, y: int, c: np.ndarray, h: np.ndarray) -> tuple:
         m = held()
         return y, m.summary(m.toxic(c, h), np.array([0, len(c)]))[0].tolist()
 
-    cases = sorted(map(tuple, per_text(to_judge, "y int, x array<double>", judged).collect()))
-    model.judge = fit_logistic(np.array([x for _, x in cases]), np.array([y for y, _ in cases]))
-    model.weights = model.weights.astype(np.float32)
+    cases = sorted(map(tuple, per_text(sample.filter("held") if apart else sample, "y int, x array<double>", judged).collect()))
+    judge = fit_logistic(np.array([x for _, x in cases]), np.array([y for y, _ in cases]))
+    model = train_field(sample, max_tokens, model, 20) if apart else model
+    model.judge = judge
     return model
 
 
