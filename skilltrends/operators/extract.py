@@ -5,7 +5,7 @@
 * Pluggable extractor: a Python callable for one text or for a batch of texts, run in Arrow batches over
   (id, text) only, retried up to ``max_attempts``; rows that keep failing carry their error texts in
   ``result`` instead of failing the job.
-* Merge: response fields win over posting fields of the same name; ``metadata`` dropped; a posting
+* Merge: response fields, NULLs too, win over posting fields of the same name; ``metadata`` dropped; a posting
   without a response stays.
 """
 
@@ -114,7 +114,8 @@ def merge_response(base: DataFrame, response: DataFrame, key: str) -> DataFrame:
     fields = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_"))
     one = response.groupBy(key).agg(F.min(fields).alias("_r"))
     merged = split_join(base, one, key, "left")
-    kept = [F.coalesce(F.col("_r")[c], F.col(c)).alias(c) if c in rest else F.col(c) for c in base.columns]
+    there = F.col("_r").isNotNull()  # a NULL field of a response wins too
+    kept = [F.when(there, F.col("_r")[c]).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in base.columns]
     added = [F.col("_r")[c].alias(c) for c in rest if c not in base.columns]
     merged = merged.select(*kept, *added)
     return merged.drop("metadata") if "metadata" in merged.columns else merged

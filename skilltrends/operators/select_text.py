@@ -50,16 +50,23 @@ def passage_blocks(text, k, remainder: str = "keep"):
     return F.flatten(F.transform(block_lines, cut))
 
 
+# Digest of the whole text a passage is of: with the key it names a text, also where rows share a key.
+UNIT = "_unit"
+
+
 def passages(df: DataFrame, key: str = "doc_id", text_col: str = "text", n: int = 5,
-             short_docs: str = "whole", remainder: str = "keep", keep: tuple[str, ...] = ()) -> DataFrame:
+             short_docs: str = "whole", remainder: str = "keep", keep: tuple[str, ...] = (), unit: bool = False) -> DataFrame:
     """(key, pos, passage): non-overlapping runs of k = newlines // n non-empty lines, left to right.
 
     Documents with k = 0 are one passage (``short_docs='whole'``); lines left at the end of a block are a
     last passage (``remainder='keep'``), so no line is lost. ``short_docs='drop'`` and
     ``remainder='drop'`` give the reference's rule, which leaves both out. A NULL text has no passage.
+    ``unit`` adds :data:`UNIT`, so that rows of one key with different texts stay apart.
     """
     if short_docs not in ("whole", "drop") or remainder not in ("keep", "drop"):
         raise ValueError((short_docs, remainder))
+    if unit:
+        df, keep = df.withColumn(UNIT, F.xxhash64(text_col)), (*keep, UNIT)
     staged = df.select(key, *keep, text_col, split_count(text_col, n).alias("_k"))
     blocks = F.when(F.col("_k") > 0, passage_blocks(text_col, "_k", remainder))
     if short_docs == "whole":
@@ -86,8 +93,9 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame, token_col: str = "token") ->
 
 
 def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "passage") -> DataFrame:
-    """(keys..., token, tf): one row per distinct token of each unit, counted inside its row: the tokens
-    are sorted and each run's end less the end before it is the count. No shuffle."""
+    """(keys..., token, tf, first): one row per distinct token of each unit, counted inside its row: the tokens
+    are sorted and each run's end less the end before it is the count. No shuffle. ``first`` marks one token
+    of each row of ``p``, so that a later sum knows how many equal rows it has met."""
     def runs(s):
         ends = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == F.size(s)) | (F.get(s, i) != F.get(s, i - 1)))
         return F.transform(F.array(ends), lambda e: F.zip_with(
@@ -95,7 +103,12 @@ def term_frequencies(p: DataFrame, keys=("doc_id", "pos"), text_col: str = "pass
             lambda end, before: F.struct(F.get(s, end - 1).alias("token"), (end - before).cast("long").alias("tf"))))[0]
 
     counted = F.transform(F.array(F.array_sort(token_array(text_col))), lambda s: F.when(F.size(s) > 0, runs(s)))[0]
-    return p.select(*keys, F.explode(counted).alias("_t")).select(*keys, "_t.token", "_t.tf")
+    return p.select(*keys, F.posexplode(counted).alias("_i", "_t")).select(*keys, "_t.token", "_t.tf", (F.col("_i") == 0).alias("first"))
+
+
+def copies(tf: DataFrame):
+    """How many equal rows a group of (unit, token, tf) rows comes from, as an aggregate."""
+    return F.count_if("first") if "first" in tf.columns else F.lit(1)
 
 
 # The empty string is never a token; its document frequency counts the units.
@@ -120,13 +133,16 @@ def fit_idf(p: DataFrame, text_col: str = "passage") -> DataFrame:
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, keys=("doc_id", "pos")) -> DataFrame:
-    """L2-normalised tf*idf per unit; tokens missing from ``idf`` are ignored."""
+    """L2-normalised tf*idf per unit; tokens missing from ``idf`` are ignored. A unit that comes in several
+    equal rows has its rows as often, each with the unit's own norm."""
     from pyspark.sql import Window
     cols = ["token", "idf"] + (["df"] if "df" in idf.columns else [])
-    w = tf.join(idf.select(*cols), "token", "inner") \
+    w = tf.join(idf.select(*cols), "token", "left") \
           .withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
-    return w.withColumn("weight", F.col("w") / norm)
+    of_unit = Window.partitionBy(*keys)
+    rows = F.count_if("first").over(of_unit) if "first" in tf.columns else F.lit(1)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(of_unit) / rows)
+    return w.withColumn("weight", F.col("w") / norm).where(F.col("w").isNotNull()).drop("first")
 
 
 def linear_scores(tf: DataFrame, idf: DataFrame, coef: DataFrame, intercept: float,
@@ -136,31 +152,39 @@ def linear_scores(tf: DataFrame, idf: DataFrame, coef: DataFrame, intercept: flo
     ``coef`` (token, coef) is the fitted model's weight table; it is joined with a
     broadcast hint only when the caller passes a table of bounded size.
     """
-    w = (tf.join(idf.select("token", "idf"), "token", "inner")
+    w = (tf.join(idf.select("token", "idf"), "token", "left")
          .withColumn("w", F.col("tf") * F.col("idf"))
          .join(coef.select("token", "coef"), "token", "left"))
     agg = w.groupBy(*keys).agg(
         F.sum(F.col("w") * F.col("w")).alias("_ss"),
-        F.sum(F.col("w") * F.coalesce(F.col("coef"), F.lit(0.0))).alias("_dot"))
-    return agg.select(*keys, (F.lit(float(intercept)) + F.col("_dot") / F.sqrt("_ss")).alias("score"))
+        F.sum(F.col("w") * F.coalesce(F.col("coef"), F.lit(0.0))).alias("_dot"), copies(tf).alias("_n"))
+    # of a unit in n equal rows both sums are n times its own; without a known token nothing is added
+    part = F.coalesce(F.col("_dot") / F.col("_n") / F.sqrt(F.col("_ss") / F.col("_n")), F.lit(0.0))
+    return agg.select(*keys, (F.lit(float(intercept)) + part).alias("score"))
 
 
-def assemble(kept: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, split_jd): kept passages in order joined by one space, newline runs squeezed.
+def assemble(kept: DataFrame, key: str = "doc_id", every_row: bool = True) -> DataFrame:
+    """(key, split_jd): kept passages in order joined by one space, newline runs squeezed; with ``every_row`` as often as
+    the text came under its key, else once.
 
     Collects per document only that document's own passages (bounded by its text)."""
-    parts = kept.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "passage"))).alias("_p"))
+    unit = [UNIT] if UNIT in kept.columns else []
+    parts = kept.groupBy(key, *unit).agg(
+        F.array_sort(F.collect_set(F.struct("pos", "passage"))).alias("_p"), F.count(F.lit(1)).alias("_rows"))
     text = F.array_join(F.transform("_p", lambda s: s["passage"]), " ")
-    return (parts.select(key, X.squeeze_newlines(text).alias("split_jd"))
-            .where(F.length("split_jd") > 1))
+    out = parts.select(key, X.squeeze_newlines(text).alias("split_jd"), (F.col("_rows") / F.size("_p")).cast("int").alias("_n")).where(F.length("split_jd") > 1)
+    if every_row:
+        out = out.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    return out.select(key, "split_jd")
 
 
 def scored_passages(p: DataFrame, scores: DataFrame, intercept: float, key: str = "doc_id") -> DataFrame:
     """(key, pos, passage, score): every passage with its score (the intercept when it has no token)."""
-    s = scores.select(F.col(key).alias("_key"), F.col("pos").alias("_pos"), "score")
-    out = p.join(s, p[key].eqNullSafe(F.col("_key")) & (p["pos"] == F.col("_pos")), "left")
-    return out.select(key, "pos", "passage", F.coalesce("score", F.lit(float(intercept))).alias("score"))
+    unit = [UNIT] if UNIT in p.columns else []
+    s = scores.select(F.col(key).alias("_key"), F.col("pos").alias("_pos"), *[F.col(u).alias("_su") for u in unit], "score")
+    on = p[key].eqNullSafe(F.col("_key")) & (p["pos"] == F.col("_pos"))
+    out = p.join(s, on & (p[UNIT] == F.col("_su")) if unit else on, "left")
+    return out.select(key, *unit, "pos", "passage", F.coalesce("score", F.lit(float(intercept))).alias("score"))
 
 
 def relevant(score, threshold: float):
@@ -169,16 +193,18 @@ def relevant(score, threshold: float):
 
 def select_relevant(df: DataFrame, idf: DataFrame | None, coef: DataFrame, intercept: float,
                     threshold: float = 0.5, key: str = "doc_id", text_col: str = "text",
-                    n: int = 5, short_docs: str = "whole", remainder: str = "keep") -> DataFrame:
-    """The whole stage: (key, split_jd) for documents with relevant passages.
+                    n: int = 5, short_docs: str = "whole", remainder: str = "keep", every_row: bool = True) -> DataFrame:
+    """The whole stage: (key, split_jd) for documents with relevant passages, row by row: a repeated row has its
+    result as often (``every_row=False``: once), rows of one key with different texts have their own.
 
     With ``idf=None`` the idf is fitted on the passages being scored.
     """
-    p = passages(df.select(key, text_col), key, text_col, n, short_docs, remainder)
-    tf = term_frequencies(p, (key, "pos"))
+    p = passages(df.select(key, text_col), key, text_col, n, short_docs, remainder, unit=True)
+    keys = (key, UNIT, "pos")
+    tf = term_frequencies(p, keys)
     if idf is None:
         idf = fit_idf(p)
-    s = linear_scores(tf, idf, coef, intercept, (key, "pos"))
+    s = linear_scores(tf, idf, coef, intercept, keys)
     sp = scored_passages(p, s, intercept, key)
-    kept = sp.where(relevant(F.col("score"), threshold)).select(key, "pos", "passage")
-    return assemble(kept, key)
+    kept = sp.where(relevant(F.col("score"), threshold)).select(key, UNIT, "pos", "passage")
+    return assemble(kept, key, every_row)

@@ -91,8 +91,8 @@ def select_stage(postings: DataFrame, coef: DataFrame, intercept: float, thresho
     """Postings with ``split_jd``; those without a relevant passage are dropped."""
     p = postings if RID in postings.columns else with_row_id(postings)
     texts = p.select(RID, F.coalesce("job_description", F.lit("")).alias("_text"))
-    sel = ST.select_relevant(texts, idf, coef, intercept, threshold, key=RID, text_col="_text", n=n)
-    return p.join(sel, RID, "inner")
+    sel = ST.select_relevant(texts, idf, coef, intercept, threshold, key=RID, text_col="_text", n=n, every_row=False)
+    return p.join(sel, RID, "inner")  # equal lines share their id and their passages
 
 
 def extract_stage(selected: DataFrame, dictionary: DataFrame | None = None,
@@ -102,7 +102,7 @@ def extract_stage(selected: DataFrame, dictionary: DataFrame | None = None,
     state bounded by the dictionary), or the answer of ``extractor`` (failed rows carry
     ``result`` instead)."""
     if extractor is not None:
-        answers = EX.extract_with(selected, EX.each(extractor), RID, "split_jd", max_attempts)
+        answers = EX.extract_with(selected.select(RID, "split_jd").dropDuplicates([RID]), EX.each(extractor), RID, "split_jd", max_attempts)
         return selected.join(answers, RID)
     hits = EX.extract_by_dictionary(selected.select(RID, "split_jd"), dictionary, key=RID, text_col="split_jd")
     terms = hits.groupBy(RID).agg(F.array_sort(F.collect_set("term")).alias("_terms"))

@@ -219,21 +219,24 @@ def passage_lemmas(spark, sf_dir):
     return toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
+PASSAGE_KEYS = ("doc_id", ST.UNIT, "pos")
+
+
 def passage_tf_idf(spark, sf_dir):
-    p = doc_passages(spark, sf_dir)
-    return p, ST.term_frequencies(p), ST.fit_idf(p)
+    p = ST.passages(table(spark, sf_dir, "documents").select("doc_id", "text"), unit=True)
+    return p, ST.term_frequencies(p, PASSAGE_KEYS), ST.fit_idf(p)
 
 
 @register
 def tfidf(spark, sf_dir):
     _, tf, idf = passage_tf_idf(spark, sf_dir)
-    w = ST.tfidf(tf, idf)
+    w = ST.tfidf(tf, idf, PASSAGE_KEYS)
     return w.select("doc_id", "pos", "token", "tf", "df", F.round("weight", 6).alias("weight"))
 
 
 def passage_scores(spark, sf_dir):
     p, tf, idf = passage_tf_idf(spark, sf_dir)
-    s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT)
+    s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT, PASSAGE_KEYS)
     scored = ST.scored_passages(p, s, A.RELEVANCE_INTERCEPT)
     return scored.withColumn("relevant", ST.relevant(F.col("score"), A.RELEVANCE_THRESHOLD).cast("int"))
 
