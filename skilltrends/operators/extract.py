@@ -1,7 +1,7 @@
 """Term extraction and merging of extractor responses.
 
-* Dictionary extraction: aliases are tokenised like the texts; the n-grams of each text, as long as the
-  longest alias, meet the alias table; counts per (text, canonical term).
+* Dictionary extraction: aliases are tokenised like the texts and found by an Aho-Corasick automaton over word
+  numbers; counts per (text, canonical term).
 * Pluggable extractor: a Python callable for one text or for a batch of texts, run in Arrow batches over
   (id, text) only, retried up to ``max_attempts``; rows that keep failing carry their error texts in
   ``result`` instead of failing the job.
@@ -11,9 +11,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,39 +29,74 @@ from .joins import split_join
 WORD_RX = r"[\p{L}\p{N}_]++(?:[.][\p{L}\p{N}_]++)*+(?:[+]++|#)?"
 
 
-def words(text_col: str = "text") -> F.Column:
-    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RX), 0)
-
-
-def ngrams(words_col: str, longest: int) -> F.Column:
-    """Runs of 1 to ``longest`` adjacent words joined by one space, from a column holding the word array
-    (staged as a column so the extraction runs once per row, not once per use)."""
-    w = F.col(words_col)
+BLOCK_WORDS = 1_000_000
 
-    def runs(n: int) -> F.Column:
-        at = F.sequence(F.lit(1), F.size(w) - (n - 1))
-        some = F.when(F.size(w) >= n, F.transform(at, lambda i: F.array_join(F.slice(w, i, n), " ")))
-        return F.coalesce(some, F.array().cast("array<string>"))
 
-    return F.concat(w, *[runs(n) for n in range(2, longest + 1)])
+def words(text_col: str = "text") -> F.Column:
+    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RX), 0)
 
 
 def dictionary_frame(spark, aliases: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(R.alias_pairs(aliases), "alias STRING, term STRING")
 
 
-def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_id",
-                          text_col: str = "text") -> DataFrame:
+def alias_blocks(dictionary: DataFrame, block_words: int) -> Iterator[list]:
+    """(words, terms) of the distinct aliases, in lists of about ``block_words`` words."""
+    d = dictionary.select(words("alias").alias("words"), "term").where(F.size("words") > 0)
+    d = measured(d.groupBy("words").agg(F.array_sort(F.collect_set("term")).alias("terms")), "dictionary")
+    total = d.agg(F.sum(F.size("words"))).first()[0] or 0
+    n = max(1, -(-total // block_words))
+    for i in range(n):
+        yield (d if n == 1 else d.where(F.pmod(F.xxhash64("words"), F.lit(n)) == i)).collect()
+
+
+def count_mentions(staged: DataFrame, key: str, aliases: list) -> DataFrame:
+    """(key, term, n) for each row of word lists (``_words``): an Aho-Corasick automaton over word numbers reads
+    each list once, and its failure links give the aliases that end at each word."""
+    schema = T.StructType([staged.schema[key], T.StructField("term", T.StringType()), T.StructField("n", T.LongType())])
+    held = staged.sparkSession.sparkContext.broadcast([(list(r["words"]), list(r["terms"])) for r in aliases])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        if not held.value:
+            return
+        number = {w: i + 1 for i, w in enumerate(sorted({w for ws, _ in held.value for w in ws}))}
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for ws, terms in held.value:
+            automaton.add_word(tuple(number[w] for w in ws), terms)
+        automaton.make_automaton()
+        vocabulary = pa.array(number, pa.string())
+        for batch in batches:
+            place, found, n = [], [], []
+            lists = batch.column("_words")
+            # the word's number, or 0 for a word of no alias
+            ids = pc.fill_null(pc.add(pc.index_in(lists.flatten().cast(pa.string()), value_set=vocabulary), 1), 0).to_pylist()
+            at = 0
+            for i, size in enumerate(pc.fill_null(pc.list_value_length(lists), 0).to_pylist()):
+                count = Counter(t for _, terms in automaton.iter(tuple(ids[at:at + size])) for t in terms) if size else {}
+                at += size
+                place += [i] * len(count)
+                found += count.keys()
+                n += count.values()
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(place, pa.int64())), pa.array(found, pa.string()), pa.array(n, pa.int64())],
+                                             names=[key, "term", "n"])
+
+    return staged.mapInArrow(run, schema)
+
+
+def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_id", text_col: str = "text",
+                          block_words: int = BLOCK_WORDS) -> DataFrame:
     """(key, term, n_mentions). ``dictionary`` is (alias, term); an alias of any number of words matches
-    where its words follow one another. The join is left to the table's measured size: a
-    dictionary is small and is broadcast; a large one is joined by shuffle, where a hot n-gram is split."""
-    d = dictionary.select(words("alias").alias("_w"), "term").where(F.size("_w") > 0)
-    longest = d.agg(F.max(F.size("_w"))).first()[0] or 1
-    d = measured(d.select(F.array_join("_w", " ").alias("alias"), "term"), "dictionary")
+    where its words follow one another, overlaps included; an alias of several terms counts for each. The
+    dictionary goes to the tasks in blocks of about ``block_words`` words, each a broadcast and a pass over
+    the texts; only counts are shuffled, summed per row first."""
     staged = df.select(key, words(text_col).alias("_words"))
-    grams = staged.select(key, F.explode(ngrams("_words", longest)).alias("alias"))
-    hits = grams.join(d, "alias", "inner")
-    return hits.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n_mentions"))
+    hits = None
+    for block in alias_blocks(dictionary, block_words):
+        some = count_mentions(staged, key, block)
+        hits = some if hits is None else hits.unionAll(some)
+    return hits.groupBy(key, "term").agg(F.sum("n").alias("n_mentions"))
 
 
 def each(fn: Callable[[str], list[str]]) -> Callable[[list[str]], list]:

@@ -113,6 +113,14 @@ terms AS (
 )
 SELECT job_key, line_no, pos, term, {sql_first_match('term', A.MAP_RULES)} AS mapped FROM terms"""
 
+ORACLE["rules_large"] = """
+WITH names AS (SELECT lower(p_name) AS name, arg_min(lower(p_type), p_partkey) AS type FROM part GROUP BY ALL),
+t AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN upper(p_name) WHEN 'A' THEN reverse(p_name) ELSE p_name END AS term
+      FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT l_orderkey, l_linenumber, term,
+       coalesce(type, CASE WHEN length(term) BETWEEN 8 AND 11 THEN 'length ' || length(term) ELSE term END) AS mapped
+FROM t LEFT JOIN names ON lower(term) = name"""
+
 ORACLE["skills_view"] = f"""{WITH_VIEW}
 SELECT job_key, tech, job_date, kw FROM jobs_view"""
 

@@ -88,9 +88,8 @@ def resource(spark, name: str) -> str:
 @register
 def rules_words(spark, sf_dir):
     """Removal words read from a word file, applied to every term list."""
-    rows = RF.load_word_patterns(spark, resource(spark, "part_removal_words.txt"))
-    patterns = [r["pattern"] for r in sorted(C.rule_rows(rows))]
-    df = C.remove_terms(A.postings(spark, sf_dir), patterns=patterns)
+    words = RF.load_word_patterns(spark, resource(spark, "part_removal_words.txt"))
+    df = C.remove_terms_by_table(A.postings(spark, sf_dir), words)
     return df.select("job_key", "line_no", joined().alias("techs"))
 
 
@@ -98,14 +97,10 @@ def rules_words(spark, sf_dir):
 def rules_json(spark, sf_dir):
     """Aliases and stop-lists read from JSON files, applied to every term list."""
     def lists(name):
-        out = {}
-        for r in C.rule_rows(RF.load_json_lists(spark, resource(spark, name))):
-            out.setdefault(r["name"], []).append(r["item"])
-        return out
-
-    stop = lists("part_stop_lists.json")
-    df = C.drop_stoplisted(A.postings(spark, sf_dir), exact=stop["exact"], partial=stop["partial"])
-    df = C.alias_terms(df, aliases=lists("part_aliases.json"))
+        return RF.load_json_lists(spark, resource(spark, name))
+
+    df = C.drop_stoplisted_by_table(A.postings(spark, sf_dir), lists("part_stop_lists.json"))
+    df = C.alias_terms_by_table(df, lists("part_aliases.json"))
     return df.select("job_key", "line_no", joined().alias("techs"))
 
 
@@ -119,6 +114,23 @@ def rules_load(spark, sf_dir):
     return out.select("job_key", "line_no", "pos", "term", "mapped")
 
 
+@register
+def rules_large(spark, sf_dir):
+    """A rule table as large as the vocabulary, through the rule index: every part name is a rule that maps it to
+    its type, ranked by part, and rules without a literal (a term's length) come last. Terms are the parts'
+    names as lineitems spell them: upper case on returned lines."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.lower("p_type").alias("type"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    by_name = part.select(F.col("p_partkey").cast("int").alias("rank"), F.concat(F.lit(r"^(the )?"), "p_name", F.lit(r"\b")).alias("pattern"),
+                          F.col("type").alias("replacement"))
+    by_length = spark.range(8, 12).select((F.lit(2_000_000_000) + F.col("id")).cast("int").alias("rank"),
+                                          F.concat(F.lit("^.{"), F.col("id").cast("string"), F.lit("}$")).alias("pattern"),
+                                          F.concat(F.lit("length "), F.col("id").cast("string")).alias("replacement"))
+    name = F.when(F.col("l_returnflag") == "R", F.upper("p_name")).when(F.col("l_returnflag") == "A", F.reverse("p_name")).otherwise(F.col("p_name"))
+    terms = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "l_linenumber", name.alias("term"))
+    return C.map_terms_by_table(terms, by_name.unionAll(by_length)).select("l_orderkey", "l_linenumber", "term", "mapped")
+
+
 # --- the view and its consumers ---------------------------------------------
 
 def skills_view_df(spark, sf_dir):

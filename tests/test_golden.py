@@ -34,7 +34,7 @@ def test_both_vectors_with_rules_loaded_from_files(spark):
     words, maps = S.scratch_path(spark, "t-words"), S.scratch_path(spark, "t-maps")
     RF.stage_text(spark, "skills\nanalyst\n\ndocumentation\nprototyping tools\n", words)
     RF.stage_text(spark, "\n".join(f"{p}, {r}" for p, r in R.MAP_RULES), maps)
-    patterns = [r["pattern"] for r in sorted(C.rule_rows(RF.load_word_patterns(spark, words)))]
+    patterns = [r["pattern"] for r in sorted(C.inline_rows(RF.load_word_patterns(spark, words)))]
     df = one_array(spark, ["excel skills", "powerbi analyst", "documentation guide", "prototype", "test"])
     assert df.select(T.remove_matching("t", patterns)).first()[0] == ["prototype", "test"]
     items = ["ai tech", "gcp", "rgoogleey", "laws", "aws lambda", "ms excel", "excellant", '"ai"', '["ai"]']

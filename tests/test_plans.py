@@ -89,7 +89,7 @@ def test_text_stays_out_of_the_scoring_shuffles(spark):
         assert "Exchange" not in line or "passage" not in line
 
 
-def test_rule_table_above_bound_is_matched_in_chunks(spark):
+def test_rule_table_in_chunks_and_through_the_index(spark, monkeypatch):
     rules = C.rules_frame(spark, A.MAP_RULES)
     terms = spark.createDataFrame([("hot bolt",), ("red widget",), ("new plate",), ("cold gear",)], "term STRING")
     expected = {"hot bolt": "fastener", "red widget": "mechanism", "new plate": "new plate", "cold gear": "thermal"}
@@ -97,9 +97,8 @@ def test_rule_table_above_bound_is_matched_in_chunks(spark):
         out = C.map_terms_by_table(terms, rules, per_case=per_case)
         assert "Join" not in plan(out) and "Exchange" not in plan(out)
         assert {r.term: r.mapped for r in out.collect()} == expected
-    import pytest
-    with pytest.raises(ValueError):
-        C.map_terms_by_table(terms, rules, max_rules=3)
+    monkeypatch.setattr(C.RI, "INLINE", 3)  # a larger table
+    assert {r.term: r.mapped for r in C.map_terms_by_table(terms, rules).collect()} == expected
 
 
 def test_no_query_caps_or_samples_rows(spark):
