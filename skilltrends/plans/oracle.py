@@ -285,6 +285,16 @@ ORACLE["relevance_score"] = f"""WITH {SCORES}
 SELECT doc_id, pos, round(score, 6) AS score, CASE WHEN {RELEVANT} THEN 1 ELSE 0 END AS relevant
 FROM scores"""
 
+ORACLE["relevance_threshold"] = f"""WITH {SCORES},
+best AS (SELECT doc_id, round(max(score), 6) AS score FROM scores GROUP BY doc_id),
+rated AS (SELECT score, quality AS label, sum(quality) OVER () AS n_positive,
+                 sum(quality) OVER (ORDER BY score DESC RANGE UNBOUNDED PRECEDING) AS so_far
+          FROM best JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+cut AS (SELECT max(score) AS threshold FROM rated WHERE 100 * so_far >= 95 * n_positive)
+SELECT threshold, any_value(n_positive)::BIGINT AS n_positive, count(*) AS n_kept,
+       round(sum(label) / any_value(n_positive), 6) AS recall, round(avg(label), 6) AS precision
+FROM rated, cut WHERE score >= threshold GROUP BY threshold"""
+
 ORACLE["relevant_text"] = f"""WITH {SCORES},
 kept AS (SELECT doc_id, pos, passage FROM scores WHERE {RELEVANT}),
 joined AS (

@@ -266,6 +266,15 @@ def relevant_text(spark, sf_dir):
                               A.RELEVANCE_THRESHOLD)
 
 
+@register
+def relevance_threshold(spark, sf_dir):
+    """The decision threshold that keeps 95 % of the documents labelled good, by their best passage's score."""
+    best = passage_scores(spark, sf_dir).groupBy("doc_id").agg(F.round(F.max("score"), 6).alias("score"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    t = QA.threshold_for_recall(best.join(lab, "doc_id"), "score", "quality", 0.95)
+    return t.select("threshold", "n_positive", "n_kept", F.round("recall", 6).alias("recall"), F.round("precision", 6).alias("precision"))
+
+
 @register
 def relevance_train(spark, sf_dir):
     """MLlib classifier trained on labelled documents; saved to and reloaded from shared storage, then

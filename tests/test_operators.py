@@ -134,3 +134,19 @@ def test_relational_scoring_equals_mllib_margin(spark):
     got = {r.doc_id: r.score for r in scores.collect()}
     assert got.keys() == margin.keys()
     assert max(abs(got[k] - margin[k]) for k in got) < 1e-9
+
+
+def test_threshold_for_recall_is_the_highest_that_holds(spark):
+    from skilltrends.operators import quality as QA
+    rng = __import__("random").Random(5)
+    rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(500)] + [(None, 1), (0.5, None)]
+    df = spark.createDataFrame(rows, "s DOUBLE, y INT").repartition(4)
+    rated = [(s, y) for s, y in rows if s is not None and y is not None]
+    n = sum(y for _, y in rated)
+    for recall in (0.0, 0.5, 0.95, 1.0):
+        t = QA.threshold_for_recall(df, "s", "y", recall).first()
+        want = max(c for c, _ in rated if sum(y for s, y in rated if s >= c) >= recall * n)
+        kept = [y for s, y in rated if s >= want]
+        assert (t.threshold, t.n_positive, t.n_kept) == (want, n, len(kept))
+        assert abs(t.recall - sum(kept) / n) < 1e-12 and abs(t.precision - sum(kept) / len(kept)) < 1e-12
+    assert QA.threshold_for_recall(df.filter("y = 0"), "s", "y", 0.9).collect() == []
