@@ -59,13 +59,15 @@ def threshold_for_recall(scored: DataFrame, score_col: str, label_col: str, reca
 
     Counts per score are summed in order of the score by :func:`.planning.running_totals`, over as many tasks as there
     are partitions; rows without a score or label don't count; without a positive row the result is empty."""
+    from ..session import measured
     from .planning import running_totals
     rows = scored.select(F.col(score_col).alias("score"), F.col(label_col).cast("int").alias("label")).where("score IS NOT NULL AND label IN (0, 1)")
+    rows = measured(rows, "scored")  # two numbers a row, read three times
     per = rows.groupBy((-F.col("score")).alias("down")).agg(F.sum(F.col("label").cast("long")).alias("positive"))
     total = per.agg(F.sum("positive")).first()[0] or 0
     found = running_totals(per, "down", "positive", sum_col="so_far", index_col="place")
     # a count of rows is whole, so the share is compared in millionths, without a rounded product
-    enough = (F.col("so_far") * F.lit(1_000_000) >= F.lit(round(recall * 1_000_000)) * F.lit(total)) & F.lit(total > 0)
+    enough = (F.col("so_far") * F.lit(1e6) >= F.lit(float(round(recall * 1_000_000) * total))) & F.lit(total > 0)
     at = found.where(enough).agg((-F.min("down")).alias("threshold")).where("threshold IS NOT NULL")
     kept = rows.join(F.broadcast(at), F.col("score") >= F.col("threshold"))  # one row
     return kept.groupBy("threshold").agg(F.lit(total).cast("long").alias("n_positive"), F.count(F.lit(1)).alias("n_kept"),

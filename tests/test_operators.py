@@ -139,7 +139,7 @@ def test_relational_scoring_equals_mllib_margin(spark):
 def test_threshold_for_recall_is_the_highest_that_holds(spark):
     from skilltrends.operators import quality as QA
     rng = __import__("random").Random(5)
-    rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(500)] + [(None, 1), (0.5, None)]
+    rows = [(round(rng.random(), 2), int(rng.random() < 0.5)) for _ in range(9000)] + [(None, 1), (0.5, None)]
     df = spark.createDataFrame(rows, "s DOUBLE, y INT").repartition(4)
     rated = [(s, y) for s, y in rows if s is not None and y is not None]
     n = sum(y for _, y in rated)
