@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import measured, scratch_path
+from ..session import measured
 
 # Token pattern of the passage vocabulary: runs of 2+ letters/digits/underscore.
 TOKEN_RX = r"[\p{L}\p{N}_]{2,}"
@@ -115,23 +115,27 @@ def copies(tf: DataFrame):
 _UNITS = ""
 
 
-def fit_idf(p: DataFrame, text_col: str = "passage") -> DataFrame:
-    """Fit the idf model: (token, df, idf), smooth idf = ln((1+n)/(1+df)) + 1.
-
-    One aggregation pass counts, per token, the units containing it (and, under the empty token, all
-    units); only tokens are shuffled, partially counted. The model is written below the shared
-    checkpoint folder, so later joins see its measured size."""
+def document_frequencies(p: DataFrame, text_col: str = "passage") -> DataFrame:
+    """(token, df): the units that hold each token and, under the empty token, all units. One aggregation pass;
+    only tokens are shuffled, partially counted."""
     toks = F.array_union(F.array_distinct(token_array(text_col)), F.array(F.lit(_UNITS)))
-    dfreq = p.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    path = scratch_path(p.sparkSession, "idf")
-    dfreq.write.parquet(path)
-    dfreq = p.sparkSession.read.parquet(path)
+    return p.select(F.explode(toks).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+
+def idf_model(dfreq: DataFrame) -> DataFrame:
+    """(token, df, idf) of stored document frequencies, smooth idf = ln((1+n)/(1+df)) + 1."""
     units = dfreq.where(F.col("token") == F.lit(_UNITS)).select("df").first()
     n = int(units[0]) if units else 0
     return (dfreq.where(F.col("token") != F.lit(_UNITS))
             .withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)))
 
 
+def fit_idf(p: DataFrame, text_col: str = "passage") -> DataFrame:
+    """Fit the idf model (token, df, idf). The frequencies are written below the shared checkpoint folder, so later
+    joins see the model's measured size."""
+    return idf_model(measured(document_frequencies(p, text_col), "idf"))
+
+
 def tfidf(tf: DataFrame, idf: DataFrame, keys=("doc_id", "pos")) -> DataFrame:
     """L2-normalised tf*idf per unit; tokens missing from ``idf`` are ignored. A unit that comes in several
     equal rows has its rows as often, each with the unit's own norm."""

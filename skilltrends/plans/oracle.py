@@ -599,3 +599,52 @@ ORACLE["schema_infer"] = """
 WITH parts AS (SELECT split_part(abs(value)::VARCHAR, '.', 1) AS whole, rtrim(split_part(abs(value)::VARCHAR, '.', 2), '0') AS fraction FROM events)
 SELECT 'OBJECT<event_id: BIGINT, event_type: STRING, props: STRING, ts: STRING, user_id: BIGINT, value: DECIMAL('
        || (max(length(whole)) + max(length(fraction))) || ',' || max(length(fraction)) || ')>' AS schema FROM parts"""
+
+_VOTES = f"""{PASSAGES},
+words AS (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(passage), {q(PASSAGE_TOKEN)})) AS token FROM passages) GROUP BY token),
+pairs AS (SELECT w.token, coalesce(s.token, w.token) AS lemma, w.n FROM words w LEFT JOIN words s ON w.token = s.token || 's' WHERE left(md5(w.token), 1) >= '4'),
+votes AS (SELECT right(token, g.len) AS suffix, length(token) - length(lemma) AS strip, sum(n) AS n
+          FROM pairs CROSS JOIN generate_series(0, 5) AS g(len)
+          WHERE g.len >= length(token) - length(lemma) AND g.len <= least(length(token), length(token) - length(lemma) + 4) GROUP BY ALL),
+rules AS (SELECT suffix, arg_min(strip, (-n, strip)) AS strip FROM votes GROUP BY suffix),
+cut AS (SELECT token, g.len, strip FROM words CROSS JOIN generate_series(0, 5) AS g(len) JOIN rules ON right(token, g.len) = suffix
+        WHERE left(md5(token), 1) < '4' AND g.len <= length(token)),
+new AS (SELECT token, arg_max(strip, len) AS strip FROM cut GROUP BY token)"""
+ORACLE["lemma_rules"] = f"""WITH {_VOTES}
+SELECT token, lemma, true AS known FROM pairs
+UNION ALL SELECT token, left(token, length(token) - strip) AS lemma, false AS known FROM new"""
+
+ORACLE["idf_incremental"] = f"""WITH {TFIDF}
+SELECT token, df, round(ln((1.0 + n) / (1.0 + df)) + 1.0, 6) AS idf FROM dfreq CROSS JOIN npass"""
+
+ORACLE["reconcile_rows"] = """
+WITH o AS (SELECT o_orderkey, o_orderkey % 97 = 0 AS lost, o_orderkey % 89 = 0 AS twice, o_orderkey % 83 = 0 AS other FROM orders)
+SELECT o_orderkey, CASE WHEN lost THEN 'lost' WHEN other THEN 'changed' ELSE 'doubled' END AS status, CAST(1 AS BIGINT) AS n_in,
+       CAST(CASE WHEN lost THEN 0 WHEN twice THEN 2 ELSE 1 END AS BIGINT) AS n_out
+FROM o WHERE lost OR twice OR other
+UNION ALL SELECT -o_orderkey - 1, 'added', 0, 1 FROM orders WHERE o_orderkey % 101 = 0"""
+
+_PATHS = """e AS (SELECT CAST(ts AS DATE) AS day, day(ts) AS d, event_type, json_extract(props, '$.k') IS NOT NULL AS has_k FROM events),
+found AS (
+  SELECT day, '$' AS path, 'object' AS kind, 1 AS n FROM e UNION ALL SELECT day, '$.event_id', 'integer', 1 FROM e
+  UNION ALL SELECT day, '$.user', 'object', 1 FROM e UNION ALL SELECT day, '$.user.id', CASE WHEN d >= 20 THEN 'string' ELSE 'integer' END, 1 FROM e
+  UNION ALL SELECT day, '$.user.kind', 'string', 1 FROM e WHERE d >= 10 AND event_type IS NOT NULL
+  UNION ALL SELECT day, '$.tags', 'array', 1 FROM e UNION ALL SELECT day, '$.tags[]', 'object', 2 FROM e
+  UNION ALL SELECT day, '$.tags[].k', 'integer', 2 FROM e WHERE d <> 5 AND has_k
+  UNION ALL SELECT day, '$.tags[][''odd name'']', 'string', 1 FROM e
+  UNION ALL SELECT day, '$.reading', 'object', 1 FROM e WHERE d NOT BETWEEN 15 AND 17
+  UNION ALL SELECT day, '$.reading.unit', 'string', 1 FROM e WHERE d NOT BETWEEN 15 AND 17 AND event_type IS NOT NULL),
+paths AS (SELECT day, path, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kinds, CAST(sum(n) AS BIGINT) AS n FROM found GROUP BY day, path)"""
+ORACLE["schema_paths"] = f"WITH {_PATHS}\nSELECT day, path, kinds, n FROM paths"
+
+# a path has one kind a day here, so the kinds up to a day are the sorted distinct ones before it
+ORACLE["nested_drift"] = f"""WITH {_PATHS},
+days AS (SELECT DISTINCT day FROM e),
+numbered AS (SELECT day, row_number() OVER (ORDER BY day) AS i, lead(day) OVER (ORDER BY day) AS next_day FROM days),
+r AS (SELECT paths.*, i, next_day, lag(i) OVER w AS prev, lead(i) OVER w AS nxt,
+             (SELECT coalesce(string_agg(DISTINCT b.kinds, '|' ORDER BY b.kinds), '') FROM paths b WHERE b.path = paths.path AND b.day < paths.day) AS known,
+             (SELECT string_agg(DISTINCT b.kinds, '|' ORDER BY b.kinds) FROM paths b WHERE b.path = paths.path AND b.day <= paths.day) AS so_far
+      FROM paths JOIN numbered USING (day) WINDOW w AS (PARTITION BY path ORDER BY i))
+SELECT path, 'new' AS status, day AS first_day, '' AS before, kinds AS after FROM r WHERE prev IS NULL AND i > 1
+UNION ALL SELECT path, 'changed', day, known, kinds FROM r WHERE known <> '' AND NOT list_contains(string_split(known, '|'), kinds)
+UNION ALL SELECT path, 'missing', next_day, so_far, '' FROM r WHERE next_day IS NOT NULL AND (nxt IS NULL OR nxt > i + 1)"""

@@ -15,13 +15,17 @@ from .. import session as S
 from ..functions import text as X
 from ..operators import clean as C
 from ..operators import extract as EX
+from ..operators import idf_state as IS
+from ..operators import lemma_rules as LR
 from ..operators import normalize as NZ
 from ..operators import pages as PG
 from ..operators import planning as PL
 from ..operators import quality as QA
+from ..operators import row_audit as RA
 from ..operators import select_text as ST
 from ..operators import views as V
 from ..schemas import CORRUPT_COL, EVENT
+from ..sources import drift as DR
 from ..sources import jsonl as J
 from ..sources import rulefiles as RF
 from ..sources import sinks as SK
@@ -231,6 +235,16 @@ def passage_lemmas(spark, sf_dir):
     return toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register
+def lemma_rules(spark, sf_dir):
+    """A lemma for every word of the descriptions: three quarters of them come from a table, the others by the suffix rules
+    learned from it. The table's lemma of a word in s is the word without it, where that is a word of the texts too."""
+    words = S.measured(ST.passage_tokens(doc_passages(spark, sf_dir)).groupBy("token").agg(F.count(F.lit(1)).alias("n")), "words")
+    short = words.select(F.concat("token", F.lit("s")).alias("token"), F.col("token").alias("base"))
+    pairs = words.join(short, "token", "left").select("token", F.coalesce("base", "token").alias("lemma"), "n")
+    return LR.complete_lemmas(words, pairs.where(F.left(F.md5(F.encode("token", "UTF-8")), F.lit(1)) >= "4"))
+
+
 PASSAGE_KEYS = ("doc_id", ST.UNIT, "pos")
 
 
@@ -246,6 +260,18 @@ def tfidf(spark, sf_dir):
     return w.select("doc_id", "pos", "token", "tf", "df", F.round("weight", 6).alias("weight"))
 
 
+@register
+def idf_incremental(spark, sf_dir):
+    """The idf model kept as a state: documents come in three deliveries, one of them first without its last ten
+    characters a text and then again as it is."""
+    state = S.scratch_path(spark, "idf-state")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = d.withColumn("text", F.expr("left(text, greatest(length(text) - 10, 0))"))
+    for part, texts in ((0, d), (1, cut), (2, d), (1, d)):
+        IS.deliver(spark, state, f"part-{part}", ST.passages(texts.where(F.col("doc_id") % 3 == part)))
+    return IS.current_idf(spark, state).select("token", "df", F.round("idf", 6).alias("idf"))
+
+
 def passage_scores(spark, sf_dir):
     p, tf, idf = passage_tf_idf(spark, sf_dir)
     s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT, PASSAGE_KEYS)
@@ -460,6 +486,17 @@ def reconcile(spark, sf_dir):
     return QA.reconcile(d, d.join(lab, "doc_id", "left_semi"), "source")
 
 
+@register
+def reconcile_rows(spark, sf_dir):
+    """Orders against a copy with lost, doubled, changed and added rows: each of them is named."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    key = F.col("o_orderkey")
+    price = F.when(key % 83 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    out = o.where(key % 97 != 0).withColumn("o_totalprice", price)
+    out = out.unionAll(out.where(key % 89 == 0)).unionAll(o.where(key % 101 == 0).withColumn("o_orderkey", -key - 1))
+    return RA.reconcile_rows(o, out, ["o_orderkey"])
+
+
 @register
 def run_status(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id")
@@ -677,3 +714,31 @@ def schema_diff(spark, sf_dir):
     lines = spark.read.option("recursiveFileLookup", "true").text(land_events(spark, sf_dir))
     declared = _parse_datatype_string("event_id BIGINT, ts TIMESTAMP_NTZ, user_id INT, event_type BIGINT, props STRING, k INT")
     return J.schema_diff(lines, "value", declared)
+
+
+def nested_events(spark, sf_dir):
+    """(day, value): events as nested JSON whose shape drifts over a month: ``user.kind`` comes on the 10th, ``reading`` is away
+    from the 15th to the 17th, ``user.id`` is a text from the 20th on, ``tags[].k`` is null on the 5th."""
+    e = table(spark, sf_dir, "events")
+    d, k = F.dayofmonth("ts"), F.get_json_object("props", "$.k").cast("long")
+    tags = F.array(F.struct(F.when(d != 5, k).alias("k"), F.lit("a b").alias("odd name")), F.struct(F.when(d != 5, k + 1).alias("k"), F.lit(None).cast("string").alias("odd name")))
+    kind = F.when(d >= 10, F.col("event_type")).alias("kind")
+    reading = F.when(~d.between(15, 17), F.struct(F.col("event_type").alias("unit"))).alias("reading")
+
+    def line(user_id):
+        return F.to_json(F.struct("event_id", F.struct(user_id.alias("id"), kind).alias("user"), tags.alias("tags"), reading))
+
+    return e.select(F.to_date("ts").alias("day"), F.when(d >= 20, line(F.col("user_id").cast("string"))).otherwise(line(F.col("user_id"))).alias("value"))
+
+
+@register
+def schema_paths(spark, sf_dir):
+    """Kinds and number of values of every path of the nested lines, a day."""
+    states = DR.path_states(nested_events(spark, sf_dir), "value", "day")
+    return states.select("day", "path", DR.kind_names("kinds").alias("kinds"), "n")
+
+
+@register
+def nested_drift(spark, sf_dir):
+    """New, missing and changed paths of the nested lines, each with its first day."""
+    return DR.drift_report(DR.path_states(nested_events(spark, sf_dir), "value", "day"), "day")
