@@ -24,6 +24,7 @@ from .. import rules as R
 from .. import session as S
 from ..operators import clean as C
 from ..operators import extract as EX
+from ..operators import pages as PG
 from ..operators import select_text as ST
 from ..operators import views as V
 from ..functions import text as X
@@ -35,9 +36,9 @@ from ..streaming import ingest as IN
 
 RID = "_rid"
 
-# FIXED VALUE (set by the site): the data blob of a job page, the object assigned to the page's
-# initial-data variable.
-JOB_PAGE_BLOB_RX = r"_initialData=(\{.+?\});"
+# FIXED VALUE (set by the site): what stands before the data blob of a job page, the object assigned to the
+# page's initial-data variable.
+JOB_PAGE_BLOB_MARKER = "_initialData="
 
 
 def with_row_id(postings: DataFrame) -> DataFrame:
@@ -62,9 +63,9 @@ def collect_stage(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame,
     header is missing); the description HTML becomes text. Every posting then carries
     the sorted union of the keywords it was found under. A page without a parsable blob
     is quarantined with its error instead of failing the run."""
-    raw = F.nullif(F.regexp_extract(F.col(html_col), JOB_PAGE_BLOB_RX, 1), F.lit(""))
+    raw = PG.object_after(html_col, JOB_PAGE_BLOB_MARKER)
     # a permissive from_json gives a struct of NULLs for broken JSON, so validity is tested on its own
-    valid = F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
+    valid = F.coalesce(F.schema_of_variant(F.try_parse_json("_raw")).startswith("OBJECT"), F.lit(False))
     parsed = pages.withColumn("_raw", raw).withColumn("_valid", valid).withColumn("_blob", F.from_json("_raw", JOB_PAGE_BLOB))
     reason = F.when(F.col("_raw").isNull(), "no data blob in page").otherwise("data blob is not a JSON object")
     bad = parsed.where(~F.col("_valid")).withColumn("result", F.array(reason)).drop("_blob", "_raw", "_valid")

@@ -572,7 +572,7 @@ good AS (SELECT *, (o_orderkey % 1000)::VARCHAR AS job_key FROM pages_in WHERE N
 kws AS (SELECT job_key, array_to_string(list_sort(list(DISTINCT lower(o_orderpriority))), '|') AS keywords FROM good GROUP BY job_key)"""
 ORACLE["page_postings"] = f"""WITH {_PAGES}
 SELECT job_key, o_orderkey::INTEGER AS position, keywords, lower(o_orderpriority) || ' caf\u00e9' AS job_title,
-       'clerk ' || o_custkey AS company, 'Status \u2014 ' || o_orderstatus || ' it\u2019s \u00e9' AS job_description,
+       'clerk ' || o_custkey AS company, 'Status \u2014 ' || o_orderstatus || ' it\u2019s \u00e9 \\ {{"}};' AS job_description,
        CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 2000 * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2080 END END AS salary_min,
        CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 1000 * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2080 END END AS salary_max,
        CASE WHEN o_orderkey % 3 <> 0 THEN 'YEARLY' END AS salary_type, 0 AS salary_estimated_flag

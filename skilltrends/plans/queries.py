@@ -641,7 +641,7 @@ def job_pages(spark, sf_dir):
                    F.when(F.col("o_orderstatus") == "F", "YEARLY").otherwise("HOURLY").alias("salaryType"))
     header = F.struct(F.concat(F.lit(" Clerk "), F.col("o_custkey").cast("string")).alias("companyName"),
                       F.concat(F.col("o_orderpriority"), F.lit(" Caf\u00e9 ")).alias("jobTitle"))
-    text = F.concat(F.lit("<p>Status &mdash; "), F.col("o_orderstatus"), F.lit("</p><br><br>it&#8217;s &eacute;"))
+    text = F.concat(F.lit("<p>Status &mdash; "), F.col("o_orderstatus"), F.lit('</p><br><br>it&#8217;s &eacute; \\ {"};'))
     blob = F.to_json(F.struct(
         F.struct(F.struct(text.alias("sanitizedJobDescription"), header.alias("jobInfoHeaderModel")).alias("jobInfoModel")).alias("jobInfoWrapperModel"),
         F.when(F.col("o_orderkey") % 3 != 0, pay).alias("salaryInfoModel")))
