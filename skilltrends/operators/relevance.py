@@ -66,7 +66,7 @@ def columns_of(tokens: DataFrame, width: int = 1 << 18) -> DataFrame:
     """(token, column): the hashed column of each token of a (token) table of distinct tokens."""
     tf = HashingTF(inputCol="_t", outputCol="_v", numFeatures=width)
     hashed = tf.transform(tokens.select("token", F.array("token").alias("_t")))
-    place = F.array_position(vector_to_array("_v"), F.lit(1.0)) - F.lit(1)
+    place = F.regexp_extract(F.col("_v").cast("string"), r"\[(\d+)\]", 1)  # (width,[column],[1.0])
     return hashed.select("token", place.cast("int").alias("column"))
 
 
