@@ -138,6 +138,10 @@ SELECT tech, job_date, n_postings,
        lag(job_date) OVER (PARTITION BY tech ORDER BY job_date) AS prev_date
 FROM daily"""
 
+# deliveries that replace days leave the counts of the whole
+ORACLE["demand_incremental"] = ORACLE["demand_by_keyword"]
+ORACLE["trend_incremental"] = ORACLE["demand_trend"]
+
 ORACLE["top_terms"] = f"""{WITH_VIEW},
 counts AS (SELECT kw, tech, count(DISTINCT job_key) AS n_postings FROM jobs_view GROUP BY kw, tech),
 ranked AS (

@@ -15,6 +15,7 @@ from .. import session as S
 from ..functions import text as X
 from ..operators import clean as C
 from ..operators import extract as EX
+from ..operators import demand_state as DS
 from ..operators import idf_state as IS
 from ..operators import lemma_rules as LR
 from ..operators import normalize as NZ
@@ -163,6 +164,27 @@ def demand_trend(spark, sf_dir):
     return V.demand_trend(clean_layer(spark, sf_dir), A.keywords(spark, sf_dir))
 
 
+def demand_words(spark, sf_dir):
+    """The demand state of the postings, that come in three deliveries of whole days, the second of them first without
+    every posting's first line and then as it is."""
+    state, p, kw = S.scratch_path(spark, "demand-state"), clean_layer(spark, sf_dir), A.keywords(spark, sf_dir)
+    for part, rows in ((0, p), (1, p.where("line_no > 1")), (2, p), (1, p)):
+        DS.deliver(spark, state, V.jobs_view(rows.where((F.col("year") * 12 + F.col("month")) % 3 == part), kw))
+    return DS.partials(spark, state)
+
+
+@register
+def demand_incremental(spark, sf_dir):
+    """``demand_by_keyword`` from days' bitmaps, after a delivery that came again."""
+    return DS.demand(demand_words(spark, sf_dir))
+
+
+@register
+def trend_incremental(spark, sf_dir):
+    """``demand_trend`` from days' bitmaps, after a delivery that came again."""
+    return DS.trend(demand_words(spark, sf_dir))
+
+
 @register
 def top_terms(spark, sf_dir):
     return V.top_terms(skills_view_df(spark, sf_dir), k=3)
