@@ -1,8 +1,8 @@
 """Demand counts kept as a state: exact distinct postings of any range of days, without the postings.
 
-Every posting key gets a number when it first comes, neighbours for the keys of one delivery. A day's partial holds, for each
-keyword and term, the numbers of its postings as 64-bit words of a bitmap, only the words with a bit (a row per word: a
-(keyword, term) that few postings have costs few rows, a common one a bit a posting). Words are merged with ``bit_or`` and
+Every posting key gets a number when it first comes: the delivery (``batch``) and a number inside it, counted up in each task.
+A day's partial holds, for each keyword and term, the numbers of its postings as 64-bit words of a bitmap, only the words with
+a bit (a row per word: a (keyword, term) that few postings have costs few rows, a common one a bit a posting). Words are merged with ``bit_or`` and
 counted with ``bit_count``, so a posting that several days hold counts once in their union, in any order and grouping.
 
 A delivery replaces the days that it brings; no other day is computed again. The folders of words and of new numbers are immutable,
@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 
 from ..session import measured
 from ..sources import versioned as VS
-from .planning import running_totals
 
 BITS = 64
-WORDS = "job_date DATE, kw STRING, tech STRING, word BIGINT, bits BIGINT"
-#: Paths of the log's entries: a folder of new numbers (``size``: how many), the folder of a day's words.
+WORDS = "job_date DATE, kw STRING, tech STRING, batch INT, word BIGINT, bits BIGINT"
+#: Paths of the log's entries: a folder of new numbers, the folder of a day's words.
 NUMBERS, DAY, NO_DAY = "numbers/", "day/", "none"
 
 
@@ -33,8 +32,8 @@ def day_name(date) -> Column:
     return F.coalesce(F.col(date).cast("string"), F.lit(NO_DAY))
 
 
-def _entry(path: str, folder: str | None, size: int = 0) -> dict:
-    return {"path": path, "mtime": 0, "size": size, "key": path, "number": "0", "files": [folder] if folder else []}
+def _entry(path: str, folder: str) -> dict:
+    return {"path": path, "mtime": 0, "size": 0, "key": path, "number": "0", "files": [folder]}
 
 
 def deliver(spark: SparkSession, state: str, view: DataFrame, key: str = "job_key", days: DataFrame | None = None) -> int:
@@ -43,8 +42,8 @@ def deliver(spark: SparkSession, state: str, view: DataFrame, key: str = "job_ke
 
     Raises :class:`~..sources.versioned.CommitConflict` where another writer committed meanwhile; the call can then be repeated."""
     version = VS.last_version(spark, state)
-    known = VS.state(spark, state, version).where(F.col("path").startswith(NUMBERS)).select("size", F.col("files")[0].alias("f")).collect()
-    schema = f"k {view.schema[key].dataType.simpleString()}, id BIGINT"
+    known = VS.state(spark, state, version).where(F.col("path").startswith(NUMBERS)).select(F.col("files")[0]).collect()
+    schema = f"k {view.schema[key].dataType.simpleString()}, batch INT, id BIGINT"
     # read twice, for its keys and for its bits
     rows = measured(view.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), "job_date", "kw", "tech"), "delivered")
     keys = rows.select("k").distinct()
@@ -53,25 +52,24 @@ def deliver(spark: SparkSession, state: str, view: DataFrame, key: str = "job_ke
     def numbers(folders: list[str]) -> DataFrame:
         return spark.read.schema(schema).parquet(*[f"{state}/data/{f}" for f in folders])
 
-    if known:
-        keys = keys.join(numbers([r.f for r in known]), "k", "left_anti")
-    first = sum(r.size for r in known)
-    (running_totals(keys.withColumn("one", F.lit(1)), "k", "one", index_col="i")
-     .select("k", (F.col("i") + first).alias("id")).write.parquet(f"{state}/data/{new}"))
-    placed = rows.join(numbers([*[r.f for r in known], new]), "k")
-    (placed.groupBy("job_date", "kw", "tech", F.expr(f"id div {BITS}").alias("word"))
+    folders = [r[0] for r in known]
+    if folders:
+        keys = keys.join(numbers(folders), "k", "left_anti")
+    # the numbers are whatever the written files hold: a task that runs again writes its file anew
+    keys.select("k", F.lit(version + 1).alias("batch"), F.monotonically_increasing_id().alias("id")).write.parquet(f"{state}/data/{new}")
+    placed = rows.join(numbers([*folders, new]), "k")
+    (placed.groupBy("job_date", "kw", "tech", "batch", F.expr(f"id div {BITS}").alias("word"))
      .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(id % {BITS} AS INT))")).alias("bits"))
      .sortWithinPartitions("job_date").write.parquet(f"{state}/data/{words}"))
     held = spark.read.schema(WORDS).parquet(f"{state}/data/{words}").select(day_name("job_date").alias("d"))
     if days is not None:
         held = held.unionAll(days.select(day_name("job_date")))
     brought = [r.d for r in held.distinct().collect()]  # a row a calendar day
-    made = numbers([new]).count()
-    return VS.write_commit(spark, state, version + 1, [*[_entry(DAY + d, words) for d in brought], _entry(NUMBERS + new, new, made)])
+    return VS.write_commit(spark, state, version + 1, [*[_entry(DAY + d, words) for d in brought], _entry(NUMBERS + new, new)])
 
 
 def partials(spark: SparkSession, state: str, first=None, last=None, version: int | None = None) -> DataFrame:
-    """The words (job_date, kw, tech, word, bits) of the days that stand, from ``first`` to ``last`` (dates, each may be left out)."""
+    """The words (job_date, kw, tech, batch, word, bits) of the days that stand, from ``first`` to ``last`` (dates, each may be left out)."""
     days = VS.state(spark, state, version).where(F.col("path").startswith(DAY)).select(
         F.substring("path", len(DAY) + 1, 32).alias("day"), F.col("files")[0].alias("folder"))
     inside = F.lit(True)
@@ -90,7 +88,7 @@ def partials(spark: SparkSession, state: str, first=None, last=None, version: in
 
 def count_postings(words: DataFrame, *by: str) -> DataFrame:
     """(by, n_postings): distinct postings of each group, over all the days in ``words``."""
-    merged = words.groupBy(*by, "word").agg(F.bit_or("bits").alias("bits"))
+    merged = words.groupBy(*by, "batch", "word").agg(F.bit_or("bits").alias("bits"))
     return merged.groupBy(*by).agg(F.sum(F.bit_count("bits").cast("long")).alias("n_postings"))
 
 

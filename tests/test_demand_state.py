@@ -64,7 +64,8 @@ def test_common_terms_need_a_bit_a_posting(spark):
     DS.deliver(spark, state, frame(spark, [(f"{i:05d}", "a", 1, "x") for i in range(3000, 6401)]))
     words = DS.partials(spark, state)
     assert counts(DS.demand(words)) == {("x", "a"): 6401}
-    assert words.where("job_date = '2024-01-01'").count() == 100
+    tasks = words.where("job_date = '2024-01-01'").select(F.shiftright("word", 27)).distinct().count()
+    assert words.where("job_date = '2024-01-01'").count() <= 100 + tasks
 
 
 def test_an_empty_delivery_empties_its_days_and_leaves_others(spark):
@@ -89,7 +90,7 @@ def test_only_the_delivered_days_are_written(spark):
     assert {r.job_date for r in DS.touched_days(view, keys).collect()} == {day(4), day(7)}
 
 
-def test_a_second_writer_gets_a_conflict_and_numbers_stay_unique(spark, monkeypatch):
+def test_a_second_writer_gets_a_conflict_and_keys_keep_one_number(spark, monkeypatch):
     state = scratch_path(spark, "demand-race")
     DS.deliver(spark, state, frame(spark, [("j", "a", 0, "x")]))
     monkeypatch.setattr(VS, "last_version", lambda *_: 0)
