@@ -52,7 +52,8 @@ def path_of(url: Column) -> Column:
 
 class Trie:
     """Nested dictionaries: host labels from the last to the first, under PATH the path segments, under
-    RULES the rules that end here as (front of the next segment, verdict, name), the longest front first."""
+    RULES the rules that end here: by length, the longest first, {front of the next segment: (verdict, name)}. A
+    segment looks up its own fronts, one of each length that rules have, however many rules there are."""
 
     PATH, RULES = 0, 1  # no string equals a number
 
@@ -66,13 +67,15 @@ class Trie:
             node = node.setdefault(self.PATH, {})
             for s in segments:
                 node = node.setdefault(s, {})
-            node.setdefault(self.RULES, []).append((front, verdict, host + path))
+            fronts = node.setdefault(self.RULES, {}).setdefault(len(front), {})
+            if verdict == "block" or front not in fronts:
+                fronts[front] = (verdict, host + path)
         nodes = [self.root]
         while nodes:
             node = nodes.pop()
             nodes.extend(v for k, v in node.items() if k != self.RULES)
             if self.RULES in node:
-                node[self.RULES].sort(key=lambda r: (-len(r[0]), r[1] != "block"))
+                node[self.RULES] = dict(sorted(node[self.RULES].items(), reverse=True))
 
     def find(self, host: str, path: str) -> tuple[int, int, str, str] | None:
         """(host labels, path length, verdict, rule) of the longest rule that fits."""
@@ -88,9 +91,10 @@ class Trie:
             for s in segments:
                 if node is None:
                     break
-                for front, verdict, name in node.get(self.RULES, ()):
-                    if s.startswith(front):
-                        best = (depth, length + len(front), verdict, name)
+                for n, fronts in node.get(self.RULES, {}).items():
+                    rule = fronts.get(s[:n]) if n <= len(s) else None
+                    if rule:
+                        best = (depth, length + n, *rule)
                         break
                 node, length = node.get(s), length + len(s) + 1
             if best:

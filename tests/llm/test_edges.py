@@ -1,5 +1,8 @@
 """Nulls, blank and long texts, ties, repeated rows, clashing columns and empty tables."""
 
+import random
+import time
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +139,39 @@ def test_urls(spark):
     one_by_one = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(df, block_rules=1).collect()}
     assert one_by_one == got
     assert url_filter.filter_urls(df.limit(0)).count() == 0
+
+
+def brute_rule(host, path, rules):
+    """The longest rule that fits, by trying each: more host labels, then the longer path, then block."""
+    fits = [(len(h.split(".")) if h else 0, len(p), v, h + p) for v, h, p in rules
+            if (not h or host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, default=None)
+
+
+def test_random_rules_equal_trying_each(spark):
+    rng = random.Random(5)
+    hosts = ["", "com", "a.com", "b.a.com", "org", "x.org"]
+    rules = list({(h, p): (rng.choice(["allow", "block"]), h, p) for h in hosts for p in
+                  ("/" + "".join(rng.choices("ab/", k=rng.randrange(5))) for _ in range(25))}.values())
+    rules += [("block", "com", "/ab"), ("allow", "com", "/ab"), ("allow", "org", ""), ("block", "org", "")]
+    urls = [f"http://{rng.choice(['', 'c.'])}{rng.choice(hosts[1:])}{rng.choice(['', '/'])}{''.join(rng.choices('ab/', k=rng.randrange(8)))}" for _ in range(400)]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    for block in (url_filter.BLOCK_RULES, 7):
+        for r in url_filter.filter_urls(df, rules, block_rules=block).collect():
+            want = brute_rule(r["host"], r["path"], rules)
+            assert (r["rule"], r["verdict"]) == ((want[3], want[2]) if want else (None, "allow"))
+
+
+def test_many_rules_of_one_host_and_very_long_urls(spark):
+    rules = [("block", "shop.net", f"/item{i}") for i in range(100_000)] + [("allow", "shop.net", "/item1/ok")]
+    urls = [f"http://shop.net/item{i}x" for i in range(3000)] + ["http://shop.net/" + "i" * 1_000_000, "http://shop.net/item7" + "/a" * 500_000,
+                                                                 "http://" + "a." * 200_000 + "shop.net/item5", "http://shop.net/item1/okay"]
+    ids = [None, *[7] * 10, *range(len(urls) - 11)]
+    df = spark.createDataFrame(list(zip(ids, urls)), "page_id long, url string")
+    df = df.unionAll(df.limit(50))
+    began = time.perf_counter()
+    got = [(r["page_id"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(df, rules, carry=["page_id"]).collect()]
+    assert time.perf_counter() - began < 30
+    assert len(got) == len(urls) + 50 and sum(i is None for i, _, _ in got) == 2
+    assert sorted(r for _, r, _ in got if r)[:2] == ["shop.net/item0"] * 2 and sum(v == "block" for _, _, v in got) == 3000 + 50 + 2
+    assert [(r, v) for _, r, v in got[len(urls) - 4:len(urls)]] == [(None, "allow"), ("shop.net/item7", "block"), ("shop.net/item5", "block"), ("shop.net/item1/ok", "allow")]
