@@ -246,9 +246,9 @@ def search_batch(texts: pa.Array, phrases: Phrases) -> dict[str, pa.Array]:
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
-    """Items in blocks of about ``block_bytes`` of text, and how many blocks."""
+    """Different items in blocks of about ``block_bytes`` of text, and how many blocks."""
     items = benchmark.select(F.coalesce(col(id_col).cast("string"), F.lit("null")).alias("k"),
-                             F.coalesce(col(text_col), F.lit("")).alias("t"))
+                             F.coalesce(col(text_col), F.lit("")).alias("t")).distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     blocks = (items if n == 1 else items.filter(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i) for i in range(n))

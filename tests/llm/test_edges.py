@@ -175,3 +175,13 @@ def test_many_rules_of_one_host_and_very_long_urls(spark):
     assert len(got) == len(urls) + 50 and sum(i is None for i, _, _ in got) == 2
     assert sorted(r for _, r, _ in got if r)[:2] == ["shop.net/item0"] * 2 and sum(v == "block" for _, _, v in got) == 3000 + 50 + 2
     assert [(r, v) for _, r, v in got[len(urls) - 4:len(urls)]] == [(None, "allow"), ("shop.net/item7", "block"), ("shop.net/item5", "block"), ("shop.net/item1/ok", "allow")]
+
+
+def test_repeated_benchmark_rows_are_one_item_of_a_block(spark, benchmark):
+    many = benchmark.unionAll(spark.range(5000).selectExpr("1L AS item_id", "'Long TEXT long' AS text"))
+    n, blocks = decontaminate.blocks_of(many, "item_id", "text", 60)
+    items = [i for block in blocks for i in block]
+    assert n < 4 and len(items) == len(set(items)) == benchmark.distinct().count()
+    df = spark.createDataFrame([(1, "a long text long text"), (2, "none of it")], "doc_id long, text string")
+    results = [sorted((r["doc_id"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in decontaminate.find_contamination(df, b).collect()) for b in (benchmark, many)]
+    assert results[0] == results[1]
