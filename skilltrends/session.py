@@ -8,10 +8,15 @@ Tests and the benchmark set a folder of their own where the setting is absent.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
+#: Scratch paths made in the innermost open scope; None outside of any.
+_MADE: ContextVar[list[str] | None] = ContextVar("scratch paths", default=None)
 
 
 def build_session(master: str | None = None, app: str = "skilltrends",
@@ -83,7 +88,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path below the checkpoint folder (not created here)."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the scratch tables that the block makes when it ends, also by an error. A result that reads them has to be
+    written elsewhere or collected inside the block. Gives the list of their paths. A scope inside another removes its own; other
+    threads' tables are not touched. A run that is killed leaves its tables, all below the checkpoint folder."""
+    from .sources.versioned import hadoop_path
+
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            fs, p = hadoop_path(spark, path)
+            fs.delete(p, True)
 
 
 def measured(df: DataFrame, name: str) -> DataFrame:
