@@ -50,32 +50,41 @@ def alias_blocks(dictionary: DataFrame, block_words: int) -> Iterator[list]:
         yield (d if n == 1 else d.where(F.pmod(F.xxhash64("words"), F.lit(n)) == i)).collect()
 
 
+def mention_counter(aliases: list) -> Callable[[pa.Array], Iterator[Counter]]:
+    """For an array of word lists, each list's mentions by term: an Aho-Corasick automaton over word numbers reads each list
+    once, and its failure links give the aliases that end at each word."""
+    import ahocorasick
+
+    number = {w: i + 1 for i, w in enumerate(sorted({w for ws, _ in aliases for w in ws}))}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for ws, terms in aliases:
+        automaton.add_word(tuple(number[w] for w in ws), terms)
+    automaton.make_automaton()
+    vocabulary = pa.array(number, pa.string())
+
+    def counts(lists: pa.Array) -> Iterator[Counter]:
+        # the word's number, or 0 for a word of no alias
+        ids = pc.fill_null(pc.add(pc.index_in(lists.flatten().cast(pa.string()), value_set=vocabulary), 1), 0).to_pylist()
+        at = 0
+        for size in pc.fill_null(pc.list_value_length(lists), 0).to_pylist():
+            yield Counter(t for _, terms in automaton.iter(tuple(ids[at:at + size])) for t in terms) if size else Counter()
+            at += size
+
+    return counts
+
+
 def count_mentions(staged: DataFrame, key: str, aliases: list) -> DataFrame:
-    """(key, term, n) for each row of word lists (``_words``): an Aho-Corasick automaton over word numbers reads
-    each list once, and its failure links give the aliases that end at each word."""
+    """(key, term, n) for each row of word lists (``_words``), by :func:`mention_counter`."""
     schema = T.StructType([staged.schema[key], T.StructField("term", T.StringType()), T.StructField("n", T.LongType())])
     held = staged.sparkSession.sparkContext.broadcast([(list(r["words"]), list(r["terms"])) for r in aliases])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
         if not held.value:
             return
-        number = {w: i + 1 for i, w in enumerate(sorted({w for ws, _ in held.value for w in ws}))}
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for ws, terms in held.value:
-            automaton.add_word(tuple(number[w] for w in ws), terms)
-        automaton.make_automaton()
-        vocabulary = pa.array(number, pa.string())
+        counts = mention_counter(held.value)
         for batch in batches:
             place, found, n = [], [], []
-            lists = batch.column("_words")
-            # the word's number, or 0 for a word of no alias
-            ids = pc.fill_null(pc.add(pc.index_in(lists.flatten().cast(pa.string()), value_set=vocabulary), 1), 0).to_pylist()
-            at = 0
-            for i, size in enumerate(pc.fill_null(pc.list_value_length(lists), 0).to_pylist()):
-                count = Counter(t for _, terms in automaton.iter(tuple(ids[at:at + size])) for t in terms) if size else {}
-                at += size
+            for i, count in enumerate(counts(batch.column("_words"))):
                 place += [i] * len(count)
                 found += count.keys()
                 n += count.values()
@@ -99,6 +108,27 @@ def extract_by_dictionary(df: DataFrame, dictionary: DataFrame, key: str = "doc_
     return hits.groupBy(key, "term").agg(F.sum("n").alias("n_mentions"))
 
 
+def with_dictionary_terms(df: DataFrame, dictionary: DataFrame, text_col: str = "text", out_col: str = "terms",
+                          block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Add the sorted distinct terms of :func:`extract_by_dictionary` to each row, inside the row: no key, no shuffle. Only the
+    words go to Python; the dictionary goes there in blocks."""
+    def finder(block: list):
+        held = df.sparkSession.sparkContext.broadcast([(list(r["words"]), list(r["terms"])) for r in block])
+
+        def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            counts = mention_counter(held.value) if held.value else None
+            for lists in batches:
+                yield pa.array([list(c) for c in counts(lists)] if counts else [[]] * len(lists), pa.list_(pa.string()))
+
+        find.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        # marked so that the planner neither repeats the call nor moves it into a later lambda
+        return F.arrow_udf(find, T.ArrayType(T.StringType())).asNondeterministic()
+
+    staged = df.withColumn("_words", words(text_col))
+    found = [finder(block)("_words") for block in alias_blocks(dictionary, block_words)]
+    return staged.withColumn(out_col, F.array_sort(F.array_distinct(F.concat(*found)))).drop("_words")
+
+
 def each(fn: Callable[[str], list[str]]) -> Callable[[list[str]], list]:
     """A batch extractor from one for single texts; a text that raises gives the exception itself."""
     def batch(texts: list[str]) -> list:

@@ -91,9 +91,9 @@ def select_stage(postings: DataFrame, coef: DataFrame, intercept: float, thresho
                  idf: DataFrame | None = None, n: int = 5) -> DataFrame:
     """Postings with ``split_jd``; those without a relevant passage are dropped."""
     p = postings if RID in postings.columns else with_row_id(postings)
-    texts = p.select(RID, F.coalesce("job_description", F.lit("")).alias("_text"))
-    sel = ST.select_relevant(texts, idf, coef, intercept, threshold, key=RID, text_col="_text", n=n, every_row=False)
-    return p.join(sel, RID, "inner")  # equal lines share their id and their passages
+    # a posting without a description counts as an empty passage, and is dropped like one
+    texts = p.withColumn("job_description", F.coalesce("job_description", F.lit("")))
+    return ST.select_relevant(texts, idf, coef, intercept, threshold, key=RID, text_col="job_description", n=n, keep=tuple(p.columns))
 
 
 def extract_stage(selected: DataFrame, dictionary: DataFrame | None = None,
@@ -105,11 +105,7 @@ def extract_stage(selected: DataFrame, dictionary: DataFrame | None = None,
     if extractor is not None:
         answers = EX.extract_with(selected.select(RID, "split_jd").dropDuplicates([RID]), EX.each(extractor), RID, "split_jd", max_attempts)
         return selected.join(answers, RID)
-    hits = EX.extract_by_dictionary(selected.select(RID, "split_jd"), dictionary, key=RID, text_col="split_jd")
-    terms = hits.groupBy(RID).agg(F.array_sort(F.collect_set("term")).alias("_terms"))
-    out = selected.join(terms, RID, "left")
-    return (out.withColumn("cleaned_techs", F.coalesce("_terms", F.array().cast("array<string>")))
-               .drop("_terms"))
+    return EX.with_dictionary_terms(selected, dictionary, "split_jd", "cleaned_techs")
 
 
 def clean_stage(extracted: DataFrame, patterns: list[str] = R.REMOVE_PATTERNS,

@@ -271,14 +271,16 @@ PASSAGE_KEYS = ("doc_id", ST.UNIT, "pos")
 
 
 def passage_tf_idf(spark, sf_dir):
+    """The passages with their counted tokens, written once for the model and for the scores, and the idf model."""
     p = ST.passages(table(spark, sf_dir, "documents").select("doc_id", "text"), unit=True)
-    return p, ST.term_frequencies(p, PASSAGE_KEYS), ST.fit_idf(p)
+    counted = S.measured(ST.counted_passages(p, PASSAGE_KEYS), "counted")
+    return counted, ST.fit_idf(counted)
 
 
 @register
 def tfidf(spark, sf_dir):
-    _, tf, idf = passage_tf_idf(spark, sf_dir)
-    w = ST.tfidf(tf, idf, PASSAGE_KEYS)
+    counted, idf = passage_tf_idf(spark, sf_dir)
+    w = ST.tfidf(counted, idf, PASSAGE_KEYS)
     return w.select("doc_id", "pos", "token", "tf", "df", F.round("weight", 6).alias("weight"))
 
 
@@ -295,9 +297,9 @@ def idf_incremental(spark, sf_dir):
 
 
 def passage_scores(spark, sf_dir):
-    p, tf, idf = passage_tf_idf(spark, sf_dir)
-    s = ST.linear_scores(tf, idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT, PASSAGE_KEYS)
-    scored = ST.scored_passages(p, s, A.RELEVANCE_INTERCEPT)
+    counted, idf = passage_tf_idf(spark, sf_dir)
+    s = ST.linear_scores(ST.term_rows(counted, PASSAGE_KEYS), idf, F.broadcast(A.coef_frame(spark)), A.RELEVANCE_INTERCEPT, PASSAGE_KEYS)
+    scored = ST.scored_passages(counted, s, A.RELEVANCE_INTERCEPT)
     return scored.withColumn("relevant", ST.relevant(F.col("score"), A.RELEVANCE_THRESHOLD).cast("int"))
 
 
