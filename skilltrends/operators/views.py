@@ -50,14 +50,19 @@ def jobs_view(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
             .select(key, "tech", "job_date", F.explode("_kws").alias("kw")))
 
 
+def weighted_keywords(keywords: DataFrame, key: str = "job_key", kw_col: str = "keyword") -> DataFrame:
+    """(key, _kws): the distinct keywords of each key with the number of rows that name them."""
+    pairs = keywords.select(key, F.explode(kw_col).alias("kw")).where(F.col("kw").isNotNull())
+    counted = pairs.groupBy(key, "kw").agg(F.count(F.lit(1)).alias("weight"))
+    return counted.groupBy(key).agg(F.collect_list(F.struct("kw", "weight")).alias("_kws"))
+
+
 def jobs_view_weighted(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
                        terms_col: str = "cleaned_techs", kw_col: str = "keyword") -> DataFrame:
     """:func:`jobs_view` with ``weight``: how many keyword rows of the posting name the keyword (the days on
     which it was seen). A plain un-nest join gives each row of this view ``weight`` times, so sums of
     weights are its counts, without a row for every pair of days."""
-    pairs = keywords.select(key, F.explode(kw_col).alias("kw")).where(F.col("kw").isNotNull())
-    counted = pairs.groupBy(key, "kw").agg(F.count(F.lit(1)).alias("weight"))
-    per_key = counted.groupBy(key).agg(F.collect_list(F.struct("kw", "weight")).alias("_kws"))
+    per_key = weighted_keywords(keywords, key, kw_col)
     p = (postings.where(F.size(terms_col) > 0)
          .select(key, F.col(terms_col).alias("_terms"), date_from_parts("year", "month", "day").alias("job_date")))
     return (split_join(p, per_key, key)
@@ -105,6 +110,19 @@ def fanout_audit(view: DataFrame) -> DataFrame:
             .where(F.col("n_rows") > 1))
 
 
+def fanout_of(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
+              terms_col: str = "cleaned_techs", kw_col: str = "keyword") -> DataFrame:
+    """:func:`fanout_audit` of :func:`jobs_view_weighted`, without grouping the view's rows: a (key, tech, day) comes as often
+    as the postings hold it, times the keyword's weight, so it is counted before the keywords multiply it."""
+    p = (postings.where(F.size(terms_col) > 0)
+         .select(key, F.explode(terms_col).alias("tech"), date_from_parts("year", "month", "day").alias("job_date")))
+    times = p.where(F.col(key).isNotNull()).groupBy(key, "tech", "job_date").agg(F.count(F.lit(1)).alias("_times"))
+    return (split_join(times, weighted_keywords(keywords, key, kw_col), key)
+            .select(key, "tech", "job_date", "_times", F.inline("_kws"))
+            .select(key, "tech", "kw", "job_date", (F.col("_times") * F.col("weight")).alias("n_rows"))
+            .where(F.col("n_rows") > 1))
+
+
 # The view as Spark SQL, for users who query it with SQL. Same plan shape as
 # jobs_view(): one keyword set per posting joined before both un-nests (see joins.py for the struct).
 JOBS_VIEW_SQL = """

@@ -192,7 +192,7 @@ def top_terms(spark, sf_dir):
 
 @register
 def fanout_audit(spark, sf_dir):
-    return V.fanout_audit(V.jobs_view_weighted(clean_layer(spark, sf_dir), A.keywords_by_day(spark, sf_dir)))
+    return V.fanout_of(clean_layer(spark, sf_dir), A.keywords_by_day(spark, sf_dir))
 
 
 @register
