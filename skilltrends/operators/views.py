@@ -34,17 +34,20 @@ def keyword_sets(keywords: DataFrame, key: str = "job_key", kw_col: str = "keywo
 
 
 def jobs_view(postings: DataFrame, keywords: DataFrame, key: str = "job_key",
-              terms_col: str = "cleaned_techs", kw_col: str = "keyword") -> DataFrame:
+              terms_col: str = "cleaned_techs", kw_col: str = "keyword", nested: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """(job_key, tech, job_date, kw): one row per term x keyword of each posting-day.
 
     ``postings`` has (key, terms array, year, month, day); ``keywords`` has
     (key, keyword array). Empty or NULL arrays yield no rows, like an inner un-nest.
+    ``nested``: (job_key, techs, job_date, kws) and the columns of ``keep``, one row per posting-day, not un-nested.
     """
     p = (postings
          .where(F.size(terms_col) > 0)
          .select(key, F.col(terms_col).alias("_terms"),
-                 date_from_parts("year", "month", "day").alias("job_date")))
+                 date_from_parts("year", "month", "day").alias("job_date"), *keep))
     joined = split_join(p, keyword_sets(keywords, key, kw_col), key)
+    if nested:
+        return joined.select(key, F.col("_terms").alias("techs"), "job_date", F.col("_kws").alias("kws"), *keep)
     return (joined
             .select(key, F.explode("_terms").alias("tech"), "job_date", "_kws")
             .select(key, "tech", "job_date", F.explode("_kws").alias("kw")))

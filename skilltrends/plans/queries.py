@@ -166,10 +166,13 @@ def demand_trend(spark, sf_dir):
 
 def demand_words(spark, sf_dir):
     """The demand state of the postings, that come in three deliveries of whole days, the second of them first without
-    every posting's first line and then as it is."""
+    every posting's first line and then as it is. The view is written once, nested, and each delivery reads its days from it."""
     state, p, kw = S.scratch_path(spark, "demand-state"), clean_layer(spark, sf_dir), A.keywords(spark, sf_dir)
-    for part, rows in ((0, p), (1, p.where("line_no > 1")), (2, p), (1, p)):
-        DS.deliver(spark, state, V.jobs_view(rows.where((F.col("year") * 12 + F.col("month")) % 3 == part), kw))
+    part_of = ((F.col("year") * 12 + F.col("month")) % 3).alias("part")
+    view = V.jobs_view(p.select("*", part_of), kw, nested=True, keep=("line_no", "part"))
+    view = S.measured(view.sortWithinPartitions(F.xxhash64("kws", "techs")), "demand-view")  # equal lists side by side: shuffles compress them
+    for part, rows in ((0, view), (1, view.where("line_no > 1")), (2, view), (1, view)):
+        DS.deliver(spark, state, rows.where(F.col("part") == part), stored=True)
     return DS.partials(spark, state)
 
 

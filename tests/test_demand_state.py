@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skilltrends.operators import demand_state as DS
+from skilltrends.operators import views as V
 from skilltrends.session import scratch_path
 from skilltrends.sources import versioned as VS
 
@@ -99,3 +100,37 @@ def test_a_second_writer_gets_a_conflict_and_keys_keep_one_number(spark, monkeyp
     monkeypatch.undo()
     DS.deliver(spark, state, frame(spark, [("k", "a", 1, "x"), ("j", "a", 1, "x")]))
     assert counts(DS.demand(DS.partials(spark, state))) == {("x", "a"): 2}
+
+
+def exchanged(df):
+    df.write.format("noop").mode("overwrite").save()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    return [i for i, line in enumerate(p.splitlines()) if "Exchange hashpartitioning" in line], [i for i, line in enumerate(p.splitlines()) if "Generate explode" in line]
+
+
+def test_a_nested_view_equals_the_un_nested_and_costs_a_row_a_posting_day(spark):
+    rnd, flat, nested = random.Random(5), scratch_path(spark, "demand-flat"), scratch_path(spark, "demand-nested")
+    posts = [(rnd.choice([None, *[f"job {rnd.randrange(60)}"] * 9]), rnd.choice([None, [], ["a"], ["a", "b", "a"], [None, "c"], list("abcdefgh")]),
+              2024, rnd.choice([1, 1, None]), rnd.randrange(1, 5)) for _ in range(300)]
+    kws = [(f"job {i}", rnd.choice([None, [], ["x"], ["y", "x"], ["x", None, "y"]])) for i in range(50)] * 2
+    p = spark.createDataFrame(posts, "job_key STRING, cleaned_techs ARRAY<STRING>, year INT, month INT, day INT")
+    k = spark.createDataFrame(kws, "job_key STRING, keyword ARRAY<STRING>")
+    parts = [p, p.where("day = 2 AND month = 1")]  # the second comes again
+    for part in parts:
+        DS.deliver(spark, flat, V.jobs_view(part, k))
+        DS.deliver(spark, nested, V.jobs_view(part, k, nested=True))
+    for of in (DS.demand, DS.trend):
+        one, two = (sorted(map(repr, of(DS.partials(spark, state)).collect())) for state in (flat, nested))
+        assert one == two and one
+    want = sorted(map(repr, V.demand_by_keyword(V.jobs_view(p, k)).collect()))
+    assert want == sorted(map(repr, DS.demand(DS.partials(spark, nested)).select("kw", "tech", "n_postings").collect()))
+    days = V.jobs_view(p, k, nested=True).where("job_key IS NOT NULL").select("job_key", "job_date", "techs").distinct().count()
+    assert DS.partials(spark, nested).count() <= days
+
+
+def test_no_row_for_each_keyword_and_term_is_shuffled(spark):
+    state = scratch_path(spark, "demand-plan")
+    DS.deliver(spark, state, frame(spark, rows_of(random.Random(9), range(5))))
+    shuffles, explodes = exchanged(DS.demand(DS.partials(spark, state)))
+    # plans are written from the result down: only the counted groups are shuffled above the un-nest
+    assert len(explodes) == 2 and len([s for s in shuffles if s < min(explodes)]) == 1 and any(s > max(explodes) for s in shuffles)
